@@ -96,7 +96,7 @@ def cardinalities(df: DataFrame, columns: list[str]) -> DataFrame:
     """
     out = None
     for c in columns:
-        one = (df.where(F.col(c).isNotNull()).groupBy(c).agg()
+        one = (df.select(c).where(F.col(c).isNotNull()).distinct()
                .agg(F.count(F.lit(1)).cast("bigint").alias(f"{c}_nunique")))
         out = one if out is None else out.crossJoin(one)
     return out

@@ -418,3 +418,193 @@ def user_sql(columns: list[str]) -> str:
 
 def user_thresholds_sql() -> str:
     return with_log("SELECT * FROM u_q", *(USER_CTES + [USER_BASE_CTE, USER_THRESHOLDS_CTE]))
+
+
+# ---------------------------------------------------------------------------
+# Item and category tables
+# ---------------------------------------------------------------------------
+
+ENTITY_DOUBLES = {
+    "avg_behavior_per_user", "avg_behavior_per_item", "avg_daily_behavior_cnt", "pv_buy_ratio",
+    "cart_buy_ratio", "fav_buy_ratio", "pv_cart_ratio", "buy_user_ratio", "weekend_behavior_ratio",
+    "late_night_behavior_ratio", "top_item_ratio",
+}
+
+
+def entity_ctes(key: str) -> list[str]:
+    life = "item_lifetime_days" if key == "item_id" else "category_lifetime_days"
+    return [f"""
+e_agg AS (
+  SELECT {key},
+         count(*) AS total_behavior_cnt,
+         count(DISTINCT user_id) AS unique_user_cnt,
+         count(DISTINCT item_id) AS unique_item_cnt,
+         count(DISTINCT d) AS active_days,
+         min("timestamp") AS first_behavior_time,
+         max("timestamp") AS last_behavior_time,
+         count(*) FILTER (WHERE behavior_type = 1) AS pv_cnt,
+         count(*) FILTER (WHERE behavior_type = 2) AS fav_cnt,
+         count(*) FILTER (WHERE behavior_type = 3) AS cart_cnt,
+         count(*) FILTER (WHERE behavior_type = 4) AS buy_cnt,
+         count(DISTINCT user_id) FILTER (WHERE behavior_type = 1) AS unique_view_user_cnt,
+         count(DISTINCT user_id) FILTER (WHERE behavior_type = 4) AS unique_buy_user_cnt,
+         count(*) FILTER (WHERE wd >= 5) AS weekend_behavior_cnt,
+         count(*) FILTER (WHERE h >= 0 AND h < 6) AS late_night_behavior_cnt
+  FROM ev GROUP BY {key}
+)""", f"""
+e_daily AS (
+  SELECT {key}, max(c) AS max_daily_behavior_cnt, min(c) AS min_daily_behavior_cnt
+  FROM (SELECT {key}, d, count(*) AS c FROM ev GROUP BY {key}, d) x GROUP BY {key}
+)""", f"""
+e_peak AS (
+  SELECT {key}, h AS peak_active_hour FROM (
+    SELECT {key}, h, row_number() OVER (PARTITION BY {key} ORDER BY count(*) DESC, h) AS rn
+    FROM ev GROUP BY {key}, h) x WHERE rn = 1
+)""", f"""
+e_top_item AS (
+  SELECT {key}, max(c) AS top_item_behavior_cnt
+  FROM (SELECT {key}, item_id, count(*) AS c FROM ev GROUP BY {key}, item_id) x GROUP BY {key}
+)""", f"""
+e_final AS (
+  SELECT a.*, dl.max_daily_behavior_cnt, dl.min_daily_behavior_cnt, p.peak_active_hour,
+         t.top_item_behavior_cnt,
+         {ratio('a.total_behavior_cnt', 'a.unique_user_cnt')} AS avg_behavior_per_user,
+         {ratio('a.total_behavior_cnt', 'a.unique_item_cnt')} AS avg_behavior_per_item,
+         {ratio('a.total_behavior_cnt', 'a.active_days')} AS avg_daily_behavior_cnt,
+         {ratio('a.buy_cnt', 'a.pv_cnt')} AS pv_buy_ratio,
+         {ratio('a.buy_cnt', 'a.cart_cnt')} AS cart_buy_ratio,
+         {ratio('a.buy_cnt', 'a.fav_cnt')} AS fav_buy_ratio,
+         {ratio('a.cart_cnt', 'a.pv_cnt')} AS pv_cart_ratio,
+         {ratio('a.unique_buy_user_cnt', 'a.unique_view_user_cnt')} AS buy_user_ratio,
+         CAST(CAST(a.last_behavior_time AS DATE) - CAST(a.first_behavior_time AS DATE) + 1 AS BIGINT) AS {life},
+         {ratio('a.weekend_behavior_cnt', 'a.total_behavior_cnt')} AS weekend_behavior_ratio,
+         {ratio('a.late_night_behavior_cnt', 'a.total_behavior_cnt')} AS late_night_behavior_ratio,
+         {ratio('t.top_item_behavior_cnt', 'a.total_behavior_cnt')} AS top_item_ratio
+  FROM e_agg a
+  LEFT JOIN e_daily dl ON a.{key} = dl.{key}
+  LEFT JOIN e_peak p ON a.{key} = p.{key}
+  LEFT JOIN e_top_item t ON a.{key} = t.{key}
+)"""]
+
+
+def entity_sql(key: str, columns: list[str], source: str = "events") -> str:
+    return with_log(select_columns(columns, ENTITY_DOUBLES, "e_final"), *entity_ctes(key), source=source)
+
+
+# ---------------------------------------------------------------------------
+# Cleaning, profiling and operator-level queries
+# ---------------------------------------------------------------------------
+
+RAW_COLS = "row_id, user_id, item_id, behavior_type, item_category, \"time\""
+
+ORACLE_EXTRA: dict[str, str] = {}
+
+ORACLE_EXTRA["raw_behavior"] = with_log(f"SELECT {RAW_COLS} FROM raw_log")
+ORACLE_EXTRA["clean_log"] = with_log('SELECT row_id, user_id, item_id, behavior_type, item_category, "timestamp" FROM clean')
+ORACLE_EXTRA["csv_roundtrip"] = ORACLE_EXTRA["clean_log"]
+ORACLE_EXTRA["parquet_roundtrip"] = ORACLE_EXTRA["clean_log"]
+ORACLE_EXTRA["publish_and_count"] = with_log("SELECT count(*) AS total_rows FROM clean")
+ORACLE_EXTRA["cleaning_report"] = with_log("""
+SELECT count(*) AS rows_in,
+       count(*) FILTER (WHERE user_id IS NOT NULL AND item_id IS NOT NULL AND item_category IS NOT NULL
+                        AND t_parsed IS NOT NULL AND b_num IN (1, 2, 3, 4)) AS rows_kept,
+       count(*) FILTER (WHERE NOT (user_id IS NOT NULL AND item_id IS NOT NULL AND item_category IS NOT NULL
+                        AND t_parsed IS NOT NULL AND coalesce(b_num IN (1, 2, 3, 4), false))) AS rows_removed,
+       count(*) FILTER (WHERE user_id IS NULL) AS missing_user_id,
+       count(*) FILTER (WHERE item_id IS NULL) AS missing_item_id,
+       count(*) FILTER (WHERE item_category IS NULL) AS missing_item_category,
+       count(*) FILTER (WHERE NOT coalesce(b_num IN (1, 2, 3, 4), false)) AS invalid_behavior,
+       count(*) FILTER (WHERE t_parsed IS NULL) AS invalid_time
+FROM checked""")
+ORACLE_EXTRA["preview"] = with_log(f"SELECT {RAW_COLS} FROM raw_log ORDER BY row_id LIMIT 5")
+_raw_cols = ["row_id", "user_id", "item_id", "behavior_type", "item_category", "time"]
+_raw_types = ["bigint", "string", "string", "string", "string", "string"]
+ORACLE_EXTRA["column_info"] = with_log(" UNION ALL ".join(
+    f"SELECT {i} AS position, '{c}' AS \"column\", '{t}' AS dtype, count(\"{c}\") AS non_null_count FROM raw_log"
+    for i, (c, t) in enumerate(zip(_raw_cols, _raw_types))))
+ORACLE_EXTRA["null_counts"] = with_log(" UNION ALL ".join(
+    f"SELECT {i} AS position, '{c}' AS \"column\", count(*) FILTER (WHERE \"{c}\" IS NULL) AS null_count FROM raw_log"
+    for i, c in enumerate(_raw_cols)))
+ORACLE_EXTRA["duplicate_rows"] = with_log("""
+SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicate_cnt,
+       CASE WHEN sum(n) > 0 THEN CAST(sum(n - 1) AS DOUBLE) / CAST(sum(n) AS DOUBLE) END AS duplicate_ratio,
+       CAST(coalesce(sum(n), 0) AS BIGINT) AS row_cnt
+FROM (SELECT user_id, item_id, behavior_type, item_category, "time", count(*) AS n
+      FROM raw_log GROUP BY ALL) g""")
+ORACLE_EXTRA["behavior_distribution"] = with_log(
+    "SELECT behavior_type, count(*) AS cnt FROM raw_log GROUP BY behavior_type")
+ORACLE_EXTRA["invalid_behavior"] = with_log(
+    f"SELECT {RAW_COLS} FROM checked WHERE NOT coalesce(b_num IN (1, 2, 3, 4), false)")
+ORACLE_EXTRA["invalid_time"] = with_log(f"SELECT {RAW_COLS} FROM checked WHERE t_parsed IS NULL")
+ORACLE_EXTRA["cardinalities"] = with_log("""
+SELECT count(DISTINCT user_id) AS user_id_nunique, count(DISTINCT item_id) AS item_id_nunique,
+       count(DISTINCT item_category) AS item_category_nunique FROM raw_log""")
+ORACLE_EXTRA["overview"] = with_log("""
+SELECT count(*) AS total_rows, count(DISTINCT user_id) AS user_cnt, count(DISTINCT item_id) AS item_cnt,
+       count(DISTINCT item_category) AS category_cnt, min("timestamp") AS first_time,
+       max("timestamp") AS last_time,
+       CAST(count(*) AS DOUBLE) / CAST(count(DISTINCT user_id) AS DOUBLE) AS avg_behavior_per_user
+FROM clean""")
+ORACLE_EXTRA["enriched_log"] = with_log("""
+SELECT row_id, user_id, item_id, behavior_type, item_category, "timestamp", CAST(d AS TIMESTAMP) AS date,
+       h AS hour, wd AS weekday,
+       CASE behavior_type WHEN 1 THEN 'pv' WHEN 2 THEN 'fav' WHEN 3 THEN 'cart' WHEN 4 THEN 'buy' END AS behavior
+FROM ev""")
+ORACLE_EXTRA["event_order"] = with_log("""
+SELECT row_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY "timestamp", row_id) AS behavior_order
+FROM ev""")
+ORACLE_EXTRA["last_view_before_buy"] = with_log("""
+SELECT user_id, item_id, buy_time, last_view AS last_view_time,
+       CAST(date_diff('second', last_view, buy_time) AS DOUBLE) / 3600.0 AS pv_to_buy_hours
+FROM u_pairs""", *USER_CTES)
+ORACLE_EXTRA["view_buy_pairs"] = with_log("""
+SELECT v.user_id, v.item_id, count(*) AS pair_cnt
+FROM ev v JOIN ev b
+  ON v.user_id = b.user_id AND v.item_id = b.item_id
+ AND v.behavior_type = 1 AND b.behavior_type = 4 AND v."timestamp" <= b."timestamp"
+GROUP BY v.user_id, v.item_id""")
+ORACLE_EXTRA["top_category_per_day"] = with_log("""
+SELECT user_id, CAST(d AS TIMESTAMP) AS date, item_category AS daily_top_category FROM (
+  SELECT user_id, d, item_category,
+         row_number() OVER (PARTITION BY user_id, d ORDER BY count(*) DESC, item_category) AS rn
+  FROM ev GROUP BY user_id, d, item_category) t WHERE rn = 1""")
+ORACLE_EXTRA["pct_rank_active_days"] = with_log("""
+SELECT user_id, active_days,
+       (rank() OVER (ORDER BY active_days) + CAST(count(*) OVER (PARTITION BY active_days) - 1 AS DOUBLE) / 2.0)
+         / CAST(count(*) OVER () AS DOUBLE) AS pct_rank_active_days
+FROM (SELECT user_id, count(DISTINCT d) AS active_days FROM ev GROUP BY user_id) a""")
+DESCRIBE_ITEM_COLUMNS = ["total_behavior_cnt", "unique_user_cnt", "active_days", "item_lifetime_days",
+                         "max_daily_behavior_cnt"]
+
+
+def rnd(x: str, digits: int) -> str:
+    scale = f"{10 ** digits}.0"
+    return f"(round_even(({x}) * {scale}, 0) / {scale})"
+
+
+ORACLE_EXTRA["describe_numeric"] = with_log(" UNION ALL ".join(
+    f"""SELECT {i} AS position, '{c}' AS "column", count({c}) AS count,
+       {rnd(f'avg(CAST({c} AS DOUBLE))', 6)} AS mean, {rnd(f'stddev_samp(CAST({c} AS DOUBLE))', 6)} AS std,
+       CAST(min({c}) AS DOUBLE) AS min, quantile_cont(CAST({c} AS DOUBLE), 0.25) AS q25,
+       quantile_cont(CAST({c} AS DOUBLE), 0.5) AS q50, quantile_cont(CAST({c} AS DOUBLE), 0.75) AS q75,
+       CAST(max({c}) AS DOUBLE) AS max FROM e_final"""
+    for i, c in enumerate(DESCRIBE_ITEM_COLUMNS)), *entity_ctes("item_id"))
+
+
+def top_null_columns_sql(columns: list[str], top: int = 20) -> str:
+    counts = ", ".join(f'count(*) FILTER (WHERE "{c}" IS NULL) AS "{c}"' for c in columns)
+    pos = ", ".join(f"({i}, '{c}')" for i, c in enumerate(columns))
+    body = f"""
+, nc AS (SELECT {counts} FROM u_final),
+long AS (UNPIVOT nc ON COLUMNS(*) INTO NAME "column" VALUE null_count),
+pos AS (SELECT * FROM (VALUES {pos}) t(position, "column"))
+SELECT CAST(p.position AS INTEGER) AS position, l."column", CAST(l.null_count AS BIGINT) AS null_count
+FROM long l JOIN pos p ON l."column" = p."column"
+ORDER BY null_count DESC, position LIMIT {top}"""
+    sql = with_log("", *ALL_USER_CTES)
+    return sql + body
+
+
+def user_columns_sql(columns: list[str]) -> str:
+    """A projection of the user table (used by operator-level queries)."""
+    return user_sql(columns)

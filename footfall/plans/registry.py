@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from footfall.operators.cleaning import clean_log
 from footfall.plans import oracle_sql as O
+from footfall.plans.entity_features import ENTITIES, FAMILY_COLUMNS, EntityFeatures
 from footfall.plans.user_features import FAMILIES, UserFeatures
 from footfall.schemas import USER_COLUMNS
 from footfall.sources.adapters import events_raw
@@ -55,3 +56,205 @@ def user_feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("user_thresholds", O.user_thresholds_sql())
 def user_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return UserFeatures(events_log(spark, sf_dir)).thresholds()
+
+
+# ----- item and category tables --------------------------------------------
+
+def _entity_query(key: str, family: str | None) -> Query:
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ef = EntityFeatures(events_log(spark, sf_dir), key)
+        return ef.table() if family is None else ef.family(family)
+    return q
+
+
+for _key, _spec in ENTITIES.items():
+    _prefix = _spec["prefix"]
+    for _fam in FAMILY_COLUMNS:
+        if _fam == "concentration" and _key == "item_id":
+            continue
+        _cols = EntityFeatures.__new__(EntityFeatures)
+        _cols.key, _cols.spec = _key, _spec
+        register(f"{_prefix}_{_fam}", O.entity_sql(_key, _cols.family_columns(_fam)))(_entity_query(_key, _fam))
+    register(f"{_prefix}_feature_table", O.entity_sql(_key, _spec["columns"]))(_entity_query(_key, None))
+
+
+# ----- sources, cleaning, profiling ----------------------------------------
+
+from footfall.operators import cleaning as C  # noqa: E402
+from footfall.operators import profiling as P  # noqa: E402
+from footfall.operators import sequences as S  # noqa: E402
+from footfall.operators.ranking import pct_rank  # noqa: E402
+from footfall.operators.rollups import enrich  # noqa: E402
+from footfall.functions import behavior_name, round_half_even, safe_ratio  # noqa: E402
+from footfall.sources import readers, sinks  # noqa: E402
+from footfall.plans.user_features import finish  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+X = O.ORACLE_EXTRA
+
+
+@register("raw_behavior", X["raw_behavior"])
+def raw_behavior(spark, sf_dir):
+    return events_raw(spark, sf_dir)
+
+
+@register("clean_log", X["clean_log"])
+def clean_log_query(spark, sf_dir):
+    return events_log(spark, sf_dir)
+
+
+@register("cleaning_report", X["cleaning_report"])
+def cleaning_report(spark, sf_dir):
+    return C.cleaning_report(events_raw(spark, sf_dir))
+
+
+@register("csv_roundtrip", X["csv_roundtrip"])
+def csv_roundtrip(spark, sf_dir):
+    """Clean log written as CSV to the shared checkpoint folder and read back."""
+    path = sinks.scratch_path(spark, "csv")
+    sinks.write_log(events_log(spark, sf_dir), path, fmt="csv")
+    return readers.read_log(spark, path, fmt="csv")
+
+
+@register("parquet_roundtrip", X["parquet_roundtrip"])
+def parquet_roundtrip(spark, sf_dir):
+    """Clean log written as Parquet (partitioned by date) and read back."""
+    path = sinks.scratch_path(spark, "parquet")
+    sinks.write_log(events_log(spark, sf_dir), path, fmt="parquet", partition_by_date=True)
+    return readers.read_log(spark, path, fmt="parquet")
+
+
+@register("publish_and_count", X["publish_and_count"])
+def publish_and_count(spark, sf_dir):
+    """Create the database, replace the table with the clean log, count it."""
+    sinks.ensure_database(spark, "footfall")
+    name = sinks.publish_table(events_log(spark, sf_dir), "user_behavior", database="footfall",
+                               path=sinks.scratch_path(spark, "table"))
+    return sinks.verify_published(spark, name)
+
+
+@register("preview", X["preview"])
+def preview(spark, sf_dir):
+    return P.preview(events_raw(spark, sf_dir), 5)
+
+
+@register("column_info", X["column_info"])
+def column_info(spark, sf_dir):
+    return P.column_info(events_raw(spark, sf_dir))
+
+
+@register("null_counts", X["null_counts"])
+def null_counts(spark, sf_dir):
+    return P.null_counts(events_raw(spark, sf_dir))
+
+
+@register("top_null_columns", O.top_null_columns_sql(USER_COLUMNS, 20))
+def top_null_columns(spark, sf_dir):
+    return P.null_counts(UserFeatures(events_log(spark, sf_dir)).table(), top=20)
+
+
+@register("duplicate_rows", X["duplicate_rows"])
+def duplicate_rows(spark, sf_dir):
+    return P.duplicate_rows(events_raw(spark, sf_dir))
+
+
+@register("behavior_distribution", X["behavior_distribution"])
+def behavior_distribution(spark, sf_dir):
+    return P.value_counts(events_raw(spark, sf_dir), "behavior_type")
+
+
+@register("invalid_behavior", X["invalid_behavior"])
+def invalid_behavior(spark, sf_dir):
+    return C.invalid_behavior(events_raw(spark, sf_dir))
+
+
+@register("invalid_time", X["invalid_time"])
+def invalid_time(spark, sf_dir):
+    return C.invalid_time(events_raw(spark, sf_dir))
+
+
+@register("cardinalities", X["cardinalities"])
+def cardinalities(spark, sf_dir):
+    return P.cardinalities(events_raw(spark, sf_dir), ["user_id", "item_id", "item_category"])
+
+
+@register("describe_numeric", X["describe_numeric"])
+def describe_numeric(spark, sf_dir):
+    items = EntityFeatures(events_log(spark, sf_dir), "item_id").table()
+    return P.describe_numeric(items, O.DESCRIBE_ITEM_COLUMNS)
+
+
+@register("overview", X["overview"])
+def overview(spark, sf_dir):
+    return P.overview(events_log(spark, sf_dir))
+
+
+# ----- projections, rollups, top-k, sequences -------------------------------
+
+@register("enriched_log", X["enriched_log"])
+def enriched_log(spark, sf_dir):
+    # ``date`` is reported as a midnight timestamp, the reference's representation.
+    return (enrich(events_log(spark, sf_dir))
+            .withColumns({"date": F.col("date").cast("timestamp_ntz"), "behavior": behavior_name("behavior_type")}))
+
+
+def _user_cols(name: str, block: str, cols: list[str]) -> None:
+    def q(spark, sf_dir):
+        uf = UserFeatures(events_log(spark, sf_dir))
+        return finish(getattr(uf, block), ["user_id"] + cols)
+    register(name, O.user_columns_sql(["user_id"] + cols))(q)
+
+
+_user_cols("hour_band_counts", "hour_block", ["late_night_behavior_cnt", "morning_behavior_cnt",
+                                              "afternoon_behavior_cnt", "evening_behavior_cnt"])
+_user_cols("weekend_split", "hour_block", ["weekend_behavior_cnt", "weekday_behavior_cnt"])
+_user_cols("hour_slots", "hour_block", ["active_hour_cnt", "active_2h_slot", "active_3h_slot", "active_6h_slot"])
+_user_cols("behavior_pivot", "hour_block", ["pv_cnt", "fav_cnt", "cart_cnt", "buy_cnt"])
+_user_cols("daily_extremes", "day_block", ["max_daily_behavior_cnt", "min_daily_behavior_cnt"])
+_user_cols("distinct_by_behavior", "item_block", ["viewed_item_cnt", "bought_item_cnt", "cart_item_cnt",
+                                                  "fav_item_cnt"])
+_user_cols("repeat_pairs", "item_block", ["repeat_view_item_cnt", "repeat_buy_item_cnt"])
+_user_cols("top_hour", "hour_block", ["peak_active_hour"])
+_user_cols("top_slot_6h", "hour_block", ["peak_6h_slot"])
+_user_cols("top_item", "item_block", ["top_item_id", "top_item_behavior_cnt"])
+_user_cols("top_category", "category_block", ["top_category_id", "top_category_behavior_cnt"])
+_user_cols("repeat_view_without_buy", "item_block", ["repeat_view_without_buy"])
+_user_cols("views_before_first_buy", "hour_block", ["view_before_first_buy_cnt"])
+_user_cols("category_shifts", "hour_block", ["category_shift_cnt"])
+_user_cols("active_streaks", "day_block", ["max_consecutive_active_days", "avg_consecutive_active_days"])
+_user_cols("category_streaks", "category_streak_block", ["dominant_category_stability"])
+_user_cols("recent_activity", "day_block", ["recent_3d_behavior_cnt", "recent_7d_behavior_cnt",
+                                            "recent_3d_buy_cnt", "recent_7d_buy_cnt"])
+_user_cols("inactive_gap", "day_block", ["inactive_gap_days"])
+_user_cols("first_buy_interval", "base", ["first_buy_interval"])
+_user_cols("impulsive_users", "base", ["impulsive_buy_flag"])
+_user_cols("steps_to_buy", "base", ["avg_steps_to_buy"])
+_user_cols("buy_gaps", "base", ["avg_buy_interval"])
+
+
+@register("top_category_per_day", X["top_category_per_day"])
+def top_category_per_day(spark, sf_dir):
+    daily = UserFeatures(events_log(spark, sf_dir)).daily_top_category
+    return daily.withColumn("date", F.col("date").cast("timestamp_ntz"))
+
+
+@register("last_view_before_buy", X["last_view_before_buy"])
+def last_view_before_buy(spark, sf_dir):
+    return UserFeatures(events_log(spark, sf_dir)).last_view_before_buy
+
+
+@register("view_buy_pairs", X["view_buy_pairs"])
+def view_buy_pairs(spark, sf_dir):
+    return S.view_buy_pairs(UserFeatures(events_log(spark, sf_dir)).user_item_hour)
+
+
+@register("event_order", X["event_order"])
+def event_order(spark, sf_dir):
+    uf = UserFeatures(events_log(spark, sf_dir))
+    return S.event_order(uf.hourly, uf.user_hour)
+
+
+@register("pct_rank_active_days", X["pct_rank_active_days"])
+def pct_rank_active_days(spark, sf_dir):
+    days = UserFeatures(events_log(spark, sf_dir)).day_block.select("user_id", "active_days")
+    return pct_rank(days, "active_days", "pct_rank_active_days")

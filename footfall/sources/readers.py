@@ -31,9 +31,11 @@ def read_raw(spark: SparkSession, path: str, row_id_column: str | None = None) -
 def read_log(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Read a clean LOG written by :func:`footfall.sources.sinks.write_log`."""
     if fmt == "csv":
-        return (spark.read.schema(LOG).option("header", True)
-                .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path))
-    return spark.read.schema(LOG).parquet(path)
+        df = (spark.read.schema(LOG).option("header", True)
+              .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path))
+    else:
+        df = spark.read.schema(LOG).parquet(path)
+    return df.select(*LOG.fieldNames())
 
 
 def read_features(spark: SparkSession, path: str) -> DataFrame:

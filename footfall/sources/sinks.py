@@ -56,19 +56,23 @@ def ensure_database(spark: SparkSession, name: str) -> DataFrame:
 
 
 def publish_table(df: DataFrame, name: str, database: str | None = None,
-                  jdbc_options: dict[str, str] | None = None) -> str:
+                  jdbc_options: dict[str, str] | None = None, path: str | None = None) -> str:
     """Replace a named table with ``df``.
 
     Without ``jdbc_options`` the table goes to the session catalog
-    (``saveAsTable``); with them it is written to an external database through
-    Spark's JDBC source (``url``, ``dbtable``, ``user``, ``password``, ...).
-    Returns the qualified table name.
+    (``saveAsTable``; ``path`` makes it an external table at that location);
+    with them it is written to an external database through Spark's JDBC
+    source (``url``, ``dbtable``, ``user``, ``password``, ...).  Returns the
+    qualified table name.
     """
     if jdbc_options:
         df.write.format("jdbc").options(**jdbc_options).mode("overwrite").save()
         return jdbc_options.get("dbtable", name)
     qualified = f"{_identifier(database)}.{_identifier(name)}" if database else _identifier(name)
-    df.write.mode("overwrite").format("parquet").saveAsTable(qualified)
+    writer = df.write.mode("overwrite").format("parquet")
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(qualified)
     return qualified
 
 
