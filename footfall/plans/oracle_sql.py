@@ -608,3 +608,142 @@ ORDER BY null_count DESC, position LIMIT {top}"""
 def user_columns_sql(columns: list[str]) -> str:
     """A projection of the user table (used by operator-level queries)."""
     return user_sql(columns)
+
+
+# ---------------------------------------------------------------------------
+# Quality reports
+# ---------------------------------------------------------------------------
+
+_BEHAVIOR_COLS = [(1, "pv_cnt"), (2, "fav_cnt"), (3, "cart_cnt"), (4, "buy_cnt")]
+_UNBOUNDED = {"pv_buy_ratio", "cart_buy_ratio", "fav_buy_ratio", "pv_cart_ratio", "buy_user_ratio"}
+
+
+def _common_sql(key: str, prefix: str, columns: list[str]) -> list[tuple]:
+    out = [
+        (f"{prefix}1", "duplicate_keys", f"count(*) - count(DISTINCT {key})", None, "zero", "error"),
+        (f"{prefix}2", "key_count", f"count(DISTINCT {key})", f"count(DISTINCT {key})", "equal", "error"),
+        (f"{prefix}3", "total_behavior_cnt", "sum(total_behavior_cnt)", "count(*)", "equal", "error"),
+    ]
+    out += [(f"{prefix}4", col, f"sum({col})", f"count(*) FILTER (WHERE behavior_type = {code})", "equal", "error")
+            for code, col in _BEHAVIOR_COLS]
+    out += [(f"{prefix}5", f"null_count:{c}", f'count(*) FILTER (WHERE "{c}" IS NULL)', None, "info", "info")
+            for c in columns]
+    return out
+
+
+def _describe_sql(check_id: str, col: str) -> list[tuple]:
+    return [
+        (check_id, f"min:{col}", f"min({col})", None, "info", "info"),
+        (check_id, f"max:{col}", f"max({col})", None, "info", "info"),
+        (check_id, f"mean:{col}", f"round_even(avg({col}) * 1000000.0, 0) / 1000000.0", None, "info", "info"),
+    ]
+
+
+def user_quality_specs() -> list[tuple]:
+    from footfall.schemas import USER_COLUMNS, USER_RATE_COLUMNS
+
+    non_numeric = {"first_behavior_time", "last_behavior_time", "user_maturity_stage"}
+    numeric = [c for c in USER_COLUMNS if c not in non_numeric and not c.endswith("_flag")]
+    specs = _common_sql("user_id", "U", USER_COLUMNS)
+    for r in USER_RATE_COLUMNS:
+        specs += [("U6", f"min:{r}", f"min({r})", None, "unit", "error"),
+                  ("U6", f"max:{r}", f"max({r})", None, "unit", "error")]
+    dev = "abs(user_buy_rate + user_cart_rate + user_fav_rate + user_pv_rate - 1.0)"
+    specs += [("U7", "rate_sum_deviation_max", f"max({dev})", None, "info", "info"),
+              ("U7", "rate_sum_deviation_gt_0.001", f"count(*) FILTER (WHERE {dev} > 0.001)", None, "zero", "error")]
+    specs += _describe_sql("U8", "user_lifetime_days")
+    specs.append(("U8", "lifetime_lt_1", "count(*) FILTER (WHERE user_lifetime_days < 1)", None, "zero", "error"))
+    neg = " + ".join(f"(CASE WHEN count(*) FILTER (WHERE {c} < 0) > 0 THEN 1 ELSE 0 END)" for c in numeric)
+    specs.append(("U10", "negative_columns", neg, None, "zero", "error"))
+    specs += [("U11", f"out_of_range:{r}", f"count(*) FILTER (WHERE {r} < 0 OR {r} > 1)", None, "zero", "error")
+              for r in USER_RATE_COLUMNS]
+    return specs
+
+
+def entity_quality_specs(key: str) -> list[tuple]:
+    from footfall.schemas import (CATEGORY_COLUMNS, CATEGORY_NON_NEGATIVE, CATEGORY_RATIO_COLUMNS, ITEM_COLUMNS,
+                                  ITEM_NON_NEGATIVE, ITEM_RATIO_COLUMNS)
+
+    is_item = key == "item_id"
+    prefix = "I" if is_item else "C"
+    columns = ITEM_COLUMNS if is_item else CATEGORY_COLUMNS
+    ratios = ITEM_RATIO_COLUMNS if is_item else [c for c in CATEGORY_RATIO_COLUMNS if c != "top_item_ratio"]
+    non_negative = ITEM_NON_NEGATIVE if is_item else CATEGORY_NON_NEGATIVE
+    life = "item_lifetime_days" if is_item else "category_lifetime_days"
+    specs = _common_sql(key, prefix, columns)
+    for r in ratios:
+        sev = "info" if r in _UNBOUNDED else "error"
+        specs += [(f"{prefix}6", f"min:{r}", f"min({r})", None, "unit", sev),
+                  (f"{prefix}6", f"max:{r}", f"max({r})", None, "unit", sev),
+                  (f"{prefix}6", f"out_of_range:{r}", f"count(*) FILTER (WHERE {r} < 0 OR {r} > 1)", None, "zero", sev)]
+    specs += [(f"{prefix}7", f"negative:{c}", f"count(*) FILTER (WHERE {c} < 0)", None, "zero", "error")
+              for c in non_negative]
+    specs += _describe_sql(f"{prefix}8", life)
+    specs.append((f"{prefix}8", "lifetime_lt_1", f"count(*) FILTER (WHERE {life} < 1)", None, "zero", "error"))
+    if not is_item:
+        specs += _describe_sql("C9", "top_item_ratio")
+        specs.append(("C9", "out_of_range:top_item_ratio",
+                      "count(*) FILTER (WHERE top_item_ratio < 0 OR top_item_ratio > 1)", None, "zero", "error"))
+    return specs
+
+
+def _passed_sql(rule: str, s: str, f: str) -> str:
+    return {"equal": f"coalesce({s} = {f}, false)", "zero": f"coalesce({f} = 0, false)",
+            "unit": f"coalesce({f} >= 0 AND {f} <= 1, true)"}.get(rule, "true")
+
+
+def quality_sql(table: str, table_cte: str, specs: list[tuple], source_ctes: list[str]) -> str:
+    fcols = ", ".join(f"CAST({fe} AS DOUBLE) AS f{i}" for i, (_, _, fe, _, _, _) in enumerate(specs))
+    scols = ", ".join(f"CAST({se} AS DOUBLE) AS s{i}" for i, (_, _, _, se, _, _) in enumerate(specs) if se)
+    structs = []
+    for i, (cid, metric, _, se, rule, sev) in enumerate(specs):
+        s = f"s{i}" if se else "CAST(NULL AS DOUBLE)"
+        f = f"f{i}"
+        structs.append(
+            f"struct_pack(\"table\" := '{table}', check_id := '{cid}', metric := '{metric}', source_value := {s}, "
+            f"feature_value := {f}, diff := {s} - {f}, passed := {_passed_sql(rule, s, f)}, severity := '{sev}')")
+    body = f"""
+SELECT * FROM (
+  SELECT UNNEST([{', '.join(structs)}], recursive := true)
+  FROM (SELECT {fcols} FROM {table_cte}) fa CROSS JOIN (SELECT {scols} FROM clean) sa
+) q WHERE NOT (metric LIKE 'null_count:%' AND feature_value = 0)"""
+    return with_log(body, *source_ctes)
+
+
+def user_table_cte() -> str:
+    from footfall.schemas import USER_COLUMNS
+    return f"u_table AS ({select_columns(USER_COLUMNS, USER_DOUBLES, 'u_final')})"
+
+
+def entity_table_cte(key: str) -> str:
+    from footfall.schemas import CATEGORY_COLUMNS, ITEM_COLUMNS
+    cols = ITEM_COLUMNS if key == "item_id" else CATEGORY_COLUMNS
+    return f"e_table AS ({select_columns(cols, ENTITY_DOUBLES, 'e_final')})"
+
+
+def quality_user_sql() -> str:
+    return quality_sql("user", "u_table", user_quality_specs(), ALL_USER_CTES + [user_table_cte()])
+
+
+def quality_entity_sql(key: str) -> str:
+    name = "item" if key == "item_id" else "category"
+    return quality_sql(name, "e_table", entity_quality_specs(key), entity_ctes(key) + [entity_table_cte(key)])
+
+
+def reconcile_sql(key: str, table_ctes: list[str], table_cte: str) -> str:
+    body = f"""
+SELECT coalesce(s.{key}, t.{key}) AS {key}, s.source_total, s.source_pv_cnt, s.source_fav_cnt,
+       s.source_cart_cnt, s.source_buy_cnt, t.total_behavior_cnt AS feature_total,
+       t.pv_cnt AS feature_pv_cnt, t.fav_cnt AS feature_fav_cnt, t.cart_cnt AS feature_cart_cnt,
+       t.buy_cnt AS feature_buy_cnt,
+       coalesce(s.source_total = t.total_behavior_cnt AND s.source_pv_cnt = t.pv_cnt
+                AND s.source_fav_cnt = t.fav_cnt AND s.source_cart_cnt = t.cart_cnt
+                AND s.source_buy_cnt = t.buy_cnt, false) AS matched
+FROM (SELECT {key}, count(*) AS source_total,
+             count(*) FILTER (WHERE behavior_type = 1) AS source_pv_cnt,
+             count(*) FILTER (WHERE behavior_type = 2) AS source_fav_cnt,
+             count(*) FILTER (WHERE behavior_type = 3) AS source_cart_cnt,
+             count(*) FILTER (WHERE behavior_type = 4) AS source_buy_cnt
+      FROM clean GROUP BY {key}) s
+FULL OUTER JOIN {table_cte} t ON s.{key} = t.{key}"""
+    return with_log(body, *table_ctes)

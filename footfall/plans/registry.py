@@ -258,3 +258,65 @@ def event_order(spark, sf_dir):
 def pct_rank_active_days(spark, sf_dir):
     days = UserFeatures(events_log(spark, sf_dir)).day_block.select("user_id", "active_days")
     return pct_rank(days, "active_days", "pct_rank_active_days")
+
+
+# ----- quality reports ----------------------------------------------------------
+
+from footfall.operators import quality as Q  # noqa: E402
+
+
+def _user_table_and_log(spark, sf_dir):
+    log = events_log(spark, sf_dir)
+    return log, UserFeatures(log).table()
+
+
+def _entity_table_and_log(spark, sf_dir, key):
+    log = events_log(spark, sf_dir)
+    return log, EntityFeatures(log, key).table()
+
+
+@register("quality_user", O.quality_user_sql())
+def quality_user(spark, sf_dir):
+    log, users = _user_table_and_log(spark, sf_dir)
+    checks = Q.user_checks(users.columns, P.numeric_columns(users))
+    return Q.quality_report(log, users, "user", checks)
+
+
+@register("quality_item", O.quality_entity_sql("item_id"))
+def quality_item(spark, sf_dir):
+    log, items = _entity_table_and_log(spark, sf_dir, "item_id")
+    return Q.quality_report(log, items, "item", Q.entity_checks("item_id", items.columns))
+
+
+@register("quality_category", O.quality_entity_sql("item_category"))
+def quality_category(spark, sf_dir):
+    log, cats = _entity_table_and_log(spark, sf_dir, "item_category")
+    return Q.quality_report(log, cats, "category", Q.entity_checks("item_category", cats.columns))
+
+
+@register("reconcile_all_users", O.reconcile_sql("user_id", O.ALL_USER_CTES + [O.user_table_cte()], "u_table"))
+def reconcile_all_users(spark, sf_dir):
+    log, users = _user_table_and_log(spark, sf_dir)
+    return Q.reconcile_all(log, users, "user_id")
+
+
+@register("reconcile_all_items",
+          O.reconcile_sql("item_id", O.entity_ctes("item_id") + [O.entity_table_cte("item_id")], "e_table"))
+def reconcile_all_items(spark, sf_dir):
+    log, items = _entity_table_and_log(spark, sf_dir, "item_id")
+    return Q.reconcile_all(log, items, "item_id")
+
+
+@register("reconcile_all_categories",
+          O.reconcile_sql("item_category", O.entity_ctes("item_category") + [O.entity_table_cte("item_category")],
+                          "e_table"))
+def reconcile_all_categories(spark, sf_dir):
+    log, cats = _entity_table_and_log(spark, sf_dir, "item_category")
+    return Q.reconcile_all(log, cats, "item_category")
+
+
+@register("sampled_entity_check")
+def sampled_entity_check(spark, sf_dir):
+    """Seeded spot check of one user (no SQL twin: the seeded hash is Spark's)."""
+    log, users = _user_table_and_log(spark, sf_dir)
+    return Q.sampled_entity_check(log, users, "user_id", seed=42)
