@@ -3,12 +3,14 @@
 from footfall.functions.expressions import (
     behavior_name,
     bit_flag,
+    checked_id,
     coerce_behavior,
     coerce_hour,
     coerce_id,
     day_span,
     flag,
     hours_between,
+    id_value,
     missing_to_null,
     round_half_even,
     safe_ratio,
@@ -17,7 +19,7 @@ from footfall.functions.expressions import (
 )
 
 __all__ = [
-    "behavior_name", "bit_flag", "coerce_behavior", "coerce_hour", "coerce_id",
+    "behavior_name", "bit_flag", "checked_id", "id_value", "coerce_behavior", "coerce_hour", "coerce_id",
     "day_span", "flag", "hours_between", "missing_to_null", "round_half_even",
     "safe_ratio", "slot", "top_key",
 ]

@@ -105,20 +105,25 @@ def coerce_hour(c: ColumnOrName) -> Column:
     )
 
 
-def coerce_id(c: ColumnOrName, kind: str = "bigint") -> Column:
-    """Cast an id column.
+def id_value(c: ColumnOrName) -> Column:
+    """Integral text (``'12'``, ``'12.0'``) as BIGINT, NULL otherwise; the
+    decimal parse only runs when the plain cast fails."""
+    text = F.trim(_col(c))
+    dec = text.try_cast("decimal(38,6)")
+    return F.coalesce(text.try_cast("bigint"), F.when(dec == F.floor(dec), dec.cast("bigint")))
 
-    ``kind='bigint'``: integral text (``'12'``, ``'12.0'``) becomes BIGINT; a
-    non-numeric id stops the job with an error instead of silently dropping
-    the row.  ``kind='string'`` keeps ids as text.
-    """
-    col = _col(c)
+
+def checked_id(raw: ColumnOrName, value: ColumnOrName) -> Column:
+    """``value`` (from :func:`id_value` of ``raw``), failing the job with an
+    error for a present but non-numeric id instead of dropping the row."""
+    r, v = _col(raw), _col(value)
+    return F.when(r.isNotNull() & v.isNull(), F.raise_error(F.concat(F.lit("non-numeric id: "), r))).otherwise(v)
+
+
+def coerce_id(c: ColumnOrName, kind: str = "bigint") -> Column:
+    """Cast an id column (``kind='bigint'``, see :func:`checked_id`) or keep
+    it as text (``kind='string'``).  Single-expression form; the cleaning job
+    computes :func:`id_value` once in its own projection instead."""
     if kind == "string":
-        return col
-    text = F.trim(col)
-    dec = text.try_cast("decimal(38,6)")
-    value = F.coalesce(text.try_cast("bigint"), F.when(dec == F.floor(dec), dec.cast("bigint")))
-    return F.when(
-        col.isNotNull() & value.isNull(),
-        F.raise_error(F.concat(F.lit("non-numeric id: "), col)),
-    ).otherwise(value)
+        return _col(c)
+    return checked_id(c, id_value(c))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.functions import coerce_behavior, coerce_hour, coerce_id, missing_to_null
+from footfall.functions import checked_id, coerce_behavior, coerce_hour, id_value, missing_to_null
 from footfall.schemas import RAW_COLUMNS
 
 
@@ -47,12 +47,22 @@ def clean_log(raw: DataFrame, id_kind: str = "bigint") -> DataFrame:
         & F.col("item_category").isNotNull() & F.col("ts").isNotNull()
         & _valid_behavior()
     )
+    ids = ("user_id", "item_id", "item_category")
+    if id_kind == "string":
+        values = {c: F.col(c) for c in ids}
+    elif id_kind == "bigint":
+        # The parsed ids are computed in their own projection and referenced
+        # twice above it (value and check), so each is parsed once per row.
+        kept = kept.select("*", *[id_value(c).alias(f"_{c}") for c in ids])
+        values = {c: checked_id(c, f"_{c}") for c in ids}
+    else:
+        raise ValueError(f"unknown id kind {id_kind!r}")
     return kept.select(
         F.col("row_id").cast("bigint").alias("row_id"),
-        coerce_id("user_id", id_kind).alias("user_id"),
-        coerce_id("item_id", id_kind).alias("item_id"),
+        values["user_id"].alias("user_id"),
+        values["item_id"].alias("item_id"),
         F.col("behavior_num").cast("int").alias("behavior_type"),
-        coerce_id("item_category", id_kind).alias("item_category"),
+        values["item_category"].alias("item_category"),
         F.col("ts").alias("timestamp"),
     )
 

@@ -42,3 +42,30 @@ def pct_rank(df: DataFrame, column: str, out: str) -> DataFrame:
          / F.col("_total").cast("double")).alias(out),
     )
     return df.join(ranks, on=column, how="left")
+
+
+def pct_ranks(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """:func:`pct_rank` for several columns from one histogram.
+
+    The columns are unpivoted to (metric, value), counted once per distinct
+    (metric, value), ranked with a window per metric over the distinct values
+    (bounded by each column's value range, not by the row count) and joined
+    back once per column.  The histogram's exchange is shared by the joins.
+    """
+    names = list(columns)
+    pairs = F.array(*[F.struct(F.lit(i).alias("_m"), F.col(c).cast("double").alias("_v"))
+                      for i, c in enumerate(names)])
+    hist = (df.select(F.inline(pairs)).where(F.col("_v").isNotNull())
+            .groupBy("_m", "_v").agg(F.count(F.lit(1)).cast("bigint").alias("_ties")))
+    ordered = Window.partitionBy("_m").orderBy("_v")
+    ranks = hist.select(
+        "_m", "_v",
+        ((F.coalesce(F.sum("_ties").over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+          .cast("double") + (F.col("_ties").cast("double") + F.lit(1.0)) / F.lit(2.0))
+         / F.sum("_ties").over(Window.partitionBy("_m")).cast("double")).alias("_pct"),
+    )
+    out = df
+    for i, c in enumerate(names):
+        r = ranks.where(F.col("_m") == i).select(F.col("_v").alias(f"_v{i}"), F.col("_pct").alias(columns[c]))
+        out = out.join(r, F.col(c).cast("double") == F.col(f"_v{i}"), "left").drop(f"_v{i}")
+    return out

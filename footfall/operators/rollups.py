@@ -43,23 +43,15 @@ def sum_counts(names: tuple[str, ...] = ("n", "pv", "fav", "cart", "buy")) -> li
     return [F.sum(n).cast("bigint").alias(n) for n in names]
 
 
-def hourly(log: DataFrame) -> DataFrame:
-    """The enriched log hash-partitioned by (user, hour timestamp).
-
-    One exchange serves both the within-hour sequence pass (window by user and
-    hour) and the (user, item, category, hour) rollup: a hash partitioning on
-    (user, hour) satisfies any grouping that contains both keys, and the two
-    branches reuse the same shuffle.  A heavy user is spread over its hours.
-    """
-    return enrich(log).select(
-        "row_id", "user_id", "item_id", "item_category", "behavior_type", "timestamp",
-    ).repartition("user_id", "timestamp")
-
-
-def user_item_category_hour(hourly_log: DataFrame) -> DataFrame:
-    """(user, item, category, hour) -> n, pv, fav, cart, buy.  No shuffle on
-    top of :func:`hourly`."""
-    return hourly_log.groupBy("user_id", "item_id", "item_category", "timestamp").agg(*behavior_counts())
+def user_events(log: DataFrame) -> DataFrame:
+    """The columns of the log that the user features read."""
+    return log.select("row_id", "user_id", "item_id", "item_category", "behavior_type", "timestamp")
+
+
+def user_item_category_hour(events: DataFrame) -> DataFrame:
+    """(user, item, category, hour) -> n, pv, fav, cart, buy (partial
+    aggregation before the shuffle)."""
+    return events.groupBy("user_id", "item_id", "item_category", "timestamp").agg(*behavior_counts())
 
 
 def hour_of_day_counts(hour: Column, n: Column) -> list[Column]:

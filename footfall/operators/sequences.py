@@ -35,8 +35,7 @@ def within_hour(hourly_log: DataFrame) -> DataFrame:
 def user_hour_rollup(hourly_log: DataFrame) -> DataFrame:
     """(user, hour) rollup with counts and within-hour sequence statistics.
 
-    Same partitioning as the input: the window and the aggregate add no
-    exchange on top of :func:`footfall.operators.rollups.hourly`.
+    The window and the aggregate share one exchange on (user, hour).
     """
     bt = F.col("behavior_type")
     return within_hour(hourly_log).groupBy("user_id", "timestamp").agg(

@@ -35,11 +35,23 @@ def events_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_log(events_raw(spark, sf_dir))
 
 
+def materialized_log(log: DataFrame) -> DataFrame:
+    """The clean log written once to the shared checkpoint directory, the way
+    the cleaning job's output feeds the feature jobs: every branch of a
+    feature table then scans the written log instead of re-running the
+    cleaning."""
+    return log.checkpoint(eager=True)
+
+
+def feature_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return materialized_log(events_log(spark, sf_dir))
+
+
 # ----- user table ---------------------------------------------------------
 
 def _family_query(name: str) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return UserFeatures(events_log(spark, sf_dir)).family(name)
+        return UserFeatures(feature_log(spark, sf_dir)).family(name)
     q.__name__ = name
     return q
 
@@ -50,19 +62,19 @@ for _name, _cols in FAMILIES.items():
 
 @register("user_feature_table", O.user_sql(USER_COLUMNS))
 def user_feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return UserFeatures(events_log(spark, sf_dir)).table()
+    return UserFeatures(feature_log(spark, sf_dir)).table()
 
 
 @register("user_thresholds", O.user_thresholds_sql())
 def user_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return UserFeatures(events_log(spark, sf_dir)).thresholds()
+    return UserFeatures(feature_log(spark, sf_dir)).thresholds()
 
 
 # ----- item and category tables --------------------------------------------
 
 def _entity_query(key: str, family: str | None) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        ef = EntityFeatures(events_log(spark, sf_dir), key)
+        ef = EntityFeatures(feature_log(spark, sf_dir), key)
         return ef.table() if family is None else ef.family(family)
     return q
 
@@ -150,7 +162,7 @@ def null_counts(spark, sf_dir):
 
 @register("top_null_columns", O.top_null_columns_sql(USER_COLUMNS, 20))
 def top_null_columns(spark, sf_dir):
-    return P.null_counts(UserFeatures(events_log(spark, sf_dir)).table(), top=20)
+    return P.null_counts(UserFeatures(feature_log(spark, sf_dir)).table(), top=20)
 
 
 @register("duplicate_rows", X["duplicate_rows"])
@@ -180,13 +192,13 @@ def cardinalities(spark, sf_dir):
 
 @register("describe_numeric", X["describe_numeric"])
 def describe_numeric(spark, sf_dir):
-    items = EntityFeatures(events_log(spark, sf_dir), "item_id").table()
+    items = EntityFeatures(feature_log(spark, sf_dir), "item_id").table()
     return P.describe_numeric(items, O.DESCRIBE_ITEM_COLUMNS)
 
 
 @register("overview", X["overview"])
 def overview(spark, sf_dir):
-    return P.overview(events_log(spark, sf_dir))
+    return P.overview(feature_log(spark, sf_dir))
 
 
 # ----- projections, rollups, top-k, sequences -------------------------------
@@ -200,7 +212,7 @@ def enriched_log(spark, sf_dir):
 
 def _user_cols(name: str, block: str, cols: list[str]) -> None:
     def q(spark, sf_dir):
-        uf = UserFeatures(events_log(spark, sf_dir))
+        uf = UserFeatures(feature_log(spark, sf_dir))
         return finish(getattr(uf, block), ["user_id"] + cols)
     register(name, O.user_columns_sql(["user_id"] + cols))(q)
 
@@ -234,29 +246,29 @@ _user_cols("buy_gaps", "base", ["avg_buy_interval"])
 
 @register("top_category_per_day", X["top_category_per_day"])
 def top_category_per_day(spark, sf_dir):
-    daily = UserFeatures(events_log(spark, sf_dir)).daily_top_category
+    daily = UserFeatures(feature_log(spark, sf_dir)).daily_top_category
     return daily.withColumn("date", F.col("date").cast("timestamp_ntz"))
 
 
 @register("last_view_before_buy", X["last_view_before_buy"])
 def last_view_before_buy(spark, sf_dir):
-    return UserFeatures(events_log(spark, sf_dir)).last_view_before_buy
+    return UserFeatures(feature_log(spark, sf_dir)).last_view_before_buy
 
 
 @register("view_buy_pairs", X["view_buy_pairs"])
 def view_buy_pairs(spark, sf_dir):
-    return S.view_buy_pairs(UserFeatures(events_log(spark, sf_dir)).user_item_hour)
+    return S.view_buy_pairs(UserFeatures(feature_log(spark, sf_dir)).user_item_hour)
 
 
 @register("event_order", X["event_order"])
 def event_order(spark, sf_dir):
-    uf = UserFeatures(events_log(spark, sf_dir))
-    return S.event_order(uf.hourly, uf.user_hour)
+    uf = UserFeatures(feature_log(spark, sf_dir))
+    return S.event_order(uf.events, uf.user_hour)
 
 
 @register("pct_rank_active_days", X["pct_rank_active_days"])
 def pct_rank_active_days(spark, sf_dir):
-    days = UserFeatures(events_log(spark, sf_dir)).day_block.select("user_id", "active_days")
+    days = UserFeatures(feature_log(spark, sf_dir)).day_block.select("user_id", "active_days")
     return pct_rank(days, "active_days", "pct_rank_active_days")
 
 
@@ -266,12 +278,12 @@ from footfall.operators import quality as Q  # noqa: E402
 
 
 def _user_table_and_log(spark, sf_dir):
-    log = events_log(spark, sf_dir)
+    log = feature_log(spark, sf_dir)
     return log, UserFeatures(log).table()
 
 
 def _entity_table_and_log(spark, sf_dir, key):
-    log = events_log(spark, sf_dir)
+    log = feature_log(spark, sf_dir)
     return log, EntityFeatures(log, key).table()
 
 
@@ -320,3 +332,36 @@ def sampled_entity_check(spark, sf_dir):
     """Seeded spot check of one user (no SQL twin: the seeded hash is Spark's)."""
     log, users = _user_table_and_log(spark, sf_dir)
     return Q.sampled_entity_check(log, users, "user_id", seed=42)
+
+
+# ----- scale fixture: lineitem x orders as the log ------------------------------
+# Order-free families only: row_id carries no source order on this fixture.
+
+from footfall.sources.adapters import lineitem_log  # noqa: E402
+
+
+def _scale_user(family: str) -> Query:
+    def q(spark, sf_dir):
+        return UserFeatures(materialized_log(lineitem_log(spark, sf_dir))).family(family)
+    return q
+
+
+def _user_sql_on(columns: list[str], source: str) -> str:
+    return O.with_log(O.select_columns(columns, O.USER_DOUBLES, "u_final"), *O.ALL_USER_CTES, source=source)
+
+
+for _fam in ("user_basic", "user_depth", "user_conversion", "user_time_activity"):
+    register(f"scale_{_fam}", _user_sql_on(["user_id"] + FAMILIES[_fam], "lineitem"))(_scale_user(_fam))
+
+
+def _scale_entity(key: str) -> Query:
+    def q(spark, sf_dir):
+        return EntityFeatures(materialized_log(lineitem_log(spark, sf_dir)), key).table()
+    return q
+
+
+register("scale_item_feature_table",
+         O.entity_sql("item_id", ENTITIES["item_id"]["columns"], source="lineitem"))(_scale_entity("item_id"))
+register("scale_category_feature_table",
+         O.entity_sql("item_category", ENTITIES["item_category"]["columns"], source="lineitem"))(
+    _scale_entity("item_category"))

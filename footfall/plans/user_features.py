@@ -2,9 +2,10 @@
 
 Physical shape (see README "Plans"):
 
-1. ``hourly``: the log hash-partitioned once by (user, hour).  Both the
-   within-hour sequence pass and the (user, item, category, hour) rollup read
-   this one shuffle.
+1. Two rollups are built from the log and checkpointed: (user, hour) with
+   within-hour / across-hour sequence statistics (the only shuffle of raw
+   events) and (user, item, category, hour) (partially aggregated before its
+   shuffle).  Every block reads one of them.
 2. Five rollups feed almost every column: (user, hour) with sequence
    statistics, (user, day), (user, item), (user, category) and
    (user, day, category).  Distinct counts become row counts of a rollup.
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from footfall.functions import day_span, flag, hours_between, round_half_even, safe_ratio, top_key
 from footfall.operators import rollups as R
 from footfall.operators import sequences as S
-from footfall.operators.ranking import pct_rank
+from footfall.operators.ranking import pct_ranks
 from footfall.operators.thresholds import attach, thresholds
 from footfall.schemas import HOUR_BANDS, USER_APPENDED, USER_ORDER
 
@@ -122,18 +123,30 @@ class UserFeatures:
         self.use_checkpoint = checkpoint
 
     # ----- shared rollups -------------------------------------------------
+    def _materialize(self, df: DataFrame) -> DataFrame:
+        """Checkpoint a rollup that several blocks read (shared checkpoint
+        directory): every block then reads it instead of recomputing it from
+        the log (column pruning would otherwise give each block its own scan
+        and shuffle), and a lost executor does not send the job back to the
+        log."""
+        return df.checkpoint(eager=True) if self.use_checkpoint else df
+
     @cached_property
-    def hourly(self) -> DataFrame:
-        return R.hourly(self.log)
+    def events(self) -> DataFrame:
+        return R.user_events(self.log)
 
     @cached_property
     def user_hour(self) -> DataFrame:
-        """(user, hour) rollup + across-hour sequence columns."""
-        return S.across_hours(S.user_hour_rollup(self.hourly))
+        """(user, hour) rollup with within-hour and across-hour sequence
+        columns: one exchange on (user, hour) for the raw events, one on
+        user for the rollup."""
+        return self._materialize(S.across_hours(S.user_hour_rollup(self.events)))
 
     @cached_property
     def uict(self) -> DataFrame:
-        return R.user_item_category_hour(self.hourly)
+        """(user, item, category, hour) rollup; partial aggregation before
+        its shuffle."""
+        return self._materialize(R.user_item_category_hour(self.events))
 
     @cached_property
     def user_day(self) -> DataFrame:
@@ -368,9 +381,8 @@ class UserFeatures:
 
     @staticmethod
     def _with_retention(df: DataFrame) -> DataFrame:
-        for col, out in (("active_days", "_r_active"), ("max_consecutive_active_days", "_r_streak"),
-                         ("recent_7d_behavior_cnt", "_r_recent"), ("inactive_gap_days", "_r_gap")):
-            df = pct_rank(df, col, out)
+        df = pct_ranks(df, {"active_days": "_r_active", "max_consecutive_active_days": "_r_streak",
+                            "recent_7d_behavior_cnt": "_r_recent", "inactive_gap_days": "_r_gap"})
         c = F.col
         score = (F.lit(0.35) * c("_r_active") + F.lit(0.25) * c("_r_streak")
                  + F.lit(0.25) * c("_r_recent") + F.lit(0.15) * (F.lit(1.0) - c("_r_gap"))) * F.lit(100.0)

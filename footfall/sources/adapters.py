@@ -19,7 +19,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def events_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``events`` table rewritten as a raw behaviour log (all text)."""
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
-    k = F.regexp_extract("props", r"[0-9]+", 0).cast("int")
+    # ``props`` is ``{"k": N}``: take the text after ': ' up to '}' (cheap
+    # string functions; the cleaning filter is pushed below this projection,
+    # so every reference to ``k`` is evaluated again there).
+    k = F.trim(F.substring_index(F.substring_index("props", ":", -1), "}", 1)).cast("int")
     et, value = F.col("event_type"), F.col("value")
     behavior = (
         F.when(k == 99, F.lit("x"))
