@@ -21,6 +21,8 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Local runs only (tests, bench): no delay scheduling for data locality.
+    "spark.locality.wait": "0s",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
