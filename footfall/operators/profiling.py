@@ -104,26 +104,31 @@ def cardinalities(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def describe_numeric(df: DataFrame, columns: list[str] | None = None, digits: int = 6) -> DataFrame:
     """count, mean, std, min, 25/50/75 % (exact, linear interpolation), max
-    per numeric column, one pass; mean and std are rounded to ``digits``
-    decimals (they are display statistics)."""
+    per numeric column; mean and std are rounded to ``digits`` decimals (they
+    are display statistics).  The quartiles come from one ranked histogram
+    of distinct values (no value map merged in a single task)."""
+    from footfall.operators.ranking import ranked_histogram
+    from footfall.operators.thresholds import quantiles_from_histogram
+
     cols = columns or numeric_columns(df)
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
         aggs += [
             F.count(x).cast("bigint").alias(f"n{i}"), F.avg(x).alias(f"mean{i}"),
-            F.stddev_samp(x).alias(f"std{i}"), F.min(x).alias(f"min{i}"),
-            F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"q{i}"),
-            F.max(x).alias(f"max{i}"),
+            F.stddev_samp(x).alias(f"std{i}"), F.min(x).alias(f"min{i}"), F.max(x).alias(f"max{i}"),
         ]
-    one = df.agg(*aggs)
+    hist = ranked_histogram(df, [F.col(c) for c in cols])
+    quartiles = quantiles_from_histogram(
+        hist, {f"q{i}_{int(p * 100)}": (i, p) for i in range(len(cols)) for p in (0.25, 0.5, 0.75)})
+    one = df.agg(*aggs).crossJoin(quartiles)
     rows = F.array(*[
         F.struct(
             F.lit(i).alias("position"), F.lit(c).alias("column"), F.col(f"n{i}").alias("count"),
             round_half_even(F.col(f"mean{i}"), digits).alias("mean"),
             round_half_even(F.col(f"std{i}"), digits).alias("std"),
-            F.col(f"min{i}").alias("min"), F.col(f"q{i}")[0].alias("q25"),
-            F.col(f"q{i}")[1].alias("q50"), F.col(f"q{i}")[2].alias("q75"),
+            F.col(f"min{i}").alias("min"), F.col(f"q{i}_25").alias("q25"),
+            F.col(f"q{i}_50").alias("q50"), F.col(f"q{i}_75").alias("q75"),
             F.col(f"max{i}").alias("max"),
         )
         for i, c in enumerate(cols)

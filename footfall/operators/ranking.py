@@ -44,28 +44,45 @@ def pct_rank(df: DataFrame, column: str, out: str) -> DataFrame:
     return df.join(ranks, on=column, how="left")
 
 
-def pct_ranks(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """:func:`pct_rank` for several columns from one histogram.
+def ranked_histogram(df: DataFrame, metrics: list[Column]) -> DataFrame:
+    """(``_m``, ``_v``, ``_ties``, ``_less``, ``_total``) per metric index and
+    distinct non-null value: how many rows hold the value, how many hold a
+    smaller one, and how many non-null rows the metric has.
 
-    The columns are unpivoted to (metric, value), counted once per distinct
-    (metric, value), ranked with a window per metric over the distinct values
-    (bounded by each column's value range, not by the row count) and joined
-    back once per column.  The histogram's exchange is shared by the joins.
+    The metrics are unpivoted and counted per distinct value (partial
+    aggregation); the running count is a window per metric over its distinct
+    values, so no task ever holds more than one metric's distinct values, and
+    the window spills to disk instead of holding a value map in memory.
     """
-    names = list(columns)
-    pairs = F.array(*[F.struct(F.lit(i).alias("_m"), F.col(c).cast("double").alias("_v"))
-                      for i, c in enumerate(names)])
+    pairs = F.array(*[F.struct(F.lit(i).alias("_m"), m.cast("double").alias("_v")) for i, m in enumerate(metrics)])
     hist = (df.select(F.inline(pairs)).where(F.col("_v").isNotNull())
             .groupBy("_m", "_v").agg(F.count(F.lit(1)).cast("bigint").alias("_ties")))
     ordered = Window.partitionBy("_m").orderBy("_v")
+    return hist.select(
+        "_m", "_v", "_ties",
+        F.coalesce(F.sum("_ties").over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        .cast("bigint").alias("_less"),
+        F.sum("_ties").over(Window.partitionBy("_m")).cast("bigint").alias("_total"),
+    )
+
+
+def pct_ranks(df: DataFrame, columns: dict[str, str], hist: DataFrame | None = None,
+              index: dict[str, int] | None = None) -> DataFrame:
+    """:func:`pct_rank` for several columns from one :func:`ranked_histogram`
+    (built here, or passed in with the metric index of every column), joined
+    back once per column.  The histogram's exchange is shared by the joins."""
+    names = list(columns)
+    if hist is None:
+        hist = ranked_histogram(df, [F.col(c) for c in names])
+        index = {c: i for i, c in enumerate(names)}
     ranks = hist.select(
         "_m", "_v",
-        ((F.coalesce(F.sum("_ties").over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-          .cast("double") + (F.col("_ties").cast("double") + F.lit(1.0)) / F.lit(2.0))
-         / F.sum("_ties").over(Window.partitionBy("_m")).cast("double")).alias("_pct"),
+        ((F.col("_less").cast("double") + (F.col("_ties").cast("double") + F.lit(1.0)) / F.lit(2.0))
+         / F.col("_total").cast("double")).alias("_pct"),
     )
     out = df
-    for i, c in enumerate(names):
+    for c in names:
+        i = index[c]
         r = ranks.where(F.col("_m") == i).select(F.col("_v").alias(f"_v{i}"), F.col("_pct").alias(columns[c]))
         out = out.join(r, F.col(c).cast("double") == F.col(f"_v{i}"), "left").drop(f"_v{i}")
     return out

@@ -5,23 +5,55 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from footfall.operators.ranking import ranked_histogram
+
+
+def quantiles_from_histogram(hist: DataFrame, spec: dict[str, tuple[int, float]]) -> DataFrame:
+    """Exact quantiles (linear interpolation between the order statistics at
+    ``floor``/``ceil`` of ``(n - 1) * p``, the definition of Spark's
+    ``percentile`` and of the reference) read off a
+    :func:`footfall.operators.ranking.ranked_histogram`.
+
+    ``spec`` maps an output name to (metric index, p).  One aggregate over the
+    histogram finds both order statistics of every quantile; the result is a
+    single row.
+    """
+    aggs = []
+    for name, (m, p) in spec.items():
+        pos = (F.col("_total") - F.lit(1)).cast("double") * F.lit(float(p))
+        mine = F.col("_m") == m
+        for side, idx in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
+            hit = mine & (F.col("_less") <= idx) & (idx < F.col("_less") + F.col("_ties"))
+            aggs.append(F.max(F.when(hit, F.col("_v"))).alias(f"{name}__{side}"))
+        aggs.append(F.max(F.when(mine, pos)).alias(f"{name}__pos"))
+    one = hist.agg(*aggs)
+    out = []
+    for name in spec:
+        lo, hi, pos = F.col(f"{name}__lo"), F.col(f"{name}__hi"), F.col(f"{name}__pos")
+        lower, higher = F.floor(pos), F.ceil(pos)
+        value = F.when(lower == higher, lo).otherwise((higher - pos) * lo + (pos - lower) * hi)
+        out.append(value.alias(name))
+    return one.select(*out)
+
 
 def thresholds(df: DataFrame, spec: dict[str, tuple[Column, float]], exact: bool = True,
-               accuracy: int = 1_000_000) -> DataFrame:
+               accuracy: int = 1_000_000, hist: DataFrame | None = None,
+               index: dict[str, int] | None = None) -> DataFrame:
     """One row with one column per ``name -> (expression, p)``.
 
-    ``exact=True`` uses ``percentile`` (linear interpolation, NULL skipped),
-    which equals the reference's quantiles; its buffer is a value -> count map,
-    small for the count-valued columns used here.  ``exact=False`` switches to
-    ``percentile_approx`` for very large populations of distinct values.
-    All thresholds share one aggregation pass.
+    ``exact=True``: exact quantiles from a ranked histogram of distinct values
+    (no value map merged in one task; the per-metric window spills).  Pass
+    ``hist``/``index`` to reuse a histogram built for other statistics, with
+    ``index`` mapping each spec name to its metric index.  ``exact=False``:
+    ``percentile_approx`` (rank error at most n / accuracy), one aggregate.
     """
-    aggs = []
-    for name, (expr, p) in spec.items():
-        x = expr.cast("double")
-        agg = F.percentile(x, F.lit(p)) if exact else F.percentile_approx(x, F.lit(p), F.lit(accuracy)).cast("double")
-        aggs.append(agg.alias(name))
-    return df.agg(*aggs)
+    if not exact:
+        return df.agg(*[F.percentile_approx(e.cast("double"), F.lit(p), F.lit(accuracy)).cast("double").alias(n)
+                        for n, (e, p) in spec.items()])
+    if hist is None:
+        hist = ranked_histogram(df, [e for e, _ in spec.values()])
+        index = {name: i for i, name in enumerate(spec)}
+    return quantiles_from_histogram(hist, {name: (index[name], p) for name, (_, p) in spec.items()})
 
 
 def attach(df: DataFrame, one_row: DataFrame) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from footfall.functions import day_span, flag, hours_between, round_half_even, safe_ratio, top_key
 from footfall.operators import rollups as R
 from footfall.operators import sequences as S
-from footfall.operators.ranking import pct_ranks
+from footfall.operators.ranking import pct_ranks, ranked_histogram
 from footfall.operators.thresholds import attach, thresholds
 from footfall.schemas import HOUR_BANDS, USER_APPENDED, USER_ORDER
 
@@ -335,12 +335,35 @@ class UserFeatures:
             return self.base.checkpoint(eager=True)
         return self.base
 
+    # The columns ranked for the retention score.
+    RANKED = {"active_days": "_r_active", "max_consecutive_active_days": "_r_streak",
+              "recent_7d_behavior_cnt": "_r_recent", "inactive_gap_days": "_r_gap"}
+
+    def _metrics(self) -> tuple[list, dict[str, int]]:
+        """Distinct metric expressions behind the thresholds and the ranks,
+        and the metric index of every threshold name and ranked column."""
+        exprs: list[str] = []
+        for expr, _ in THRESHOLD_SPEC.values():
+            if expr not in exprs:
+                exprs.append(expr)
+        for col in self.RANKED:
+            if col not in exprs:
+                exprs.append(col)
+        index = {name: exprs.index(expr) for name, (expr, _) in THRESHOLD_SPEC.items()}
+        index.update({col: exprs.index(col) for col in self.RANKED})
+        return [F.expr(e) for e in exprs], index
+
     @cached_property
     def flagged(self) -> DataFrame:
-        """Base + thresholds, flags, lifecycle stage and retention score."""
+        """Base + thresholds, flags, lifecycle stage and retention score.
+
+        One ranked histogram of distinct values serves the 17 exact
+        thresholds and the four percentile ranks."""
         base = self.materialized_base()
+        metrics, index = self._metrics()
+        hist = ranked_histogram(base, metrics) if self.exact else None
         spec = {name: (F.expr(expr), p) for name, (expr, p) in THRESHOLD_SPEC.items()}
-        t = thresholds(base, spec, exact=self.exact)
+        t = thresholds(base, spec, exact=self.exact, hist=hist, index=index)
         df = attach(base, t)
         c = F.col
         ge, le = (lambda a, b: c(a) >= c(b)), (lambda a, b: c(a) <= c(b))
@@ -377,12 +400,13 @@ class UserFeatures:
             .when(c("churn_risk_flag"), F.lit("churn_risk_user"))
             .otherwise(F.lit("normal_user")),
         )
-        return self._with_retention(df)
+        return self._with_retention(df, hist, index)
 
-    @staticmethod
-    def _with_retention(df: DataFrame) -> DataFrame:
-        df = pct_ranks(df, {"active_days": "_r_active", "max_consecutive_active_days": "_r_streak",
-                            "recent_7d_behavior_cnt": "_r_recent", "inactive_gap_days": "_r_gap"})
+    def _with_retention(self, df: DataFrame, hist: DataFrame | None, index: dict[str, int]) -> DataFrame:
+        if hist is None:
+            df = pct_ranks(df, self.RANKED)
+        else:
+            df = pct_ranks(df, self.RANKED, hist=hist, index=index)
         c = F.col
         score = (F.lit(0.35) * c("_r_active") + F.lit(0.25) * c("_r_streak")
                  + F.lit(0.25) * c("_r_recent") + F.lit(0.15) * (F.lit(1.0) - c("_r_gap"))) * F.lit(100.0)
