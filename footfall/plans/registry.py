@@ -365,3 +365,20 @@ register("scale_item_feature_table",
 register("scale_category_feature_table",
          O.entity_sql("item_category", ENTITIES["item_category"]["columns"], source="lineitem"))(
     _scale_entity("item_category"))
+
+
+# ----- streaming: the cleaning job over arriving files -------------------------
+
+from footfall.streaming import start_clean_stream  # noqa: E402
+
+
+@register("clean_log_stream", X["clean_log"])
+def clean_log_stream(spark, sf_dir):
+    """The raw log written as CSV files into a landing folder, cleaned by the
+    streaming job (available-now trigger) and read back from its sink."""
+    landing = sinks.scratch_path(spark, "landing")
+    sink = sinks.scratch_path(spark, "stream-sink")
+    events_raw(spark, sf_dir).write.mode("overwrite").option("header", True).csv(landing)
+    query = start_clean_stream(spark, landing, sink, checkpoint_location=sinks.scratch_path(spark, "stream-ckpt"))
+    query.awaitTermination()
+    return readers.read_log(spark, sink)
