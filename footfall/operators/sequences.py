@@ -1,11 +1,12 @@
 """Sequence operators: event order, steps to buy, category shifts, as-of
 view-before-buy matching and streaks.
 
-No window here runs over an entity's raw events.  Event order inside one
-(user, hour) is resolved by a window partitioned by (user, hour); order
-across hours by a window over the (user, hour) rollup, whose size per user is
-bounded by the number of hours observed, not by how many events the user
-produced.  The as-of match runs over the (user, item, hour) rollup for the
+No window here runs over an entity's raw events.  Event order is resolved in
+three bounded levels: inside a (user, hour, row-id bucket) of at most
+``BUCKET_ROWS`` events, across the buckets of one hour (a window over the
+bucket rollup), and across the user's hours (a window over the (user, hour)
+rollup, bounded by the hours observed, not by how many events the user
+produced).  The as-of match runs over the (user, item, hour) rollup for the
 same reason.
 """
 
@@ -20,36 +21,68 @@ from footfall.schemas import BUY, CART, FAV, PV
 _UNBOUNDED = Window.unboundedPreceding
 
 
-def within_hour(hourly_log: DataFrame) -> DataFrame:
-    """Per event: 0-based position inside its (user, hour) and the previous
-    event's category inside the same hour (ties in time keep ``row_id``
-    order)."""
-    w = Window.partitionBy("user_id", "timestamp").orderBy("row_id")
-    return hourly_log.select(
-        "row_id", "user_id", "item_id", "item_category", "behavior_type", "timestamp",
-        (F.row_number().over(w) - 1).alias("pos_in_hour"),
-        F.lag("item_category").over(w).alias("prev_cat_in_hour"),
-    )
+# Rows per window partition over raw events: ``row_id`` is unique, so the
+# events of one (user, hour) with ``row_id div BUCKET_ROWS`` equal number at
+# most BUCKET_ROWS, however hot the user or the hour.
+BUCKET_ROWS = 1 << 16
 
 
-def user_hour_rollup(hourly_log: DataFrame) -> DataFrame:
-    """(user, hour) rollup with counts and within-hour sequence statistics.
+def _bucket(bucket_rows: int) -> F.Column:
+    return F.floor(F.col("row_id") / F.lit(bucket_rows)).cast("bigint")
 
-    The window and the aggregate share one exchange on (user, hour).
-    """
+
+def within_bucket(events: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """Per event: 0-based position inside its (user, hour, row-id bucket) and
+    the previous event's category inside the same bucket (ties in time keep
+    ``row_id`` order).  Each window partition holds at most ``bucket_rows``
+    rows."""
+    w = Window.partitionBy("user_id", "timestamp", "bucket").orderBy("row_id")
+    return events.withColumn("bucket", _bucket(bucket_rows)).select(
+        "row_id", "user_id", "item_id", "item_category", "behavior_type", "timestamp", "bucket",
+        (F.row_number().over(w) - 1).alias("pos_in_bucket"),
+        F.lag("item_category").over(w).alias("prev_cat_in_bucket"),
+    )
+
+
+def bucket_rollup(events: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """(user, hour, bucket) rollup with counts and in-bucket sequence
+    statistics, plus the offsets of each bucket inside its hour (a window
+    over the hour's buckets, ordered by bucket)."""
     bt = F.col("behavior_type")
-    return within_hour(hourly_log).groupBy("user_id", "timestamp").agg(
+    rolled = within_bucket(events, bucket_rows).groupBy("user_id", "timestamp", "bucket").agg(
         F.count(F.lit(1)).cast("bigint").alias("n"),
         F.count_if(bt == PV).cast("bigint").alias("pv"),
         F.count_if(bt == FAV).cast("bigint").alias("fav"),
         F.count_if(bt == CART).cast("bigint").alias("cart"),
         F.count_if(bt == BUY).cast("bigint").alias("buy"),
         F.bit_or(bit_flag(bt)).alias("bt_mask"),
-        F.coalesce(F.sum(F.when(bt == BUY, F.col("pos_in_hour"))), F.lit(0)).cast("bigint").alias("buy_pos_in_hour"),
-        F.count_if(F.col("item_category") != F.col("prev_cat_in_hour")).cast("bigint").alias("shifts_in_hour"),
+        F.coalesce(F.sum(F.when(bt == BUY, F.col("pos_in_bucket"))), F.lit(0)).cast("bigint").alias("buy_pos"),
+        F.count_if(F.col("item_category") != F.col("prev_cat_in_bucket")).cast("bigint").alias("shifts"),
         F.min_by("item_category", "row_id").alias("first_cat"),
         F.max_by("item_category", "row_id").alias("last_cat"),
     )
+    w = Window.partitionBy("user_id", "timestamp").orderBy("bucket")
+    return rolled.select(
+        "*",
+        F.coalesce(F.sum("n").over(w.rowsBetween(_UNBOUNDED, -1)), F.lit(0)).cast("bigint").alias("before_in_hour"),
+        F.lag("last_cat").over(w).alias("prev_bucket_last_cat"),
+    )
+
+
+def user_hour_rollup(events: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """(user, hour) rollup with counts and within-hour sequence statistics,
+    assembled from :func:`bucket_rollup` (no window over an unbounded
+    group)."""
+    b = bucket_rollup(events, bucket_rows)
+    return b.groupBy("user_id", "timestamp").agg(
+        *[F.sum(c).cast("bigint").alias(c) for c in ("n", "pv", "fav", "cart", "buy")],
+        F.bit_or("bt_mask").alias("bt_mask"),
+        F.sum(F.col("buy") * F.col("before_in_hour") + F.col("buy_pos")).cast("bigint").alias("buy_pos_in_hour"),
+        (F.sum("shifts") + F.count_if(F.col("first_cat") != F.col("prev_bucket_last_cat")))
+        .cast("bigint").alias("shifts_in_hour"),
+        F.min_by("first_cat", "bucket").alias("first_cat"),
+        F.max_by("last_cat", "bucket").alias("last_cat"),
+    )
 
 
 def across_hours(uh: DataFrame) -> DataFrame:
@@ -84,16 +117,20 @@ def sequence_aggregates(uh_seq: DataFrame) -> list:
     ]
 
 
-def event_order(hourly_log: DataFrame, uh_seq: DataFrame) -> DataFrame:
+def event_order(events: DataFrame, uh_seq: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """1-based position of every event in its user's (time, row_id) order.
 
-    Position = events in earlier hours + position inside the hour; the join
-    is on (user, hour), so no task ever holds a whole user.
+    Position = events in the user's earlier hours + events in earlier
+    buckets of the hour + position inside the bucket; the joins are on
+    (user, hour[, bucket]), so no task ever holds a whole user.
     """
-    inner = within_hour(hourly_log).select("row_id", "user_id", "timestamp", "pos_in_hour")
-    offsets = uh_seq.select("user_id", "timestamp", "events_before")
-    return inner.join(offsets, ["user_id", "timestamp"]).select(
-        "row_id", "user_id", (F.col("events_before") + F.col("pos_in_hour") + 1).cast("bigint").alias("behavior_order"))
+    inner = within_bucket(events, bucket_rows).select("row_id", "user_id", "timestamp", "bucket", "pos_in_bucket")
+    buckets = bucket_rollup(events, bucket_rows).select("user_id", "timestamp", "bucket", "before_in_hour")
+    hours = uh_seq.select("user_id", "timestamp", "events_before")
+    return (inner.join(buckets, ["user_id", "timestamp", "bucket"]).join(hours, ["user_id", "timestamp"])
+            .select("row_id", "user_id",
+                    (F.col("events_before") + F.col("before_in_hour") + F.col("pos_in_bucket") + 1)
+                    .cast("bigint").alias("behavior_order")))
 
 
 def user_item_hour(uict: DataFrame) -> DataFrame:

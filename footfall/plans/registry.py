@@ -263,7 +263,7 @@ def view_buy_pairs(spark, sf_dir):
 @register("event_order", X["event_order"])
 def event_order(spark, sf_dir):
     uf = UserFeatures(feature_log(spark, sf_dir))
-    return S.event_order(uf.events, uf.user_hour)
+    return S.event_order(uf.events, uf.user_hour, uf.bucket_rows)
 
 
 @register("pct_rank_active_days", X["pct_rank_active_days"])

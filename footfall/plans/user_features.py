@@ -117,10 +117,12 @@ class UserFeatures:
     optional checkpoint of the assembled base before thresholds and ranks.
     """
 
-    def __init__(self, log: DataFrame, exact_quantiles: bool = True, checkpoint: bool = True):
+    def __init__(self, log: DataFrame, exact_quantiles: bool = True, checkpoint: bool = True,
+                 bucket_rows: int = S.BUCKET_ROWS):
         self.log = log
         self.exact = exact_quantiles
         self.use_checkpoint = checkpoint
+        self.bucket_rows = bucket_rows
 
     # ----- shared rollups -------------------------------------------------
     def _materialize(self, df: DataFrame) -> DataFrame:
@@ -138,9 +140,9 @@ class UserFeatures:
     @cached_property
     def user_hour(self) -> DataFrame:
         """(user, hour) rollup with within-hour and across-hour sequence
-        columns: one exchange on (user, hour) for the raw events, one on
-        user for the rollup."""
-        return self._materialize(S.across_hours(S.user_hour_rollup(self.events)))
+        columns: one exchange of the raw events on (user, hour, row-id
+        bucket), then exchanges of rollup rows only."""
+        return self._materialize(S.across_hours(S.user_hour_rollup(self.events, self.bucket_rows)))
 
     @cached_property
     def uict(self) -> DataFrame:
