@@ -284,50 +284,77 @@ class UserFeatures:
         return S.asof_aggregates(self.last_view_before_buy)
 
     # ----- assembly ------------------------------------------------------
-    @cached_property
-    def base(self) -> DataFrame:
-        """All per-user columns that need no global statistic (unrounded)."""
-        joined = (self.hour_block
-                  .join(self.day_block, KEY, "left")
-                  .join(self.item_block, KEY, "left")
-                  .join(self.category_block, KEY, "left")
-                  .join(self.category_streak_block, KEY, "left")
-                  .join(self.asof_block, KEY, "left"))
+    # Blocks needed by the families that use no global statistic.
+    FAMILY_BLOCKS = {
+        "user_basic": ("day_block",),
+        "user_depth": ("day_block", "item_block", "category_block"),
+        "user_conversion": (),
+        "user_time_activity": (),
+        "user_time_slots": (),
+        "user_sequence": ("asof_block",),
+    }
+    ALL_BLOCKS = ("day_block", "item_block", "category_block", "category_streak_block", "asof_block")
+
+    @staticmethod
+    def _derived() -> dict[str, tuple[tuple[str, ...], Column]]:
+        """Derived column -> (input columns, expression)."""
         c = F.col
-        n = c("total_behavior_cnt")
-        derived = {
-            "avg_behavior_per_day": safe_ratio(n, "active_days"),
-            "avg_behavior_per_item": safe_ratio(n, "item_diversity"),
-            "avg_behavior_per_category": safe_ratio(n, "category_diversity"),
-            "user_buy_rate": safe_ratio("buy_cnt", n),
-            "user_cart_rate": safe_ratio("cart_cnt", n),
-            "user_fav_rate": safe_ratio("fav_cnt", n),
-            "user_pv_rate": safe_ratio("pv_cnt", n),
-            "user_intent_score": safe_ratio(c("buy_cnt") + c("cart_cnt"), "pv_cnt"),
-            "cart_buy_ratio": safe_ratio("buy_cnt", "cart_cnt"),
-            "fav_buy_ratio": safe_ratio("buy_cnt", "fav_cnt"),
-            "pv_buy_ratio": safe_ratio("buy_cnt", "pv_cnt"),
-            "pv_to_cart_ratio": safe_ratio("cart_cnt", "pv_cnt"),
-            "hesitation_score": safe_ratio("pv_cnt", "buy_cnt"),
-            "user_lifetime_days": day_span("first_behavior_time", "last_behavior_time"),
-            "morning_ratio": safe_ratio("morning_behavior_cnt", n),
-            "evening_ratio": safe_ratio("evening_behavior_cnt", n),
-            "late_night_ratio": safe_ratio("late_night_behavior_cnt", n),
-            "weekend_ratio": safe_ratio("weekend_behavior_cnt", n),
-            "active_1h_slot": c("active_hour_cnt"),
-            "peak_1h_slot": c("peak_active_hour"),
-            "favorite_item_ratio": safe_ratio("top_item_behavior_cnt", n),
-            "top_category_behavior_ratio": safe_ratio("top_category_behavior_cnt", n),
-            "repeat_buy_same_item_flag": flag(c("repeat_buy_item_cnt") > 0),
-            "repurchase_flag": flag(c("repeat_buy_item_cnt") > 0),
-            "purchase_frequency": safe_ratio("buy_cnt", "active_days"),
-            "avg_steps_to_buy": safe_ratio("steps_sum", "buy_cnt"),
-            "avg_buy_interval": F.when(c("buy_cnt") >= 2, hours_between("first_buy_time", "last_buy_time")
-                                       / (c("buy_cnt") - 1).cast("double")),
-            "impulsive_buy_flag": flag(c("impulsive_buy_flag")),
+        n = "total_behavior_cnt"
+
+        def ratio(num, den):
+            return (num, den), safe_ratio(num, den)
+
+        return {
+            "avg_behavior_per_day": ratio(n, "active_days"),
+            "avg_behavior_per_item": ratio(n, "item_diversity"),
+            "avg_behavior_per_category": ratio(n, "category_diversity"),
+            "user_buy_rate": ratio("buy_cnt", n),
+            "user_cart_rate": ratio("cart_cnt", n),
+            "user_fav_rate": ratio("fav_cnt", n),
+            "user_pv_rate": ratio("pv_cnt", n),
+            "user_intent_score": (("buy_cnt", "cart_cnt", "pv_cnt"),
+                                  safe_ratio(c("buy_cnt") + c("cart_cnt"), "pv_cnt")),
+            "cart_buy_ratio": ratio("buy_cnt", "cart_cnt"),
+            "fav_buy_ratio": ratio("buy_cnt", "fav_cnt"),
+            "pv_buy_ratio": ratio("buy_cnt", "pv_cnt"),
+            "pv_to_cart_ratio": ratio("cart_cnt", "pv_cnt"),
+            "hesitation_score": ratio("pv_cnt", "buy_cnt"),
+            "user_lifetime_days": (("first_behavior_time", "last_behavior_time"),
+                                   day_span("first_behavior_time", "last_behavior_time")),
+            "morning_ratio": ratio("morning_behavior_cnt", n),
+            "evening_ratio": ratio("evening_behavior_cnt", n),
+            "late_night_ratio": ratio("late_night_behavior_cnt", n),
+            "weekend_ratio": ratio("weekend_behavior_cnt", n),
+            "active_1h_slot": (("active_hour_cnt",), c("active_hour_cnt")),
+            "peak_1h_slot": (("peak_active_hour",), c("peak_active_hour")),
+            "favorite_item_ratio": ratio("top_item_behavior_cnt", n),
+            "top_category_behavior_ratio": ratio("top_category_behavior_cnt", n),
+            "repeat_buy_same_item_flag": (("repeat_buy_item_cnt",), flag(c("repeat_buy_item_cnt") > 0)),
+            "repurchase_flag": (("repeat_buy_item_cnt",), flag(c("repeat_buy_item_cnt") > 0)),
+            "purchase_frequency": ratio("buy_cnt", "active_days"),
+            "avg_steps_to_buy": ratio("steps_sum", "buy_cnt"),
+            "avg_buy_interval": (("buy_cnt", "first_buy_time", "last_buy_time"),
+                                 F.when(c("buy_cnt") >= 2, hours_between("first_buy_time", "last_buy_time")
+                                        / (c("buy_cnt") - 1).cast("double"))),
+            "impulsive_buy_flag": (("impulsive_buy_flag",), flag(c("impulsive_buy_flag"))),
         }
+
+    def assemble(self, blocks: tuple[str, ...]) -> DataFrame:
+        """``hour_block`` left-joined with the named blocks on ``user_id``
+        (every block is one row per user), plus the derived columns whose
+        inputs are present."""
+        joined = self.hour_block
+        for b in blocks:
+            joined = joined.join(getattr(self, b), KEY, "left")
+        present = set(joined.columns)
+        derived = {name: expr for name, (inputs, expr) in self._derived().items() if set(inputs) <= present}
         return joined.withColumns(derived)
 
+    @cached_property
+    def base(self) -> DataFrame:
+        """All per-user columns that need no global statistic (unrounded)."""
+        return self.assemble(self.ALL_BLOCKS)
+
     def materialized_base(self) -> DataFrame:
         """The base, written to the shared checkpoint directory when enabled:
         thresholds, ranks and the final projection then read it instead of
@@ -417,8 +444,9 @@ class UserFeatures:
     # ----- outputs -------------------------------------------------------
     def family(self, name: str) -> DataFrame:
         cols = [KEY] + FAMILIES[name]
-        source = self.flagged if name in _GLOBAL_FAMILIES else self.base
-        return finish(source, cols)
+        if name in _GLOBAL_FAMILIES:
+            return finish(self.flagged, cols)
+        return finish(self.assemble(self.FAMILY_BLOCKS[name]), cols)
 
     def table(self) -> DataFrame:
         return finish(self.flagged, USER_ORDER + USER_APPENDED)
