@@ -27,15 +27,11 @@ def enrich(log: DataFrame) -> DataFrame:
     })
 
 
-def behavior_counts(code: str | Column = "behavior_type", weight: str | Column | None = None) -> list[Column]:
-    """Aggregates ``n, pv, fav, cart, buy`` (weighted sums when ``weight`` is a
-    count column of a finer rollup)."""
+def behavior_counts(code: str | Column = "behavior_type") -> list[Column]:
+    """Aggregates ``n, pv, fav, cart, buy`` over raw events."""
     c = F.col(code) if isinstance(code, str) else code
-    if weight is None:
-        n = F.count(F.lit(1))
-        per = {name: F.count_if(c == v) for name, v in (("pv", PV), ("fav", FAV), ("cart", CART), ("buy", BUY))}
-        return [n.cast("bigint").alias("n")] + [e.cast("bigint").alias(k) for k, e in per.items()]
-    raise ValueError("use sum_counts for weighted rollups")
+    per = {name: F.count_if(c == v) for name, v in (("pv", PV), ("fav", FAV), ("cart", CART), ("buy", BUY))}
+    return [F.count(F.lit(1)).cast("bigint").alias("n")] + [e.cast("bigint").alias(k) for k, e in per.items()]
 
 
 def sum_counts(names: tuple[str, ...] = ("n", "pv", "fav", "cart", "buy")) -> list[Column]:

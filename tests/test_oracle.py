@@ -14,7 +14,8 @@ from tests.oracle_check import check
 SUBSET = [
     "clean_log", "cleaning_report", "overview", "duplicate_rows", "user_feature_table", "item_feature_table",
     "category_feature_table", "event_order", "last_view_before_buy", "view_buy_pairs", "top_category_per_day",
-    "pct_rank_active_days", "quality_user", "reconcile_all_items", "scale_user_basic",
+    "pct_rank_active_days", "quality_user", "reconcile_all_items", "scale_user_basic", "clean_log_stream",
+    "user_basic", "user_sequence", "describe_numeric", "top_null_columns",
 ]
 
 FULL = os.environ.get("FOOTFALL_FULL_ORACLE") == "1"
