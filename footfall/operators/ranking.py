@@ -66,11 +66,24 @@ def ranked_histogram(df: DataFrame, metrics: list[Column]) -> DataFrame:
     )
 
 
+def checked_broadcast(small: DataFrame, max_rows: int) -> DataFrame:
+    """``small`` with a broadcast hint when its row count is at most
+    ``max_rows`` (one count; call it on a materialized frame).  Beyond the
+    limit the frame is returned as is and the join stays a sort-merge join,
+    where adaptive execution splits skewed partitions."""
+    return F.broadcast(small) if small.count() <= max_rows else small
+
+
 def pct_ranks(df: DataFrame, columns: dict[str, str], hist: DataFrame | None = None,
-              index: dict[str, int] | None = None) -> DataFrame:
+              index: dict[str, int] | None = None, broadcast_rows: int | None = None) -> DataFrame:
     """:func:`pct_rank` for several columns from one :func:`ranked_histogram`
     (built here, or passed in with the metric index of every column), joined
-    back once per column.  The histogram's exchange is shared by the joins."""
+    back once per column.  The histogram's exchange is shared by the joins.
+
+    The join is on the value, and a common value (say one active day) can
+    hold a large share of all rows, so the per-metric rank table is
+    broadcast when ``broadcast_rows`` is given and the materialized histogram
+    is within it (:func:`checked_broadcast`)."""
     names = list(columns)
     if hist is None:
         hist = ranked_histogram(df, [F.col(c) for c in names])
@@ -80,6 +93,8 @@ def pct_ranks(df: DataFrame, columns: dict[str, str], hist: DataFrame | None = N
         ((F.col("_less").cast("double") + (F.col("_ties").cast("double") + F.lit(1.0)) / F.lit(2.0))
          / F.col("_total").cast("double")).alias("_pct"),
     )
+    if broadcast_rows is not None:
+        ranks = checked_broadcast(ranks, broadcast_rows)
     out = df
     for c in names:
         i = index[c]

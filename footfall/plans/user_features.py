@@ -364,6 +364,10 @@ class UserFeatures:
             return self.base.checkpoint(eager=True)
         return self.base
 
+    # Largest rank table (distinct values of the four ranked columns) that is
+    # broadcast; at ~40 bytes a row this is under 100 MB.
+    RANK_BROADCAST_ROWS = 2_000_000
+
     # The columns ranked for the retention score.
     RANKED = {"active_days": "_r_active", "max_consecutive_active_days": "_r_streak",
               "recent_7d_behavior_cnt": "_r_recent", "inactive_gap_days": "_r_gap"}
@@ -390,7 +394,11 @@ class UserFeatures:
         thresholds and the four percentile ranks."""
         base = self.materialized_base()
         metrics, index = self._metrics()
-        hist = ranked_histogram(base, metrics) if self.exact else None
+        hist = None
+        if self.exact:
+            # One row per metric and distinct value; materialized because the
+            # thresholds, the size check and the four rank joins all read it.
+            hist = self._materialize(ranked_histogram(base, metrics))
         spec = {name: (F.expr(expr), p) for name, (expr, p) in THRESHOLD_SPEC.items()}
         t = thresholds(base, spec, exact=self.exact, hist=hist, index=index)
         df = attach(base, t)
@@ -432,10 +440,11 @@ class UserFeatures:
         return self._with_retention(df, hist, index)
 
     def _with_retention(self, df: DataFrame, hist: DataFrame | None, index: dict[str, int]) -> DataFrame:
+        limit = self.RANK_BROADCAST_ROWS if self.use_checkpoint else None
         if hist is None:
             df = pct_ranks(df, self.RANKED)
         else:
-            df = pct_ranks(df, self.RANKED, hist=hist, index=index)
+            df = pct_ranks(df, self.RANKED, hist=hist, index=index, broadcast_rows=limit)
         c = F.col
         score = (F.lit(0.35) * c("_r_active") + F.lit(0.25) * c("_r_streak")
                  + F.lit(0.25) * c("_r_recent") + F.lit(0.15) * (F.lit(1.0) - c("_r_gap"))) * F.lit(100.0)
