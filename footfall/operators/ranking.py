@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from footfall.functions import top_key
@@ -44,26 +44,51 @@ def pct_rank(df: DataFrame, column: str, out: str) -> DataFrame:
     return df.join(ranks, on=column, how="left")
 
 
-def ranked_histogram(df: DataFrame, metrics: list[Column]) -> DataFrame:
+# Coarse value buckets per octave of |v| + 1 (see ranked_histogram).
+BUCKETS_PER_OCTAVE = 1024
+
+
+def _coarse(v: Column, per_octave: int) -> Column:
+    """A monotone (non-decreasing) integer bucket of any real value: each
+    octave of ``|v| + 1`` is cut into ``per_octave`` parts, negative values
+    map below zero."""
+    b = F.lit(float(per_octave))
+    return (F.when(v >= 0, F.floor(F.log2(v + F.lit(1.0)) * b))
+            .otherwise(-F.floor(F.log2(F.lit(1.0) - v) * b) - F.lit(1))).cast("bigint")
+
+
+def ranked_histogram(df: DataFrame, metrics: list[Column], per_octave: int = BUCKETS_PER_OCTAVE) -> DataFrame:
     """(``_m``, ``_v``, ``_ties``, ``_less``, ``_total``) per metric index and
     distinct non-null value: how many rows hold the value, how many hold a
     smaller one, and how many non-null rows the metric has.
 
     The metrics are unpivoted and counted per distinct value (partial
-    aggregation); the running count is a window per metric over its distinct
-    values, so no task ever holds more than one metric's distinct values, and
-    the window spills to disk instead of holding a value map in memory.
+    aggregation).  The running count is split in two levels so that no task
+    holds all distinct values of a metric: inside a coarse, monotone value
+    bucket (a window per (metric, bucket)), plus the count of all smaller
+    buckets (a window per metric over its buckets, at most ``per_octave``
+    per octave of the value range).
     """
     pairs = F.array(*[F.struct(F.lit(i).alias("_m"), m.cast("double").alias("_v")) for i, m in enumerate(metrics)])
     hist = (df.select(F.inline(pairs)).where(F.col("_v").isNotNull())
-            .groupBy("_m", "_v").agg(F.count(F.lit(1)).cast("bigint").alias("_ties")))
-    ordered = Window.partitionBy("_m").orderBy("_v")
-    return hist.select(
-        "_m", "_v", "_ties",
-        F.coalesce(F.sum("_ties").over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        .cast("bigint").alias("_less"),
-        F.sum("_ties").over(Window.partitionBy("_m")).cast("bigint").alias("_total"),
+            .groupBy("_m", "_v").agg(F.count(F.lit(1)).cast("bigint").alias("_ties"))
+            .withColumn("_c", _coarse(F.col("_v"), per_octave)))
+    inner = Window.partitionBy("_m", "_c").orderBy("_v")
+    within = hist.select(
+        "_m", "_c", "_v", "_ties",
+        F.coalesce(F.sum("_ties").over(inner.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        .cast("bigint").alias("_less_in"),
+    )
+    buckets = hist.groupBy("_m", "_c").agg(F.sum("_ties").cast("bigint").alias("_bucket_n"))
+    outer = Window.partitionBy("_m").orderBy("_c")
+    offsets = buckets.select(
+        "_m", "_c",
+        F.coalesce(F.sum("_bucket_n").over(outer.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        .cast("bigint").alias("_offset"),
+        F.sum("_bucket_n").over(Window.partitionBy("_m")).cast("bigint").alias("_total"),
     )
+    return within.join(offsets, ["_m", "_c"]).select(
+        "_m", "_v", "_ties", (F.col("_offset") + F.col("_less_in")).alias("_less"), "_total")
 
 
 def checked_broadcast(small: DataFrame, max_rows: int) -> DataFrame:

@@ -18,7 +18,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def events_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``events`` table rewritten as a raw behaviour log (all text)."""
-    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
+    from footfall.sources.readers import spread_narrow_scan
+
+    ev = spread_narrow_scan(
+        table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props"))
     # ``props`` is ``{"k": N}``: take the text after ': ' up to '}' (cheap
     # string functions; the cleaning filter is pushed below this projection,
     # so every reference to ``k`` is evaluated again there).

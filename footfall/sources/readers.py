@@ -8,6 +8,18 @@ from pyspark.sql import functions as F
 from footfall.schemas import LOG, RAW_COLUMNS
 
 
+def spread_narrow_scan(df: DataFrame) -> DataFrame:
+    """Round-robin the rows over the cluster's cores when the scan yields
+    fewer partitions than there are cores (one big non-splittable file, e.g.
+    gzip CSV or a single row group), so the per-row parsing and cleaning that
+    follows runs in parallel.  A scan with enough splits is returned as is:
+    no extra shuffle on large inputs."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def read_raw(spark: SparkSession, path: str, row_id_column: str | None = None) -> DataFrame:
     """Read a raw behaviour CSV with a header; every column is read as text.
 
@@ -25,7 +37,8 @@ def read_raw(spark: SparkSession, path: str, row_id_column: str | None = None) -
         row_id = F.col(row_id_column).cast("bigint")
     else:
         row_id = F.monotonically_increasing_id()
-    return df.select(row_id.alias("row_id"), *[F.col(c).cast("string") for c in RAW_COLUMNS])
+    # row_id is taken before any repartitioning, so it keeps the file order.
+    return spread_narrow_scan(df.select(row_id.alias("row_id"), *[F.col(c).cast("string") for c in RAW_COLUMNS]))
 
 
 def read_log(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
