@@ -139,7 +139,7 @@ def parquet_roundtrip(spark, sf_dir):
 @register("publish_and_count", X["publish_and_count"])
 def publish_and_count(spark, sf_dir):
     """Create the database, replace the table with the clean log, count it."""
-    sinks.ensure_database(spark, "footfall")
+    sinks.ensure_database(spark, "footfall", location=sinks.scratch_path(spark, "database"))
     name = sinks.publish_table(events_log(spark, sf_dir), "user_behavior", database="footfall",
                                path=sinks.scratch_path(spark, "table"))
     return sinks.verify_published(spark, name)

@@ -48,10 +48,14 @@ def write_features(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def ensure_database(spark: SparkSession, name: str) -> DataFrame:
-    """Create the target database when missing; returns the catalog row."""
+def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> DataFrame:
+    """Create the target database when missing (optionally at ``location``);
+    returns the catalog row."""
     db = _identifier(name)
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+    where = f" LOCATION '{location}'" if location else ""
+    if location and "'" in location:
+        raise ValueError("location must not contain quotes")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}{where}")
     return spark.sql(f"SHOW DATABASES LIKE '{db}'")
 
 

@@ -61,3 +61,16 @@ def test_log_scan_prunes_columns(spark):
     joined = " ".join(schemas)
     for unused in ("l_extendedprice", "l_discount", "l_tax", "l_quantity", "o_totalprice", "o_comment"):
         assert unused not in joined
+
+
+def test_rollup_exchange_counts_are_bounded(uf):
+    """(user, hour) rollup: one exchange of raw events plus two of rollup
+    rows; (user, item, category, hour) rollup: one exchange."""
+    def exchanges(df):
+        return len(re.findall(r"Exchange (hashpartitioning|SinglePartition|RoundRobin|rangepartitioning)",
+                              _plan(df)))
+
+    raw_scan_free = uf.log.select("row_id")
+    base = exchanges(raw_scan_free)
+    assert exchanges(uf.user_hour) - base <= 3
+    assert exchanges(uf.uict) - base <= 1
