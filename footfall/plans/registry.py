@@ -13,6 +13,7 @@ from footfall.plans import oracle_sql as O
 from footfall.plans.entity_features import ENTITIES, FAMILY_COLUMNS, EntityFeatures
 from footfall.plans.user_features import FAMILIES, UserFeatures
 from footfall.schemas import USER_COLUMNS
+from footfall.session import reliable_checkpoint
 from footfall.sources.adapters import events_raw
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,7 +41,7 @@ def materialized_log(log: DataFrame) -> DataFrame:
     the cleaning job's output feeds the feature jobs: every branch of a
     feature table then scans the written log instead of re-running the
     cleaning."""
-    return log.checkpoint(eager=True)
+    return reliable_checkpoint(log)
 
 
 def feature_log(spark: SparkSession, sf_dir: str) -> DataFrame:

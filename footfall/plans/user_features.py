@@ -31,6 +31,7 @@ from footfall.operators import sequences as S
 from footfall.operators.ranking import pct_ranks, ranked_histogram
 from footfall.operators.thresholds import attach, thresholds
 from footfall.schemas import HOUR_BANDS, USER_APPENDED, USER_ORDER
+from footfall.session import reliable_checkpoint
 
 KEY = "user_id"
 
@@ -131,7 +132,7 @@ class UserFeatures:
         the log (column pruning would otherwise give each block its own scan
         and shuffle), and a lost executor does not send the job back to the
         log."""
-        return df.checkpoint(eager=True) if self.use_checkpoint else df
+        return reliable_checkpoint(df) if self.use_checkpoint else df
 
     @cached_property
     def events(self) -> DataFrame:
@@ -361,7 +362,7 @@ class UserFeatures:
         recomputing every rollup, and a lost executor does not send the job
         back to the raw log."""
         if self.use_checkpoint:
-            return self.base.checkpoint(eager=True)
+            return reliable_checkpoint(self.base)
         return self.base
 
     # Largest rank table (distinct values of the four ranked columns) that is

@@ -58,3 +58,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", configured)
     spark.sparkContext.setCheckpointDir(configured)
     return configured
+
+
+def reliable_checkpoint(df):
+    """``df`` written once as a Parquet table below the session's shared
+    ``spark.checkpoint.dir`` and read back: the lineage is cut (a lost
+    executor does not send the job back to the log), the data is computed by
+    a single job (an RDD checkpoint would compute the last stage twice), and
+    later readers get column pruning and real size statistics for the
+    adaptive planner."""
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/footfall-stage-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
