@@ -63,7 +63,7 @@ def test_duplicated_users_keep_their_values(spark):
 
 def test_injected_fault_is_found(spark):
     log = events_log(spark, SF_SMALL)
-    users = UserFeatures(log, checkpoint=False).table()
+    users = UserFeatures(log).table()
     victim = users.agg(F.min("user_id")).first()[0]
     broken = users.withColumn("pv_cnt", F.when(F.col("user_id") == victim, F.col("pv_cnt") + 1)
                               .otherwise(F.col("pv_cnt")))
