@@ -32,30 +32,29 @@ class Check:
     severity: str = "error"
 
 
-def _passed(rule: str, s: Column, f: Column) -> Column:
-    if rule == "equal":
-        return F.coalesce(s == f, F.lit(False))
-    if rule == "zero":
-        return F.coalesce(f == 0, F.lit(False))
-    if rule == "unit":
-        return F.coalesce((f >= 0) & (f <= 1), F.lit(True))
-    return F.lit(True)
-
-
 def quality_report(log: DataFrame, features: DataFrame, table: str, checks: list[Check]) -> DataFrame:
     f_row = features.agg(*[c.feature.cast("double").alias(f"f{i}") for i, c in enumerate(checks)])
     src = {i: c.source for i, c in enumerate(checks) if c.source is not None}
     one = f_row.crossJoin(log.agg(*[s.cast("double").alias(f"s{i}") for i, s in src.items()])) if src else f_row
-    rows = []
+    # One ``stack`` expression unpivots the single row into one row per check.
+    parts = []
     for i, c in enumerate(checks):
-        s = F.col(f"s{i}") if i in src else F.lit(None).cast("double")
-        f = F.col(f"f{i}")
-        rows.append(F.struct(
-            F.lit(table).alias("table"), F.lit(c.check_id).alias("check_id"), F.lit(c.metric).alias("metric"),
-            s.alias("source_value"), f.alias("feature_value"), (s - f).alias("diff"),
-            _passed(c.rule, s, f).alias("passed"), F.lit(c.severity).alias("severity"),
-        ))
-    out = one.select(F.inline(F.array(*rows)))
+        for text in (c.check_id, c.metric, c.rule, c.severity):
+            if "'" in text:
+                raise ValueError(f"quote in check text: {text!r}")
+        s = f"s{i}" if i in src else "CAST(NULL AS DOUBLE)"
+        parts.append(f"'{c.check_id}', '{c.metric}', {s}, f{i}, '{c.rule}', '{c.severity}'")
+    stacked = one.select(F.expr(
+        f"stack({len(checks)}, {', '.join(parts)}) AS (check_id, metric, source_value, feature_value, rule, severity)"))
+    s, f, rule = F.col("source_value"), F.col("feature_value"), F.col("rule")
+    passed = (F.when(rule == "equal", F.coalesce(s == f, F.lit(False)))
+              .when(rule == "zero", F.coalesce(f == 0, F.lit(False)))
+              .when(rule == "unit", F.coalesce((f >= 0) & (f <= 1), F.lit(True)))
+              .otherwise(F.lit(True)))
+    out = stacked.select(
+        F.lit(table).alias("table"), "check_id", "metric", "source_value", "feature_value",
+        (s - f).alias("diff"), passed.alias("passed"), "severity",
+    )
     # Null counts are listed only for columns that have nulls.
     return out.where(~(F.col("metric").startswith("null_count:") & (F.col("feature_value") == 0)))
 

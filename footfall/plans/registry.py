@@ -278,14 +278,17 @@ def pct_rank_active_days(spark, sf_dir):
 from footfall.operators import quality as Q  # noqa: E402
 
 
+# The quality job reads the written feature tables, as the reconciliation of
+# the reference reads the tables its feature jobs wrote.
+
 def _user_table_and_log(spark, sf_dir):
     log = feature_log(spark, sf_dir)
-    return log, UserFeatures(log).table()
+    return log, reliable_checkpoint(UserFeatures(log).table())
 
 
 def _entity_table_and_log(spark, sf_dir, key):
     log = feature_log(spark, sf_dir)
-    return log, EntityFeatures(log, key).table()
+    return log, reliable_checkpoint(EntityFeatures(log, key).table())
 
 
 @register("quality_user", O.quality_user_sql())
