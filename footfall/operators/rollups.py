@@ -50,18 +50,18 @@ def user_item_category_hour(events: DataFrame) -> DataFrame:
     return events.groupBy("user_id", "item_id", "item_category", "timestamp").agg(*behavior_counts())
 
 
-def hour_of_day_counts(hour: Column, n: Column) -> list[Column]:
-    """24 aggregates ``h0..h23``: events per hour of day."""
-    return [F.sum(F.when(hour == h, n).otherwise(F.lit(0))).cast("bigint").alias(f"h{h}") for h in range(24)]
-
-
-def argmax_first(values: list[Column]) -> Column:
-    """Index of the largest value, the smallest index on ties."""
-    top = F.greatest(*values)
-    out = None
-    for i, v in enumerate(values):
-        out = F.when(v == top, F.lit(i)) if out is None else out.when(v == top, F.lit(i))
-    return out
+def hour_of_day_counts(hour: str, n: str) -> list[Column]:
+    """24 aggregates ``h0..h23``: events per hour of day (``hour`` and ``n``
+    are SQL expressions)."""
+    return [F.expr(f"CAST(sum(CASE WHEN {hour} = {h} THEN {n} ELSE 0 END) AS BIGINT) AS h{h}") for h in range(24)]
+
+
+def argmax_first(values: list[str]) -> Column:
+    """Index of the largest of the SQL expressions ``values``, the smallest
+    index on ties."""
+    top = f"greatest({', '.join(values)})"
+    cases = " ".join(f"WHEN {v} = {top} THEN {i}" for i, v in enumerate(values))
+    return F.expr(f"CASE {cases} END")
 
 
 def distinct_small(values: Column) -> Column:

@@ -18,22 +18,22 @@ def quantiles_from_histogram(hist: DataFrame, spec: dict[str, tuple[int, float]]
     histogram finds both order statistics of every quantile; the result is a
     single row.
     """
+    # Written as SQL text: one expression object per aggregate instead of
+    # dozens of small column calls (plan construction cost).
     aggs = []
     for name, (m, p) in spec.items():
-        pos = (F.col("_total") - F.lit(1)).cast("double") * F.lit(float(p))
-        mine = F.col("_m") == m
-        for side, idx in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
-            hit = mine & (F.col("_less") <= idx) & (idx < F.col("_less") + F.col("_ties"))
-            aggs.append(F.max(F.when(hit, F.col("_v"))).alias(f"{name}__{side}"))
-        aggs.append(F.max(F.when(mine, pos)).alias(f"{name}__pos"))
+        pos = f"(CAST(_total - 1 AS DOUBLE) * {float(p)!r}D)"
+        for side, idx in (("lo", f"FLOOR({pos})"), ("hi", f"CEIL({pos})")):
+            aggs.append(F.expr(f"max(CASE WHEN _m = {int(m)} AND _less <= {idx} AND {idx} < _less + _ties "
+                               f"THEN _v END) AS `{name}__{side}`"))
+        aggs.append(F.expr(f"max(CASE WHEN _m = {int(m)} THEN {pos} END) AS `{name}__pos`"))
     one = hist.agg(*aggs)
     out = []
     for name in spec:
-        lo, hi, pos = F.col(f"{name}__lo"), F.col(f"{name}__hi"), F.col(f"{name}__pos")
-        lower, higher = F.floor(pos), F.ceil(pos)
-        value = F.when(lower == higher, lo).otherwise((higher - pos) * lo + (pos - lower) * hi)
-        out.append(value.alias(name))
-    return one.select(*out)
+        lo, hi, pos = f"`{name}__lo`", f"`{name}__hi`", f"`{name}__pos`"
+        out.append(f"CASE WHEN FLOOR({pos}) = CEIL({pos}) THEN {lo} "
+                   f"ELSE (CEIL({pos}) - {pos}) * {lo} + ({pos} - FLOOR({pos})) * {hi} END AS `{name}`")
+    return one.selectExpr(*out)
 
 
 def thresholds(df: DataFrame, spec: dict[str, tuple[Column, float]], exact: bool = True,

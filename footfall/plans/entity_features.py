@@ -79,11 +79,11 @@ class EntityFeatures:
             F.sum(F.when(F.weekday("timestamp") >= 5, F.col("n")).otherwise(F.lit(0))).cast("bigint")
             .alias("weekend_behavior_cnt"),
             F.sum(F.when(hour < 6, F.col("n")).otherwise(F.lit(0))).cast("bigint").alias("late_night_behavior_cnt"),
-            *R.hour_of_day_counts(hour, F.col("n")),
+            *R.hour_of_day_counts("hour(`timestamp`)", "n"),
         )
         return b.select(
             self.key, "first_behavior_time", "last_behavior_time", "weekend_behavior_cnt",
-            "late_night_behavior_cnt", R.argmax_first([F.col(f"h{h}") for h in range(24)]).alias("peak_active_hour"),
+            "late_night_behavior_cnt", R.argmax_first([f"h{h}" for h in range(24)]).alias("peak_active_hour"),
         )
 
     @cached_property
@@ -134,10 +134,9 @@ class EntityFeatures:
         return df.withColumns(derived)
 
     def _finish(self, columns: list[str]) -> DataFrame:
-        types = dict(self.base.dtypes)
-        return self.base.select(*[
-            round_half_even(F.col(c), 4).alias(c) if types[c] == "double" else F.col(c) for c in columns
-        ])
+        from footfall.plans.user_features import finish
+
+        return finish(self.base, columns)
 
     def family_columns(self, family: str) -> list[str]:
         allowed = set(self.spec["columns"])

@@ -103,11 +103,12 @@ _GLOBAL_FAMILIES = {"user_item_preference", "user_category_preference", "user_he
 
 
 def finish(df: DataFrame, columns: list[str], digits: int = 4) -> DataFrame:
-    """Final projection: column order, DOUBLE columns rounded half-to-even."""
+    """Final projection: column order, DOUBLE columns rounded half-to-even
+    (``rint(x * 10^d) / 10^d``), as one SQL projection."""
     types = dict(df.dtypes)
-    return df.select(*[
-        round_half_even(F.col(c), digits).alias(c) if types[c] == "double" else F.col(c)
-        for c in columns
+    scale = f"{float(10 ** digits)!r}D"
+    return df.selectExpr(*[
+        f"rint(`{c}` * {scale}) / {scale} AS `{c}`" if types[c] == "double" else f"`{c}`" for c in columns
     ])
 
 
@@ -193,12 +194,13 @@ class UserFeatures:
             .alias("weekend_behavior_cnt"),
             F.min(F.when(F.col("buy") > 0, F.col("timestamp"))).alias("first_buy_time"),
             F.max(F.when(F.col("buy") > 0, F.col("timestamp"))).alias("last_buy_time"),
-            *R.hour_of_day_counts(hour, F.col("n")),
+            *R.hour_of_day_counts("hour(`timestamp`)", "n"),
             *S.sequence_aggregates(uh),
         ]
         b = uh.groupBy(KEY).agg(*aggs)
-        hours = [F.col(f"h{h}") for h in range(24)]
-        bands = {name: sum(hours[start:end], F.lit(0)).cast("bigint") for name, start, end in HOUR_BANDS}
+        hours = [f"h{h}" for h in range(24)]
+        bands = {name: F.expr(f"CAST({' + '.join(hours[start:end])} AS BIGINT)") for name, start, end in HOUR_BANDS}
+        band_sql = {name: f"({' + '.join(hours[start:end])})" for name, start, end in HOUR_BANDS}
         return b.select(
             KEY, "total_behavior_cnt", "pv_cnt", "fav_cnt", "cart_cnt", "buy_cnt", "behavior_type_cnt",
             "first_behavior_time", "last_behavior_time", "active_hour_cnt",
@@ -207,7 +209,7 @@ class UserFeatures:
             (F.col("total_behavior_cnt") - F.col("weekend_behavior_cnt")).alias("weekday_behavior_cnt"),
             R.argmax_first(hours).alias("peak_active_hour"),
             *[e.alias(name) for name, e in bands.items()],
-            R.argmax_first([bands[name] for name, _, _ in HOUR_BANDS]).alias("peak_6h_slot"),
+            R.argmax_first([band_sql[name] for name, _, _ in HOUR_BANDS]).alias("peak_6h_slot"),
             "steps_sum", "category_shift_cnt", "view_before_first_buy_cnt",
             "first_buy_time", "last_buy_time",
         )
