@@ -405,41 +405,35 @@ class UserFeatures:
         spec = {name: (F.expr(expr), p) for name, (expr, p) in THRESHOLD_SPEC.items()}
         t = thresholds(base, spec, exact=self.exact, hist=hist, index=index)
         df = attach(base, t)
-        c = F.col
-        ge, le = (lambda a, b: c(a) >= c(b)), (lambda a, b: c(a) <= c(b))
-        cart_fav = c("cart_cnt") + c("fav_cnt")
-        potential = flag((cart_fav >= c("q75_cart_fav_cnt")) & le("buy_cnt", "median_buy_cnt"))
-        flags = {
-            "single_item_dependency_flag": flag(ge("favorite_item_ratio", "q75_favorite_item_ratio")),
-            "cross_category_user_flag": flag(ge("category_diversity", "q75_category_diversity")),
-            "long_cart_no_buy_flag": flag(ge("cart_cnt", "q75_cart_cnt") & (c("buy_cnt") == 0)),
-            "cross_category_transition_flag": flag(ge("category_shift_cnt", "q75_category_shift_cnt")),
-            "active_streak_flag": flag(ge("max_consecutive_active_days", "q75_max_consecutive_active_days")),
-            "active_user_flag": flag(ge("active_days", "q75_active_days")),
-            "high_value_user_flag": flag(ge("buy_cnt", "q75_buy_cnt")),
+        # The flag rules (column >= / <= threshold), as SQL;
+        # a comparison with an undefined value is False.
+        potential = "cart_cnt + fav_cnt >= q75_cart_fav_cnt AND buy_cnt <= median_buy_cnt"
+        rules = {
+            "single_item_dependency_flag": "favorite_item_ratio >= q75_favorite_item_ratio",
+            "cross_category_user_flag": "category_diversity >= q75_category_diversity",
+            "long_cart_no_buy_flag": "cart_cnt >= q75_cart_cnt AND buy_cnt = 0",
+            "cross_category_transition_flag": "category_shift_cnt >= q75_category_shift_cnt",
+            "active_streak_flag": "max_consecutive_active_days >= q75_max_consecutive_active_days",
+            "active_user_flag": "active_days >= q75_active_days",
+            "high_value_user_flag": "buy_cnt >= q75_buy_cnt",
             "potential_user_flag": potential,
-            "loyal_user_flag": flag(ge("buy_cnt", "q75_buy_cnt") & ge("active_days", "q75_active_days")),
-            "high_conversion_user_flag": flag(ge("pv_buy_ratio", "q75_pv_buy_ratio")),
+            "loyal_user_flag": "buy_cnt >= q75_buy_cnt AND active_days >= q75_active_days",
+            "high_conversion_user_flag": "pv_buy_ratio >= q75_pv_buy_ratio",
             "intent_user_flag": potential,
-            "low_conversion_flag": flag(ge("pv_cnt", "q75_pv_cnt") & le("pv_buy_ratio", "median_pv_buy_ratio")),
-            "high_pv_low_buy_flag": flag(ge("pv_cnt", "q75_pv_cnt") & le("buy_cnt", "median_buy_cnt")),
-            "high_fav_low_buy_flag": flag(ge("fav_cnt", "q75_fav_cnt") & le("buy_cnt", "median_buy_cnt")),
-            "new_user_flag": flag(le("user_lifetime_days", "q25_user_lifetime_days")),
-            "mature_user_flag": flag(ge("user_lifetime_days", "q75_user_lifetime_days")
-                                     & ge("active_days", "q75_active_days")),
-            "silent_user_flag": flag(ge("inactive_gap_days", "q75_inactive_gap_days")),
-            "churn_risk_flag": flag(le("recent_7d_behavior_cnt", "q25_recent_7d_behavior_cnt")
-                                    & ge("inactive_gap_days", "q75_inactive_gap_days")),
+            "low_conversion_flag": "pv_cnt >= q75_pv_cnt AND pv_buy_ratio <= median_pv_buy_ratio",
+            "high_pv_low_buy_flag": "pv_cnt >= q75_pv_cnt AND buy_cnt <= median_buy_cnt",
+            "high_fav_low_buy_flag": "fav_cnt >= q75_fav_cnt AND buy_cnt <= median_buy_cnt",
+            "new_user_flag": "user_lifetime_days <= q25_user_lifetime_days",
+            "mature_user_flag": "user_lifetime_days >= q75_user_lifetime_days AND active_days >= q75_active_days",
+            "silent_user_flag": "inactive_gap_days >= q75_inactive_gap_days",
+            "churn_risk_flag": ("recent_7d_behavior_cnt <= q25_recent_7d_behavior_cnt"
+                                " AND inactive_gap_days >= q75_inactive_gap_days"),
         }
-        df = df.withColumns(flags)
-        df = df.withColumn(
-            "user_maturity_stage",
-            F.when(c("new_user_flag"), F.lit("new_user"))
-            .when(c("mature_user_flag"), F.lit("mature_user"))
-            .when(c("silent_user_flag"), F.lit("silent_user"))
-            .when(c("churn_risk_flag"), F.lit("churn_risk_user"))
-            .otherwise(F.lit("normal_user")),
-        )
+        df = df.withColumns({name: F.expr(f"coalesce({rule}, false)") for name, rule in rules.items()})
+        df = df.withColumn("user_maturity_stage", F.expr(
+            "CASE WHEN new_user_flag THEN 'new_user' WHEN mature_user_flag THEN 'mature_user' "
+            "WHEN silent_user_flag THEN 'silent_user' WHEN churn_risk_flag THEN 'churn_risk_user' "
+            "ELSE 'normal_user' END"))
         return self._with_retention(df, hist, index)
 
     def _with_retention(self, df: DataFrame, hist: DataFrame | None, index: dict[str, int]) -> DataFrame:
