@@ -3,10 +3,13 @@ production parameters to its whole table and derives the digest columns."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import simhash_dedup
+from footfall.llm import byte_bpe, line_dedup, simhash_dedup
+
+BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -18,8 +21,42 @@ def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(_read(spark, sf_dir, "documents"))
+
+
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.round_trip(_read(spark, sf_dir, "documents"), public_tokenizers.path(BPE_RANKS),
+                               public_tokenizers.PATTERN)
+
+
 QUERIES = {
     "op2_simhash_dedup": op2_simhash_dedup,
+    "op3_line_dedup": op3_line_dedup,
+    "op9_byte_bpe": op9_byte_bpe,
 }
 
-ORACLE: dict[str, str] = {}
+_LINE_DEDUP_SQL = r"""
+WITH lines AS (
+    SELECT doc_id, generate_subscripts(parts, 1) AS pos, unnest(parts) AS line
+    FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)
+), keyed AS (
+    SELECT doc_id, pos, line,
+           translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM lines
+), repeated AS (
+    SELECT key, max(doc_id) AS keeper FROM keyed
+    WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+), marked AS (
+    SELECT k.doc_id, k.pos, k.line, r.key IS NOT NULL AND k.doc_id <> r.keeper AS gone
+    FROM keyed k LEFT JOIN repeated r ON k.key = r.key
+)
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE gone)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+ORACLE: dict[str, str] = {
+    "op3_line_dedup": _LINE_DEDUP_SQL,
+}
