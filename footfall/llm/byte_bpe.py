@@ -27,6 +27,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from footfall.llm.stages import with_field
+
 MATRIX_BYTES = 512
 #: Matrices hold at most so many cells; longer classes get fewer rows at a time.
 _CELLS = 1 << 21
@@ -289,7 +291,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text",
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rows, pa.list_(pa.int32()))],
                                              [*batch.schema.names, ids_col])
 
-    return rest.mapInArrow(run, rest.schema.add(ids_col, "array<int>"))
+    return rest.mapInArrow(run, with_field(rest, ids_col, "array<int>"))
 
 
 def decode(tokens: DataFrame, path: str, pattern: str, ids_col: str = "token_ids",
@@ -305,7 +307,7 @@ def decode(tokens: DataFrame, path: str, pattern: str, ids_col: str = "token_ids
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rows, pa.binary())],
                                              [*batch.schema.names, bytes_col])
 
-    return rest.mapInArrow(run, rest.schema.add(bytes_col, "binary"))
+    return rest.mapInArrow(run, with_field(rest, bytes_col, "binary"))
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",

@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import byte_bpe, line_dedup, simhash_dedup
+from footfall.llm import byte_bpe, line_dedup, simhash_dedup, toxicity
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -25,6 +25,14 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(_read(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text")
+    model = toxicity.learn(docs, _read(spark, sf_dir, "labels"))
+    return toxicity.score_documents(docs, model, "score").select(
+        "doc_id", toxicity.held_out().alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(_read(spark, sf_dir, "documents"), public_tokenizers.path(BPE_RANKS),
                                public_tokenizers.PATTERN)
@@ -33,6 +41,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_simhash_dedup": op2_simhash_dedup,
     "op3_line_dedup": op3_line_dedup,
+    "op4_toxicity": op4_toxicity,
     "op9_byte_bpe": op9_byte_bpe,
 }
 

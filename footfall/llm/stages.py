@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -33,3 +34,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def with_field(df: DataFrame, name: str, kind: str) -> StructType:
+    """Schema of ``df`` with one more column."""
+    return StructType([*df.schema.fields, StructField(name, _parse_datatype_string(kind))])
