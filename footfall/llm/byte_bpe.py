@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.stages import with_field
+from footfall.llm.stages import Shared, with_field
 
 MATRIX_BYTES = 512
 #: Matrices hold at most so many cells; longer classes get fewer rows at a time.
@@ -269,7 +269,7 @@ def load_codec(path: str, pattern: str) -> Codec:
 def _shared_codec(df: DataFrame, path: str, pattern: str):
     """The codec as a broadcast: its size is that of the vocabulary's tables
     (some 20 MB for 50,000 entries) whatever the number of texts."""
-    return df.sparkSession.sparkContext.broadcast(load_codec(path, pattern))
+    return Shared(df.sparkSession, load_codec(path, pattern))
 
 
 def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text",

@@ -202,6 +202,7 @@ def dedup_lines(docs: DataFrame, min_docs: int = 3, least: int = 20, filter_bits
     """
     joined = _with_drops(docs, min_docs, least, filter_bits)
     rest = joined.drop("_drops")
+    names = rest.columns
     text_at, drops_at = joined.columns.index("text"), joined.columns.index("_drops")
 
     def run(batches):
@@ -210,7 +211,7 @@ def dedup_lines(docs: DataFrame, min_docs: int = 3, least: int = 20, filter_bits
                      for text, drops in zip(batch.column(text_at), batch.column(drops_at).to_pylist())]
             columns = [pa.array(texts, pa.string()) if i == text_at else c
                        for i, c in enumerate(batch.columns) if i != drops_at]
-            yield pa.RecordBatch.from_arrays(columns, rest.columns)
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     return joined.mapInArrow(run, rest.schema)
 

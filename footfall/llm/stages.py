@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
@@ -39,3 +40,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 def with_field(df: DataFrame, name: str, kind: str) -> StructType:
     """Schema of ``df`` with one more column."""
     return StructType([*df.schema.fields, StructField(name, _parse_datatype_string(kind))])
+
+
+class Shared:
+    """A read-only object for all tasks, of bounded size, that travels with its
+    class and is unpacked once in each worker process."""
+
+    def __init__(self, spark: SparkSession, value):
+        self._packed = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    @property
+    def value(self):
+        kept = self._packed.__dict__
+        if "_unpacked" not in kept:
+            kept["_unpacked"] = cloudpickle.loads(self._packed.value)
+        return kept["_unpacked"]
