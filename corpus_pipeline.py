@@ -14,17 +14,50 @@ from pyspark.sql import DataFrame, SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from footfall.llm import simhash_dedup  # noqa: E402
+import public_tokenizers  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+from footfall.llm import byte_bpe, decontaminate, line_dedup, simhash_dedup, toxicity  # noqa: E402
+from footfall.llm.queries import BPE_RANKS  # noqa: E402
 from footfall.llm.stages import stage  # noqa: E402
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score stays below the threshold."""
+    model = toxicity.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = toxicity.score_documents(docs, model, "_toxicity")
+    return scored.where(F.col("_toxicity") < toxicity.THRESHOLD).drop("_toxicity")
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the lines that repeat across them; ``n_chars`` follows the text."""
+    kept = line_dedup.dedup_lines(docs)
+    if "n_chars" not in docs.columns:
+        return kept
+    return kept.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars").cast("long")))
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, the smallest doc_id."""
     return simhash_dedup.one_per_group(docs)
 
 
+def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain no benchmark item."""
+    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of the encoded and decoded texts."""
+    return byte_bpe.round_trip(docs, public_tokenizers.path(BPE_RANKS), public_tokenizers.PATTERN)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", drop_toxic),
+    ("line dedup", drop_repeated_lines),
     ("simhash near-dedup", drop_near_copies),
+    ("benchmark decontamination", drop_benchmark_leaks),
+    ("byte-level BPE", tokenise),
 ]
 
 #: Stages learn a model, fingerprint with XXH64 and encode by a vocabulary: SQL can't express them.
