@@ -7,7 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import byte_bpe, decontaminate, line_dedup, simhash_dedup, toxicity
+from footfall.llm import byte_bpe, decontaminate, language_id, line_dedup, simhash_dedup, toxicity
+from footfall.llm.stages import held_out
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -33,7 +34,7 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text")
     model = toxicity.learn(docs, _read(spark, sf_dir, "labels"))
     return toxicity.score_documents(docs, model, "score").select(
-        "doc_id", toxicity.held_out().alias("held_out"), "score",
+        "doc_id", held_out().alias("held_out"), "score",
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
@@ -42,12 +43,19 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                public_tokenizers.PATTERN)
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    found = language_id.identify(docs, language_id.learn(docs))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_simhash_dedup": op2_simhash_dedup,
     "op3_line_dedup": op3_line_dedup,
     "op4_toxicity": op4_toxicity,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_language_id": op10_language_id,
 }
 
 _LINE_DEDUP_SQL = r"""

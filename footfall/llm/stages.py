@@ -6,7 +6,8 @@ import tempfile
 import uuid
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
 
@@ -42,6 +43,11 @@ def with_field(df: DataFrame, name: str, kind: str) -> StructType:
     return StructType([*df.schema.fields, StructField(name, _parse_datatype_string(kind))])
 
 
+def held_out(id_col: str = "doc_id") -> Column:
+    """Documents that nothing is learned from: crc32 of the id as text, mod 4, is 2."""
+    return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))
+
+
 class Shared:
     """A read-only object for all tasks, of bounded size, that travels with its
     class and is unpacked once in each worker process."""

@@ -25,10 +25,10 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.stages import stage, with_field
+from footfall.llm.stages import held_out, stage, with_field
 
 WORD = re.compile(r"\w+")
 STEM_LENGTHS = range(3, 13)
@@ -201,11 +201,6 @@ class Model:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, x))))
 
 
-def held_out(id_col: str = "doc_id") -> Column:
-    """Documents that nothing is learned from: crc32 of the id as text, mod 4, is 2."""
-    return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))
-
-
 def _count_stems(batches):
     """Documents with each word beginning, marked toxic or not, per part of the
     batch; a word's end is counted as ``stem + '$'``."""
