@@ -130,8 +130,8 @@ def fit(texts: list[str], langs: list[str], longest: int, landmarks: int, ridge:
     return LanguageModel(languages, vocabulary, [b.T.astype(float) @ folded for b in base], middle - mean @ w)
 
 
-def learn(docs: DataFrame, max_rows: int = 3000, longest: int = 3, landmarks: int = 256,
-          ridge: float = 1.0) -> LanguageModel:
+def learn(docs: DataFrame, max_rows: int = 4000, longest: int = 3, landmarks: int = 256,
+          ridge: float = 0.03) -> LanguageModel:
     """A model from text and non-null ``lang`` of documents that are not held out.
 
     At most ``max_rows`` rows are used, chosen by a hash of the id: the documented

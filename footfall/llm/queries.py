@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import byte_bpe, decontaminate, language_id, line_dedup, simhash_dedup, toxicity
+from footfall.llm import byte_bpe, decontaminate, embedding_dedup, language_id, line_dedup, simhash_dedup, toxicity
 from footfall.llm.stages import held_out
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -38,6 +38,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.embedding_components(_read(spark, sf_dir, "embeddings"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(_read(spark, sf_dir, "documents"), public_tokenizers.path(BPE_RANKS),
                                public_tokenizers.PATTERN)
@@ -54,6 +58,7 @@ QUERIES = {
     "op2_simhash_dedup": op2_simhash_dedup,
     "op3_line_dedup": op3_line_dedup,
     "op4_toxicity": op4_toxicity,
+    "op5_embedding_dedup": op5_embedding_dedup,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_language_id": op10_language_id,
 }
