@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import byte_bpe, decontaminate, embedding_dedup, html_text, language_id, line_dedup, simhash_dedup, toxicity
+from footfall.llm import byte_bpe, decontaminate, embedding_dedup, html_text, language_id, line_dedup, pii, simhash_dedup, toxicity
 from footfall.llm.stages import held_out
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -42,6 +42,13 @@ def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.embedding_components(_read(spark, sf_dir, "embeddings"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(_read(spark, sf_dir, "documents"))
+    return found.select("doc_id", *[pii.count_of(k).alias(f"n_{k}") for k in pii.KINDS],
+                        F.sha2(pii.listed("spans"), 256).alias("base_sha256"),
+                        pii.listed("spans", "terms").alias("spans"))
+
+
 def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = html_text.extract(_read(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return found.withColumn("n_chars", F.length("text").cast("long"))
@@ -64,6 +71,7 @@ QUERIES = {
     "op3_line_dedup": op3_line_dedup,
     "op4_toxicity": op4_toxicity,
     "op5_embedding_dedup": op5_embedding_dedup,
+    "op6_pii": op6_pii,
     "op7_html_text": op7_html_text,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_language_id": op10_language_id,
