@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import byte_bpe, decontaminate, embedding_dedup, html_text, language_id, line_dedup, pii, simhash_dedup, toxicity
+from footfall.llm import byte_bpe, decontaminate, embedding_dedup, html_text, language_id, line_dedup, pii, simhash_dedup, toxicity, warc
 from footfall.llm.stages import held_out
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -54,6 +54,15 @@ def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op8_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.parse_records(warc.crawl_of_pages(_read(spark, sf_dir, "pages")), with_payload=False)
+    header = [F.col("headers")[h].alias(a) for h, a in (
+        ("etag", "etag"), ("cache-control", "cache_control"), ("content-type", "content_type"), ("server", "server"))]
+    return warc.resolve_revisits(records).select(
+        F.col("record_id").cast("long").alias("record_id"), "canonical_url", "captured_at", "outcome",
+        F.col("response_id").cast("long").alias("response_id"), "payload_bytes", "payload_sha256", *header)
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(_read(spark, sf_dir, "documents"), public_tokenizers.path(BPE_RANKS),
                                public_tokenizers.PATTERN)
@@ -73,6 +82,7 @@ QUERIES = {
     "op5_embedding_dedup": op5_embedding_dedup,
     "op6_pii": op6_pii,
     "op7_html_text": op7_html_text,
+    "op8_warc_revisits": op8_warc_revisits,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_language_id": op10_language_id,
 }
@@ -98,6 +108,48 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE gone)::BIGINT
 FROM marked GROUP BY doc_id
 """
 
+_WARC_SQL = r"""
+WITH captures AS (
+    SELECT page_id, html, sha256(html) AS digest, strlen(html) AS bytes,
+           1700000000 + 60 * page_id AS at,
+           ltrim(regexp_extract(url, '^[a-z]+://([^/?#]*)', 1), ' ') AS host,
+           regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1) AS path,
+           regexp_extract(url, '^[^?#]*[?]([^#]*)', 1) AS query
+    FROM pages
+), named AS (
+    SELECT *, regexp_replace(regexp_replace(lower(host), ':(80|443)?$', ''), '^www[.]', '')
+           || CASE WHEN path = '' THEN '/' ELSE path END AS place,
+           list_sort([p FOR p IN string_split(query, '&') IF p <> ''
+               AND NOT regexp_full_match(string_split(p, '=')[1],
+                   '(?i)utm_[a-z]+|ref|fbclid|gclid|sessionid|phpsessid|jsessionid')]) AS kept
+    FROM captures
+), keyed AS (
+    SELECT *, place || CASE WHEN len(kept) > 0 THEN '?' || array_to_string(kept, '&') ELSE '' END AS canonical_url,
+           substr(digest, 1, 16) AS tag
+    FROM named
+), found AS (
+    SELECT r.page_id, r.canonical_url, r.at + 86400 AS captured_at, r.tag, r.page_id % 10 AS kind,
+           max(f.page_id) AS response
+    FROM keyed r LEFT JOIN keyed f ON f.canonical_url = r.canonical_url AND f.at < r.at + 86400
+    GROUP BY ALL
+), judged AS (
+    SELECT r.*, f.bytes, f.digest, f.tag AS response_tag,
+           CASE WHEN r.kind = 7 THEN 'unverified' WHEN r.kind <> 3 AND r.tag = f.tag THEN 'resolved'
+                ELSE 'mismatch' END AS outcome
+    FROM found r JOIN keyed f ON f.page_id = r.response
+)
+SELECT 2 * page_id + 1 AS record_id, canonical_url, captured_at, outcome,
+       CASE WHEN outcome = 'resolved' THEN 2 * response END AS response_id,
+       CASE WHEN outcome = 'resolved' THEN bytes END AS payload_bytes,
+       CASE WHEN outcome = 'resolved' THEN digest END AS payload_sha256,
+       CASE kind WHEN 3 THEN '"changed"' WHEN 7 THEN NULL ELSE 'W/"' || tag || '"' END AS etag,
+       'max-age=7200' AS cache_control,
+       CASE WHEN outcome = 'resolved' THEN 'text/html' END AS content_type,
+       CASE WHEN outcome <> 'resolved' THEN 'again' END AS server
+FROM judged
+"""
+
 ORACLE: dict[str, str] = {
     "op3_line_dedup": _LINE_DEDUP_SQL,
+    "op8_warc_revisits": _WARC_SQL,
 }
