@@ -55,7 +55,7 @@ class MultiIndex:
                       for part in (sample[:, :self.half], sample[:, self.half:])]
         self.width = len(self.books[1])
         # Neighbours at exactly the least similarity, in random directions.
-        x = sample[random.permutation(len(sample))[:4000]]
+        x = sample[random.integers(0, len(sample), 4000)]
         away = random.standard_normal(x.shape)
         away -= (away * x).sum(axis=1)[:, None] * x
         away /= np.maximum(np.linalg.norm(away, axis=1), 1e-12)[:, None]

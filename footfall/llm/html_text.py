@@ -3,10 +3,10 @@
 A page is cut into blocks at block-level tags.  The first pass decides blocks:
 those in a menu, header, footer, sidebar, notice, advert, form or comment
 section, and those made mostly of links, are boilerplate; long blocks with many
-stop words are content.  Short blocks, and blocks of an article that the rules
-find neither, stay ambiguous.  The second pass gives each ambiguous block the
-label of the nearest decided block of its container, the better label when two
-are equally near.
+stop words are content.  Others stay ambiguous: short blocks, and those with few
+stop words (their language may have none that are listed).  The second pass gives
+each ambiguous block the label of the nearest decided block of its container, the
+better label when two are equally near; without any decided block it is content.
 """
 
 from __future__ import annotations
@@ -203,9 +203,9 @@ def _first_pass(block: Block, in_main: bool) -> int | None:
     stops = sum(w in STOP_WORDS for w in words)
     if length >= LONG_CHARS and stops >= STOP_DENSITY * len(words):
         return GOOD
-    if length < SHORT_CHARS or block.main:
-        return AMBIGUOUS
-    return GOOD if stops >= STOP_DENSITY * len(words) and not block.linked else BAD
+    if length >= SHORT_CHARS and stops >= STOP_DENSITY * len(words) and not block.linked and not block.main:
+        return GOOD
+    return AMBIGUOUS
 
 
 def _second_pass(found: list[Block]) -> None:

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.stages import stage
+from footfall.llm.stages import free_name, stage
 
 _SEGMENT_BYTES = 1 << 13
 _BLANK = b" \t\n\x0b\x0c\r"
@@ -184,10 +184,13 @@ def _without(text: bytes | None, drops, least: int) -> tuple[bytes, int, int]:
     return b"\n".join(kept), len(lines), len(lines) - len(kept)
 
 
-def _with_drops(docs: DataFrame, min_docs: int, least: int, filter_bits: int) -> DataFrame:
-    drops = (stage(repeated_lines(docs, min_docs, least, filter_bits), "drops")
-             .withColumnRenamed("doc_id", "_drop_id").withColumnRenamed("drops", "_drops"))
-    return docs.join(drops, F.col("doc_id").cast("long").eqNullSafe(F.col("_drop_id")), "left").drop("_drop_id")
+def _with_drops(docs: DataFrame, min_docs: int, least: int, filter_bits: int) -> tuple[DataFrame, str]:
+    """``docs`` with one more column, the digests to drop, and its name."""
+    drop_id, drops = free_name(docs, "_drop_id"), free_name(docs, "_drops")
+    found = (stage(repeated_lines(docs, min_docs, least, filter_bits), "drops")
+             .select(F.col("doc_id").alias(drop_id), F.col("drops").alias(drops)))
+    joined = docs.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col(drop_id)), "left").drop(drop_id)
+    return joined, drops
 
 
 def dedup_lines(docs: DataFrame, min_docs: int = 3, least: int = 20, filter_bits: int = 27) -> DataFrame:
@@ -200,10 +203,10 @@ def dedup_lines(docs: DataFrame, min_docs: int = 3, least: int = 20, filter_bits
     rows that share a doc_id are one document; rows with a null doc_id together
     are one document, smaller than all others.  Other columns pass through.
     """
-    joined = _with_drops(docs, min_docs, least, filter_bits)
-    rest = joined.drop("_drops")
+    joined, drops_col = _with_drops(docs, min_docs, least, filter_bits)
+    rest = joined.drop(drops_col)
     names = rest.columns
-    text_at, drops_at = joined.columns.index("text"), joined.columns.index("_drops")
+    text_at, drops_at = joined.columns.index("text"), joined.columns.index(drops_col)
 
     def run(batches):
         for batch in batches:
@@ -219,8 +222,8 @@ def dedup_lines(docs: DataFrame, min_docs: int = 3, least: int = 20, filter_bits
 def line_report(docs: DataFrame, min_docs: int = 3, least: int = 20, filter_bits: int = 27) -> DataFrame:
     """Per document ``doc_id, n_lines`` (before), ``n_dropped, kept_sha256`` of
     the text that :func:`dedup_lines` leaves; a null text is one empty line."""
-    joined = _with_drops(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")),
-                         min_docs, least, filter_bits)
+    joined, _ = _with_drops(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")),
+                            min_docs, least, filter_bits)
 
     def run(batches):
         for batch in batches:

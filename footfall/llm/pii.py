@@ -21,7 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.stages import stage
+from footfall.llm.stages import free_name, stage
 
 # The kinds in the order in which spans are listed, and their
 # patterns.  Possessive quantifiers and the look-behinds (\G: the end of the last
@@ -204,15 +204,16 @@ def sanitise(docs: DataFrame, generalise_at: float = 0.7, remove_at: float = 0.9
             s["start"].alias("start"), (-s["end"]).alias("minus_end"), F.element_at(F.array(*marks), s["kind"] + 1).alias("mark"))),
         F.transform("terms", lambda t: F.struct(
             t["start"].alias("start"), (-t["end"]).alias("minus_end"), F.when(t["removed"], "").otherwise("[term]").alias("mark")))))
-    cuts = stage(found.where(F.size("spans") > 0).select(F.col("doc_key").alias("_key"), every.alias("_cuts"))
-                 .dropDuplicates(["_key"]), "cuts")
-    keyed = docs.withColumn("_doc_key", F.xxhash64(F.col(id_col).cast("long"),
-                                                   F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
-    joined = keyed.join(cuts, F.col("_doc_key") == F.col("_key"), "left")
+    key, cut_key, cut_list = (free_name(docs, n) for n in ("_doc_key", "_cut_key", "_cuts"))
+    cuts = stage(found.where(F.size("spans") > 0).select(F.col("doc_key").alias(cut_key), every.alias(cut_list))
+                 .dropDuplicates([cut_key]), "cuts")
+    keyed = docs.withColumn(key, F.xxhash64(F.col(id_col).cast("long"),
+                                            F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
+    joined = keyed.join(cuts, F.col(key) == F.col(cut_key), "left")
     replaced = F.expr(
-        f"aggregate(_cuts, named_struct('at', 0, 'out', cast('' as string)), "
+        f"aggregate({cut_list}, named_struct('at', 0, 'out', cast('' as string)), "
         f"(a, c) -> if(c.start < a.at, a, named_struct('at', -c.minus_end, "
         f"'out', concat(a.out, substring(`{text_col}`, a.at + 1, c.start - a.at), c.mark))), "
         f"a -> concat(a.out, substring(`{text_col}`, a.at + 1, length(`{text_col}`))))")
-    text = F.when(F.col("_cuts").isNull(), F.col(text_col)).otherwise(replaced)
+    text = F.when(F.col(cut_list).isNull(), F.col(text_col)).otherwise(replaced)
     return joined.withColumn(text_col, text).select(*docs.columns)

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall.llm.components import connected_components
-from footfall.llm.stages import stage
+from footfall.llm.stages import free_name, stage
 
 SEED = 42
 SEGMENTS = 32
@@ -197,9 +197,10 @@ def one_per_group(docs: DataFrame, shingle_words: int = 4, radius: int = 4,
                   id_col: str = "doc_id") -> DataFrame:
     """``docs`` with one document of each component, the smallest doc_id.
 
-    Rows that share an id are one document and stay or go together; rows with a
-    null id stay only when no row of their component has an id."""
+    Rows that share an id are one document and stay or go together, and so do all
+    rows with a null id: they stay when a component of theirs has no other id."""
     found = simhash_components(docs, shingle_words, radius, id_col=id_col)
-    kept = (found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .select(F.col("doc_id").alias("_kept_id")).distinct())
-    return docs.join(stage(kept, "kept"), docs[id_col].cast("long").eqNullSafe(F.col("_kept_id")), "left_semi")
+    name = free_name(docs, "_kept_id")
+    kept = stage(found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+                 .select(F.col("doc_id").alias(name)).distinct(), "kept")
+    return docs.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col(name)), "left_semi")

@@ -43,6 +43,14 @@ def with_field(df: DataFrame, name: str, kind: str) -> StructType:
     return StructType([*df.schema.fields, StructField(name, _parse_datatype_string(kind))])
 
 
+def free_name(df: DataFrame, wish: str) -> str:
+    """``wish``, with underscores added until no column has the name."""
+    taken = {c.lower() for c in df.columns}
+    while wish.lower() in taken:
+        wish += "_"
+    return wish
+
+
 def held_out(id_col: str = "doc_id") -> Column:
     """Documents that nothing is learned from: crc32 of the id as text, mod 4, is 2."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))

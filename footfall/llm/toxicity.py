@@ -140,7 +140,8 @@ class Lexicon:
             state, best = self._run(state, best, token[_HEAD:])
         if best:
             return best, False
-        return (self._end_weight[state], True) if state >= 0 else (0.0, False)
+        weight = self._end_weight[state] if state >= 0 else 0.0
+        return weight, weight > 0
 
     def matches(self, tokens: list[str]) -> list[tuple[int, float, bool]]:
         """(token number, weight, misspelled) of the tokens that match."""
