@@ -19,14 +19,14 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from footfall.llm import byte_bpe, decontaminate, line_dedup, simhash_dedup, toxicity  # noqa: E402
 from footfall.llm.queries import BPE_RANKS  # noqa: E402
-from footfall.llm.stages import stage  # noqa: E402
+from footfall.llm.stages import free_name, stage  # noqa: E402
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score stays below the threshold."""
     model = toxicity.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = toxicity.score_documents(docs, model, "_toxicity")
-    return scored.where(F.col("_toxicity") < toxicity.THRESHOLD).drop("_toxicity")
+    name = free_name(docs, "_toxicity")
+    return toxicity.score_documents(docs, model, name).where(F.col(name) < toxicity.THRESHOLD).drop(name)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
