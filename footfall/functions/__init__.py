@@ -6,7 +6,6 @@ from footfall.functions.expressions import (
     checked_id,
     coerce_behavior,
     coerce_hour,
-    coerce_id,
     day_span,
     flag,
     hours_between,
@@ -19,7 +18,7 @@ from footfall.functions.expressions import (
 )
 
 __all__ = [
-    "behavior_name", "bit_flag", "checked_id", "id_value", "coerce_behavior", "coerce_hour", "coerce_id",
+    "behavior_name", "bit_flag", "checked_id", "id_value", "coerce_behavior", "coerce_hour",
     "day_span", "flag", "hours_between", "missing_to_null", "round_half_even",
     "safe_ratio", "slot", "top_key",
 ]

@@ -88,24 +88,30 @@ def missing_to_null(c: ColumnOrName) -> Column:
     return F.when(col.isin(MISSING_TOKENS), F.lit(None).cast("string")).otherwise(col)
 
 
+# Fixed value: accepted shape of a number.  A plain cast would also take type
+# suffixes (``'2d'``).
+NUMBER_PATTERN = r"^[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?$"
+
+
 def coerce_behavior(c: ColumnOrName) -> Column:
     """Text to number, NULL when not numeric (``'1.0'`` gives 1.0)."""
-    return F.trim(_col(c)).try_cast("double")
+    text = F.trim(_col(c))
+    return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
 
 
 # Fixed value: accepted shape of an hour timestamp, ``YYYY-M-D H`` with one or
 # two digits for month, day and hour (minutes are not allowed).
 HOUR_PATTERN = r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}$"
+# First and last hour of a 64-bit nanosecond timestamp; others are missing.
+FIRST_HOUR, LAST_HOUR = "1677-09-21 01:00:00", "2262-04-11 23:00:00"
 
 
 def coerce_hour(c: ColumnOrName) -> Column:
     """``'YYYY-MM-DD HH'`` text to TIMESTAMP_NTZ; anything else (hour 24,
-    minutes, bad dates) gives NULL."""
+    minutes, bad dates, years outside the nanosecond range) gives NULL."""
     col = _col(c)
-    return F.when(
-        col.rlike(HOUR_PATTERN),
-        F.concat(col, F.lit(":00:00")).try_cast("timestamp_ntz"),
-    )
+    hour = F.when(col.rlike(HOUR_PATTERN), F.concat(col, F.lit(":00:00")).try_cast("timestamp_ntz"))
+    return F.when(hour.between(*[F.lit(h).cast("timestamp_ntz") for h in (FIRST_HOUR, LAST_HOUR)]), hour)
 
 
 def id_value(c: ColumnOrName) -> Column:
@@ -121,12 +127,3 @@ def checked_id(raw: ColumnOrName, value: ColumnOrName) -> Column:
     error for a present but non-numeric id instead of dropping the row."""
     r, v = _col(raw), _col(value)
     return F.when(r.isNotNull() & v.isNull(), F.raise_error(F.concat(F.lit("non-numeric id: "), r))).otherwise(v)
-
-
-def coerce_id(c: ColumnOrName, kind: str = "bigint") -> Column:
-    """Cast an id column (``kind='bigint'``, see :func:`checked_id`) or keep
-    it as text (``kind='string'``).  Single-expression form; the cleaning job
-    computes :func:`id_value` once in its own projection instead."""
-    if kind == "string":
-        return _col(c)
-    return checked_id(c, id_value(c))

@@ -13,10 +13,13 @@ inside) or ``info`` (always passed; reported for reading).
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from footfall.operators.ranking import ranked_histogram
+from footfall.operators.thresholds import quantiles_from_histogram
 from footfall.schemas import BUY, CART, FAV, PV
 
 BEHAVIOR_COLUMNS = {PV: "pv_cnt", FAV: "fav_cnt", CART: "cart_cnt", BUY: "buy_cnt"}
@@ -24,18 +27,47 @@ BEHAVIOR_COLUMNS = {PV: "pv_cnt", FAV: "fav_cnt", CART: "cart_cnt", BUY: "buy_cn
 
 @dataclass(frozen=True)
 class Check:
+    """``feature`` and ``source`` are aggregates over the table and the log; with
+    ``per_key`` they are aggregates over one row per key (columns ``key_rows`` and
+    ``key_present``).  ``quantile`` = p makes ``feature`` a value per row of which
+    the exact quantile is taken."""
+
     check_id: str
     metric: str
     feature: Column
     source: Column | None = None
     rule: str = "equal"
     severity: str = "error"
+    per_key: bool = False
+    quantile: float | None = None
+
+
+def _per_key(df: DataFrame, key: str) -> DataFrame:
+    """One narrow row per key: a distinct count among the other aggregates would
+    shuffle all their buffers by key."""
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("key_rows")).select(
+        "key_rows", F.col(key).isNotNull().cast("int").alias("key_present"))
 
 
-def quality_report(log: DataFrame, features: DataFrame, table: str, checks: list[Check]) -> DataFrame:
-    f_row = features.agg(*[c.feature.cast("double").alias(f"f{i}") for i, c in enumerate(checks)])
-    src = {i: c.source for i, c in enumerate(checks) if c.source is not None}
-    one = f_row.crossJoin(log.agg(*[s.cast("double").alias(f"s{i}") for i, s in src.items()])) if src else f_row
+def quality_report(log: DataFrame, features: DataFrame, table: str, checks: list[Check], key: str) -> DataFrame:
+    plain, per_key, ranked = {}, {}, {}
+    for i, c in enumerate(checks):
+        (ranked if c.quantile is not None else per_key if c.per_key else plain)[i] = c
+
+    def row(df: DataFrame, side: str, own: dict[int, Check]) -> DataFrame | None:
+        aggs = [e.cast("double").alias(f"{side[0]}{i}") for i, c in own.items() if (e := getattr(c, side)) is not None]
+        return df.agg(*aggs) if aggs else None
+
+    rows = [row(features, "feature", plain), row(log, "source", plain)]
+    if per_key:
+        rows += [row(_per_key(features, key), "feature", per_key), row(_per_key(log, key), "source", per_key)]
+    if ranked:
+        hist = ranked_histogram(features, [c.feature for c in ranked.values()])
+        rows.append(quantiles_from_histogram(
+            hist, {f"f{i}": (m, c.quantile) for m, (i, c) in enumerate(ranked.items())}))
+    # Each side is one row.
+    one = reduce(lambda a, b: a.crossJoin(b), [r for r in rows if r is not None])
+    src = {i for i, c in enumerate(checks) if c.source is not None}
     # One ``stack`` expression unpivots the single row into one row per check.
     parts = []
     for i, c in enumerate(checks):
@@ -55,15 +87,18 @@ def quality_report(log: DataFrame, features: DataFrame, table: str, checks: list
         F.lit(table).alias("table"), "check_id", "metric", "source_value", "feature_value",
         (s - f).alias("diff"), passed.alias("passed"), "severity",
     )
-    # Null counts are listed only for columns that have nulls.
-    return out.where(~(F.col("metric").startswith("null_count:") & (F.col("feature_value") == 0)))
+    # Null counts, and the user table's negative values, are listed only for columns that have some.
+    listed = (F.col("metric").startswith("null_count:")
+              | ((F.col("check_id") == "U10") & F.col("metric").startswith("negative:")))
+    return out.where(~(listed & (F.col("feature_value") == 0)))
 
 
 def _common(key: str, prefix: str, feature_columns: list[str]) -> list[Check]:
     bt = F.col("behavior_type")
     checks = [
-        Check(f"{prefix}1", "duplicate_keys", F.count(F.lit(1)) - F.count_distinct(key), rule="zero"),
-        Check(f"{prefix}2", "key_count", F.count_distinct(key), F.count_distinct(key)),
+        Check(f"{prefix}1", "duplicate_keys",
+              F.coalesce(F.sum("key_rows"), F.lit(0)) - F.coalesce(F.sum("key_present"), F.lit(0)), rule="zero", per_key=True),
+        Check(f"{prefix}2", "key_count", *[F.coalesce(F.sum("key_present"), F.lit(0))] * 2, per_key=True),
         Check(f"{prefix}3", "total_behavior_cnt", F.sum("total_behavior_cnt"), F.count(F.lit(1))),
     ]
     checks += [Check(f"{prefix}4", col, F.sum(col), F.count_if(bt == code)) for code, col in BEHAVIOR_COLUMNS.items()]
@@ -72,13 +107,18 @@ def _common(key: str, prefix: str, feature_columns: list[str]) -> list[Check]:
     return checks
 
 
-def _describe(check_id: str, col: str) -> list[Check]:
-    c = F.col(col)
-    return [
-        Check(check_id, f"min:{col}", F.min(c), rule="info", severity="info"),
-        Check(check_id, f"max:{col}", F.max(c), rule="info", severity="info"),
-        Check(check_id, f"mean:{col}", F.rint(F.avg(c) * F.lit(1e6)) / F.lit(1e6), rule="info", severity="info"),
-    ]
+def _describe(check_id: str, name: str, column: Column | None = None) -> list[Check]:
+    """The eight statistics of a column (mean and std rounded to 6 digits)."""
+    c = F.col(name) if column is None else column
+
+    def info(metric: str, value: Column, quantile: float | None = None) -> Check:
+        return Check(check_id, f"{metric}:{name}", value, rule="info", severity="info", quantile=quantile)
+
+    def rounded(value: Column) -> Column:
+        return F.rint(value * F.lit(1e6)) / F.lit(1e6)
+
+    return [info("count", F.count(c)), info("mean", rounded(F.avg(c))), info("std", rounded(F.stddev_samp(c))),
+            info("min", F.min(c)), info("q25", c, 0.25), info("q50", c, 0.5), info("q75", c, 0.75), info("max", F.max(c))]
 
 
 def _ratio_checks(check_id: str, col: str, severity: str) -> list[Check]:
@@ -103,15 +143,14 @@ def user_checks(feature_columns: list[str], numeric_columns: list[str]) -> list[
         checks += [Check("U6", f"min:{r}", F.min(r), rule="unit"), Check("U6", f"max:{r}", F.max(r), rule="unit")]
     dev = F.abs(F.col("user_buy_rate") + F.col("user_cart_rate") + F.col("user_fav_rate") + F.col("user_pv_rate")
                 - F.lit(1.0))
-    checks += [
-        Check("U7", "rate_sum_deviation_max", F.max(dev), rule="info", severity="info"),
-        Check("U7", "rate_sum_deviation_gt_0.001", F.count_if(dev > 0.001), rule="zero"),
-    ]
+    checks += _describe("U7", "rate_sum_deviation", dev)
+    checks.append(Check("U7", "rate_sum_deviation_gt_0.001", F.count_if(dev > 0.001), rule="zero"))
     checks += _describe("U8", "user_lifetime_days")
     checks.append(Check("U8", "lifetime_lt_1", F.count_if(F.col("user_lifetime_days") < 1), rule="zero"))
-    negative_cols = sum((F.when(F.count_if(F.col(c) < 0) > 0, F.lit(1)).otherwise(F.lit(0)) for c in numeric_columns),
-                        F.lit(0))
-    checks.append(Check("U10", "negative_columns", negative_cols, rule="zero"))
+    # The number of columns with negative values, and a row for each of them.
+    negative = sum((F.when(F.count_if(F.col(c) < 0) > 0, 1).otherwise(0) for c in numeric_columns), F.lit(0))
+    checks.append(Check("U10", "negative_columns", negative, rule="zero"))
+    checks += [Check("U10", f"negative:{c}", F.count_if(F.col(c) < 0), rule="zero") for c in numeric_columns]
     checks += [Check("U11", f"out_of_range:{r}", F.count_if((F.col(r) < 0) | (F.col(r) > 1)), rule="zero")
                for r in USER_RATE_COLUMNS]
     return checks
@@ -164,8 +203,9 @@ def reconcile_all(log: DataFrame, features: DataFrame, key: str) -> DataFrame:
 
 def sampled_entity(features: DataFrame, key: str, seed: int = 42, n: int = 1) -> DataFrame:
     """A repeatable pseudo-random choice of ``n`` entities: the smallest
-    ``xxhash64(key, seed)`` values (a top-n, no full sort)."""
-    return (features.select(key, F.xxhash64(F.col(key), F.lit(seed)).alias("_h"))
+    ``md5("key:seed")`` values (a top-n, no full sort)."""
+    text = F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed)))
+    return (features.select(key, F.md5(text).alias("_h"))
             .orderBy("_h", key).limit(n).select(key))
 
 

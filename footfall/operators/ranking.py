@@ -5,44 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from footfall.functions import top_key
-
-
-def top_value(rollup: DataFrame, key: str, value: str, cnt: str = "n",
-              value_alias: str | None = None, cnt_alias: str | None = None) -> DataFrame:
-    """Per ``key``: the ``value`` with the highest count, the smallest value on
-    ties, and that count.  A hash aggregate, no sort."""
-    return rollup.groupBy(key).agg(
-        top_key(value, cnt).alias(value_alias or f"top_{value}"),
-        F.max(cnt).cast("bigint").alias(cnt_alias or f"top_{cnt}"),
-    )
-
-
-def pct_rank(df: DataFrame, column: str, out: str) -> DataFrame:
-    """Average-tie percentile rank ``(rank + (ties - 1) / 2) / n`` of
-    ``column`` over all rows of ``df`` (NULL stays NULL and is not counted).
-
-    Ranks come from a histogram of distinct values: the running count runs
-    over distinct values only (bounded by the value range, e.g. days), and the
-    result is joined back on the value.  A window over all rows would put
-    every row in one task.  The join side is small; adaptive execution turns
-    it into a broadcast after measuring it.
-    """
-    hist = (df.where(F.col(column).isNotNull()).groupBy(column)
-            .agg(F.count(F.lit(1)).cast("bigint").alias("_ties")))
-    ordered = Window.orderBy(column)
-    hist = hist.select(
-        column, "_ties",
-        F.coalesce(F.sum("_ties").over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_less"),
-        F.sum("_ties").over(Window.partitionBy()).alias("_total"),
-    )
-    ranks = hist.select(
-        column,
-        ((F.col("_less").cast("double") + (F.col("_ties").cast("double") + F.lit(1.0)) / F.lit(2.0))
-         / F.col("_total").cast("double")).alias(out),
-    )
-    return df.join(ranks, on=column, how="left")
-
 
 # Coarse value buckets per octave of |v| + 1 (see ranked_histogram).
 BUCKETS_PER_OCTAVE = 1024
@@ -91,24 +53,18 @@ def ranked_histogram(df: DataFrame, metrics: list[Column], per_octave: int = BUC
         "_m", "_v", "_ties", (F.col("_offset") + F.col("_less_in")).alias("_less"), "_total")
 
 
-def checked_broadcast(small: DataFrame, max_rows: int) -> DataFrame:
-    """``small`` with a broadcast hint when its row count is at most
-    ``max_rows`` (one count; call it on a materialized frame).  Beyond the
-    limit the frame is returned as is and the join stays a sort-merge join,
-    where adaptive execution splits skewed partitions."""
-    return F.broadcast(small) if small.count() <= max_rows else small
-
-
 def pct_ranks(df: DataFrame, columns: dict[str, str], hist: DataFrame | None = None,
-              index: dict[str, int] | None = None, broadcast_rows: int | None = None) -> DataFrame:
-    """:func:`pct_rank` for several columns from one :func:`ranked_histogram`
-    (built here, or passed in with the metric index of every column), joined
-    back once per column.  The histogram's exchange is shared by the joins.
-
-    The join is on the value, and a common value (say one active day) can
-    hold a large share of all rows, so the per-metric rank table is
-    broadcast when ``broadcast_rows`` is given and the materialized histogram
-    is within it (:func:`checked_broadcast`)."""
+              index: dict[str, int] | None = None, bounded: bool = True) -> DataFrame:
+    """Average-tie percentile rank ``(rank + (ties - 1) / 2) / n`` of several
+    columns over all rows of ``df`` (NULL stays NULL and is not counted).
+
+    Ranks come from one :func:`ranked_histogram` (built here, or passed in with the
+    metric index of every column), joined back once per column on the value.  A
+    common value (say one active day) can hold a large share of all rows, so the
+    rank table of a column, filtered to that column alone, is broadcast.  ``bounded``
+    says that the columns have few distinct values: days, or counts of events per
+    user (k distinct counts need k * k / 2 events, so a trillion events have at most
+    1.4 million).  Without such a bound pass False for a sort-merge join."""
     names = list(columns)
     if hist is None:
         hist = ranked_histogram(df, [F.col(c) for c in names])
@@ -118,11 +74,9 @@ def pct_ranks(df: DataFrame, columns: dict[str, str], hist: DataFrame | None = N
         ((F.col("_less").cast("double") + (F.col("_ties").cast("double") + F.lit(1.0)) / F.lit(2.0))
          / F.col("_total").cast("double")).alias("_pct"),
     )
-    if broadcast_rows is not None:
-        ranks = checked_broadcast(ranks, broadcast_rows)
     out = df
     for c in names:
         i = index[c]
         r = ranks.where(F.col("_m") == i).select(F.col("_v").alias(f"_v{i}"), F.col("_pct").alias(columns[c]))
-        out = out.join(r, F.col(c).cast("double") == F.col(f"_v{i}"), "left").drop(f"_v{i}")
+        out = out.join(F.broadcast(r) if bounded else r, F.col(c).cast("double") == F.col(f"_v{i}"), "left").drop(f"_v{i}")
     return out

@@ -28,7 +28,9 @@ BUCKET_ROWS = 1 << 16
 
 
 def _bucket(bucket_rows: int) -> F.Column:
-    return F.floor(F.col("row_id") / F.lit(bucket_rows)).cast("bigint")
+    """Bucket of a row id; a missing id fails, it would give wrong orders."""
+    checked = "CASE WHEN row_id IS NULL THEN CAST(raise_error('event without row_id') AS BIGINT) ELSE row_id END"
+    return F.expr(f"CAST(floor(CAST({checked} AS DECIMAL(20, 0)) / {bucket_rows}) AS BIGINT)")
 
 
 def within_bucket(events: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
@@ -117,20 +119,27 @@ def sequence_aggregates(uh_seq: DataFrame) -> list:
     ]
 
 
-def event_order(events: DataFrame, uh_seq: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+def event_order(events: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """1-based position of every event in its user's (time, row_id) order.
 
-    Position = events in the user's earlier hours + events in earlier
-    buckets of the hour + position inside the bucket; the joins are on
-    (user, hour[, bucket]), so no task ever holds a whole user.
-    """
+    Position = events in the user's earlier hours + events in earlier buckets of
+    the hour + position inside the bucket.  The first two come from counts per
+    (user, hour, bucket), aggregated before their shuffle, as one offset for each
+    bucket; the raw events are shuffled once, for the window inside the bucket,
+    which has the join's partitioning too."""
+    counts = (events.withColumn("bucket", _bucket(bucket_rows)).groupBy("user_id", "timestamp", "bucket")
+              .agg(F.count(F.lit(1)).cast("bigint").alias("n")))
+    in_hour = Window.partitionBy("user_id", "timestamp").orderBy("bucket").rowsBetween(_UNBOUNDED, -1)
+    buckets = counts.withColumn("before_in_hour", F.coalesce(F.sum("n").over(in_hour), F.lit(0)))
+    earlier = Window.partitionBy("user_id").orderBy("timestamp").rowsBetween(_UNBOUNDED, -1)
+    hours = (counts.groupBy("user_id", "timestamp").agg(F.sum("n").alias("n"))
+             .select("user_id", "timestamp", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("events_before")))
+    offsets = buckets.join(hours, ["user_id", "timestamp"]).select(
+        "user_id", "timestamp", "bucket", (F.col("events_before") + F.col("before_in_hour")).alias("before"))
     inner = within_bucket(events, bucket_rows).select("row_id", "user_id", "timestamp", "bucket", "pos_in_bucket")
-    buckets = bucket_rollup(events, bucket_rows).select("user_id", "timestamp", "bucket", "before_in_hour")
-    hours = uh_seq.select("user_id", "timestamp", "events_before")
-    return (inner.join(buckets, ["user_id", "timestamp", "bucket"]).join(hours, ["user_id", "timestamp"])
+    return (inner.join(offsets, ["user_id", "timestamp", "bucket"])
             .select("row_id", "user_id",
-                    (F.col("events_before") + F.col("before_in_hour") + F.col("pos_in_bucket") + 1)
-                    .cast("bigint").alias("behavior_order")))
+                    (F.col("before") + F.col("pos_in_bucket") + 1).cast("bigint").alias("behavior_order")))
 
 
 def user_item_hour(uict: DataFrame) -> DataFrame:

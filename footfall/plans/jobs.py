@@ -17,6 +17,7 @@ from footfall.operators import quality as Q
 from footfall.operators.cleaning import clean_log, cleaning_report
 from footfall.plans.entity_features import EntityFeatures
 from footfall.plans.user_features import UserFeatures
+from footfall.session import temporary_stages
 from footfall.sources import readers, sinks
 
 
@@ -24,14 +25,19 @@ from footfall.sources import readers, sinks
 class CleanResult:
     report: DataFrame          # rows in / kept / removed and per reason
     log_path: str
+    profile: dict[str, DataFrame]  # column info, null counts, duplicates, codes of the raw log
 
 
 def clean_job(spark: SparkSession, raw_path: str, log_path: str, fmt: str = "parquet",
               row_id_column: str | None = None, partition_by_date: bool = True) -> CleanResult:
-    """R1: raw CSV -> clean log (Parquet by default, partitioned by date)."""
+    """R1: raw CSV -> clean log (Parquet by default, partitioned by date), with
+    the report of the cleaning and the profile of the raw log (lazy frames)."""
     raw = readers.read_raw(spark, raw_path, row_id_column=row_id_column)
     sinks.write_log(clean_log(raw), log_path, fmt=fmt, partition_by_date=partition_by_date)
-    return CleanResult(cleaning_report(raw), log_path)
+    text = raw.drop("row_id")
+    profile = {"column_info": P.column_info(text), "null_counts": P.null_counts(text),
+               "duplicate_rows": P.duplicate_rows(text), "behavior_distribution": P.value_counts(text, "behavior_type")}
+    return CleanResult(cleaning_report(raw), log_path, profile)
 
 
 def publish_job(spark: SparkSession, raw_path: str, table: str = "user_behavior", database: str = "footfall",
@@ -65,9 +71,12 @@ def feature_jobs(spark: SparkSession, log_path: str, out_dir: str, fmt: str = "p
     """R4-R6: user, item and category tables written as Parquet."""
     log = readers.read_log(spark, log_path, fmt=fmt)
     out = FeatureOutputs(f"{out_dir}/user_features", f"{out_dir}/item_features", f"{out_dir}/category_features")
-    sinks.write_features(UserFeatures(log, exact_quantiles=exact_quantiles).table(), out.user_path)
-    sinks.write_features(EntityFeatures(log, "item_id").table(), out.item_path)
-    sinks.write_features(EntityFeatures(log, "item_category").table(), out.category_path)
+    # The rollups that a table was built from go when its sink has committed.
+    with temporary_stages(spark):
+        sinks.write_features(UserFeatures(log, exact_quantiles=exact_quantiles).table(), out.user_path)
+    with temporary_stages(spark):
+        sinks.write_features(EntityFeatures(log, "item_id").table(), out.item_path)
+        sinks.write_features(EntityFeatures(log, "item_category").table(), out.category_path)
     return out
 
 
@@ -77,6 +86,6 @@ def quality_job(spark: SparkSession, log_path: str, features: FeatureOutputs, fm
     users = readers.read_features(spark, features.user_path)
     items = readers.read_features(spark, features.item_path)
     cats = readers.read_features(spark, features.category_path)
-    return (Q.quality_report(log, users, "user", Q.user_checks(users.columns, P.numeric_columns(users)))
-            .unionByName(Q.quality_report(log, items, "item", Q.entity_checks("item_id", items.columns)))
-            .unionByName(Q.quality_report(log, cats, "category", Q.entity_checks("item_category", cats.columns))))
+    return (Q.quality_report(log, users, "user", Q.user_checks(users.columns, P.numeric_columns(users)), "user_id")
+            .unionByName(Q.quality_report(log, items, "item", Q.entity_checks("item_id", items.columns), "item_id"))
+            .unionByName(Q.quality_report(log, cats, "category", Q.entity_checks("item_category", cats.columns), "item_category")))

@@ -28,19 +28,22 @@ raw_log AS (
   SELECT event_id AS row_id,
          CASE WHEN k = 98 THEN NULL ELSE CAST(user_id AS VARCHAR) END AS user_id,
          CAST(k % 20 AS VARCHAR) AS item_id,
-         CASE WHEN k = 99 THEN 'x'
+         CASE WHEN k = 99 THEN 'x' WHEN k = 96 THEN '2d' WHEN k = 95 THEN '1f'
               WHEN event_type IN ('view', 'click') THEN '1'
               WHEN event_type = 'signup' THEN CASE WHEN value < 35 THEN '2' ELSE '3' END
               WHEN event_type = 'purchase' THEN CASE WHEN value >= 100 THEN '4' ELSE '1' END
               WHEN event_type = 'error' THEN '9' END AS behavior_type,
          CAST((k % 20) % 5 AS VARCHAR) AS item_category,
-         CASE WHEN k = 97 THEN 'bad' ELSE strftime(ts, '%Y-%m-%d %H') END AS "time"
+         CASE WHEN k = 97 THEN 'bad' WHEN k = 94 THEN '1500-01-01 05' WHEN k = 93 THEN '3000-01-01 05'
+              ELSE strftime(ts, '%Y-%m-%d %H') END AS "time"
   FROM (SELECT *, CAST(regexp_extract(props, '[0-9]+') AS INTEGER) AS k FROM events) e
 )"""
 
 CLEAN_CTE = """
 checked AS (
-  SELECT *, TRY_CAST(behavior_type AS DOUBLE) AS b_num, TRY_STRPTIME("time", '%Y-%m-%d %H') AS t_parsed
+  SELECT *, TRY_CAST(behavior_type AS DOUBLE) AS b_num,
+         CASE WHEN TRY_STRPTIME("time", '%Y-%m-%d %H') BETWEEN TIMESTAMP '1677-09-21 01:00:00'
+                   AND TIMESTAMP '2262-04-11 23:00:00' THEN TRY_STRPTIME("time", '%Y-%m-%d %H') END AS t_parsed
   FROM raw_log
 ),
 clean AS (
@@ -631,12 +634,13 @@ def _common_sql(key: str, prefix: str, columns: list[str]) -> list[tuple]:
     return out
 
 
-def _describe_sql(check_id: str, col: str) -> list[tuple]:
-    return [
-        (check_id, f"min:{col}", f"min({col})", None, "info", "info"),
-        (check_id, f"max:{col}", f"max({col})", None, "info", "info"),
-        (check_id, f"mean:{col}", f"round_even(avg({col}) * 1000000.0, 0) / 1000000.0", None, "info", "info"),
-    ]
+def _describe_sql(check_id: str, name: str, expr: str | None = None) -> list[tuple]:
+    x = expr or name
+    rows = [("count", f"count({x})"), ("mean", f"round_even(avg({x}) * 1000000.0, 0) / 1000000.0"),
+            ("std", f"round_even(stddev_samp({x}) * 1000000.0, 0) / 1000000.0"), ("min", f"min({x})"),
+            ("q25", f"quantile_cont({x}, 0.25)"), ("q50", f"quantile_cont({x}, 0.5)"),
+            ("q75", f"quantile_cont({x}, 0.75)"), ("max", f"max({x})")]
+    return [(check_id, f"{metric}:{name}", value, None, "info", "info") for metric, value in rows]
 
 
 def user_quality_specs() -> list[tuple]:
@@ -649,12 +653,13 @@ def user_quality_specs() -> list[tuple]:
         specs += [("U6", f"min:{r}", f"min({r})", None, "unit", "error"),
                   ("U6", f"max:{r}", f"max({r})", None, "unit", "error")]
     dev = "abs(user_buy_rate + user_cart_rate + user_fav_rate + user_pv_rate - 1.0)"
-    specs += [("U7", "rate_sum_deviation_max", f"max({dev})", None, "info", "info"),
-              ("U7", "rate_sum_deviation_gt_0.001", f"count(*) FILTER (WHERE {dev} > 0.001)", None, "zero", "error")]
+    specs += _describe_sql("U7", "rate_sum_deviation", dev)
+    specs.append(("U7", "rate_sum_deviation_gt_0.001", f"count(*) FILTER (WHERE {dev} > 0.001)", None, "zero", "error"))
     specs += _describe_sql("U8", "user_lifetime_days")
     specs.append(("U8", "lifetime_lt_1", "count(*) FILTER (WHERE user_lifetime_days < 1)", None, "zero", "error"))
     neg = " + ".join(f"(CASE WHEN count(*) FILTER (WHERE {c} < 0) > 0 THEN 1 ELSE 0 END)" for c in numeric)
     specs.append(("U10", "negative_columns", neg, None, "zero", "error"))
+    specs += [("U10", f"negative:{c}", f"count(*) FILTER (WHERE {c} < 0)", None, "zero", "error") for c in numeric]
     specs += [("U11", f"out_of_range:{r}", f"count(*) FILTER (WHERE {r} < 0 OR {r} > 1)", None, "zero", "error")
               for r in USER_RATE_COLUMNS]
     return specs
@@ -706,7 +711,7 @@ def quality_sql(table: str, table_cte: str, specs: list[tuple], source_ctes: lis
 SELECT * FROM (
   SELECT UNNEST([{', '.join(structs)}], recursive := true)
   FROM (SELECT {fcols} FROM {table_cte}) fa CROSS JOIN (SELECT {scols} FROM clean) sa
-) q WHERE NOT (metric LIKE 'null_count:%' AND feature_value = 0)"""
+) q WHERE NOT ((metric LIKE 'null_count:%' OR (check_id = 'U10' AND metric LIKE 'negative:%')) AND feature_value = 0)"""
     return with_log(body, *source_ctes)
 
 
@@ -747,3 +752,28 @@ FROM (SELECT {key}, count(*) AS source_total,
       FROM clean GROUP BY {key}) s
 FULL OUTER JOIN {table_cte} t ON s.{key} = t.{key}"""
     return with_log(body, *table_ctes)
+
+
+def sampled_sql(key: str, table_ctes: list[str], table_cte: str, seed: int = 42) -> str:
+    """The spot check: reconciliation of the entity with the smallest md5."""
+    inner = reconcile_sql(key, table_ctes, table_cte)
+    return f"SELECT * FROM ({inner}) r ORDER BY md5({key} || ':{seed}'), {key} LIMIT 1"
+
+
+def describe_sql(table_ctes: list[str], table: str, columns: list[str]) -> str:
+    """The eight statistics of every numeric column of a feature table."""
+    rows = [f"""SELECT {i} AS position, '{c}' AS "column", count({c}) AS count, {rnd(f'avg({c})', 6)} AS mean,
+       {rnd(f'stddev_samp({c})', 6)} AS std, CAST(min({c}) AS DOUBLE) AS min, CAST(quantile_cont({c}, 0.25) AS DOUBLE) AS q25,
+       CAST(quantile_cont({c}, 0.5) AS DOUBLE) AS q50, CAST(quantile_cont({c}, 0.75) AS DOUBLE) AS q75,
+       CAST(max({c}) AS DOUBLE) AS max FROM {table}""" for i, c in enumerate(columns)]
+    return with_log("\nUNION ALL\n".join(rows), *table_ctes)
+
+
+def numeric_columns(columns: list[str]) -> list[str]:
+    return [c for c in columns if not c.endswith(("_flag", "_time")) and c != "user_maturity_stage"]
+
+
+RAW_CSV_SQL = with_log("""
+SELECT user_id, "timestamp", item_id, behavior_type,
+       row_number() OVER (PARTITION BY user_id ORDER BY "timestamp", row_id) AS behavior_order
+FROM clean""")

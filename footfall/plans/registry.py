@@ -36,23 +36,18 @@ def events_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_log(events_raw(spark, sf_dir))
 
 
-def materialized_log(log: DataFrame) -> DataFrame:
-    """The clean log written once to the shared checkpoint directory, the way
-    the cleaning job's output feeds the feature jobs: every branch of a
-    feature table then scans the written log instead of re-running the
-    cleaning."""
-    return reliable_checkpoint(log)
-
-
 def feature_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return materialized_log(events_log(spark, sf_dir))
+    """The log that feature queries read.  It isn't copied: cleaning is a narrow
+    projection, and the rollups (which are materialized) read it once each."""
+    return events_log(spark, sf_dir)
 
 
 # ----- user table ---------------------------------------------------------
 
 def _family_query(name: str) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return UserFeatures(feature_log(spark, sf_dir)).family(name)
+        sequences = name not in UserFeatures.COUNT_FAMILIES
+        return UserFeatures(feature_log(spark, sf_dir), sequences=sequences).family(name)
     q.__name__ = name
     return q
 
@@ -96,7 +91,7 @@ for _key, _spec in ENTITIES.items():
 from footfall.operators import cleaning as C  # noqa: E402
 from footfall.operators import profiling as P  # noqa: E402
 from footfall.operators import sequences as S  # noqa: E402
-from footfall.operators.ranking import pct_rank  # noqa: E402
+from footfall.operators.ranking import pct_ranks  # noqa: E402
 from footfall.operators.rollups import enrich  # noqa: E402
 from footfall.functions import behavior_name, round_half_even, safe_ratio  # noqa: E402
 from footfall.sources import readers, sinks  # noqa: E402
@@ -211,9 +206,12 @@ def enriched_log(spark, sf_dir):
             .withColumns({"date": F.col("date").cast("timestamp_ntz"), "behavior": behavior_name("behavior_type")}))
 
 
+_SEQUENCE_QUERIES = {"views_before_first_buy", "category_shifts"}
+
+
 def _user_cols(name: str, block: str, cols: list[str]) -> None:
     def q(spark, sf_dir):
-        uf = UserFeatures(feature_log(spark, sf_dir))
+        uf = UserFeatures(feature_log(spark, sf_dir), sequences=block == "base" or name in _SEQUENCE_QUERIES)
         return finish(getattr(uf, block), ["user_id"] + cols)
     register(name, O.user_columns_sql(["user_id"] + cols))(q)
 
@@ -264,13 +262,13 @@ def view_buy_pairs(spark, sf_dir):
 @register("event_order", X["event_order"])
 def event_order(spark, sf_dir):
     uf = UserFeatures(feature_log(spark, sf_dir))
-    return S.event_order(uf.events, uf.user_hour, uf.bucket_rows)
+    return S.event_order(uf.events, uf.bucket_rows)
 
 
 @register("pct_rank_active_days", X["pct_rank_active_days"])
 def pct_rank_active_days(spark, sf_dir):
     days = UserFeatures(feature_log(spark, sf_dir)).day_block.select("user_id", "active_days")
-    return pct_rank(days, "active_days", "pct_rank_active_days")
+    return pct_ranks(days, {"active_days": "pct_rank_active_days"})
 
 
 # ----- quality reports ----------------------------------------------------------
@@ -295,19 +293,19 @@ def _entity_table_and_log(spark, sf_dir, key):
 def quality_user(spark, sf_dir):
     log, users = _user_table_and_log(spark, sf_dir)
     checks = Q.user_checks(users.columns, P.numeric_columns(users))
-    return Q.quality_report(log, users, "user", checks)
+    return Q.quality_report(log, users, "user", checks, "user_id")
 
 
 @register("quality_item", O.quality_entity_sql("item_id"))
 def quality_item(spark, sf_dir):
     log, items = _entity_table_and_log(spark, sf_dir, "item_id")
-    return Q.quality_report(log, items, "item", Q.entity_checks("item_id", items.columns))
+    return Q.quality_report(log, items, "item", Q.entity_checks("item_id", items.columns), "item_id")
 
 
 @register("quality_category", O.quality_entity_sql("item_category"))
 def quality_category(spark, sf_dir):
     log, cats = _entity_table_and_log(spark, sf_dir, "item_category")
-    return Q.quality_report(log, cats, "category", Q.entity_checks("item_category", cats.columns))
+    return Q.quality_report(log, cats, "category", Q.entity_checks("item_category", cats.columns), "item_category")
 
 
 @register("reconcile_all_users", O.reconcile_sql("user_id", O.ALL_USER_CTES + [O.user_table_cte()], "u_table"))
@@ -331,11 +329,44 @@ def reconcile_all_categories(spark, sf_dir):
     return Q.reconcile_all(log, cats, "item_category")
 
 
-@register("sampled_entity_check")
-def sampled_entity_check(spark, sf_dir):
-    """Seeded spot check of one user (no SQL twin: the seeded hash is Spark's)."""
-    log, users = _user_table_and_log(spark, sf_dir)
-    return Q.sampled_entity_check(log, users, "user_id", seed=42)
+_TABLES = {
+    "user_id": ("user", USER_COLUMNS, O.ALL_USER_CTES + [O.user_table_cte()], "u_table"),
+    **{k: (spec["prefix"], spec["columns"], O.entity_ctes(k) + [O.entity_table_cte(k)], "e_table")
+       for k, spec in ENTITIES.items()},
+}
+
+
+def _table_query(key: str, check: bool) -> Query:
+    def q(spark, sf_dir):
+        log, rows = (_user_table_and_log(spark, sf_dir) if key == "user_id"
+                     else _entity_table_and_log(spark, sf_dir, key))
+        return Q.sampled_entity_check(log, rows, key, seed=42) if check else P.describe_numeric(rows)
+    return q
+
+
+for _key, (_name, _cols, _ctes, _table) in _TABLES.items():
+    # Seeded spot check of one entity, and all eight statistics of every numeric column.
+    register("sampled_entity_check" if _key == "user_id" else f"sampled_{_name}_check",
+             O.sampled_sql(_key, _ctes, _table))(_table_query(_key, True))
+    register(f"describe_{_name}", O.describe_sql(_ctes, _table, O.numeric_columns(_cols)))(_table_query(_key, False))
+
+
+@register("raw_csv_clean", O.RAW_CSV_SQL)
+def raw_csv_clean(spark, sf_dir):
+    """The raw log as CSV files of different sizes, read back in file order,
+    cleaned, and every event numbered in its user's order."""
+    raw = events_raw(spark, sf_dir)
+    path = sinks.scratch_path(spark, "raw-csv")
+    cut = raw.agg((F.min("row_id") + (F.max("row_id") - F.min("row_id")) / 10).cast("bigint").alias("cut"))
+    marked = raw.crossJoin(F.broadcast(cut))
+    for part, rows in (("part=0", marked.where("row_id <= cut")), ("part=1", marked.where("row_id > cut"))):
+        (rows.repartitionByRange(3, "row_id").sortWithinPartitions("row_id").drop("cut", "row_id")
+         .write.option("header", True).csv(f"{path}/{part}"))
+    log = C.clean_log(readers.read_raw(spark, path))
+    uf = UserFeatures(log)
+    order = S.event_order(uf.events, uf.bucket_rows)
+    return log.join(order, ["row_id", "user_id"]).select(
+        "user_id", "timestamp", "item_id", "behavior_type", "behavior_order")
 
 
 # ----- scale fixture: lineitem x orders as the log ------------------------------
@@ -346,7 +377,7 @@ from footfall.sources.adapters import lineitem_log  # noqa: E402
 
 def _scale_user(family: str) -> Query:
     def q(spark, sf_dir):
-        return UserFeatures(materialized_log(lineitem_log(spark, sf_dir))).family(family)
+        return UserFeatures(lineitem_log(spark, sf_dir), sequences=False).family(family)
     return q
 
 
@@ -360,7 +391,7 @@ for _fam in ("user_basic", "user_depth", "user_conversion", "user_time_activity"
 
 def _scale_entity(key: str) -> Query:
     def q(spark, sf_dir):
-        return EntityFeatures(materialized_log(lineitem_log(spark, sf_dir)), key).table()
+        return EntityFeatures(lineitem_log(spark, sf_dir), key).table()
     return q
 
 

@@ -25,7 +25,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from footfall.functions import day_span, flag, hours_between, round_half_even, safe_ratio, top_key
+from footfall.functions import bit_flag, day_span, flag, hours_between, round_half_even, safe_ratio, top_key
 from footfall.operators import rollups as R
 from footfall.operators import sequences as S
 from footfall.operators.ranking import pct_ranks, ranked_histogram
@@ -120,8 +120,11 @@ class UserFeatures:
     """
 
     def __init__(self, log: DataFrame, exact_quantiles: bool = True, checkpoint: bool = True,
-                 bucket_rows: int = S.BUCKET_ROWS):
+                 bucket_rows: int = S.BUCKET_ROWS, sequences: bool = True):
+        """``sequences=False``: the (user, hour) rollup has counts only, a plain
+        aggregate of the log without any window over its events."""
         self.log = log
+        self.sequences = sequences
         self.exact = exact_quantiles
         self.use_checkpoint = checkpoint
         self.bucket_rows = bucket_rows
@@ -144,6 +147,9 @@ class UserFeatures:
         """(user, hour) rollup with within-hour and across-hour sequence
         columns: one exchange of the raw events on (user, hour, row-id
         bucket), then exchanges of rollup rows only."""
+        if not self.sequences:
+            mask = F.bit_or(bit_flag("behavior_type")).alias("bt_mask")
+            return self._materialize(self.events.groupBy(KEY, "timestamp").agg(*R.behavior_counts(), mask))
         return self._materialize(S.across_hours(S.user_hour_rollup(self.events, self.bucket_rows)))
 
     @cached_property
@@ -195,7 +201,7 @@ class UserFeatures:
             F.min(F.when(F.col("buy") > 0, F.col("timestamp"))).alias("first_buy_time"),
             F.max(F.when(F.col("buy") > 0, F.col("timestamp"))).alias("last_buy_time"),
             *R.hour_of_day_counts("hour(`timestamp`)", "n"),
-            *S.sequence_aggregates(uh),
+            *(S.sequence_aggregates(uh) if self.sequences else []),
         ]
         b = uh.groupBy(KEY).agg(*aggs)
         hours = [f"h{h}" for h in range(24)]
@@ -210,7 +216,7 @@ class UserFeatures:
             R.argmax_first(hours).alias("peak_active_hour"),
             *[e.alias(name) for name, e in bands.items()],
             R.argmax_first([band_sql[name] for name, _, _ in HOUR_BANDS]).alias("peak_6h_slot"),
-            "steps_sum", "category_shift_cnt", "view_before_first_buy_cnt",
+            *(("steps_sum", "category_shift_cnt", "view_before_first_buy_cnt") if self.sequences else ()),
             "first_buy_time", "last_buy_time",
         )
 
@@ -296,6 +302,8 @@ class UserFeatures:
         "user_time_slots": (),
         "user_sequence": ("asof_block",),
     }
+    # Families that need no order of events.
+    COUNT_FAMILIES = frozenset(FAMILY_BLOCKS) - {"user_sequence"}
     ALL_BLOCKS = ("day_block", "item_block", "category_block", "category_streak_block", "asof_block")
 
     @staticmethod
@@ -367,10 +375,6 @@ class UserFeatures:
             return reliable_checkpoint(self.base)
         return self.base
 
-    # Largest rank table (distinct values of the four ranked columns) that is
-    # broadcast; at ~40 bytes a row this is under 100 MB.
-    RANK_BROADCAST_ROWS = 2_000_000
-
     # The columns ranked for the retention score.
     RANKED = {"active_days": "_r_active", "max_consecutive_active_days": "_r_streak",
               "recent_7d_behavior_cnt": "_r_recent", "inactive_gap_days": "_r_gap"}
@@ -437,11 +441,7 @@ class UserFeatures:
         return self._with_retention(df, hist, index)
 
     def _with_retention(self, df: DataFrame, hist: DataFrame | None, index: dict[str, int]) -> DataFrame:
-        limit = self.RANK_BROADCAST_ROWS if self.use_checkpoint else None
-        if hist is None:
-            df = pct_ranks(df, self.RANKED)
-        else:
-            df = pct_ranks(df, self.RANKED, hist=hist, index=index, broadcast_rows=limit)
+        df = pct_ranks(df, self.RANKED) if hist is None else pct_ranks(df, self.RANKED, hist=hist, index=index)
         c = F.col
         score = (F.lit(0.35) * c("_r_active") + F.lit(0.25) * c("_r_streak")
                  + F.lit(0.25) * c("_r_recent") + F.lit(0.15) * (F.lit(1.0) - c("_r_gap"))) * F.lit(100.0)

@@ -28,8 +28,6 @@ LOG = T.StructType([
     T.StructField("timestamp", T.TimestampNTZType()),
 ])
 
-KEY_COLUMNS = ["user_id", "item_id", "behavior_type", "item_category", "timestamp"]
-
 # Behaviour codes and their names.
 BEHAVIOR_CODES = {1: "pv", 2: "fav", 3: "cart", 4: "buy"}
 PV, FAV, CART, BUY = 1, 2, 3, 4

@@ -1,15 +1,16 @@
 """SparkSession helper used by tests, bench and examples.
 
-On a cluster the session is created by the platform; ``get_spark`` only fills
-in settings that are still unset, so cluster-wide values (shuffle partitions,
-checkpoint directory, ...) always win.
+On a cluster the session is created by the platform or the submit command;
+``get_spark`` without a master only fills in settings that are still unset.
 """
 
 from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 # Settings every job relies on.  ANSI mode stays on (Spark 4 default); the
@@ -21,25 +22,35 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    # Local runs only (tests, bench): no delay scheduling for data locality.
-    "spark.locality.wait": "0s",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
+# Local runs only (tests, bench): no delay scheduling for data locality.
+_LOCAL_DEFAULTS = {"spark.locality.wait": "0s"}
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "footfall") -> SparkSession:
-    """Return the active session or build a local one for tests and bench."""
+    """Return the active session or build one.
+
+    A setting that the submit command or the cluster has set stays as it is; the
+    master is set only when the caller names one (tests and bench)."""
     active = SparkSession.getActiveSession()
     if active is not None:
         ensure_checkpoint_dir(active)
         return active
-    cpus = os.environ.get("BENCH_CPUS", "8")
-    builder = SparkSession.builder.master(master or f"local[{cpus}]").appName(app_name)
-    for key, value in _DEFAULTS.items():
+    builder = SparkSession.builder.appName(app_name)
+    if master:
+        wanted = _DEFAULTS | _LOCAL_DEFAULTS | {
+            "spark.master": master, "spark.sql.shuffle.partitions": str(shuffle_partitions or 8),
+            "spark.driver.memory": os.environ.get("FOOTFALL_DRIVER_MEMORY", "16g")}
+    else:
+        SparkContext._ensure_initialized()  # the submit command's settings are the JVM's
+        submitted = SparkConf()
+        wanted = {k: v for k, v in _DEFAULTS.items() if not submitted.contains(k)}
+        if shuffle_partitions:
+            wanted["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    for key, value in wanted.items():
         builder = builder.config(key, value)
-    builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8))
-    builder = builder.config("spark.driver.memory", os.environ.get("FOOTFALL_DRIVER_MEMORY", "16g"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -49,17 +60,42 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint directory named by the cluster.
 
-    ``spark.checkpoint.dir`` is read from the session.  Only when it is unset
-    (local tests) a private scratch folder is created and registered.
+    ``spark.checkpoint.dir`` is read from the session, then the directory that
+    the context was given.  With neither, a local master (tests) gets a private
+    scratch folder; on a cluster that is an error, because executors would write
+    to disks that nobody else can read.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="footfall-ckpt-")
+        configured = spark.sparkContext.getCheckpointDir()
+        master = spark.sparkContext.master
+        if not configured and not (master == "local" or master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        configured = configured or tempfile.mkdtemp(prefix="footfall-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
-    spark.sparkContext.setCheckpointDir(configured)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(configured)
     return configured
 
 
+_stages: list[str] = []
+
+
+@contextmanager
+def temporary_stages(spark: SparkSession):
+    """Delete the stages that were materialized inside the block at its end,
+    when the job's own outputs have been committed."""
+    before = len(_stages)
+    try:
+        yield
+    finally:
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        for path in _stages[before:]:
+            target = hadoop.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        del _stages[before:]
+
+
 def reliable_checkpoint(df):
     """``df`` written once as a Parquet table below the session's shared
     ``spark.checkpoint.dir`` and read back: the lineage is cut (a lost
@@ -71,5 +107,6 @@ def reliable_checkpoint(df):
 
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/footfall-stage-{uuid.uuid4().hex}"
+    _stages.append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

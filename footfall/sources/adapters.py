@@ -18,10 +18,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def events_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``events`` table rewritten as a raw behaviour log (all text)."""
-    from footfall.sources.readers import spread_narrow_scan
-
-    ev = spread_narrow_scan(
-        table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props"))
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
     # ``props`` is ``{"k": N}``: take the text after ': ' up to '}' (cheap
     # string functions; the cleaning filter is pushed below this projection,
     # so every reference to ``k`` is evaluated again there).
@@ -29,6 +26,8 @@ def events_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     et, value = F.col("event_type"), F.col("value")
     behavior = (
         F.when(k == 99, F.lit("x"))
+        .when(k == 96, F.lit("2d"))
+        .when(k == 95, F.lit("1f"))
         .when(et.isin("view", "click"), F.lit("1"))
         .when(et == "signup", F.when(value < 35, F.lit("2")).otherwise(F.lit("3")))
         .when(et == "purchase", F.when(value >= 100, F.lit("4")).otherwise(F.lit("1")))
@@ -41,6 +40,8 @@ def events_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         behavior.alias("behavior_type"),
         ((k % 20) % 5).cast("string").alias("item_category"),
         F.when(k == 97, F.lit("bad"))
+        .when(k == 94, F.lit("1500-01-01 05"))
+        .when(k == 93, F.lit("3000-01-01 05"))
         .otherwise(F.date_format(F.col("ts").cast("timestamp_ntz"), "yyyy-MM-dd HH"))
         .alias("time"),
     )

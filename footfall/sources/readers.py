@@ -2,31 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from footfall.schemas import LOG, RAW_COLUMNS
 
 
-def spread_narrow_scan(df: DataFrame) -> DataFrame:
-    """Round-robin the rows over the cluster's cores when the scan yields
-    fewer partitions than there are cores (one big non-splittable file, e.g.
-    gzip CSV or a single row group), so the per-row parsing and cleaning that
-    follows runs in parallel.  A scan with enough splits is returned as is:
-    no extra shuffle on large inputs."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+# Rows of one split that get ids of their own: ``row_id`` is the split's rank
+# in file order, shifted by these bits, plus the position inside the task.
+_POSITION_BITS = 33
 
 
-def read_raw(spark: SparkSession, path: str, row_id_column: str | None = None) -> DataFrame:
+def _file_order_id(df: DataFrame) -> DataFrame:
+    """``df`` with ``row_id`` following (file path, offset in the file, line).
+
+    Spark deals splits to tasks by size, so ``monotonically_increasing_id`` alone
+    doesn't follow the files.  Splits are ranked in a table of one row each (8 bytes
+    of hash and a rank, broadcast: some 16 bytes for every 128 MB of input)."""
+    place = df.select("*", F.col("_metadata.file_path").alias("_path"),
+                      F.col("_metadata.file_block_start").alias("_start"))
+    key = F.xxhash64("_path", "_start")
+    splits = (place.select("_path", "_start").distinct()
+              .select(key.alias("_split"), (F.row_number().over(Window.orderBy("_path", "_start")) - 1).alias("_rank")))
+    position = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
+    numbered = place.withColumns({"_position": position, "_split": key})
+    row_id = F.shiftleft(F.col("_rank").cast("bigint"), _POSITION_BITS) + F.col("_position")
+    return numbered.join(F.broadcast(splits), "_split").withColumn("row_id", row_id)
+
+
+def read_raw(spark: SparkSession, path: str, row_id_column: str | None = None,
+             spread: int | None = None) -> DataFrame:
     """Read a raw behaviour CSV with a header; every column is read as text.
 
     ``row_id`` (source order, breaks same-hour ties) is taken from
-    ``row_id_column`` when the file carries an event id; otherwise it is
-    ``monotonically_increasing_id()`` taken right after the scan, which follows
-    file and split order and is repeatable for an unchanged file layout.
+    ``row_id_column`` when the file carries an event id; otherwise it follows the
+    order of the files' paths and of the lines in them.  ``spread`` deals the rows
+    to that many partitions, for input in a few files that can't be split (gzip).
     The required columns are checked before anything runs.
     """
     from footfall.operators.cleaning import require_columns
@@ -34,21 +46,27 @@ def read_raw(spark: SparkSession, path: str, row_id_column: str | None = None) -
     df = spark.read.option("header", True).option("inferSchema", False).csv(path)
     require_columns(df, RAW_COLUMNS)
     if row_id_column:
-        row_id = F.col(row_id_column).cast("bigint")
+        df = df.withColumn("row_id", F.col(row_id_column).cast("bigint"))
     else:
-        row_id = F.monotonically_increasing_id()
+        df = _file_order_id(df)
     # row_id is taken before any repartitioning, so it keeps the file order.
-    return spread_narrow_scan(df.select(row_id.alias("row_id"), *[F.col(c).cast("string") for c in RAW_COLUMNS]))
+    rows = df.select("row_id", *[F.col(c).cast("string") for c in RAW_COLUMNS])
+    return rows.repartition(spread) if spread else rows
 
 
-def read_log(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Read a clean LOG written by :func:`footfall.sources.sinks.write_log`."""
+def read_log(spark: SparkSession, path: str, fmt: str = "parquet", with_date: bool = False) -> DataFrame:
+    """Read a clean LOG written by :func:`footfall.sources.sinks.write_log`.
+
+    Text that doesn't fit its column fails the read.  ``with_date`` adds the
+    partition column of a log laid out by date: a filter on it prunes folders.
+    """
+    schema = T.StructType([*LOG.fields, T.StructField("date", T.DateType())]) if with_date else LOG
     if fmt == "csv":
-        df = (spark.read.schema(LOG).option("header", True)
+        df = (spark.read.schema(schema).option("header", True).option("mode", "FAILFAST")
               .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path))
     else:
-        df = spark.read.schema(LOG).parquet(path)
-    return df.select(*LOG.fieldNames())
+        df = spark.read.schema(schema).parquet(path)
+    return df.select(*schema.fieldNames())
 
 
 def read_features(spark: SparkSession, path: str) -> DataFrame:

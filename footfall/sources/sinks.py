@@ -26,12 +26,14 @@ def _identifier(name: str) -> str:
 def write_log(df: DataFrame, path: str, fmt: str = "parquet", partition_by_date: bool = False) -> None:
     """Write the clean log.  Parquet by default; CSV with a header as an option.
 
-    ``partition_by_date`` lays the files out by event date so recency filters
-    prune whole directories.
+    ``partition_by_date`` lays the files out by event date: a filter on ``date``
+    (``read_log(..., with_date=True)``) prunes folders.  Rows are dealt to tasks by
+    ranges of (date, user), so a date gets about as many files as it has tasks'
+    worth of data, and a large date is split.
     """
     writer = df
     if partition_by_date:
-        writer = df.withColumn("date", F.to_date("timestamp"))
+        writer = df.withColumn("date", F.to_date("timestamp")).repartitionByRange("date", "user_id", "row_id")
     w = writer.write.mode("overwrite")
     if partition_by_date:
         w = w.partitionBy("date")

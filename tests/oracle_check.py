@@ -112,7 +112,7 @@ if __name__ == "__main__":
     from footfall.session import get_spark
     import __spark_entry__ as entry
 
-    spark = get_spark()
+    spark = get_spark(master="local[8]")
     names = args.names or list(entry.queries())
     res = check(spark, names, f"/root/testdata/sf{args.sf}")
     bad = [n for n, r in res.items() if r.get("oracle", True) is not None and not r.get("values_match")]

@@ -67,10 +67,10 @@ def test_injected_fault_is_found(spark):
     victim = users.agg(F.min("user_id")).first()[0]
     broken = users.withColumn("pv_cnt", F.when(F.col("user_id") == victim, F.col("pv_cnt") + 1)
                               .otherwise(F.col("pv_cnt")))
-    rows = Q.quality_report(log, broken, "user", Q.user_checks(broken.columns, numeric_columns(broken))).collect()
+    rows = Q.quality_report(log, broken, "user", Q.user_checks(broken.columns, numeric_columns(broken)), "user_id").collect()
     failed = {r.metric for r in rows if not r.passed}
     assert failed == {"pv_cnt"}
-    clean = Q.quality_report(log, users, "user", Q.user_checks(users.columns, numeric_columns(users))).collect()
+    clean = Q.quality_report(log, users, "user", Q.user_checks(users.columns, numeric_columns(users)), "user_id").collect()
     assert all(r.passed for r in clean)
     recon = Q.reconcile_all(log, broken, "user_id").where(~F.col("matched")).collect()
     assert [r.user_id for r in recon] == [victim]

@@ -9,23 +9,24 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from footfall.plans.registry import ORACLE, QUERIES
 from tests.oracle_check import check
 
 SUBSET = [
     "clean_log", "cleaning_report", "overview", "duplicate_rows", "user_feature_table", "item_feature_table",
     "category_feature_table", "event_order", "last_view_before_buy", "view_buy_pairs", "top_category_per_day",
     "pct_rank_active_days", "quality_user", "reconcile_all_items", "scale_user_basic", "clean_log_stream",
-    "user_basic", "user_sequence", "describe_numeric", "top_null_columns",
+    "user_basic", "user_sequence", "describe_numeric", "top_null_columns", "raw_csv_clean", "sampled_item_check",
+    "describe_category", "quality_category", "invalid_behavior", "invalid_time",
 ]
 
 FULL = os.environ.get("FOOTFALL_FULL_ORACLE") == "1"
-NAMES = sorted(entry.oracle_sql()) if FULL else SUBSET
+NAMES = sorted(ORACLE) if FULL else SUBSET
 SF = "/root/testdata/sf0.01" if FULL else "/root/testdata/sf0.001"
 
 
 def test_every_query_has_an_oracle_or_is_documented():
-    missing = set(entry.queries()) - set(entry.oracle_sql())
-    assert missing == {"sampled_entity_check"}
+    assert set(QUERIES) == set(ORACLE)
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -68,6 +69,6 @@ def test_tiny_buckets_give_the_same_sequences(spark):
     want = duck(user_sql(cols), sf)
     res = compare(got, want)
     assert res["values_match"], res
-    order = S.event_order(uf.events, uf.user_hour, 3).toPandas()
+    order = S.event_order(uf.events, 3).toPandas()
     res = compare(order, duck(entry.oracle_sql()["event_order"], sf))
     assert res["values_match"], res
