@@ -189,7 +189,8 @@ def _with_drops(docs: DataFrame, min_docs: int, least: int, filter_bits: int) ->
     drop_id, drops = free_name(docs, "_drop_id"), free_name(docs, "_drops")
     found = (stage(repeated_lines(docs, min_docs, least, filter_bits), "drops")
              .select(F.col("doc_id").alias(drop_id), F.col("drops").alias(drops)))
-    joined = docs.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col(drop_id)), "left").drop(drop_id)
+    # The table of drops grows with the documents: one kind of join at every size.
+    joined = docs.join(found.hint("merge"), F.col("doc_id").cast("long").eqNullSafe(F.col(drop_id)), "left").drop(drop_id)
     return joined, drops
 
 

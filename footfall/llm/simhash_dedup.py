@@ -203,4 +203,5 @@ def one_per_group(docs: DataFrame, shingle_words: int = 4, radius: int = 4,
     name = free_name(docs, "_kept_id")
     kept = stage(found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
                  .select(F.col("doc_id").alias(name)).distinct(), "kept")
-    return docs.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col(name)), "left_semi")
+    # The kept ids grow with the documents: one kind of join at every size.
+    return docs.join(kept.hint("merge"), F.col(id_col).cast("long").eqNullSafe(F.col(name)), "left_semi")
