@@ -104,8 +104,8 @@ def cardinalities(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def describe_numeric(df: DataFrame, columns: list[str] | None = None, digits: int = 6) -> DataFrame:
     """count, mean, std, min, 25/50/75 % (exact, linear interpolation), max
-    per numeric column; mean and std are rounded to ``digits`` decimals (they
-    are display statistics).  The quartiles come from one ranked histogram
+    per numeric column; mean, std and quartiles are rounded to ``digits``
+    decimals (they are display statistics).  The quartiles come from one ranked histogram
     of distinct values (no value map merged in a single task)."""
     from footfall.operators.ranking import ranked_histogram
     from footfall.operators.thresholds import quantiles_from_histogram
@@ -127,8 +127,8 @@ def describe_numeric(df: DataFrame, columns: list[str] | None = None, digits: in
             F.lit(i).alias("position"), F.lit(c).alias("column"), F.col(f"n{i}").alias("count"),
             round_half_even(F.col(f"mean{i}"), digits).alias("mean"),
             round_half_even(F.col(f"std{i}"), digits).alias("std"),
-            F.col(f"min{i}").alias("min"), F.col(f"q{i}_25").alias("q25"),
-            F.col(f"q{i}_50").alias("q50"), F.col(f"q{i}_75").alias("q75"),
+            F.col(f"min{i}").alias("min"),
+            *[round_half_even(F.col(f"q{i}_{p}"), digits).alias(f"q{p}") for p in (25, 50, 75)],
             F.col(f"max{i}").alias("max"),
         )
         for i, c in enumerate(cols)

@@ -588,8 +588,9 @@ def rnd(x: str, digits: int) -> str:
 ORACLE_EXTRA["describe_numeric"] = with_log(" UNION ALL ".join(
     f"""SELECT {i} AS position, '{c}' AS "column", count({c}) AS count,
        {rnd(f'avg(CAST({c} AS DOUBLE))', 6)} AS mean, {rnd(f'stddev_samp(CAST({c} AS DOUBLE))', 6)} AS std,
-       CAST(min({c}) AS DOUBLE) AS min, quantile_cont(CAST({c} AS DOUBLE), 0.25) AS q25,
-       quantile_cont(CAST({c} AS DOUBLE), 0.5) AS q50, quantile_cont(CAST({c} AS DOUBLE), 0.75) AS q75,
+       CAST(min({c}) AS DOUBLE) AS min, {rnd(f'quantile_cont(CAST({c} AS DOUBLE), 0.25)', 6)} AS q25,
+       {rnd(f'quantile_cont(CAST({c} AS DOUBLE), 0.5)', 6)} AS q50,
+       {rnd(f'quantile_cont(CAST({c} AS DOUBLE), 0.75)', 6)} AS q75,
        CAST(max({c}) AS DOUBLE) AS max FROM e_final"""
     for i, c in enumerate(DESCRIBE_ITEM_COLUMNS)), *entity_ctes("item_id"))
 
@@ -763,8 +764,8 @@ def sampled_sql(key: str, table_ctes: list[str], table_cte: str, seed: int = 42)
 def describe_sql(table_ctes: list[str], table: str, columns: list[str]) -> str:
     """The eight statistics of every numeric column of a feature table."""
     rows = [f"""SELECT {i} AS position, '{c}' AS "column", count({c}) AS count, {rnd(f'avg({c})', 6)} AS mean,
-       {rnd(f'stddev_samp({c})', 6)} AS std, CAST(min({c}) AS DOUBLE) AS min, CAST(quantile_cont({c}, 0.25) AS DOUBLE) AS q25,
-       CAST(quantile_cont({c}, 0.5) AS DOUBLE) AS q50, CAST(quantile_cont({c}, 0.75) AS DOUBLE) AS q75,
+       {rnd(f'stddev_samp({c})', 6)} AS std, CAST(min({c}) AS DOUBLE) AS min, {rnd(f'quantile_cont({c}, 0.25)', 6)} AS q25,
+       {rnd(f'quantile_cont({c}, 0.5)', 6)} AS q50, {rnd(f'quantile_cont({c}, 0.75)', 6)} AS q75,
        CAST(max({c}) AS DOUBLE) AS max FROM {table}""" for i, c in enumerate(columns)]
     return with_log("\nUNION ALL\n".join(rows), *table_ctes)
 
