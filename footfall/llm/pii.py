@@ -127,23 +127,37 @@ def disclosing_terms(docs: DataFrame, occurrences: DataFrame, generalise_at: flo
     pairs = (per_doc.groupBy("entity", "term")
              .agg(F.count("*").alias("n_pair"), F.count_distinct("context").alias("contexts"))
              .where(F.col("contexts") >= min_contexts).select("entity", "term", "n_pair"))
-    pairs = stage(pairs, "pairs")
-    wanted = stage(pairs.select(F.xxhash64("term").alias("t")).distinct(), "terms")
+    entities = (occurrences.select("entity", "doc_key").distinct()
+                .groupBy("entity").agg(F.count("*").alias("n_entity")))
+    near = (occurrences.select("term", "doc_key").distinct().groupBy("term").agg(F.count("*").alias("n_near")))
+    total = F.broadcast(docs.agg(F.count("*").alias("n")))
+
+    def share(n_term: str) -> Column:
+        # Repeated rows count in the corpus counts only, so n_term may not reach n_pair.
+        return (F.log(F.col("n") * F.col("n_pair") / (F.greatest(n_term, "n_pair") * F.col("n_entity")))
+                / F.log(F.col("n") / F.col("n_entity")))
+
+    # The documents that have a term near some entity, then those that have it
+    # anywhere and match a pattern, are some of all that have it: pairs that stay
+    # below the threshold with these smaller counts can't reach it with the true one.
+    pairs = pairs.join(entities, "entity").join(near, "term").join(total)
+    pairs = pairs.where((F.col("n_entity") < F.col("n")) & (share("n_near") >= generalise_at))
+    pairs = stage(pairs.withColumn("t", F.xxhash64("term")), "pairs")
+    for part in (docs.where(F.col(text_col).cast("string").rlike("|".join(PATTERNS.values()))), docs):
+        counts = _documents_with(part, pairs.select("t").distinct(), text_col)
+        pairs = stage(pairs.drop("disclosure").join(counts, "t").withColumn("disclosure", share("n_term"))
+                      .drop("n_term").where(F.col("disclosure") >= generalise_at), "pairs")
+    return pairs.select("entity", "term", "disclosure")
+
+
+def _documents_with(docs: DataFrame, terms: DataFrame, text_col: str) -> DataFrame:
+    """(t, n_term): the number of documents with each of the hashed terms."""
+    wanted = stage(terms, "terms")
     if wanted.count() <= BROADCAST_TERMS:
         wanted = F.broadcast(wanted)
     words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(
         F.lower(F.col(text_col).cast("string")), F.lit(TERM_PATTERN), F.lit(0)))).alias("w"))
-    in_docs = words.select(F.xxhash64("w").alias("t")).join(wanted, "t").groupBy("t").agg(F.count("*").alias("n_term"))
-    entities = (occurrences.select("entity", "doc_key").distinct()
-                .groupBy("entity").agg(F.count("*").alias("n_entity")))
-    total = docs.agg(F.count("*").alias("n"))
-    joined = (pairs.withColumn("t", F.xxhash64("term")).join(in_docs, "t").join(entities, "entity")
-              .join(F.broadcast(total)))
-    # Repeated rows count in the corpus counts only.
-    share = (F.log(F.col("n") * F.col("n_pair") / (F.greatest("n_term", "n_pair") * F.col("n_entity")))
-             / F.log(F.col("n") / F.col("n_entity")))
-    return (joined.where(F.col("n_entity") < F.col("n")).select("entity", "term", share.alias("disclosure"))
-            .where(F.col("disclosure") >= generalise_at))
+    return words.select(F.xxhash64("w").alias("t")).join(wanted, "t").groupBy("t").agg(F.count("*").alias("n_term"))
 
 
 def find_personal_data(docs: DataFrame, generalise_at: float = 0.7, remove_at: float = 0.95,
