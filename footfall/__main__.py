@@ -40,22 +40,25 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--table", default="user_behavior")
     p.add_argument("--database", default="footfall")
     p.add_argument("--row-id")
+    for job in (c, o, f, q):
+        job.add_argument("--text-ids", action="store_true", help="ids are text, not numbers")
     args = ap.parse_args(argv)
+    kind = "string" if getattr(args, "text_ids", False) else "bigint"
 
     spark = get_spark()
     if args.job == "clean":
         res = jobs.clean_job(spark, args.raw, args.log, fmt="csv" if args.csv else "parquet",
-                             row_id_column=args.row_id)
+                             row_id_column=args.row_id, id_kind=kind)
         res.report.show(truncate=False)
     elif args.job == "overview":
-        jobs.overview_job(spark, args.log).show(truncate=False)
+        jobs.overview_job(spark, args.log, id_kind=kind).show(truncate=False)
     elif args.job == "features":
-        out = jobs.feature_jobs(spark, args.log, args.out, exact_quantiles=not args.approx)
+        out = jobs.feature_jobs(spark, args.log, args.out, exact_quantiles=not args.approx, id_kind=kind)
         print(out)
     elif args.job == "quality":
         feats = jobs.FeatureOutputs(f"{args.out}/user_features", f"{args.out}/item_features",
                                     f"{args.out}/category_features")
-        jobs.quality_job(spark, args.log, feats).show(200, truncate=False)
+        jobs.quality_job(spark, args.log, feats, id_kind=kind).show(200, truncate=False)
     elif args.job == "publish":
         jobs.publish_job(spark, args.raw, args.table, args.database, row_id_column=args.row_id).show()
 

@@ -29,11 +29,12 @@ class CleanResult:
 
 
 def clean_job(spark: SparkSession, raw_path: str, log_path: str, fmt: str = "parquet",
-              row_id_column: str | None = None, partition_by_date: bool = True) -> CleanResult:
+              row_id_column: str | None = None, partition_by_date: bool = True,
+              id_kind: str = "bigint") -> CleanResult:
     """R1: raw CSV -> clean log (Parquet by default, partitioned by date), with
     the report of the cleaning and the profile of the raw log (lazy frames)."""
     raw = readers.read_raw(spark, raw_path, row_id_column=row_id_column)
-    sinks.write_log(clean_log(raw), log_path, fmt=fmt, partition_by_date=partition_by_date)
+    sinks.write_log(clean_log(raw, id_kind), log_path, fmt=fmt, partition_by_date=partition_by_date)
     text = raw.drop("row_id")
     profile = {"column_info": P.column_info(text), "null_counts": P.null_counts(text),
                "duplicate_rows": P.duplicate_rows(text), "behavior_distribution": P.value_counts(text, "behavior_type")}
@@ -42,21 +43,22 @@ def clean_job(spark: SparkSession, raw_path: str, log_path: str, fmt: str = "par
 
 def publish_job(spark: SparkSession, raw_path: str, table: str = "user_behavior", database: str = "footfall",
                 jdbc_options: dict[str, str] | None = None, row_id_column: str | None = None) -> DataFrame:
-    """R2: clean, create the database, replace the table, count its rows."""
-    raw = readers.read_raw(spark, raw_path, row_id_column=row_id_column)
+    """R2: clean, create the database, replace the table, compare its row count
+    with the cleaned log's."""
+    log = clean_log(readers.read_raw(spark, raw_path, row_id_column=row_id_column))
     if jdbc_options is None:
         sinks.ensure_database(spark, database)
-    name = sinks.publish_table(clean_log(raw), table, database=None if jdbc_options else database,
+    name = sinks.publish_table(log, table, database=None if jdbc_options else database,
                                jdbc_options=jdbc_options)
     if jdbc_options:
         return spark.read.format("jdbc").options(**jdbc_options).load().groupBy().count() \
             .withColumnRenamed("count", "total_rows")
-    return sinks.verify_published(spark, name)
+    return sinks.verify_published(spark, name, log)
 
 
-def overview_job(spark: SparkSession, log_path: str, fmt: str = "parquet") -> DataFrame:
+def overview_job(spark: SparkSession, log_path: str, fmt: str = "parquet", id_kind: str = "bigint") -> DataFrame:
     """R3: rows, distinct users / items / categories, time range, events per user."""
-    return P.overview(readers.read_log(spark, log_path, fmt=fmt))
+    return P.overview(readers.read_log(spark, log_path, fmt=fmt, id_kind=id_kind))
 
 
 @dataclass
@@ -67,9 +69,9 @@ class FeatureOutputs:
 
 
 def feature_jobs(spark: SparkSession, log_path: str, out_dir: str, fmt: str = "parquet",
-                 exact_quantiles: bool = True) -> FeatureOutputs:
+                 exact_quantiles: bool = True, id_kind: str = "bigint") -> FeatureOutputs:
     """R4-R6: user, item and category tables written as Parquet."""
-    log = readers.read_log(spark, log_path, fmt=fmt)
+    log = readers.read_log(spark, log_path, fmt=fmt, id_kind=id_kind)
     out = FeatureOutputs(f"{out_dir}/user_features", f"{out_dir}/item_features", f"{out_dir}/category_features")
     # The rollups that a table was built from go when its sink has committed.
     with temporary_stages(spark):
@@ -80,9 +82,10 @@ def feature_jobs(spark: SparkSession, log_path: str, out_dir: str, fmt: str = "p
     return out
 
 
-def quality_job(spark: SparkSession, log_path: str, features: FeatureOutputs, fmt: str = "parquet") -> DataFrame:
+def quality_job(spark: SparkSession, log_path: str, features: FeatureOutputs, fmt: str = "parquet",
+                id_kind: str = "bigint") -> DataFrame:
     """R7: the quality checks of all three tables against the log, as rows."""
-    log = readers.read_log(spark, log_path, fmt=fmt)
+    log = readers.read_log(spark, log_path, fmt=fmt, id_kind=id_kind)
     users = readers.read_features(spark, features.user_path)
     items = readers.read_features(spark, features.item_path)
     cats = readers.read_features(spark, features.category_path)

@@ -7,6 +7,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from footfall.operators.cleaning import clean_log
 from footfall.plans import oracle_sql as O
@@ -61,6 +62,24 @@ def user_feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return UserFeatures(feature_log(spark, sf_dir)).table()
 
 
+# Text ids (a letter before the number): ties between ids then follow text order.
+_TEXT_IDS = {"user_id": "u", "item_id": "i", "item_category": "c"}
+
+
+def _text_id_sql() -> str:
+    sql = O.user_sql(USER_COLUMNS)
+    for column, letter in _TEXT_IDS.items():
+        sql = sql.replace(f"CAST({column} AS BIGINT) AS {column}", f"('{letter}' || {column}) AS {column}", 1)
+    return sql
+
+
+@register("string_id_user_table", _text_id_sql())
+def string_id_user_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = events_raw(spark, sf_dir)
+    text = raw.withColumns({c: F.concat(F.lit(letter), F.col(c)) for c, letter in _TEXT_IDS.items()})
+    return UserFeatures(clean_log(text, id_kind="string")).table()
+
+
 @register("user_thresholds", O.user_thresholds_sql())
 def user_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return UserFeatures(feature_log(spark, sf_dir)).thresholds()
@@ -96,7 +115,6 @@ from footfall.operators.rollups import enrich  # noqa: E402
 from footfall.functions import behavior_name, round_half_even, safe_ratio  # noqa: E402
 from footfall.sources import readers, sinks  # noqa: E402
 from footfall.plans.user_features import finish  # noqa: E402
-from pyspark.sql import functions as F  # noqa: E402
 
 X = O.ORACLE_EXTRA
 

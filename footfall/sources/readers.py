@@ -9,6 +9,8 @@ from pyspark.sql import types as T
 from footfall.schemas import LOG, RAW_COLUMNS
 
 
+ID_COLUMNS = ("user_id", "item_id", "item_category")
+
 # Rows of one split that get ids of their own: ``row_id`` is the split's rank
 # in file order, shifted by these bits, plus the position inside the task.
 _POSITION_BITS = 33
@@ -54,13 +56,17 @@ def read_raw(spark: SparkSession, path: str, row_id_column: str | None = None,
     return rows.repartition(spread) if spread else rows
 
 
-def read_log(spark: SparkSession, path: str, fmt: str = "parquet", with_date: bool = False) -> DataFrame:
-    """Read a clean LOG written by :func:`footfall.sources.sinks.write_log`.
+def read_log(spark: SparkSession, path: str, fmt: str = "parquet", with_date: bool = False,
+             id_kind: str = "bigint") -> DataFrame:
+    """Read a clean LOG written by :func:`footfall.sources.sinks.write_log`, with
+    ids of the kind that :func:`footfall.operators.cleaning.clean_log` gave them.
 
     Text that doesn't fit its column fails the read.  ``with_date`` adds the
     partition column of a log laid out by date: a filter on it prunes folders.
     """
-    schema = T.StructType([*LOG.fields, T.StructField("date", T.DateType())]) if with_date else LOG
+    fields = [T.StructField(f.name, T.StringType()) if id_kind == "string" and f.name in ID_COLUMNS else f
+              for f in LOG.fields]
+    schema = T.StructType([*fields, T.StructField("date", T.DateType())] if with_date else fields)
     if fmt == "csv":
         df = (spark.read.schema(schema).option("header", True).option("mode", "FAILFAST")
               .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path))

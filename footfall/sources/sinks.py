@@ -82,9 +82,14 @@ def publish_table(df: DataFrame, name: str, database: str | None = None,
     return qualified
 
 
-def verify_published(spark: SparkSession, qualified_name: str) -> DataFrame:
-    """``SELECT COUNT(*) AS total_rows`` on the published table."""
-    return spark.table(qualified_name).agg(F.count(F.lit(1)).cast("bigint").alias("total_rows"))
+def verify_published(spark: SparkSession, qualified_name: str, expected: DataFrame | None = None) -> DataFrame:
+    """``SELECT COUNT(*) AS total_rows`` on the published table; with ``expected``
+    (the frame that was published) also its count and whether they are equal."""
+    found = spark.table(qualified_name).agg(F.count(F.lit(1)).cast("bigint").alias("total_rows"))
+    if expected is None:
+        return found
+    planned = expected.agg(F.count(F.lit(1)).cast("bigint").alias("expected_rows"))
+    return found.crossJoin(F.broadcast(planned)).withColumn("matched", F.expr("total_rows = expected_rows"))
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

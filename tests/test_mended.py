@@ -157,3 +157,24 @@ def test_small_helpers(spark):
     df = spark.createDataFrame([(1, 1.5, "a", None), (2, None, "b", None)], "i int, d double, s string, n string")
     assert P.numeric_columns(df) == ["i", "d"] and P.numeric_columns(df, floating_only=True) == ["d"]
     assert {r["column"] for r in P.null_counts(df, positive_only=True).collect()} == {"d", "n"}
+
+
+def test_text_ids_through_the_jobs(spark):
+    raw_dir, log_dir, out_dir = (scratch_path(spark, x) for x in ("raw", "log", "out"))
+    raw = events_raw(spark, SF_SMALL).withColumn("user_id", F.concat(F.lit("u"), "user_id"))
+    raw.write.option("header", True).csv(raw_dir)
+    jobs.clean_job(spark, raw_dir, log_dir, row_id_column="row_id", id_kind="string")
+    assert readers.read_log(spark, log_dir, id_kind="string").where("user_id not like 'u%'").count() == 0
+    users = spark.read.parquet(jobs.feature_jobs(spark, log_dir, out_dir, id_kind="string").user_path)
+    plain = UserFeatures(events_log(spark, SF_SMALL)).table()
+    same = ["total_behavior_cnt", "active_days", "avg_steps_to_buy", "retention_score"]
+    got = {r.user_id[1:]: [r[c] for c in same] for r in users.collect()}
+    assert got == {str(r.user_id): [r[c] for c in same] for r in plain.collect()}
+
+
+def test_published_count_is_compared(spark):
+    rows = spark.range(5)
+    name = sinks.publish_table(rows, "counted", path=scratch_path(spark, "table"))
+    assert sinks.verify_published(spark, name, rows).first().asDict() == {
+        "total_rows": 5, "expected_rows": 5, "matched": True}
+    assert not sinks.verify_published(spark, name, spark.range(4)).first().matched
