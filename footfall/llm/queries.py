@@ -108,6 +108,24 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE gone)::BIGINT
 FROM marked GROUP BY doc_id
 """
 
+_EMBEDDING_SQL = """
+WITH RECURSIVE vectors AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v,
+           coalesce(len(embedding) > 0 AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+                    AND list_sum(list_transform(embedding, lambda c: CAST(c AS DOUBLE) * c)) > 0, false) AS usable
+    FROM embeddings
+), links AS (
+    SELECT a.vec_id AS x, b.vec_id AS y FROM vectors a JOIN vectors b
+    ON a.vec_id <> b.vec_id AND a.usable AND b.usable AND len(a.v) = len(b.v)
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.95
+), reach(x, y) AS (
+    SELECT vec_id, vec_id FROM vectors UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x
+), roots AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x)
+SELECT v.vec_id, (SELECT count(*) FROM links l WHERE l.x = v.vec_id)::BIGINT AS n_links, r.component_id,
+       v.vec_id = r.component_id AS kept
+FROM vectors v JOIN roots r ON r.x = v.vec_id
+"""
+
 _WARC_SQL = r"""
 WITH captures AS (
     SELECT page_id, html, sha256(html) AS digest, strlen(html) AS bytes,
@@ -151,5 +169,6 @@ FROM judged
 
 ORACLE: dict[str, str] = {
     "op3_line_dedup": _LINE_DEDUP_SQL,
+    "op5_embedding_dedup": _EMBEDDING_SQL,
     "op8_warc_revisits": _WARC_SQL,
 }
