@@ -128,7 +128,7 @@ def twice_seen(docs: DataFrame, filter_bits: int, least: int) -> bytes:
     merged = (filters.repartition("segment").sortWithinPartitions("segment")
               .mapInArrow(merge, "segment int, twice binary"))
     out = np.zeros((1 << (filter_bits - 3)) // _SEGMENT_BYTES * _SEGMENT_BYTES, np.uint8).reshape(-1, _SEGMENT_BYTES)
-    for row in merged.toLocalIterator():
+    for row in merged.collect():  # bounded by the filter's size
         out[row["segment"]] = np.frombuffer(zlib.decompress(row["twice"]), np.uint8)
     return out.tobytes()
 
