@@ -220,9 +220,9 @@ def _count_stems(batches):
                  pa.array([counts[0][k] for k in keys], pa.int64())], ["stem", "toxic", "clean"])
 
 
-def _choose(rows, n_toxic: int, n_clean: int, size: int) -> list[tuple[str, float, bool]]:
+def _choose(rows, n_toxic: int, n_clean: int) -> list[tuple[str, float, bool]]:
     """The lexicon: the longest of stems that occur in the same documents, without
-    those that a shorter stem of at least their weight covers."""
+    those that a shorter stem of at least their weight covers, heaviest first."""
     counts = {r["stem"]: (r["toxic"], r["clean"]) for r in rows}
     weight = {s: math.log((t + 0.5) / (n_toxic + 1)) - math.log((c + 0.5) / (n_clean + 1))
               for s, (t, c) in counts.items()}
@@ -232,7 +232,7 @@ def _choose(rows, n_toxic: int, n_clean: int, size: int) -> list[tuple[str, floa
     for s in sorted((s for s in stems if s not in longer), key=lambda s: (len(s), s)):
         if all(kept.get(s[:n], 0.0) < weight[s] for n in range(1, len(s))):
             kept[s] = weight[s]
-    best = sorted(kept, key=lambda s: (-kept[s], s))[:size]
+    best = sorted(kept, key=lambda s: (-kept[s], s))
     return [(s, kept[s], counts.get(s + "$", (0, 0))[0] * 2 >= counts[s][0]) for s in best]
 
 
@@ -248,40 +248,55 @@ def _fit(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, rounds: int = 25) -
     return w
 
 
-def learn(docs: DataFrame, labels: DataFrame, max_rows: int = 12_000, lexicon_size: int = 512,
+def _sample(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFrame:
+    """``key, text, toxic`` of at most ``max_rows`` distinct labelled texts.
+
+    Only hashes are shuffled until the texts are chosen, by their hash."""
+    marked = (labels.where(~held_out()).where("toxic is not null and doc_id is not null")
+              .groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.max("toxic").cast("int").alias("_toxic")))
+    rows = docs.where(~held_out()).select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("text"))
+    rows = rows.withColumn("key", F.xxhash64("text"))
+    chosen = (rows.select("_id", "key").distinct().join(marked, "_id")
+              .groupBy("key").agg((F.avg("_toxic") >= 0.5).cast("int").alias("toxic"))
+              .orderBy(F.xxhash64("key"), "key").limit(max_rows))
+    chosen = stage(chosen, "chosen").withColumnRenamed("key", "_key")
+    # Partial aggregates leave one copy of a text in each task.
+    return (rows.join(F.broadcast(chosen), F.col("key") == F.col("_key"))
+            .groupBy("key").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")))
+
+
+def learn(docs: DataFrame, labels: DataFrame, max_rows: int = 12_000,
           min_share: float = 0.005, min_odds: float = 3.0) -> Model:
     """A model from documents that are not held out.
 
-    At most ``max_rows`` labelled rows are used, chosen by a hash of the id (the
-    documented bound of the training sample; everything sent to the driver is
-    bounded by it and by ``lexicon_size``).  Stems must occur in ``min_share`` of
-    the toxic rows, five at least, and be ``min_odds`` times likelier there.
-    Labels that are null are left out, of several labels of one id the highest
-    counts.  Without rows of both classes the score is the share of toxic rows.
+    Every distinct text counts once, whatever the number of its copies.  At most
+    ``max_rows`` labelled texts are used, chosen by their hash (the documented
+    bound of the training sample; everything sent to the driver is bounded by it).
+    All stems that occur in ``min_share`` of the toxic texts, five at least, and
+    are ``min_odds`` times likelier there make the lexicon.  Labels that are null
+    are left out, of several labels of one id the highest counts, of those of one
+    text the more frequent (toxic if equal).  Without texts of both classes the
+    score is the share of toxic texts.
     """
-    marked = (labels.where(~held_out()).where("toxic is not null and doc_id is not null")
-              .groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.max("toxic").cast("int").alias("_toxic"))
-              .orderBy(F.xxhash64("_id"), "_id").limit(max_rows))
-    sample = stage(docs.join(F.broadcast(marked), F.col("doc_id").cast("long") == F.col("_id"))
-                   .select(F.col("text").cast("string").alias("text"), F.col("_toxic").alias("toxic")), "labelled")
+    sample = stage(_sample(docs, labels, max_rows), "labelled")
     sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
     if not n_toxic or not n_clean:
         share = min(max(n_toxic / max(1, n_toxic + n_clean), 1e-9), 1 - 1e-9)
         return Model(Lexicon([]), [0.0] * FEATURES, math.log(share / (1 - share)))
     odds = ((F.col("toxic") + 0.5) / (n_toxic + 1)) / ((F.col("clean") + 0.5) / (n_clean + 1))
-    rows = (sample.mapInArrow(_count_stems, "stem string, toxic long, clean long")
+    rows = (sample.select("text", "toxic").mapInArrow(_count_stems, "stem string, toxic long, clean long")
             .groupBy("stem").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-            .where((F.col("toxic") >= max(5, min_share * n_toxic)) & (odds >= min_odds))
-            .orderBy(F.desc(F.col("toxic") * F.log(odds)), "stem").limit(40 * lexicon_size).collect())
-    lexicon = Lexicon(_choose(rows, n_toxic, n_clean, lexicon_size))
+            .where((F.col("toxic") >= max(5, min_share * n_toxic)) & (odds >= min_odds)).collect())
+    lexicon = Lexicon(_choose(rows, n_toxic, n_clean))
 
     def featurised(batches):
         for batch in batches:
-            values = [features(lexicon, t) for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(values, pa.list_(pa.float64())), batch.column(1)], ["x", "y"])
+            values = [features(lexicon, t) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(values, pa.list_(pa.float64())), batch.column(2)], ["key", "x", "y"])
 
-    table = sample.mapInArrow(featurised, "x array<double>, y int").toArrow()
+    table = sample.mapInArrow(featurised, "key long, x array<double>, y int").toArrow().sort_by("key")
     x = np.array(table.column("x").to_pylist(), float).reshape(-1, FEATURES)
     *weights, bias = _fit(x, np.array(table.column("y").to_pylist(), float)).tolist()
     return Model(lexicon, weights, bias)

@@ -58,3 +58,16 @@ def test_edge_rows(spark, edge_docs, no_docs, labels):
         assert len(rows) == edge_docs.count() and all(0 <= r.score <= 1 for r in rows)
         assert len({r.score for r in rows if not r.text}) == 1
     assert T.score_documents(no_docs, T.learn(no_docs, labels)).count() == 0
+
+
+def test_copies_of_a_toxic_text_count_once(spark):
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcefghk") for _ in range(8)) for _ in range(1500)]
+    texts = [(f"you idiot number {i}", 1) for i in range(30)] + [(f"you friend number {i}", 0) for i in range(90)]
+    texts += [("scum " + " ".join(words), 1)] * 200
+    ids = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 4 != 2]
+    rows = [(i, *t) for i, t in zip(ids, texts)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    model = T.learn(docs, spark.createDataFrame([(i, t) for i, _, t in rows], "doc_id long, toxic int"))
+    assert "idiot" in {s for s, _, _ in model.lexicon.entries}
+    assert model.score(texts[0][0]) > T.THRESHOLD > model.score(texts[40][0])
