@@ -7,11 +7,12 @@ entity may reveal it.  From co-occurrence over the whole corpus
 
     PMI(t; e) = log(N n(t, e) / (n(t) n(e)))     IC(e) = log(N / n(e))
 
-with numbers of documents n and N, the share PMI / IC of the entity's
-information is what the term discloses.  Terms that disclose at least
-``generalise_at`` are generalised, those of at least ``remove_at`` are removed.
-A pair must be seen in documents with ``min_contexts`` different contexts, so that
-copies of one document alone prove nothing.
+with numbers of distinct texts n and N, the share PMI / IC of the entity's
+information is what the term discloses.  It is smoothed by 1 - 3^-c, c the number
+of different contexts of the entity in the pair's texts: two are enough for a
+generalised term, one (and so any number of copies) is not at the default
+thresholds.  Terms that disclose at least ``generalise_at`` are generalised, those
+of at least ``remove_at`` are removed.
 """
 
 from __future__ import annotations
@@ -83,24 +84,24 @@ def _spans_of(kind: str) -> Column:
 
 
 def base_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, doc_key, spans`` of every row: leftmost non-overlapping matches
-    of each kind, without those that fail their check, by start and kind.
+    """``doc_id, doc_key, text_key, spans`` of every row: leftmost non-overlapping
+    matches of each kind, without those that fail their check, by start and kind.
 
     A null text is an empty one.  ``doc_key`` tells documents apart (a hash of id
-    and text: repeated rows have the same)."""
+    and text: repeated rows have the same), ``text_key`` texts."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    rows = rows.withColumn("doc_key", F.xxhash64("doc_id", "text"))
+    rows = rows.withColumn("doc_key", F.xxhash64("doc_id", "text")).withColumn("text_key", F.xxhash64("text"))
     none = F.lit(None).cast("array<string>")
-    found = rows.select("doc_id", "doc_key", "text", *[
+    found = rows.select("doc_id", "doc_key", "text_key", "text", *[
         F.when(F.col("text").rlike(p), F.regexp_extract_all("text", F.lit(p), F.lit(0))).otherwise(none).alias(f"m_{k}")
         for k, p in PATTERNS.items()])
-    cut = found.select("doc_id", "doc_key", *[f"m_{k}" for k in KINDS], *[
+    cut = found.select("doc_id", "doc_key", "text_key", *[f"m_{k}" for k in KINDS], *[
         F.when(F.col(f"m_{k}").isNotNull(), F.split("text", p, -1)).otherwise(none).alias(f"g_{k}")
         for k, p in PATTERNS.items()])
     empty = F.array().cast(f"array<{_SPAN}>")
     spans = F.concat(*[F.when(F.col(f"m_{k}").isNotNull(), _spans_of(k)).otherwise(empty) for k in KINDS])
-    return cut.select("doc_id", "doc_key", F.array_sort(spans).alias("spans"))
+    return cut.select("doc_id", "doc_key", "text_key", F.array_sort(spans).alias("spans"))
 
 
 def _context_terms() -> Column:
@@ -118,50 +119,62 @@ def _context_terms() -> Column:
 
 
 def disclosing_terms(docs: DataFrame, occurrences: DataFrame, generalise_at: float = 0.7,
-                     min_contexts: int = 3, text_col: str = "text") -> DataFrame:
+                     text_col: str = "text") -> DataFrame:
     """(entity, term, disclosure) of the pairs whose disclosure reaches the threshold.
 
-    ``occurrences``: (doc_key, entity, term, context) of every term near an entity.
-    Documents with each candidate term are counted over the whole corpus."""
-    per_doc = occurrences.groupBy("entity", "term", "doc_key").agg(F.min("context").alias("context"))
-    pairs = (per_doc.groupBy("entity", "term")
-             .agg(F.count("*").alias("n_pair"), F.count_distinct("context").alias("contexts"))
-             .where(F.col("contexts") >= min_contexts).select("entity", "term", "n_pair"))
-    entities = (occurrences.select("entity", "doc_key").distinct()
+    ``occurrences``: (text_key, entity, term, context) of every term near an entity.
+    Distinct texts with each candidate term are counted over the whole corpus."""
+    per_text = occurrences.groupBy("entity", "term", "text_key").agg(F.min("context").alias("context"))
+    pairs = per_text.groupBy("entity", "term").agg(F.count("*").alias("n_pair"), F.count_distinct("context").alias("contexts"))
+    entities = (occurrences.select("entity", "text_key").distinct()
                 .groupBy("entity").agg(F.count("*").alias("n_entity")))
-    near = (occurrences.select("term", "doc_key").distinct().groupBy("term").agg(F.count("*").alias("n_near")))
-    total = F.broadcast(docs.agg(F.count("*").alias("n")))
+    near = (occurrences.select("term", "text_key").distinct().groupBy("term").agg(F.count("*").alias("n_near")))
+    total = F.broadcast(docs.select(_text_key(text_col)).distinct().agg(F.count("*").alias("n")))
 
     def share(n_term: str) -> Column:
-        # Repeated rows count in the corpus counts only, so n_term may not reach n_pair.
-        return (F.log(F.col("n") * F.col("n_pair") / (F.greatest(n_term, "n_pair") * F.col("n_entity")))
-                / F.log(F.col("n") / F.col("n_entity")))
-
-    # The documents that have a term near some entity, then those that have it
-    # anywhere and match a pattern, are some of all that have it: pairs that stay
-    # below the threshold with these smaller counts can't reach it with the true one.
+        return _evidence("contexts") * (F.log(F.col("n") * F.col("n_pair") / (F.col(n_term) * F.col("n_entity")))
+                                        / F.log(F.col("n") / F.col("n_entity")))
+
+    # PMI / IC is 1 at most, so pairs with too little evidence are out.  The texts
+    # that have a term near some entity, then those that have it anywhere and match a
+    # pattern, are some of all that have it: pairs that stay below the threshold with
+    # these smaller counts can't reach it with the true one.
+    pairs = pairs.where(_evidence("contexts") >= generalise_at)
     pairs = pairs.join(entities, "entity").join(near, "term").join(total)
     pairs = pairs.where((F.col("n_entity") < F.col("n")) & (share("n_near") >= generalise_at))
     pairs = stage(pairs.withColumn("t", F.xxhash64("term")), "pairs")
     for part in (docs.where(F.col(text_col).cast("string").rlike("|".join(PATTERNS.values()))), docs):
-        counts = _documents_with(part, pairs.select("t").distinct(), text_col)
+        counts = _texts_with(part, pairs.select("t").distinct(), text_col)
         pairs = stage(pairs.drop("disclosure").join(counts, "t").withColumn("disclosure", share("n_term"))
                       .drop("n_term").where(F.col("disclosure") >= generalise_at), "pairs")
     return pairs.select("entity", "term", "disclosure")
 
 
-def _documents_with(docs: DataFrame, terms: DataFrame, text_col: str) -> DataFrame:
-    """(t, n_term): the number of documents with each of the hashed terms."""
+def _evidence(contexts: str) -> Column:
+    return 1 - F.pow(F.lit(3.0), -F.col(contexts))
+
+
+def _text_key(text_col: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("text_key")
+
+
+def _terms(text: Column) -> Column:
+    """Distinct terms of a text."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM_PATTERN), F.lit(0)), F.lower))
+
+
+def _texts_with(docs: DataFrame, terms: DataFrame, text_col: str) -> DataFrame:
+    """(t, n_term): the number of distinct texts with each of the hashed terms."""
     wanted = stage(terms, "terms")
     if wanted.count() <= BROADCAST_TERMS:
         wanted = F.broadcast(wanted)
-    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(
-        F.lower(F.col(text_col).cast("string")), F.lit(TERM_PATTERN), F.lit(0)))).alias("w"))
-    return words.select(F.xxhash64("w").alias("t")).join(wanted, "t").groupBy("t").agg(F.count("*").alias("n_term"))
+    words = docs.select(_text_key(text_col), F.explode(_terms(F.col(text_col).cast("string"))).alias("w"))
+    return (words.select("text_key", F.xxhash64("w").alias("t")).join(wanted, "t").distinct()
+            .groupBy("t").agg(F.count("*").alias("n_term")))
 
 
 def find_personal_data(docs: DataFrame, generalise_at: float = 0.7, remove_at: float = 0.95,
-                       min_contexts: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, doc_key, spans, terms`` of every row of ``docs``.
 
     ``spans`` are the base spans (start, kind, end, value); ``terms`` the disclosing
@@ -170,21 +183,21 @@ def find_personal_data(docs: DataFrame, generalise_at: float = 0.7, remove_at: f
     a null id stays null; other columns are ignored."""
     base = stage(base_spans(docs, id_col, text_col), "base")
     some = base.where(F.size("spans") > 0)
-    near = some.select("doc_key", F.explode("spans").alias("span")).select(
-        "doc_key",
+    near = some.select("text_key", "spans").distinct().select("text_key", F.explode("spans").alias("span")).select(
+        "text_key",
         F.xxhash64(F.col("span.kind"), F.when(F.col("span.kind") == 0, F.lower("span.value"))
                    .otherwise(F.expr(_digits("span.value")))).alias("entity"),
         F.xxhash64("span.before", "span.after").alias("context"),
         F.explode(_context_terms()).alias("t")).select(
-        "doc_key", "entity", "context", "t.term", "t.start", "t.end")
+        "text_key", "entity", "context", "t.term", "t.start", "t.end")
     near = stage(near, "near")
-    strong = stage(disclosing_terms(docs, near, generalise_at, min_contexts, text_col), "strong")
+    strong = stage(disclosing_terms(docs, near, generalise_at, text_col), "strong")
     added = (near.join(strong, ["entity", "term"])
-             .groupBy("doc_key", "start", "end").agg((F.max("disclosure") >= remove_at).alias("removed"))
-             .groupBy("doc_key").agg(F.array_sort(F.collect_list(F.struct("start", "end", "removed"))).alias("terms")))
-    added = stage(added, "added").withColumnRenamed("doc_key", "added_key")
+             .groupBy("text_key", "start", "end").agg((F.max("disclosure") >= remove_at).alias("removed"))
+             .groupBy("text_key").agg(F.array_sort(F.collect_list(F.struct("start", "end", "removed"))).alias("terms")))
+    added = stage(added, "added").withColumnRenamed("text_key", "added_key")
     none = F.array().cast("array<struct<start:int,end:int,removed:boolean>>")
-    with_terms = some.join(added, F.col("doc_key") == F.col("added_key"), "left").select(
+    with_terms = some.join(added, F.col("text_key") == F.col("added_key"), "left").select(
         "doc_id", "doc_key", "spans", F.coalesce(F.expr(
             "filter(terms, t -> not exists(spans, s -> s.start < t.end and t.start < s.end))"), none).alias("terms"))
     without = base.where(F.size("spans") == 0).select("doc_id", "doc_key", "spans", none.alias("terms"))
@@ -206,12 +219,12 @@ def count_of(kind: str) -> Column:
     return F.size(F.expr(f"filter(spans, s -> s.kind = {KINDS.index(kind)})")).cast("long")
 
 
-def sanitise(docs: DataFrame, generalise_at: float = 0.7, remove_at: float = 0.95, min_contexts: int = 3,
+def sanitise(docs: DataFrame, generalise_at: float = 0.7, remove_at: float = 0.95,
              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with entities replaced by their kind in brackets (``[email]``),
     generalised terms by ``[term]`` and removed terms by nothing; of overlapping
     spans the first (then longest) counts.  Null texts stay null."""
-    found = find_personal_data(docs, generalise_at, remove_at, min_contexts, id_col, text_col)
+    found = find_personal_data(docs, generalise_at, remove_at, id_col, text_col)
     marks = [F.lit(f"[{k}]") for k in KINDS]
     every = F.array_sort(F.concat(
         F.transform("spans", lambda s: F.struct(

@@ -59,6 +59,14 @@ def test_copies_alone_prove_nothing(spark):
     assert all(not r.terms for r in P.find_personal_data(docs).collect())
 
 
+def test_two_contexts_are_enough_for_a_term(spark):
+    texts = ["mail vandermeer at a@b.org now", "vandermeer, a@b.org today"] + ["mail now at " + "x" * i for i in range(3, 33)] * 2
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts + texts[:1] * 5)], "doc_id long, text string")
+    rows = {r.doc_id: r for r in P.find_personal_data(docs).collect()}
+    for i in (0, 1, len(texts)):
+        assert [(texts[i % len(texts)][t.start:t.end], t.removed) for t in rows[i].terms] == [("vandermeer", False)]
+
+
 def test_edge_rows(spark, edge_docs, no_docs):
     found = P.find_personal_data(edge_docs)
     assert found.count() == edge_docs.count() and found.where(F.size("spans") + F.size("terms") > 0).count() == 0
