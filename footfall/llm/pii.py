@@ -2,15 +2,15 @@
 terms around it.  DataFrame functions only.
 
 The patterns find the protected entities: mail addresses, IP addresses, card and
-phone numbers.  Terms (words of letters) within ``CONTEXT`` characters of an
-entity may reveal it.  From co-occurrence over the whole corpus
+phone numbers.  Terms (words of letters) anywhere in a text that holds an entity
+may reveal it.  From co-occurrence over the whole corpus
 
     PMI(t; e) = log(N n(t, e) / (n(t) n(e)))     IC(e) = log(N / n(e))
 
 with numbers of distinct texts n and N, the share PMI / IC of the entity's
 information is what the term discloses.  It is smoothed by 1 - 3^-c, c the number
-of different contexts of the entity in the pair's texts: two are enough for a
-generalised term, one (and so any number of copies) is not at the default
+of different contexts (``CONTEXT`` characters either side of the entity) in the
+pair's texts: two are enough for a generalised term, one (and so any number of copies) is not at the default
 thresholds.  Terms that disclose at least ``generalise_at`` are generalised, those
 of at least ``remove_at`` are removed.
 """
@@ -104,50 +104,35 @@ def base_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return cut.select("doc_id", "doc_key", "text_key", F.array_sort(spans).alias("spans"))
 
 
-def _context_terms() -> Column:
-    """Terms of a span's neighbouring texts as structs (term, start, end)."""
-
-    def terms(text: str, origin: str) -> str:
-        words, gaps = f"regexp_extract_all({text}, r'{TERM_PATTERN}', 0)", f"split({text}, r'{TERM_PATTERN}', -1)"
-        return (f"aggregate(zip_with({words}, {gaps}, (w, g) -> named_struct('w', w, 'g', g)), "
-                f"named_struct('at', {origin}, 'out', cast(array() as array<struct<term:string,start:int,end:int>>)), "
-                f"(a, x) -> if(x.w is null, a, named_struct('at', a.at + length(x.g) + length(x.w), 'out', "
-                f"array_append(a.out, named_struct('term', lower(x.w), 'start', a.at + length(x.g), "
-                f"'end', a.at + length(x.g) + length(x.w))))), a -> a.out)")
-
-    return F.expr(f"concat({terms('span.before', 'span.start - length(span.before)')}, {terms('span.after', 'span.end')})")
-
-
-def disclosing_terms(docs: DataFrame, occurrences: DataFrame, generalise_at: float = 0.7,
+def disclosing_terms(docs: DataFrame, occurrences: DataFrame, texts: DataFrame, generalise_at: float = 0.7,
                      text_col: str = "text") -> DataFrame:
-    """(entity, term, disclosure) of the pairs whose disclosure reaches the threshold.
-
-    ``occurrences``: (text_key, entity, term, context) of every term near an entity.
-    Distinct texts with each candidate term are counted over the whole corpus."""
-    per_text = occurrences.groupBy("entity", "term", "text_key").agg(F.min("context").alias("context"))
-    pairs = per_text.groupBy("entity", "term").agg(F.count("*").alias("n_pair"), F.count_distinct("context").alias("contexts"))
-    entities = (occurrences.select("entity", "text_key").distinct()
-                .groupBy("entity").agg(F.count("*").alias("n_entity")))
-    near = (occurrences.select("term", "text_key").distinct().groupBy("term").agg(F.count("*").alias("n_near")))
-    total = F.broadcast(docs.select(_text_key(text_col)).distinct().agg(F.count("*").alias("n")))
-
-    def share(n_term: str) -> Column:
-        return _evidence("contexts") * (F.log(F.col("n") * F.col("n_pair") / (F.col(n_term) * F.col("n_entity")))
-                                        / F.log(F.col("n") / F.col("n_entity")))
-
-    # PMI / IC is 1 at most, so pairs with too little evidence are out.  The texts
-    # that have a term near some entity, then those that have it anywhere and match a
-    # pattern, are some of all that have it: pairs that stay below the threshold with
-    # these smaller counts can't reach it with the true one.
-    pairs = pairs.where(_evidence("contexts") >= generalise_at)
-    pairs = pairs.join(entities, "entity").join(near, "term").join(total)
-    pairs = pairs.where((F.col("n_entity") < F.col("n")) & (share("n_near") >= generalise_at))
-    pairs = stage(pairs.withColumn("t", F.xxhash64("term")), "pairs")
+    """(entity, t, disclosure) of the pairs whose disclosure reaches the threshold,
+    ``t`` the hash of the term.
+
+    ``occurrences``: (entity, text_key, context, n_entity, contexts, n), a row for each
+    entity of a text; ``texts``: (text_key, text) of these texts.  Distinct texts with
+    each candidate term are counted over the whole corpus."""
+    # PMI / IC is 1 at most and n_pair is n_entity at most, which bounds n(t).
+    bound = F.col("n_entity") * F.pow(F.col("n") / F.col("n_entity"),
+                                      1 - F.lit(float(generalise_at)) / _evidence("contexts"))
+    bounds = occurrences.groupBy("text_key").agg((F.max(bound) * (1 + 1e-9)).alias("bound"))
+    words = stage(texts.join(bounds, "text_key").select("text_key", "bound", F.explode(_terms(F.col("text"))).alias("w"))
+                  .select("text_key", "bound", F.xxhash64("w").alias("t")), "words")
+    near = words.groupBy("t").agg(F.count("*").alias("n_term"), F.max("bound").alias("bound"))
+    counts = stage(near.where(F.col("n_term") <= F.col("bound")), "terms")
+    # The texts that have a term and an entity, then those that have it and match a
+    # pattern, are some of all that have it: terms above the bound with these smaller
+    # counts are above it with the true one.
     for part in (docs.where(F.col(text_col).cast("string").rlike("|".join(PATTERNS.values()))), docs):
-        counts = _texts_with(part, pairs.select("t").distinct(), text_col)
-        pairs = stage(pairs.drop("disclosure").join(counts, "t").withColumn("disclosure", share("n_term"))
-                      .drop("n_term").where(F.col("disclosure") >= generalise_at), "pairs")
-    return pairs.select("entity", "term", "disclosure")
+        counted = _texts_with(part, counts.select("t"), text_col)
+        counts = stage(counts.drop("n_term").join(counted, "t").where(F.col("n_term") <= F.col("bound")), "terms")
+    kept = words.join(counts.select("t", "n_term"), "t").where(F.col("n_term") <= F.col("bound"))
+    pairs = (kept.select("text_key", "t", "n_term").join(occurrences, "text_key").groupBy("entity", "t")
+             .agg(F.count("*").alias("n_pair"), F.count_distinct("context").alias("contexts"),
+                  F.max("n_term").alias("n_term"), F.max("n_entity").alias("n_entity"), F.max("n").alias("n")))
+    share = _evidence("contexts") * (F.log(F.col("n") * F.col("n_pair") / (F.col("n_term") * F.col("n_entity")))
+                                     / F.log(F.col("n") / F.col("n_entity")))
+    return pairs.withColumn("disclosure", share).where(F.col("disclosure") >= generalise_at).select("entity", "t", "disclosure")
 
 
 def _evidence(contexts: str) -> Column:
@@ -163,6 +148,18 @@ def _terms(text: Column) -> Column:
     return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM_PATTERN), F.lit(0)), F.lower))
 
 
+def _places() -> Column:
+    """Places of the ``wanted`` terms (a map to ``removed``) in ``text``, in order."""
+    words, gaps = f"regexp_extract_all(text, r'{TERM_PATTERN}', 0)", f"split(text, r'{TERM_PATTERN}', -1)"
+    start = "a.at + length(x.g)"
+    return F.expr(
+        f"aggregate(zip_with({words}, {gaps}, (w, g) -> named_struct('w', w, 'g', g)), named_struct('at', 0, "
+        f"'out', cast(array() as array<struct<start:int,end:int,removed:boolean>>)), "
+        f"(a, x) -> if(x.w is null, a, named_struct('at', {start} + length(x.w), 'out', "
+        f"if(map_contains_key(wanted, lower(x.w)), array_append(a.out, named_struct('start', {start}, "
+        f"'end', {start} + length(x.w), 'removed', element_at(wanted, lower(x.w)))), a.out))), a -> a.out)")
+
+
 def _texts_with(docs: DataFrame, terms: DataFrame, text_col: str) -> DataFrame:
     """(t, n_term): the number of distinct texts with each of the hashed terms."""
     wanted = stage(terms, "terms")
@@ -177,24 +174,34 @@ def find_personal_data(docs: DataFrame, generalise_at: float = 0.7, remove_at: f
                        id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, doc_key, spans, terms`` of every row of ``docs``.
 
-    ``spans`` are the base spans (start, kind, end, value); ``terms`` the disclosing
-    terms near them (start, end, removed), outside all base spans.  A null text is
+    ``spans`` are the base spans (start, kind, end, value); ``terms`` all places of
+    the text's disclosing terms (start, end, removed), outside all base spans.  A null text is
     an empty one; a row without base spans has no terms; repeated rows each appear;
     a null id stays null; other columns are ignored."""
     base = stage(base_spans(docs, id_col, text_col), "base")
     some = base.where(F.size("spans") > 0)
-    near = some.select("text_key", "spans").distinct().select("text_key", F.explode("spans").alias("span")).select(
+    each = some.select("text_key", "spans").distinct().select("text_key", F.explode("spans").alias("span")).select(
         "text_key",
         F.xxhash64(F.col("span.kind"), F.when(F.col("span.kind") == 0, F.lower("span.value"))
                    .otherwise(F.expr(_digits("span.value")))).alias("entity"),
-        F.xxhash64("span.before", "span.after").alias("context"),
-        F.explode(_context_terms()).alias("t")).select(
-        "text_key", "entity", "context", "t.term", "t.start", "t.end")
-    near = stage(near, "near")
-    strong = stage(disclosing_terms(docs, near, generalise_at, text_col), "strong")
-    added = (near.join(strong, ["entity", "term"])
-             .groupBy("text_key", "start", "end").agg((F.max("disclosure") >= remove_at).alias("removed"))
-             .groupBy("text_key").agg(F.array_sort(F.collect_list(F.struct("start", "end", "removed"))).alias("terms")))
+        F.xxhash64("span.before", "span.after").alias("context"))
+    each = stage(each.groupBy("entity", "text_key").agg(F.min("context").alias("context")), "each")
+    total = F.broadcast(base.select("text_key").distinct().agg(F.count("*").alias("n")))
+    # Entities with too little evidence, or in every text, have no disclosing term.
+    entities = (each.groupBy("entity").agg(F.count("*").alias("n_entity"), F.count_distinct("context").alias("contexts"))
+                .join(total).where((_evidence("contexts") >= generalise_at) & (F.col("n_entity") < F.col("n"))))
+    occurrences = stage(each.join(entities, "entity"), "occurrences")
+    texts = docs.select(_text_key(text_col), F.col(text_col).cast("string").alias("text"))
+    texts = stage(texts.where(F.col("text").rlike("|".join(PATTERNS.values())))
+                  .join(occurrences.select("text_key").distinct(), "text_key", "left_semi")
+                  .groupBy("text_key").agg(F.min("text").alias("text")), "texts")
+    strong = stage(disclosing_terms(docs, occurrences, texts, generalise_at, text_col), "strong")
+    wanted = (texts.select("text_key", F.explode(_terms(F.col("text"))).alias("term"))
+              .withColumn("t", F.xxhash64("term")).join(strong.select("t").distinct(), "t")
+              .join(occurrences.select("text_key", "entity"), "text_key").join(strong, ["entity", "t"])
+              .groupBy("text_key", "term").agg((F.max("disclosure") >= remove_at).alias("removed"))
+              .groupBy("text_key").agg(F.map_from_entries(F.collect_list(F.struct("term", "removed"))).alias("wanted")))
+    added = texts.join(wanted, "text_key").select("text_key", _places().alias("terms"))
     added = stage(added, "added").withColumnRenamed("text_key", "added_key")
     none = F.array().cast("array<struct<start:int,end:int,removed:boolean>>")
     with_terms = some.join(added, F.col("text_key") == F.col("added_key"), "left").select(

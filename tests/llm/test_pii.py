@@ -67,6 +67,16 @@ def test_two_contexts_are_enough_for_a_term(spark):
         assert [(texts[i % len(texts)][t.start:t.end], t.removed) for t in rows[i].terms] == [("vandermeer", False)]
 
 
+def test_terms_anywhere_in_the_text_of_an_entity(spark):
+    far = " now mail at xx" * 20
+    texts = [f"Vandermeer signed.{far} a@b.org", f"ask by a@b.org today.{far} Yours, vandermeer or Vandermeer"]
+    texts += ["ask now mail by today at signed yours or " + "x" * i for i in range(2, 62)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = P.find_personal_data(docs).orderBy("doc_id").collect()
+    found = [[texts[r.doc_id][t.start:t.end] for t in r.terms] for r in rows]
+    assert found == [["Vandermeer"], ["vandermeer", "Vandermeer"]] + [[]] * 60
+
+
 def test_edge_rows(spark, edge_docs, no_docs):
     found = P.find_personal_data(edge_docs)
     assert found.count() == edge_docs.count() and found.where(F.size("spans") + F.size("terms") > 0).count() == 0
