@@ -35,13 +35,19 @@ RAW_TAGS = frozenset("script style textarea title iframe noembed noframes xmp te
 BOILER_TAGS = frozenset("nav footer aside form menu dialog button head".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 MAIN_TAGS = frozenset("article main".split())
-# Parts of class, id and role names that tell what a container is for.
+# Names never make these boilerplate: they hold a page or its text.
+WHOLE_TAGS = frozenset("html body main article".split())
+# Parts of class, id and role names that tell what a container is for,
+# and parts by which such a name tells of a state or a relation to something else.
 BOILER_NAMES = frozenset("""
 ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner menu nav navbar navigation
 breadcrumb breadcrumbs sidebar aside complementary rail widget footer contentinfo masthead topbar cookie cookies consent
 gdpr notice notices notification alert popup modal overlay newsletter subscribe signup login search share sharing social
 related recommended teaser toolbar pagination pager comment comments commentlist respond disqus reply replies copyright
 """.split())
+STATE_NAMES = frozenset("""
+has no not with without open opened closed enabled disabled
+""".split())
 HEADER_NAMES = frozenset("header head".split())
 MAIN_NAMES = frozenset("article main content post entry story".split())
 
@@ -78,9 +84,14 @@ class Block:
 
 
 def _names(attributes: str) -> set[str]:
+    """Parts of the names of an element; a name with a part of STATE_NAMES
+    (``has-sidebar``, ``comments-open``) says nothing about the element itself."""
     found = set()
     for _, value in _NAMES.findall(attributes):
-        found.update(re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", value).lower()))
+        for name in value.strip("\"'").split():
+            parts = set(re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", name).lower()))
+            if parts.isdisjoint(STATE_NAMES):
+                found |= parts
     return found
 
 
@@ -177,7 +188,7 @@ def blocks(page: str) -> list[Block]:
                 if stack[depth].name in BLOCK_TAGS:
                     break
         top = stack[-1]
-        names = _names(attributes) if attributes else set()
+        names = _names(attributes) if attributes and name not in WHOLE_TAGS else set()
         boiler = (top.boiler or name in BOILER_TAGS or not names.isdisjoint(BOILER_NAMES)
                   or (bool(attributes) and _HIDDEN.search(attributes) is not None)
                   or (not top.main and (name == "header" or not names.isdisjoint(HEADER_NAMES))))

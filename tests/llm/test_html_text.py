@@ -53,3 +53,11 @@ def test_edge_rows(spark):
     assert "html" not in out.columns and out.columns.count("text") == 1
     assert sorted((r.page_id or 0, r.text) for r in out.collect()) == [(0, ""), (1, "Hello"), (1, "Hello"), (2, "")]
     assert H.extract(pages.limit(0)).count() == 0
+
+
+def test_names_of_page_and_state_are_no_boilerplate():
+    for tag, names in (("body", "has-sidebar"), ("body", "header-fixed"), ("html", "no-sidebar"), ("main", "content search"),
+                       ("article", "post comments-open"), ("div", "content with-ads"), ("div", "page no-sidebar")):
+        assert H.main_text(f"<{tag} class='{names}'><p>{PROSE}</p></{tag}>") == " ".join(PROSE.split()), (tag, names)
+    for names in ("sidebar", "left-sidebar", "menu is-open", "site-footer", "comments"):
+        assert H.main_text(f"<body><div class='{names}'><p>{PROSE}</p></div></body>") == "", names
