@@ -20,10 +20,10 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from footfall.llm.stages import Shared, held_out
+from footfall.llm.stages import Shared, held_out, stage
 
 UNDETERMINED = "und"
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
@@ -134,14 +134,29 @@ def learn(docs: DataFrame, max_rows: int = 4000, longest: int = 3, landmarks: in
           ridge: float = 0.03) -> LanguageModel:
     """A model from text and non-null ``lang`` of documents that are not held out.
 
-    At most ``max_rows`` rows are used, chosen by a hash of the id: the documented
-    bound of the sample that the driver fits (its whole texts)."""
-    rows = (docs.where(~held_out()).where("lang is not null and text is not null")
+    At most ``max_rows`` distinct rows are used, chosen by a hash of id, language and
+    text: the documented bound of the sample that the driver fits (its whole texts).
+    Half of it is dealt equally to the languages, so that rare ones are learned."""
+    rows = (docs.where(~held_out()).where("lang is not null and text is not null and doc_id is not null")
             .select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                     F.col("lang").cast("string").alias("lang")))
-    chosen = (rows.select("doc_id", "lang").where("doc_id is not null")
-              .orderBy(F.xxhash64("doc_id"), "doc_id", "lang").limit(max_rows).distinct())
-    sample = rows.join(F.broadcast(chosen), ["doc_id", "lang"]).collect()
+    rows = rows.withColumn("key", F.xxhash64("doc_id", "lang", "text"))
+    keys = stage(rows.select("lang", "key").distinct(), "keys")
+    counts = stage(keys.groupBy("lang").agg(F.count("*").alias("of_lang")), "counts")
+    every = counts.agg(F.sum("of_lang").alias("rows"), F.count("*").alias("langs")).first()
+    if not every["langs"]:
+        return fit([], [], longest, landmarks, ridge)
+    share = max(1, max_rows // (2 * every["langs"]))
+    # More rows than are needed of each language, so few that they can be ranked.
+    part = F.greatest(F.lit(2 * max_rows / every["rows"]), F.lit(2.0 * share + 50) / F.col("of_lang"))
+    order = F.xxhash64("key")
+    few = keys.join(counts, "lang").where(F.pmod(order, F.lit(1 << 40)) / F.lit(float(1 << 40)) <= part)
+    ranked = few.withColumn("rank", F.row_number().over(
+        Window.partitionBy("lang").orderBy(F.pmod(order, F.lit(1 << 40)), "key")))
+    chosen = (ranked.orderBy(F.col("rank") > share, F.pmod(order, F.lit(1 << 40)), "key").limit(max_rows)
+              .select(F.col("key").alias("_key"), F.col("lang").alias("_lang")))
+    sample = (rows.join(F.broadcast(stage(chosen, "chosen")), (F.col("key") == F.col("_key")) & (F.col("lang") == F.col("_lang")))
+              .groupBy("key", "lang").agg(F.min("doc_id").alias("doc_id"), F.min("text").alias("text")).collect())
     sample.sort(key=lambda r: (r["doc_id"], r["lang"], r["text"]))
     return fit([r["text"] for r in sample], [r["lang"] for r in sample], longest, landmarks, ridge)
 

@@ -139,35 +139,43 @@ def _utf8(scalar) -> bytes | None:
 
 
 def repeated_lines(docs: DataFrame, min_docs: int = 3, least: int = 20, filter_bits: int = 27) -> DataFrame:
-    """(doc_id, drops): per document the digests of the keys that it loses.
+    """(doc_id, text_key, drops): per row the digests of the keys that it loses.
+
+    ``text_key`` is the text's xxhash64; rows equal in both are one row here.
 
     A key found in at least ``min_docs`` documents (distinct doc_ids) stays only
     in the largest doc_id.  ``drops`` is a list of 16-byte digests, as many as the
-    document has such lines at most."""
+    row's text has such lines at most, however many rows share its id."""
     bitmap = docs.sparkSession.sparkContext.broadcast(twice_seen(docs, filter_bits, least))
 
     def suspects(batches):
         seen = np.frombuffer(bitmap.value, np.uint8)
         for batch in batches:
-            ids, keys = [], []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            ids, rows, keys = [], [], []
+            for doc, row, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(1)):
                 own = list(long_keys(_utf8(text), least))
                 ids += [doc] * len(own)
+                rows += [row] * len(own)
                 keys += own
             hit = np.flatnonzero(_get(seen, _positions(_hashes(keys), filter_bits)).all(axis=1)).tolist()
             yield pa.RecordBatch.from_arrays(
-                [pa.array([ids[i] for i in hit], pa.int64()), pa.array([_digest(keys[i]) for i in hit], pa.binary())],
-                ["doc_id", "line"])
+                [pa.array([ids[i] for i in hit], pa.int64()), pa.array([rows[i] for i in hit], pa.int64()),
+                 pa.array([_digest(keys[i]) for i in hit], pa.binary())],
+                ["doc_id", "text_key", "line"])
 
     pairs = stage(
-        docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-        .mapInArrow(suspects, "doc_id long, line binary").distinct(), "suspects")
+        docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), _text_key())
+        .mapInArrow(suspects, "doc_id long, text_key long, line binary").distinct(), "suspects")
     # A null doc_id counts as one document, smaller than all others.
     confirmed = stage(
-        pairs.groupBy("line").agg(F.count("*").alias("n"), F.max("doc_id").alias("keeper"))
+        pairs.select("doc_id", "line").distinct().groupBy("line").agg(F.count("*").alias("n"), F.max("doc_id").alias("keeper"))
         .where(F.col("n") >= min_docs).select("line", "keeper"), "confirmed")
     return (pairs.join(confirmed, "line").where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
-            .groupBy("doc_id").agg(F.collect_list("line").alias("drops")))
+            .groupBy("doc_id", "text_key").agg(F.collect_list("line").alias("drops")))
+
+
+def _text_key():
+    return F.xxhash64(F.col("text").cast("string")).alias("text_key")
 
 
 def _digest(key: bytes) -> bytes:
@@ -186,11 +194,12 @@ def _without(text: bytes | None, drops, least: int) -> tuple[bytes, int, int]:
 
 def _with_drops(docs: DataFrame, min_docs: int, least: int, filter_bits: int) -> tuple[DataFrame, str]:
     """``docs`` with one more column, the digests to drop, and its name."""
-    drop_id, drops = free_name(docs, "_drop_id"), free_name(docs, "_drops")
+    drop_id, drop_key, drops = (free_name(docs, n) for n in ("_drop_id", "_drop_key", "_drops"))
     found = (stage(repeated_lines(docs, min_docs, least, filter_bits), "drops")
-             .select(F.col("doc_id").alias(drop_id), F.col("drops").alias(drops)))
+             .select(F.col("doc_id").alias(drop_id), F.col("text_key").alias(drop_key), F.col("drops").alias(drops)))
     # The table of drops grows with the documents: one kind of join at every size.
-    joined = docs.join(found.hint("merge"), F.col("doc_id").cast("long").eqNullSafe(F.col(drop_id)), "left").drop(drop_id)
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(drop_id)) & (_text_key() == F.col(drop_key))
+    joined = docs.join(found.hint("merge"), same, "left").drop(drop_id, drop_key)
     return joined, drops
 
 

@@ -43,3 +43,12 @@ def test_edge_rows(spark, edge_docs, no_docs):
     nothing = L.learn(no_docs)
     assert nothing.languages == [] and {r.lang_pred for r in L.identify(edge_docs, nothing).collect()} == {"und"}
     assert L.identify(no_docs, model).count() == 0
+
+
+def test_sample_is_bounded_by_rows_and_holds_rare_languages(spark, monkeypatch):
+    rows = [(1, f"the house number {i}", "en") for i in range(900)] + [(1, "the same house again", "en")] * 300
+    rows += [(3, f"das haus nummer {i}", "de") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    monkeypatch.setattr(L, "fit", lambda texts, langs, *rest: list(zip(texts, langs)))
+    sample = L.learn(docs.where(~held_out()), max_rows=40)
+    assert len(sample) == len(set(sample)) == 40 and sum(lang == "de" for _, lang in sample) == 3

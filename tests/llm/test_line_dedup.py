@@ -42,3 +42,11 @@ def test_all_lines_of_the_largest_id_stay(spark):
     docs = spark.createDataFrame([(i, f"{line}\n{line.upper()}\nend") for i in range(1, 6)], "doc_id long, text string")
     got = {r.doc_id: r.text for r in L.dedup_lines(docs).collect()}
     assert got[5] == f"{line}\n{line.upper()}\nend" and all(got[i] == "end" for i in range(1, 5))
+
+
+def test_rows_of_one_id_have_lists_of_their_own(spark):
+    lines = [f"a line of the corpus with number {k}" for k in range(60)]
+    rows = [(None, lines[k]) for k in range(60)] + [(i, "\n".join(lines)) for i in (1, 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(len(r.drops) for r in L.repeated_lines(docs).collect()) == [1] * 60 + [60]
+    assert sorted(r.text for r in L.dedup_lines(docs).collect()) == [""] * 61 + ["\n".join(lines)]
