@@ -7,10 +7,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm import byte_bpe, decontaminate, embedding_dedup, html_text, language_id, line_dedup, pii, simhash_dedup, toxicity, warc
+from footfall.llm import (best_fit_packing, byte_bpe, collocations, decontaminate, embedding_dedup, html_text, language_id,
+                          line_dedup, pii, simhash_dedup, toxicity, vector_codes, warc)
 from footfall.llm.stages import held_out
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
+PACKING_VOCABULARY = "byte_bpe_50k.json"
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -74,6 +76,20 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_read(spark, sf_dir, "documents"))
+
+
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit_packing.pack_documents(_read(spark, sf_dir, "documents"), public_tokenizers.path(PACKING_VOCABULARY),
+                                           public_tokenizers.PATTERN)
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, _ = vector_codes.compress(_read(spark, sf_dir, "embeddings"))
+    return codes.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_simhash_dedup": op2_simhash_dedup,
@@ -85,6 +101,9 @@ QUERIES = {
     "op8_warc_revisits": op8_warc_revisits,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_language_id": op10_language_id,
+    "op11_collocations": op11_collocations,
+    "op12_best_fit_packing": op12_best_fit_packing,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 _LINE_DEDUP_SQL = r"""
@@ -167,8 +186,91 @@ SELECT 2 * page_id + 1 AS record_id, canonical_url, captured_at, outcome,
 FROM judged
 """
 
+_COLLOCATION_SQL = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), worded AS (
+    SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS words FROM pieces
+), placed AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM worded),
+totals AS (SELECT lang, count(*) AS n FROM placed GROUP BY lang),
+grams AS (
+    SELECT lang, words[i] AS phrase, 1 AS size FROM placed
+    UNION ALL SELECT lang, words[i] || ' ' || words[i + 1], 2 FROM placed WHERE i + 1 <= len(words)
+    UNION ALL SELECT lang, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2], 3 FROM placed WHERE i + 2 <= len(words)
+), counts AS MATERIALIZED (
+    SELECT lang, phrase, size, count(*) AS a, string_split(phrase, ' ') AS w FROM grams GROUP BY lang, phrase, size
+    HAVING count(*) >= 10
+), cuts AS (
+    SELECT lang, phrase, size, a, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS tail
+    FROM (SELECT *, unnest(range(1, size)) AS k FROM counts WHERE size > 1)
+), scored AS (
+    SELECT c.lang, c.phrase, c.size, c.a, l.a AS l, r.a AS r, c.k,
+           ((1000000::HUGEINT * c.a * c.a) // (l.a::HUGEINT * r.a))::BIGINT AS score
+    FROM cuts c JOIN counts l ON l.lang = c.lang AND l.phrase = c.head
+    JOIN counts r ON r.lang = c.lang AND r.phrase = c.tail
+), weakest AS (
+    SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), inside AS (
+    SELECT lang, phrase, max(a) AS longer FROM (
+        SELECT lang, w[1] || ' ' || w[2] AS phrase, a FROM counts WHERE size = 3
+        UNION ALL SELECT lang, w[2] || ' ' || w[3], a FROM counts WHERE size = 3) GROUP BY lang, phrase
+), ranked AS (
+    SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) AS rank,
+           s.phrase, a, l, r, score
+    FROM weakest s LEFT JOIN inside i ON i.lang = s.lang AND i.phrase = s.phrase
+    WHERE i.longer IS NULL OR 100 * i.longer < 50 * s.a
+)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
+def _vector_code_sql(parts: int = vector_codes.PARTS, entries: int = vector_codes.ENTRIES,
+                     rounds: int = vector_codes.ROUNDS, scale: int = vector_codes.SCALE) -> str:
+    """Plain k-means: every part against every entry, in each round."""
+    steps = [f"""WITH kept AS (
+    SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS HUGEINT)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), numbered AS (SELECT *, row_number() OVER (ORDER BY vec_id) - 1 AS place FROM kept),
+parts AS MATERIALIZED (
+    SELECT vec_id, label, place, p, v[p * len(v) // {parts} + 1:(p + 1) * len(v) // {parts}] AS v
+    FROM numbered, range({parts}) t(p)
+), book0 AS MATERIALIZED (SELECT p, place AS entry, v FROM parts WHERE place < {entries})"""]
+    for i in range(rounds + 1):
+        steps.append(f"""near{i} AS MATERIALIZED (
+    SELECT x.vec_id, x.label, x.p, x.v, min(CAST({entries} AS HUGEINT) * list_sum(list_transform(list_zip(x.v, b.v),
+        lambda z: (z[1] - z[2]) * (z[1] - z[2]))) + b.entry) AS best
+    FROM parts x JOIN book{i} b ON b.p = x.p GROUP BY x.vec_id, x.label, x.p, x.v
+)""")
+        if i < rounds:
+            steps.append(f"""mean{i} AS (
+    SELECT p, entry, list(m ORDER BY j) AS v FROM (
+        SELECT p, entry, j, CAST((s - ((s % n) + n) % n) // n AS HUGEINT) AS m FROM (
+            SELECT p, best % {entries} AS entry, j, sum(x) AS s, CAST(count(*) AS HUGEINT) AS n FROM (
+                SELECT p, best, unnest(v) AS x, generate_subscripts(v, 1) AS j FROM near{i}) GROUP BY ALL)
+    ) GROUP BY p, entry
+), book{i + 1} AS MATERIALIZED (
+    SELECT b.p, b.entry, coalesce(m.v, b.v) AS v FROM book{i} b LEFT JOIN mean{i} m ON m.p = b.p AND m.entry = b.entry
+)""")
+    return ",\n".join(steps) + f""", coded AS (
+    SELECT vec_id, label, string_agg(printf('%02x', CAST(best % {entries} AS INTEGER)), '' ORDER BY p) AS code,
+           CAST(sum(best // {entries}) AS BIGINT) AS error
+    FROM near{rounds} GROUP BY vec_id, label
+), digest AS (
+    SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, entry)) AS codebooks_sha256 FROM book{rounds}
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM coded, digest"""
+
+
 ORACLE: dict[str, str] = {
     "op3_line_dedup": _LINE_DEDUP_SQL,
     "op5_embedding_dedup": _EMBEDDING_SQL,
     "op8_warc_revisits": _WARC_SQL,
+    "op11_collocations": _COLLOCATION_SQL,
+    "op13_vector_codes": _vector_code_sql(),
 }
