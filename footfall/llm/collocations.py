@@ -1,14 +1,18 @@
 """Phrase collocation mining by vertical partitioning of word suffix trees.
 
 Every word occurrence starts a suffix, cut after the longest phrase.  Tasks count
-equal suffixes of a chunk of text before anything is shuffled; the counted
-suffixes are the leaves of a depth-truncated suffix tree for each language.  The tree is
-partitioned vertically: a prefix of one word whose leaves fit the memory budget
-goes to a group whole; one with more is lengthened by a word, and so on.
-Prefixes share groups as long as a group fits the budget.  Each group's subtree is built by
-itself, from its sorted leaves, and a node's count is the total of the leaves
-below it.  Frequent nodes are the candidates; their parts are looked up among
-the nodes.
+equal suffixes of a chunk of text before anything is shuffled.
+
+1. Words and pairs are counted.  A pair below the threshold is in no candidate, so
+   a bit filter of the frequent pairs (no false negatives) cuts suffixes before
+   their first rare pair; what is left are the leaves of a depth-truncated suffix tree
+   for each language.
+2. The tree is partitioned vertically: a prefix whose leaves fit the memory
+   budget goes to a group whole; one with more is lengthened by a word, and so on.
+   Prefixes share groups as long as a group fits.
+3. Each group's subtrees are built by themselves, from the sorted leaves; a node's
+   count is the total of the leaves below it.  Frequent nodes are the candidates,
+   and their parts are looked up among the nodes.
 """
 
 from __future__ import annotations
@@ -16,10 +20,11 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from footfall.llm.stages import stage
+from footfall.llm.stages import Shared, stage
 
 DEPTH = 3
 LEAST = 10                # occurrences of a candidate
@@ -28,6 +33,9 @@ TOP = 2000
 BUDGET_ROWS = 1 << 19     # leaves of a group that one task builds its subtrees from
 CHUNK_BYTES = 16 << 20    # text whose suffixes are counted together before the shuffle
 SCORE_UNIT = 1_000_000
+BROADCAST_PREFIXES = 200_000
+FILTER_LOAD = 16          # bits of the filter for a frequent pair
+FILTER_BITS = 28          # at most 2 ** this many bits (32 MB); a fuller filter cuts less, results stay
 
 # Letters folded, characters that end a piece, and a byte that no UTF-8 text holds.
 _UPPER, _LOWER, _ENDS, _BREAK = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz", b".,;:!?\n\x0b\x0c\r", b"\xff"
@@ -38,35 +46,87 @@ def _words(depth: int) -> list[str]:
     return [f"w{i}" for i in range(1, depth + 1)]
 
 
-def count_suffixes(texts: list[bytes], depth: int = DEPTH) -> pa.Table:
-    """(w1 ... w_depth, n): the distinct suffixes of the texts' pieces, cut to ``depth``
-    words, ended by empty words where the piece ends."""
+class PairFilter:
+    """A bit for the hash of every frequent pair of words of a language."""
+
+    def __init__(self, bits: np.ndarray):
+        self.bits = bits                                    # bytes, a power of two of them
+
+    def __call__(self, lang: str, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        at = pair_places(lang, first, second, 8 * len(self.bits))
+        return self.bits[at >> 3] >> (at & 7).astype(np.uint8) & 1 == 1
+
+
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    return np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64)
+
+
+def pair_places(lang: str, first: np.ndarray, second: np.ndarray, places: int) -> np.ndarray:
+    """Place of each pair among ``places`` (a power of two), from the words' hashes."""
+    mixed = first * np.uint64(0x9E3779B97F4A7C15) ^ second ^ np.uint64(xxhash.xxh64_intdigest(lang.encode()))
+    mixed = (mixed ^ mixed >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)
+    return (mixed >> np.uint64(24) & np.uint64(places - 1)).astype(np.int64)
+
+
+def _count(columns: list[np.ndarray], names: list[str], spelled: pa.Array) -> pa.Table:
+    found = pa.table([pa.array(c) for c in columns], names).group_by(names, use_threads=False).aggregate([([], "count_all")])
+    return pa.table([*[spelled.take(found[w]) for w in names], found["count_all"]], [*names, "n"])
+
+
+def _coded(texts: list[bytes]) -> tuple[np.ndarray, int, list[bytes]]:
+    """The texts' words as codes, the code that ends a piece, and the words."""
     folded = _BREAK.join(texts).translate(_FOLD)
     words = pa.array([*folded.replace(_BREAK, b" " + _BREAK + b" ").split(), _BREAK], pa.binary()).dictionary_encode()
-    end = words.dictionary.index(pa.scalar(_BREAK, pa.binary())).as_py()
-    codes = words.indices.to_numpy()
-    columns = [codes]
+    return (words.indices.to_numpy(), words.dictionary.index(pa.scalar(_BREAK, pa.binary())).as_py(),
+            words.dictionary.to_pylist())
+
+
+def _spelled(words: list[bytes], end: int) -> pa.Array:
+    return pa.array([b"" if i == end else w for i, w in enumerate(words)], pa.binary()).cast(pa.string())
+
+
+def count_short(texts: list[bytes]) -> pa.Table:
+    """(w1, w2, n): pairs, single words (null w2) and all words (both null) of the texts."""
+    codes, end, words = _coded(texts)
+    spelled, first, second = _spelled(words, end), codes[:-1], codes[1:]
+    pair = (first != end) & (second != end)
+    pairs = _count([first[pair], second[pair]], ["w1", "w2"], spelled)
+    single = _count([codes[codes != end]], ["w1"], spelled)
+    none = pa.nulls(single.num_rows, pa.string())
+    total = pa.table([pa.nulls(1, pa.string()), pa.nulls(1, pa.string()), pa.array([int((codes != end).sum())])],
+                     ["w1", "w2", "n"])
+    return pa.concat_tables([pairs, single.add_column(1, "w2", none), total])
+
+
+def count_suffixes(texts: list[bytes], depth: int = DEPTH, lang: str = "", frequent: PairFilter | None = None) -> pa.Table:
+    """(w1 ... w_depth, n): the distinct suffixes of the texts' pieces, cut to ``depth``
+    words and before the first pair that is not ``frequent``, with empty words from there."""
+    codes, end, words = _coded(texts)
+    after = np.append(codes[1:], codes.dtype.type(end))
+    goes_on = (codes != end) & (after != end)
+    starts = codes != end
+    if frequent is not None:
+        hashes = word_hashes(words)
+        at = np.flatnonzero(goes_on)
+        goes_on[at] = frequent(lang, hashes[codes[at]], hashes[after[at]])
+        starts = goes_on
+    columns, on = [codes], goes_on
     for i in range(1, depth):
         later = np.append(codes[i:], np.full(min(i, len(codes)), end, codes.dtype))
-        columns.append(np.where(columns[-1] == end, end, later))
-    starts = codes != end
-    found = pa.table([pa.array(c[starts]) for c in columns], _words(depth)).group_by(
-        _words(depth), use_threads=False).aggregate([([], "count_all")])
-    spelled = [b"" if i == end else w for i, w in enumerate(words.dictionary.to_pylist())]
-    spelled = pa.array(spelled, pa.binary()).cast(pa.string())
-    return pa.table([*[spelled.take(found[w]) for w in _words(depth)], found["count_all"]], [*_words(depth), "n"])
+        columns.append(np.where(on, later, end))
+        on = on & np.append(goes_on[i:], np.zeros(min(i, len(codes)), bool))
+    return _count([c[starts] for c in columns], _words(depth), _spelled(words, end))
 
 
-def leaves(docs: DataFrame, depth: int = DEPTH, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """``lang, w1 ... w_depth, n``: suffixes counted by chunk of text (equal ones of
-    other chunks are separate rows)."""
+def _counted(docs: DataFrame, names: list[str], count, text_col: str, lang_col: str) -> DataFrame:
+    """``count`` of the texts of a language, chunk by chunk, as ``lang, <names>, n`` (equal rows of
+    other chunks are separate)."""
     narrow = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
                          F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    names = ["lang", *_words(depth), "n"]
 
     def flush(waiting):
         for lang, texts in waiting.items():
-            table = count_suffixes(texts, depth)
+            table = count(lang, texts)
             table = table.add_column(0, "lang", pa.array([lang] * table.num_rows, pa.string()))
             yield from table.combine_chunks().to_batches(max_chunksize=1 << 17)
 
@@ -82,7 +142,48 @@ def leaves(docs: DataFrame, depth: int = DEPTH, text_col: str = "text", lang_col
                     waiting, size = {}, 0
         yield from flush(waiting)
 
-    return narrow.mapInArrow(run, ", ".join(f"{c} string" for c in names[:-1]) + ", n long")
+    return narrow.mapInArrow(run, ", ".join(f"{c} string" for c in ["lang", *names]) + ", n long")
+
+
+def short_phrases(docs: DataFrame, least: int = LEAST, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """``lang, w1, w2, count`` of the frequent pairs, the frequent words (null ``w2``) and,
+    with both null, of all words of a language."""
+    found = _counted(docs, ["w1", "w2"], lambda lang, texts: count_short(texts), text_col, lang_col)
+    counted = found.groupBy("lang", "w1", "w2").agg(F.sum("n").alias("count"))
+    return stage(counted.where((F.col("count") >= least) | F.col("w1").isNull()), "short-phrases")
+
+
+def pair_filter(pairs: DataFrame) -> PairFilter:
+    """The filter of ``pairs`` (lang, w1, w2), put together by Spark from bitmaps of 4 KB: the
+    driver sees at most ``2 ** FILTER_BITS`` bits."""
+    wanted = max(1, FILTER_LOAD * pairs.count())
+    places = 1 << min(FILTER_BITS, max(15, (wanted - 1).bit_length()))
+
+    def run(batches):
+        for batch in batches:
+            lang, first, second = (c.to_pylist() for c in batch.columns)
+            at = [pair_places(g, word_hashes([a.encode()]), word_hashes([b.encode()]), places)[0]
+                  for g, a, b in zip(lang, first, second)]
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64())], ["place"])
+
+    # Bit 1 is place 1 of a bitmap bucket in Spark; bucket 1 starts there.
+    place = F.col("place") + 1
+    rows = (pairs.select("lang", "w1", "w2").mapInArrow(run, "place long")
+            .groupBy(F.bitmap_bucket_number(place).alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect())
+    bits = np.zeros(places // 8, np.uint8)
+    for bucket, part in rows:
+        bits[(bucket - 1) * 4096:bucket * 4096] = np.frombuffer(part, np.uint8)
+    return PairFilter(bits)
+
+
+def leaves(docs: DataFrame, pairs: DataFrame, depth: int = DEPTH, text_col: str = "text",
+           lang_col: str = "lang") -> DataFrame:
+    """``lang, w1 ... w_depth, n``: suffixes that start with a frequent pair, counted by
+    chunk of text."""
+    shared = Shared(docs.sparkSession, pair_filter(pairs))
+    return _counted(docs, _words(depth), lambda lang, texts: count_suffixes(texts, depth, lang, shared.value),
+                    text_col, lang_col)
 
 
 def subtree_nodes(table: pa.Table, depth: int = DEPTH, least: int = 1) -> pa.Table:
@@ -117,15 +218,21 @@ def _prefix(level: int) -> list[str]:
 
 
 def _subtrees(level: int, depth: int, least: int):
-    """The task of a group whose prefixes have ``level`` words: nodes above them are
-    counted elsewhere."""
+    """The task of a group whose prefixes have ``level`` words: nodes above them, and single
+    words, are counted elsewhere."""
     def run(part: pa.Table) -> pa.Table:
         nodes = subtree_nodes(part, depth, least)
-        return nodes.filter(pc.not_equal(nodes[f"w{level}"], ""))
+        return nodes.filter(pc.not_equal(nodes[f"w{max(2, level)}"], ""))
 
     return run
 
 
+def _small(heavy: DataFrame) -> DataFrame:
+    """Heavy prefixes, broadcast where there are few (more than a budget of rows lies below
+    each, so a corpus of a million budgets has a million at most)."""
+    return F.broadcast(heavy) if heavy.count() <= BROADCAST_PREFIXES else heavy
+
+
 def prefix_tables(found: DataFrame, depth: int = DEPTH, budget: int = BUDGET_ROWS) -> list[DataFrame]:
     """By level, the prefixes that had to be counted: ``lang, w1 ..., count, rows,
     heavy``; the first level has all words, a further one the continuations of the heavy
@@ -138,7 +245,7 @@ def prefix_tables(found: DataFrame, depth: int = DEPTH, budget: int = BUDGET_ROW
         if level == depth or heavy.isEmpty():
             break
         # A heavy prefix has more than ``budget`` rows: there are at most rows / budget of them.
-        rest = rest.join(heavy.select(*_prefix(level)), _prefix(level), "left_semi")
+        rest = rest.join(_small(heavy.select(*_prefix(level))), _prefix(level), "left_semi")
     return tables
 
 
@@ -168,24 +275,27 @@ def phrase_counts(docs: DataFrame, depth: int = DEPTH, least: int = LEAST, budge
                   text_col: str = "text", lang_col: str = "lang") -> tuple[DataFrame, DataFrame]:
     """(counts, totals): ``lang, w1 ... w_depth, count`` of all phrases of 1 to ``depth``
     words that occur ``least`` times, and ``lang, n`` of all word occurrences."""
-    found = stage(leaves(docs, depth, text_col, lang_col), "suffixes")
+    short = short_phrases(docs, least, text_col, lang_col)
+    totals = short.where("w1 IS NULL").select("lang", F.col("count").alias("n"))
+    found = stage(leaves(docs, short.where("w2 IS NOT NULL"), depth, text_col, lang_col), "suffixes")
     tables = prefix_tables(found, depth, budget)
-    totals = tables[0].groupBy("lang").agg(F.sum("count").alias("n"))
     groups = _group_count(tables, budget)
     words, names = _words(depth), ["lang", *_words(depth)]
     schema = ", ".join(f"{c} string" for c in names) + ", count long"
-    counts, rest = None, found
+    # Single words come from the first count: leaves hold only occurrences in frequent pairs.
+    counts = short.where("w1 IS NOT NULL AND w2 IS NULL").select(
+        "lang", "w1", *[F.lit("").alias(w) for w in words[1:]], "count")
+    rest = found
     for level, table in enumerate(tables, 1):
         # Heavy prefixes were counted as prefixes; their continuations are in the next table.
-        known = table.where(F.col("heavy") & (F.col("count") >= least)).select(
-            *_prefix(level), *[F.lit("").alias(w) for w in words[level:]], "count")
-        known = known.where(" AND ".join(f"w{i} <> ''" for i in range(1, level + 1)))
-        heavy = table.where("heavy").select(*_prefix(level))
+        heavy = _small(table.where("heavy").select(*_prefix(level)))
         light = rest.join(heavy, _prefix(level), "left_anti")
         built = (light.withColumn("group", _group(level, groups)).groupBy("group")
                  .applyInArrow(_subtrees(level, depth, least), schema))
-        for part in (known, built):
-            counts = part if counts is None else counts.unionByName(part)
+        counts = counts.unionByName(built)
+        if level > 1:
+            known = table.where(F.col("heavy") & (F.col("count") >= least) & (F.col(f"w{level}") != ""))
+            counts = counts.unionByName(known.select(*_prefix(level), *[F.lit("").alias(w) for w in words[level:]], "count"))
         rest = rest.join(heavy, _prefix(level), "left_semi")
     return stage(counts, "phrases"), totals
 

@@ -66,7 +66,7 @@ def test_deeper_phrases_and_other_thresholds(spark):
 def test_prefixes_are_grouped_by_budget(spark, monkeypatch):
     monkeypatch.setattr(C, "CHUNK_BYTES", 500)
     df = spark.createDataFrame(texts(300), "text string, lang string").repartition(4)
-    found = C.stage(C.leaves(df), "test-leaves")
+    found = C.stage(C.leaves(df, C.short_phrases(df).where("w2 IS NOT NULL")), "test-leaves")
     tables = C.prefix_tables(found, budget=50)
     assert len(tables) == 3 and tables[0].where("heavy").count() > 0
     groups = C._group_count(tables, 50)
@@ -89,6 +89,20 @@ def test_subtrees_read_counts_from_leaves():
     assert nodes == {("a",): 3, ("a", "b"): 3, ("a", "b", "c"): 2, ("b",): 3, ("b", "c"): 2, ("c",): 2}
 
 
+def test_filter_keeps_all_frequent_pairs(spark, monkeypatch):
+    pairs = spark.createDataFrame([("en", f"a{i % 50}", f"b{i}") for i in range(3000)], "lang string, w1 string, w2 string")
+    kept = C.pair_filter(pairs)
+    first, second = (C.word_hashes([f"{x}{i}".encode() for i in r]) for x, r in (("a", [i % 50 for i in range(3000)]), ("b", range(3000))))
+    assert kept("en", first, second).all() and kept("en", second, first).mean() < 0.15
+    table = C.count_suffixes([b"a1 b1 b2 a2 b2 x. a3 b3"], 3, "en", kept)
+    assert set(zip(*(table[w].to_pylist() for w in ("w1", "w2", "w3")))) == {
+        ("a1", "b1", ""), ("a2", "b2", ""), ("a3", "b3", "")}
+    monkeypatch.setattr(C, "FILTER_BITS", 15)  # a full filter cuts less and changes nothing
+    docs = texts(200, seed=9)
+    df = spark.createDataFrame(docs, "text string, lang string")
+    assert rows(C.collocations(df, least=2)) == plain(docs, least=2)
+
+
 def test_edge_rows(spark, edge_docs, no_docs):
     docs = [(r.text, r.lang) for r in edge_docs.collect()]
     assert rows(C.collocations(edge_docs, least=2)) == plain(docs, least=2)
