@@ -39,7 +39,7 @@ FILTER_BITS = 28          # at most 2 ** this many bits (32 MB); a fuller filter
 
 # Letters folded, characters that end a piece, and a byte that no UTF-8 text holds.
 _UPPER, _LOWER, _ENDS, _BREAK = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz", b".,;:!?\n\x0b\x0c\r", b"\xff"
-_FOLD = bytes.maketrans(_UPPER + _ENDS, _LOWER + _BREAK * len(_ENDS))
+_FOLD = bytes.maketrans(_UPPER + b"\t" + _ENDS, _LOWER + b" " + _BREAK * len(_ENDS))
 
 
 def _words(depth: int) -> list[str]:
@@ -74,11 +74,17 @@ def _count(columns: list[np.ndarray], names: list[str], spelled: pa.Array) -> pa
 
 
 def _coded(texts: list[bytes]) -> tuple[np.ndarray, int, list[bytes]]:
-    """The texts' words as codes, the code that ends a piece, and the words."""
-    folded = _BREAK.join(texts).translate(_FOLD)
-    words = pa.array([*folded.replace(_BREAK, b" " + _BREAK + b" ").split(), _BREAK], pa.binary()).dictionary_encode()
-    return (words.indices.to_numpy(), words.dictionary.index(pa.scalar(_BREAK, pa.binary())).as_py(),
-            words.dictionary.to_pylist())
+    """The texts' words as codes, the code that ends a piece, and the words.  Words are
+    split and coded as an Arrow array, never as Python objects."""
+    folded = _BREAK.join([*texts, b""]).translate(_FOLD).replace(_BREAK, b" " + _BREAK + b" ")
+    split = pc.split_pattern(pa.array([folded], pa.large_binary()), " ").flatten().dictionary_encode()
+    codes, words = split.indices.to_numpy(), split.dictionary.to_pylist()
+    if b"" in words:
+        codes = codes[codes != words.index(b"")]
+    if _BREAK not in words:
+        words.append(_BREAK)
+    end = words.index(_BREAK)
+    return np.append(codes, codes.dtype.type(end)), end, words
 
 
 def _spelled(words: list[bytes], end: int) -> pa.Array:
