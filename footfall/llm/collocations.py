@@ -31,7 +31,7 @@ LEAST = 10                # occurrences of a candidate
 SWALLOWED = 50            # per cent of a candidate's occurrences inside one longer candidate that drop it
 TOP = 2000
 BUDGET_ROWS = 1 << 19     # leaves of a group that one task builds its subtrees from
-CHUNK_BYTES = 16 << 20    # text whose suffixes are counted together before the shuffle
+CHUNK_BYTES = 6 << 20     # text whose suffixes are counted together before the shuffle
 SCORE_UNIT = 1_000_000
 BROADCAST_PREFIXES = 200_000
 FILTER_LOAD = 16          # bits of the filter for a frequent pair
@@ -134,7 +134,9 @@ def _counted(docs: DataFrame, names: list[str], count, text_col: str, lang_col:
         for lang, texts in waiting.items():
             table = count(lang, texts)
             table = table.add_column(0, "lang", pa.array([lang] * table.num_rows, pa.string()))
-            yield from table.combine_chunks().to_batches(max_chunksize=1 << 17)
+            yield from table.combine_chunks().to_batches(max_chunksize=1 << 16)
+            del table
+            pa.default_memory_pool().release_unused()
 
     def run(batches):
         waiting, size = {}, 0
