@@ -1,10 +1,12 @@
 """Command line for the end-to-end jobs.
 
-    python -m footfall clean    --raw RAW_CSV_DIR --log LOG_DIR [--row-id COL]
+    python -m footfall clean    --raw RAW_CSV_DIR --log LOG_DIR [--row-id COL] [--spread N]
     python -m footfall overview --log LOG_DIR
     python -m footfall features --log LOG_DIR --out OUT_DIR [--approx]
     python -m footfall quality  --log LOG_DIR --out OUT_DIR
-    python -m footfall publish  --raw RAW_CSV_DIR [--table NAME --database DB]
+    python -m footfall publish  --raw RAW_CSV_DIR [--table NAME --database DB] [--spread N]
+
+With ``--text-ids`` ids are text.
 
 Reports are printed as tables (they are small: one row per check or one row
 per run); the data itself is only written by Spark.
@@ -15,7 +17,7 @@ from __future__ import annotations
 import argparse
 
 from footfall.plans import jobs
-from footfall.session import get_spark
+from footfall.session import get_spark, temporary_stages
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -40,16 +42,19 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--table", default="user_behavior")
     p.add_argument("--database", default="footfall")
     p.add_argument("--row-id")
-    for job in (c, o, f, q):
+    for job in (c, p):
+        job.add_argument("--spread", type=int, help="deal rows of files that can't be split to that many tasks")
+    for job in (c, o, f, q, p):
         job.add_argument("--text-ids", action="store_true", help="ids are text, not numbers")
     args = ap.parse_args(argv)
     kind = "string" if getattr(args, "text_ids", False) else "bigint"
 
     spark = get_spark()
     if args.job == "clean":
-        res = jobs.clean_job(spark, args.raw, args.log, fmt="csv" if args.csv else "parquet",
-                             row_id_column=args.row_id, id_kind=kind)
-        res.report.show(truncate=False)
+        with temporary_stages(spark):
+            res = jobs.clean_job(spark, args.raw, args.log, fmt="csv" if args.csv else "parquet",
+                                 row_id_column=args.row_id, id_kind=kind, spread=args.spread)
+            res.report.show(truncate=False)
     elif args.job == "overview":
         jobs.overview_job(spark, args.log, id_kind=kind).show(truncate=False)
     elif args.job == "features":
@@ -60,7 +65,8 @@ def main(argv: list[str] | None = None) -> None:
                                     f"{args.out}/category_features")
         jobs.quality_job(spark, args.log, feats, id_kind=kind).show(200, truncate=False)
     elif args.job == "publish":
-        jobs.publish_job(spark, args.raw, args.table, args.database, row_id_column=args.row_id).show()
+        jobs.publish_job(spark, args.raw, args.table, args.database, row_id_column=args.row_id, id_kind=kind,
+                         spread=args.spread).show()
 
 
 if __name__ == "__main__":

@@ -8,9 +8,11 @@ from footfall.functions.expressions import (
     coerce_hour,
     day_span,
     flag,
+    hour_in_range,
     hours_between,
     id_value,
     missing_to_null,
+    parsed_hour,
     round_half_even,
     safe_ratio,
     slot,
@@ -19,6 +21,6 @@ from footfall.functions.expressions import (
 
 __all__ = [
     "behavior_name", "bit_flag", "checked_id", "id_value", "coerce_behavior", "coerce_hour",
-    "day_span", "flag", "hours_between", "missing_to_null", "round_half_even",
+    "day_span", "flag", "hour_in_range", "hours_between", "missing_to_null", "parsed_hour", "round_half_even",
     "safe_ratio", "slot", "top_key",
 ]

@@ -106,12 +106,22 @@ HOUR_PATTERN = r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}$"
 FIRST_HOUR, LAST_HOUR = "1677-09-21 01:00:00", "2262-04-11 23:00:00"
 
 
+def parsed_hour(c: ColumnOrName) -> Column:
+    """``'YYYY-MM-DD HH'`` text to TIMESTAMP_NTZ of any year; NULL for other text."""
+    col = _col(c)
+    return F.when(col.rlike(HOUR_PATTERN), F.concat(col, F.lit(":00:00")).try_cast("timestamp_ntz"))
+
+
+def hour_in_range(hour: ColumnOrName) -> Column:
+    """``hour``, NULL outside the nanosecond range."""
+    h = _col(hour)
+    return F.when(h.between(*[F.lit(x).cast("timestamp_ntz") for x in (FIRST_HOUR, LAST_HOUR)]), h)
+
+
 def coerce_hour(c: ColumnOrName) -> Column:
     """``'YYYY-MM-DD HH'`` text to TIMESTAMP_NTZ; anything else (hour 24,
     minutes, bad dates, years outside the nanosecond range) gives NULL."""
-    col = _col(c)
-    hour = F.when(col.rlike(HOUR_PATTERN), F.concat(col, F.lit(":00:00")).try_cast("timestamp_ntz"))
-    return F.when(hour.between(*[F.lit(h).cast("timestamp_ntz") for h in (FIRST_HOUR, LAST_HOUR)]), hour)
+    return hour_in_range(parsed_hour(c))
 
 
 def id_value(c: ColumnOrName) -> Column:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from footfall.functions import checked_id, coerce_behavior, coerce_hour, id_value, missing_to_null
+from footfall.functions import checked_id, coerce_behavior, hour_in_range, id_value, missing_to_null, parsed_hour
 from footfall.schemas import RAW_COLUMNS
 
 
@@ -16,6 +16,13 @@ def require_columns(df: DataFrame, columns: list[str]) -> None:
         raise ValueError(f"missing columns: {missing}")
 
 
+def evaluated_once(df: DataFrame) -> DataFrame:
+    """``df`` behind a projection that the optimizer neither merges with later ones nor
+    pushes filters through.  Otherwise a filter on a parsed column copies the whole
+    expression below the projection, once for every reference to it."""
+    return df.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
+
+
 def normalized(raw: DataFrame) -> DataFrame:
     """RAW with missing-value tokens turned into NULL in every text column."""
     require_columns(raw, RAW_COLUMNS)
@@ -24,25 +31,32 @@ def normalized(raw: DataFrame) -> DataFrame:
 
 def coerced(raw: DataFrame) -> DataFrame:
     """RAW plus the coerced behaviour number and hour timestamp."""
-    return normalized(raw).withColumns({
-        "behavior_num": coerce_behavior("behavior_type"),
-        "ts": coerce_hour("time"),
-    })
+    texts = evaluated_once(normalized(raw))
+    parsed = evaluated_once(texts.withColumns({"behavior_num": coerce_behavior("behavior_type"),
+                                               "ts": parsed_hour("time")}))
+    return parsed.withColumn("ts", hour_in_range("ts"))
 
 
 def _valid_behavior(col: str = "behavior_num"):
     return F.col(col).isin(1.0, 2.0, 3.0, 4.0)
 
 
-def clean_log(raw: DataFrame, id_kind: str = "bigint") -> DataFrame:
+def clean_log(raw: DataFrame, id_kind: str = "bigint", report: Observation | None = None) -> DataFrame:
     """RAW -> LOG.
 
     Coerce behaviour to a number and time to an hour timestamp, drop rows
     with a missing key field, keep behaviour codes 1-4, cast and rename
     ``time`` to ``timestamp``.  Duplicate rows are kept.  Narrow: no shuffle.
+    ``report`` gets the counts of :func:`cleaning_report` from the first action on
+    the log (which must not run the cleaning twice, as a sampling range shuffle would).
     """
     c = coerced(raw)
-    kept = c.where(
+    return kept_rows(c.observe(report, *report_counts()) if report else c, id_kind)
+
+
+def kept_rows(coerced_raw: DataFrame, id_kind: str = "bigint") -> DataFrame:
+    """The valid rows of :func:`coerced` as LOG."""
+    kept = coerced_raw.where(
         F.col("user_id").isNotNull() & F.col("item_id").isNotNull()
         & F.col("item_category").isNotNull() & F.col("ts").isNotNull()
         & _valid_behavior()
@@ -67,16 +81,15 @@ def clean_log(raw: DataFrame, id_kind: str = "bigint") -> DataFrame:
     )
 
 
-def cleaning_report(raw: DataFrame) -> DataFrame:
-    """One row: rows in, rows kept, rows removed, and the count per reason
-    (a row may have several reasons)."""
-    c = coerced(raw)
+def report_counts() -> list[Column]:
+    """Aggregates over :func:`coerced`: rows in, rows kept, rows removed, and the count
+    per reason (a row may have several reasons)."""
     missing_key = (F.col("user_id").isNull() | F.col("item_id").isNull()
                    | F.col("item_category").isNull())
     invalid_behavior = ~F.coalesce(_valid_behavior(), F.lit(False))
     invalid_time = F.col("ts").isNull()
     kept = ~missing_key & ~invalid_behavior & ~invalid_time
-    return c.agg(
+    return [
         F.count(F.lit(1)).cast("bigint").alias("rows_in"),
         F.count_if(kept).cast("bigint").alias("rows_kept"),
         F.count_if(~kept).cast("bigint").alias("rows_removed"),
@@ -85,7 +98,13 @@ def cleaning_report(raw: DataFrame) -> DataFrame:
         F.count_if(F.col("item_category").isNull()).cast("bigint").alias("missing_item_category"),
         F.count_if(invalid_behavior).cast("bigint").alias("invalid_behavior"),
         F.count_if(invalid_time).cast("bigint").alias("invalid_time"),
-    )
+    ]
+
+
+def cleaning_report(raw: DataFrame) -> DataFrame:
+    """One row with the :func:`report_counts` of the raw log, as a pass of its own; a job
+    that writes the log takes them from that write."""
+    return coerced(raw).agg(*report_counts())
 
 
 def invalid_behavior(raw: DataFrame) -> DataFrame:

@@ -10,14 +10,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from footfall.operators import profiling as P
 from footfall.operators import quality as Q
-from footfall.operators.cleaning import clean_log, cleaning_report
+from footfall.operators.cleaning import clean_log, coerced, kept_rows, report_counts
 from footfall.plans.entity_features import EntityFeatures
 from footfall.plans.user_features import UserFeatures
-from footfall.session import temporary_stages
+from footfall.schemas import RAW_COLUMNS
+from footfall.session import reliable_checkpoint, temporary_stages
 from footfall.sources import readers, sinks
 
 
@@ -30,30 +31,41 @@ class CleanResult:
 
 def clean_job(spark: SparkSession, raw_path: str, log_path: str, fmt: str = "parquet",
               row_id_column: str | None = None, partition_by_date: bool = True,
-              id_kind: str = "bigint") -> CleanResult:
+              id_kind: str = "bigint", spread: int | None = None) -> CleanResult:
     """R1: raw CSV -> clean log (Parquet by default, partitioned by date), with
-    the report of the cleaning and the profile of the raw log (lazy frames)."""
-    raw = readers.read_raw(spark, raw_path, row_id_column=row_id_column)
-    sinks.write_log(clean_log(raw, id_kind), log_path, fmt=fmt, partition_by_date=partition_by_date)
-    text = raw.drop("row_id")
+    the report of the cleaning and the profile of the raw log (lazy frames).
+
+    The CSV is read and coerced once, into a stage; the report is observed by
+    that write.  The log's date ranges, which need a sample, and the profile read the stage,
+    which goes at the end of the caller's :func:`footfall.session.temporary_stages`.
+    ``spread`` deals the rows of files that can't be split to that many tasks."""
+    raw = readers.read_raw(spark, raw_path, row_id_column=row_id_column, spread=spread)
+    report = Observation("cleaning report")
+    staged = reliable_checkpoint(coerced(raw).observe(report, *report_counts()))
+    sinks.write_log(kept_rows(staged, id_kind), log_path, fmt=fmt, partition_by_date=partition_by_date)
+    text = staged.select(*RAW_COLUMNS)
     profile = {"column_info": P.column_info(text), "null_counts": P.null_counts(text),
                "duplicate_rows": P.duplicate_rows(text), "behavior_distribution": P.value_counts(text, "behavior_type")}
-    return CleanResult(cleaning_report(raw), log_path, profile)
+    return CleanResult(_one_row(spark, report), log_path, profile)
+
+
+def _one_row(spark: SparkSession, seen: Observation) -> DataFrame:
+    counts = seen.get
+    return spark.createDataFrame([tuple(counts.values())], ", ".join(f"{c} bigint" for c in counts))
 
 
 def publish_job(spark: SparkSession, raw_path: str, table: str = "user_behavior", database: str = "footfall",
-                jdbc_options: dict[str, str] | None = None, row_id_column: str | None = None) -> DataFrame:
-    """R2: clean, create the database, replace the table, compare its row count
-    with the cleaned log's."""
-    log = clean_log(readers.read_raw(spark, raw_path, row_id_column=row_id_column))
+                jdbc_options: dict[str, str] | None = None, row_id_column: str | None = None,
+                id_kind: str = "bigint", spread: int | None = None, path: str | None = None) -> DataFrame:
+    """R2: clean, create the database, replace the table, compare its row count with
+    the rows that the cleaning kept, as observed by the write (one pass over the CSV)."""
+    report = Observation("cleaning report")
+    log = clean_log(readers.read_raw(spark, raw_path, row_id_column=row_id_column, spread=spread), id_kind, report)
     if jdbc_options is None:
         sinks.ensure_database(spark, database)
     name = sinks.publish_table(log, table, database=None if jdbc_options else database,
-                               jdbc_options=jdbc_options)
-    if jdbc_options:
-        return spark.read.format("jdbc").options(**jdbc_options).load().groupBy().count() \
-            .withColumnRenamed("count", "total_rows")
-    return sinks.verify_published(spark, name, log)
+                               jdbc_options=jdbc_options, path=path)
+    return sinks.verify_published(sinks.published(spark, name, jdbc_options), report.get["rows_kept"])
 
 
 def overview_job(spark: SparkSession, log_path: str, fmt: str = "parquet", id_kind: str = "bigint") -> DataFrame:

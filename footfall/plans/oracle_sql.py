@@ -506,7 +506,8 @@ ORACLE_EXTRA["raw_behavior"] = with_log(f"SELECT {RAW_COLS} FROM raw_log")
 ORACLE_EXTRA["clean_log"] = with_log('SELECT row_id, user_id, item_id, behavior_type, item_category, "timestamp" FROM clean')
 ORACLE_EXTRA["csv_roundtrip"] = ORACLE_EXTRA["clean_log"]
 ORACLE_EXTRA["parquet_roundtrip"] = ORACLE_EXTRA["clean_log"]
-ORACLE_EXTRA["publish_and_count"] = with_log("SELECT count(*) AS total_rows FROM clean")
+ORACLE_EXTRA["publish_and_count"] = with_log(
+    "SELECT count(*) AS total_rows, count(*) AS expected_rows, true AS matched FROM clean")
 ORACLE_EXTRA["cleaning_report"] = with_log("""
 SELECT count(*) AS rows_in,
        count(*) FILTER (WHERE user_id IS NOT NULL AND item_id IS NOT NULL AND item_category IS NOT NULL

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.operators.cleaning import clean_log
@@ -152,11 +152,13 @@ def parquet_roundtrip(spark, sf_dir):
 
 @register("publish_and_count", X["publish_and_count"])
 def publish_and_count(spark, sf_dir):
-    """Create the database, replace the table with the clean log, count it."""
+    """Create the database, replace the table with the clean log, compare its count
+    with the rows that the write observed."""
     sinks.ensure_database(spark, "footfall", location=sinks.scratch_path(spark, "database"))
-    name = sinks.publish_table(events_log(spark, sf_dir), "user_behavior", database="footfall",
+    report = Observation("cleaning report")
+    name = sinks.publish_table(clean_log(events_raw(spark, sf_dir), report=report), "user_behavior", database="footfall",
                                path=sinks.scratch_path(spark, "table"))
-    return sinks.verify_published(spark, name)
+    return sinks.verify_published(sinks.published(spark, name), report.get["rows_kept"])
 
 
 @register("preview", X["preview"])

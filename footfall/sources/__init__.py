@@ -6,6 +6,7 @@ from footfall.sources.sinks import (
     ensure_database,
     publish_table,
     scratch_path,
+    published,
     verify_published,
     write_features,
     write_log,
@@ -13,6 +14,6 @@ from footfall.sources.sinks import (
 
 __all__ = [
     "events_raw", "lineitem_log", "table", "read_features", "read_log", "read_raw",
-    "ensure_database", "publish_table", "scratch_path", "verify_published",
+    "ensure_database", "publish_table", "published", "scratch_path", "verify_published",
     "write_features", "write_log",
 ]

@@ -11,26 +11,40 @@ from footfall.schemas import LOG, RAW_COLUMNS
 
 ID_COLUMNS = ("user_id", "item_id", "item_category")
 
-# Rows of one split that get ids of their own: ``row_id`` is the split's rank
-# in file order, shifted by these bits, plus the position inside the task.
-_POSITION_BITS = 33
+def _bytes(spark: SparkSession, key: str) -> int:
+    """A size setting of the session in bytes."""
+    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key))
 
 
-def _file_order_id(df: DataFrame) -> DataFrame:
+def _file_order_id(df: DataFrame, path: str) -> DataFrame:
     """``df`` with ``row_id`` following (file path, offset in the file, line).
 
     Spark deals splits to tasks by size, so ``monotonically_increasing_id`` alone
-    doesn't follow the files.  Splits are ranked in a table of one row each (8 bytes
-    of hash and a rank, broadcast: some 16 bytes for every 128 MB of input)."""
-    place = df.select("*", F.col("_metadata.file_path").alias("_path"),
-                      F.col("_metadata.file_block_start").alias("_start"))
-    key = F.xxhash64("_path", "_start")
-    splits = (place.select("_path", "_start").distinct()
-              .select(key.alias("_split"), (F.row_number().over(Window.orderBy("_path", "_start")) - 1).alias("_rank")))
-    position = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
-    numbered = place.withColumns({"_position": position, "_split": key})
-    row_id = F.shiftleft(F.col("_rank").cast("bigint"), _POSITION_BITS) + F.col("_position")
-    return numbered.join(F.broadcast(splits), "_split").withColumn("row_id", row_id)
+    doesn't follow the files.  A split's place is known without reading any row: the
+    listing gives the files' paths and sizes, and a split starts at a multiple of a
+    size that is never below the smaller of two settings, so the start divided by that
+    unit tells the splits of a file apart.  ``row_id`` is the units of all files before,
+    plus the split's own, shifted to leave room for the position inside the task (which
+    runs through all its splits).  The table of files has one row (16 bytes) for each
+    file and is broadcast."""
+    spark = df.sparkSession
+    unit = min(_bytes(spark, f"spark.sql.files.{k}") for k in ("maxPartitionBytes", "openCostInBytes"))
+    units = F.floor(F.col("_size") / F.lit(max(1, unit))).cast("bigint") + 1
+    # Listed only: the files' content is not a column here.
+    listed = (spark.read.format("binaryFile").load(path)
+              .select(F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_size").alias("_size")))
+    before = F.sum(units).over(Window.orderBy("_path").rowsBetween(Window.unboundedPreceding, -1))
+    files = listed.select(F.xxhash64("_path").alias("_file"), F.coalesce(before, F.lit(0)).alias("_before"))
+    total = listed.agg(F.coalesce(F.sum(units), F.lit(0)).alias("n")).first().n
+    shift = 62 - max(1, int(total)).bit_length()
+    position = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    start = F.floor(F.col("_metadata.file_block_start") / F.lit(max(1, unit))).cast("bigint")
+    placed = df.select("*", F.xxhash64("_metadata.file_path").alias("_file"), start.alias("_start"),
+                       position.alias("_position"))
+    fits = F.when(F.col("_position") < F.lit(1 << min(shift, 33)), F.col("_position")).otherwise(
+        F.raise_error(F.lit("more rows in a task than row ids for it: lower spark.sql.files.maxPartitionBytes")).cast("bigint"))
+    return (placed.join(F.broadcast(files), "_file")
+            .withColumn("row_id", F.shiftleft(F.col("_before") + F.col("_start"), shift) + fits))
 
 
 def read_raw(spark: SparkSession, path: str, row_id_column: str | None = None,
@@ -50,7 +64,7 @@ def read_raw(spark: SparkSession, path: str, row_id_column: str | None = None,
     if row_id_column:
         df = df.withColumn("row_id", F.col(row_id_column).cast("bigint"))
     else:
-        df = _file_order_id(df)
+        df = _file_order_id(df, path)
     # row_id is taken before any repartitioning, so it keeps the file order.
     rows = df.select("row_id", *[F.col(c).cast("string") for c in RAW_COLUMNS])
     return rows.repartition(spread) if spread else rows

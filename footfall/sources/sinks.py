@@ -7,6 +7,7 @@ a lost executor produces the same files.
 from __future__ import annotations
 
 import re
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -61,35 +62,74 @@ def ensure_database(spark: SparkSession, name: str, location: str | None = None)
     return spark.sql(f"SHOW DATABASES LIKE '{db}'")
 
 
+def _versions(spark: SparkSession, base: str):
+    """(file system, folders of published versions below ``base``, oldest first)."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(base)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [s.getPath() for s in fs.listStatus(root)] if fs.exists(root) else []
+    return fs, sorted((p for p in found if p.getName().startswith("version-")), key=lambda p: p.getName())
+
+
 def publish_table(df: DataFrame, name: str, database: str | None = None,
                   jdbc_options: dict[str, str] | None = None, path: str | None = None) -> str:
-    """Replace a named table with ``df``.
-
-    Without ``jdbc_options`` the table goes to the session catalog
-    (``saveAsTable``; ``path`` makes it an external table at that location);
-    with them it is written to an external database through Spark's JDBC
-    source (``url``, ``dbtable``, ``user``, ``password``, ...).  Returns the
-    qualified table name.
+    """Replace a named table with ``df``; returns the qualified table name.
+
+    Without ``jdbc_options`` the table goes to the session catalog.  Its rows are written
+    aside, to a new version folder below ``path`` (by default below the database's
+    location), and only a committed write is swapped in by one change of the table's
+    location: a reader sees the old table or the new one, and a failed write
+    leaves the old one.  The version before the current one is kept for
+    readers that still have its files open; older ones are deleted.  Where the columns
+    differ from the old table's, the entry itself is dropped and made anew.
+
+    With ``jdbc_options`` (``url``, ``dbtable``, ``user``, ``password``, ...) the table is
+    written to an external database through Spark's JDBC source.
     """
     if jdbc_options:
         df.write.format("jdbc").options(**jdbc_options).mode("overwrite").save()
         return jdbc_options.get("dbtable", name)
+    spark = df.sparkSession
     qualified = f"{_identifier(database)}.{_identifier(name)}" if database else _identifier(name)
-    writer = df.write.mode("overwrite").format("parquet")
-    if path:
-        writer = writer.option("path", path)
-    writer.saveAsTable(qualified)
+    if path is None:
+        where = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
+        path = f"{where.rstrip('/')}/{name}.versions"
+    if "'" in path:
+        raise ValueError("path must not contain quotes")
+    target = f"{path.rstrip('/')}/version-{time.time_ns():020d}"
+    try:
+        df.write.parquet(target)
+        written = spark.read.parquet(target).schema
+        if spark.catalog.tableExists(qualified) and spark.table(qualified).schema == written:
+            spark.sql(f"ALTER TABLE {qualified} SET LOCATION '{target}'")
+        else:
+            spark.sql(f"DROP TABLE IF EXISTS {qualified}")
+            spark.catalog.createTable(qualified, path=target, source="parquet", schema=written)
+    except BaseException:
+        fs, versions = _versions(spark, path)
+        for version in versions:
+            if target.endswith(version.getName()):
+                fs.delete(version, True)
+        raise
+    spark.catalog.refreshTable(qualified)
+    fs, versions = _versions(spark, path)
+    for version in versions[:-2]:
+        fs.delete(version, True)
     return qualified
 
 
-def verify_published(spark: SparkSession, qualified_name: str, expected: DataFrame | None = None) -> DataFrame:
-    """``SELECT COUNT(*) AS total_rows`` on the published table; with ``expected``
-    (the frame that was published) also its count and whether they are equal."""
-    found = spark.table(qualified_name).agg(F.count(F.lit(1)).cast("bigint").alias("total_rows"))
+def published(spark: SparkSession, name: str, jdbc_options: dict[str, str] | None = None) -> DataFrame:
+    """The published table, from the catalog or through JDBC."""
+    return spark.read.format("jdbc").options(**jdbc_options).load() if jdbc_options else spark.table(name)
+
+
+def verify_published(table: DataFrame, expected: int | None = None) -> DataFrame:
+    """``SELECT COUNT(*) AS total_rows`` on the published table; with ``expected`` (the rows
+    that the publishing write observed) also that count and whether they are equal."""
+    found = table.agg(F.count(F.lit(1)).cast("bigint").alias("total_rows"))
     if expected is None:
         return found
-    planned = expected.agg(F.count(F.lit(1)).cast("bigint").alias("expected_rows"))
-    return found.crossJoin(F.broadcast(planned)).withColumn("matched", F.expr("total_rows = expected_rows"))
+    return found.select("total_rows", F.lit(expected).cast("bigint").alias("expected_rows"),
+                        (F.col("total_rows") == expected).alias("matched"))
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

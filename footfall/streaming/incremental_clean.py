@@ -44,7 +44,8 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def start_clean_stream(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint_location: str | None = None,
-                       available_now: bool = True, row_id_column: str = "row_id") -> StreamingQuery:
+                       available_now: bool = True, row_id_column: str = "row_id",
+                       id_kind: str = "bigint") -> StreamingQuery:
     """Start the incremental cleaning query; returns the running query.
 
     ``available_now`` processes every file present and stops (a repeatable
@@ -55,7 +56,7 @@ def start_clean_stream(spark: SparkSession, source_dir: str, sink_dir: str, chec
     location = checkpoint_location or f"{sink_dir.rstrip('/')}/_state"
     if _exists(spark, f"{sink_dir.rstrip('/')}/_spark_metadata") and not _exists(spark, f"{location}/offsets"):
         raise ValueError(f"{sink_dir} holds a stream's output, but {location} holds no state of it")
-    writer = (clean_log(raw_stream(spark, source_dir, row_id_column))
+    writer = (clean_log(raw_stream(spark, source_dir, row_id_column), id_kind)
               .writeStream.format("parquet")
               .option("path", sink_dir)
               .option("checkpointLocation", location)

@@ -174,7 +174,6 @@ def test_text_ids_through_the_jobs(spark):
 
 def test_published_count_is_compared(spark):
     rows = spark.range(5)
-    name = sinks.publish_table(rows, "counted", path=scratch_path(spark, "table"))
-    assert sinks.verify_published(spark, name, rows).first().asDict() == {
-        "total_rows": 5, "expected_rows": 5, "matched": True}
-    assert not sinks.verify_published(spark, name, spark.range(4)).first().matched
+    table = sinks.published(spark, sinks.publish_table(rows, "counted", path=scratch_path(spark, "table")))
+    assert sinks.verify_published(table, 5).first().asDict() == {"total_rows": 5, "expected_rows": 5, "matched": True}
+    assert not sinks.verify_published(table, 4).first().matched
