@@ -1,12 +1,13 @@
 """Sequence operators: event order, steps to buy, category shifts, as-of
 view-before-buy matching and streaks.
 
-No window here runs over an entity's raw events.  Event order is resolved in
-three bounded levels: inside a (user, hour, row-id bucket) of at most
-``BUCKET_ROWS`` events, across the buckets of one hour (a window over the
-bucket rollup), and across the user's hours (a window over the (user, hour)
-rollup, bounded by the hours observed, not by how many events the user
-produced).  The as-of match runs over the (user, item, hour) rollup for the
+No window here runs over an entity's raw events.  Event order is a prefix sum
+over ordered parts: inside a (user, hour, part) of bounded size, across the parts
+of one hour (a window over one summary row a part), and across the user's hours
+(a window over the (user, hour) rollup, bounded by the hours observed, not by how
+many events the user produced).  An hour of up to ``PART_ROWS`` events is one part; the
+events of larger ones are dealt to ranges of (user, hour, row id), whatever
+the ids look like.  The as-of match runs over the (user, item, hour) rollup for the
 same reason.
 """
 
@@ -17,73 +18,93 @@ from pyspark.sql import functions as F
 
 from footfall.functions import bit_flag, hours_between
 from footfall.schemas import BUY, CART, FAV, PV
+from footfall.session import reliable_checkpoint
 
 _UNBOUNDED = Window.unboundedPreceding
 
 
-# Rows per window partition over raw events: ``row_id`` is unique, so the
-# events of one (user, hour) with ``row_id div BUCKET_ROWS`` equal number at
-# most BUCKET_ROWS, however hot the user or the hour.
-BUCKET_ROWS = 1 << 16
-
-
-def _bucket(bucket_rows: int) -> F.Column:
-    """Bucket of a row id; a missing id fails, it would give wrong orders."""
-    checked = "CASE WHEN row_id IS NULL THEN CAST(raise_error('event without row_id') AS BIGINT) ELSE row_id END"
-    return F.expr(f"CAST(floor(CAST({checked} AS DECIMAL(20, 0)) / {bucket_rows}) AS BIGINT)")
-
-
-def within_bucket(events: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """Per event: 0-based position inside its (user, hour, row-id bucket) and
-    the previous event's category inside the same bucket (ties in time keep
-    ``row_id`` order).  Each window partition holds at most ``bucket_rows``
-    rows."""
-    w = Window.partitionBy("user_id", "timestamp", "bucket").orderBy("row_id")
-    return events.withColumn("bucket", _bucket(bucket_rows)).select(
-        "row_id", "user_id", "item_id", "item_category", "behavior_type", "timestamp", "bucket",
-        (F.row_number().over(w) - 1).alias("pos_in_bucket"),
-        F.lag("item_category").over(w).alias("prev_cat_in_bucket"),
+# Events of a (user, hour) that one window partition may hold; more are dealt to ranges.
+PART_ROWS = 1 << 20
+# Crowded hours that a broadcast may list (some 16 MB); each has over PART_ROWS events.
+CROWDED_HOURS = 1 << 19
+
+
+def in_parts(events: DataFrame, hour_counts: DataFrame | None = None, part_rows: int = PART_ROWS,
+             parts: int | None = None) -> DataFrame:
+    """``events`` with ``part``, so that (user, hour, part) is a bounded run of the
+    user's (time, row_id) order and parts ascend in that order.
+
+    ``hour_counts``: (user_id, timestamp, n), from a rollup that exists anyway (counted here
+    otherwise).  Usually no hour is crowded and every hour is part 0, without a further
+    pass.  The events of crowded hours alone are range-partitioned by (user, hour,
+    row id) into ``parts`` tasks and written, each task's rows being one part, so even
+    a third of all events in one hour is spread over many tasks.  An event without a
+    row id fails: it would give wrong orders."""
+    key = ["user_id", "timestamp"]
+    checked = events.withColumn("row_id", F.expr(
+        "CASE WHEN row_id IS NULL THEN CAST(raise_error('event without row_id') AS BIGINT) ELSE row_id END"))
+    if hour_counts is None:
+        hour_counts = events.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
+    crowded = reliable_checkpoint(hour_counts.where(F.col("n") > part_rows).select(*key))
+    n = crowded.count()
+    if not n:
+        return checked.withColumn("part", F.lit(0))
+    listed = F.broadcast(crowded) if n <= CROWDED_HOURS else crowded
+    order = [*key, "row_id"]
+    within = checked.join(listed, key, "left_semi")
+    within = within.repartitionByRange(parts, *order) if parts else within.repartitionByRange(*order)
+    ranged = reliable_checkpoint(within.withColumn("part", F.spark_partition_id()))
+    return checked.join(listed, key, "left_anti").withColumn("part", F.lit(0)).unionByName(ranged)
+
+
+def within_part(parted: DataFrame) -> DataFrame:
+    """Per event of :func:`in_parts`: 0-based position inside its (user, hour, part)
+    and the previous event's category there (ties in time keep ``row_id`` order)."""
+    w = Window.partitionBy("user_id", "timestamp", "part").orderBy("row_id")
+    return parted.select(
+        "row_id", "user_id", "item_id", "item_category", "behavior_type", "timestamp", "part",
+        (F.row_number().over(w) - 1).alias("pos_in_part"),
+        F.lag("item_category").over(w).alias("prev_cat_in_part"),
     )
 
 
-def bucket_rollup(events: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """(user, hour, bucket) rollup with counts and in-bucket sequence
-    statistics, plus the offsets of each bucket inside its hour (a window
-    over the hour's buckets, ordered by bucket)."""
+def part_rollup(parted: DataFrame) -> DataFrame:
+    """(user, hour, part) rollup with counts and in-part sequence statistics, plus
+    what each part carries over from the hour's parts before it (a window over one
+    row a part)."""
     bt = F.col("behavior_type")
-    rolled = within_bucket(events, bucket_rows).groupBy("user_id", "timestamp", "bucket").agg(
+    rolled = within_part(parted).groupBy("user_id", "timestamp", "part").agg(
         F.count(F.lit(1)).cast("bigint").alias("n"),
         F.count_if(bt == PV).cast("bigint").alias("pv"),
         F.count_if(bt == FAV).cast("bigint").alias("fav"),
         F.count_if(bt == CART).cast("bigint").alias("cart"),
         F.count_if(bt == BUY).cast("bigint").alias("buy"),
         F.bit_or(bit_flag(bt)).alias("bt_mask"),
-        F.coalesce(F.sum(F.when(bt == BUY, F.col("pos_in_bucket"))), F.lit(0)).cast("bigint").alias("buy_pos"),
-        F.count_if(F.col("item_category") != F.col("prev_cat_in_bucket")).cast("bigint").alias("shifts"),
+        F.coalesce(F.sum(F.when(bt == BUY, F.col("pos_in_part"))), F.lit(0)).cast("bigint").alias("buy_pos"),
+        F.count_if(F.col("item_category") != F.col("prev_cat_in_part")).cast("bigint").alias("shifts"),
         F.min_by("item_category", "row_id").alias("first_cat"),
         F.max_by("item_category", "row_id").alias("last_cat"),
     )
-    w = Window.partitionBy("user_id", "timestamp").orderBy("bucket")
+    w = Window.partitionBy("user_id", "timestamp").orderBy("part")
     return rolled.select(
         "*",
         F.coalesce(F.sum("n").over(w.rowsBetween(_UNBOUNDED, -1)), F.lit(0)).cast("bigint").alias("before_in_hour"),
-        F.lag("last_cat").over(w).alias("prev_bucket_last_cat"),
+        F.lag("last_cat").over(w).alias("prev_part_last_cat"),
     )
 
 
-def user_hour_rollup(events: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+def user_hour_rollup(parted: DataFrame) -> DataFrame:
     """(user, hour) rollup with counts and within-hour sequence statistics,
-    assembled from :func:`bucket_rollup` (no window over an unbounded
-    group)."""
-    b = bucket_rollup(events, bucket_rows)
+    assembled from :func:`part_rollup` (no window over an unbounded group)."""
+    b = part_rollup(parted)
     return b.groupBy("user_id", "timestamp").agg(
         *[F.sum(c).cast("bigint").alias(c) for c in ("n", "pv", "fav", "cart", "buy")],
         F.bit_or("bt_mask").alias("bt_mask"),
         F.sum(F.col("buy") * F.col("before_in_hour") + F.col("buy_pos")).cast("bigint").alias("buy_pos_in_hour"),
-        (F.sum("shifts") + F.count_if(F.col("first_cat") != F.col("prev_bucket_last_cat")))
+        (F.sum("shifts") + F.count_if(F.col("first_cat") != F.col("prev_part_last_cat")))
         .cast("bigint").alias("shifts_in_hour"),
-        F.min_by("first_cat", "bucket").alias("first_cat"),
-        F.max_by("last_cat", "bucket").alias("last_cat"),
+        F.min_by("first_cat", "part").alias("first_cat"),
+        F.max_by("last_cat", "part").alias("last_cat"),
     )
 
 
@@ -119,27 +140,27 @@ def sequence_aggregates(uh_seq: DataFrame) -> list:
     ]
 
 
-def event_order(events: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """1-based position of every event in its user's (time, row_id) order.
+def event_order(parted: DataFrame) -> DataFrame:
+    """1-based position of every event of :func:`in_parts` in its user's (time, row_id) order.
 
-    Position = events in the user's earlier hours + events in earlier buckets of
-    the hour + position inside the bucket.  The first two come from counts per
-    (user, hour, bucket), aggregated before their shuffle, as one offset for each
-    bucket; the raw events are shuffled once, for the window inside the bucket,
-    which has the join's partitioning too."""
-    counts = (events.withColumn("bucket", _bucket(bucket_rows)).groupBy("user_id", "timestamp", "bucket")
-              .agg(F.count(F.lit(1)).cast("bigint").alias("n")))
-    in_hour = Window.partitionBy("user_id", "timestamp").orderBy("bucket").rowsBetween(_UNBOUNDED, -1)
-    buckets = counts.withColumn("before_in_hour", F.coalesce(F.sum("n").over(in_hour), F.lit(0)))
+    Position = events in the user's earlier hours + events in earlier parts of the
+    hour + position inside the part.  The first two come from counts per (user, hour,
+    part), aggregated before their shuffle, as one offset for each part; the raw
+    events are shuffled once, for the window inside the part, which has the join's
+    partitioning too."""
+    key = ["user_id", "timestamp", "part"]
+    counts = parted.groupBy(*key).agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+    in_hour = Window.partitionBy("user_id", "timestamp").orderBy("part").rowsBetween(_UNBOUNDED, -1)
+    runs = counts.withColumn("before_in_hour", F.coalesce(F.sum("n").over(in_hour), F.lit(0)))
     earlier = Window.partitionBy("user_id").orderBy("timestamp").rowsBetween(_UNBOUNDED, -1)
     hours = (counts.groupBy("user_id", "timestamp").agg(F.sum("n").alias("n"))
              .select("user_id", "timestamp", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("events_before")))
-    offsets = buckets.join(hours, ["user_id", "timestamp"]).select(
-        "user_id", "timestamp", "bucket", (F.col("events_before") + F.col("before_in_hour")).alias("before"))
-    inner = within_bucket(events, bucket_rows).select("row_id", "user_id", "timestamp", "bucket", "pos_in_bucket")
-    return (inner.join(offsets, ["user_id", "timestamp", "bucket"])
+    offsets = runs.join(hours, ["user_id", "timestamp"]).select(
+        *key, (F.col("events_before") + F.col("before_in_hour")).alias("before"))
+    inner = within_part(parted).select("row_id", *key, "pos_in_part")
+    return (inner.join(offsets, key)
             .select("row_id", "user_id",
-                    (F.col("before") + F.col("pos_in_bucket") + 1).cast("bigint").alias("behavior_order")))
+                    (F.col("before") + F.col("pos_in_part") + 1).cast("bigint").alias("behavior_order")))
 
 
 def user_item_hour(uict: DataFrame) -> DataFrame:

@@ -176,6 +176,14 @@ def null_counts(spark, sf_dir):
     return P.null_counts(events_raw(spark, sf_dir))
 
 
+@register("feature_table_roundtrip", O.entity_sql("item_id", ENTITIES["item_id"]["columns"]))
+def feature_table_roundtrip(spark, sf_dir):
+    """The item table written by its sink and read back, as the quality job reads it."""
+    path = sinks.scratch_path(spark, "features")
+    sinks.write_features(EntityFeatures(feature_log(spark, sf_dir), "item_id").table(), path)
+    return readers.read_features(spark, path)
+
+
 @register("top_null_columns", O.top_null_columns_sql(USER_COLUMNS, 20))
 def top_null_columns(spark, sf_dir):
     return P.null_counts(UserFeatures(feature_log(spark, sf_dir)).table(), top=20)
@@ -281,8 +289,7 @@ def view_buy_pairs(spark, sf_dir):
 
 @register("event_order", X["event_order"])
 def event_order(spark, sf_dir):
-    uf = UserFeatures(feature_log(spark, sf_dir))
-    return S.event_order(uf.events, uf.bucket_rows)
+    return S.event_order(S.in_parts(UserFeatures(feature_log(spark, sf_dir)).events))
 
 
 @register("pct_rank_active_days", X["pct_rank_active_days"])
@@ -383,8 +390,7 @@ def raw_csv_clean(spark, sf_dir):
         (rows.repartitionByRange(3, "row_id").sortWithinPartitions("row_id").drop("cut", "row_id")
          .write.option("header", True).csv(f"{path}/{part}"))
     log = C.clean_log(readers.read_raw(spark, path))
-    uf = UserFeatures(log)
-    order = S.event_order(uf.events, uf.bucket_rows)
+    order = S.event_order(S.in_parts(UserFeatures(log).events))
     return log.join(order, ["row_id", "user_id"]).select(
         "user_id", "timestamp", "item_id", "behavior_type", "behavior_order")
 

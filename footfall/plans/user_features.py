@@ -120,14 +120,14 @@ class UserFeatures:
     """
 
     def __init__(self, log: DataFrame, exact_quantiles: bool = True, checkpoint: bool = True,
-                 bucket_rows: int = S.BUCKET_ROWS, sequences: bool = True):
+                 part_rows: int = S.PART_ROWS, sequences: bool = True):
         """``sequences=False``: the (user, hour) rollup has counts only, a plain
         aggregate of the log without any window over its events."""
         self.log = log
         self.sequences = sequences
         self.exact = exact_quantiles
         self.use_checkpoint = checkpoint
-        self.bucket_rows = bucket_rows
+        self.part_rows = part_rows
 
     # ----- shared rollups -------------------------------------------------
     def _materialize(self, df: DataFrame) -> DataFrame:
@@ -142,15 +142,22 @@ class UserFeatures:
     def events(self) -> DataFrame:
         return R.user_events(self.log)
 
+    @cached_property
+    def parted_events(self) -> DataFrame:
+        """The events in bounded parts; the sizes of the hours come from a rollup, not
+        from another pass over the log."""
+        hours = self.uict.groupBy(KEY, "timestamp").agg(F.sum("n").alias("n"))
+        return S.in_parts(self.events, hours, self.part_rows)
+
     @cached_property
     def user_hour(self) -> DataFrame:
         """(user, hour) rollup with within-hour and across-hour sequence
-        columns: one exchange of the raw events on (user, hour, row-id
-        bucket), then exchanges of rollup rows only."""
+        columns: one exchange of the raw events on (user, hour, part),
+        then exchanges of rollup rows only."""
         if not self.sequences:
             mask = F.bit_or(bit_flag("behavior_type")).alias("bt_mask")
             return self._materialize(self.events.groupBy(KEY, "timestamp").agg(*R.behavior_counts(), mask))
-        return self._materialize(S.across_hours(S.user_hour_rollup(self.events, self.bucket_rows)))
+        return self._materialize(S.across_hours(S.user_hour_rollup(self.parted_events)))
 
     @cached_property
     def uict(self) -> DataFrame:

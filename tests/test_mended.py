@@ -73,13 +73,13 @@ def test_events_without_an_id_fail(spark, tmp_path):
         start_clean_stream(spark, str(tmp_path), str(tmp_path / "sink"), row_id_column=None)
     log = spark.createDataFrame([(None, 1, 2, 1, 3, dt.datetime(2024, 1, 1)), (1, 1, 2, 1, 3, dt.datetime(2024, 1, 1))], LOG)
     with pytest.raises(Exception, match="without row_id"):
-        S.user_hour_rollup(log).collect()
+        S.user_hour_rollup(S.in_parts(log, part_rows=0)).collect()
 
 
 def test_sparse_and_negative_ids(spark):
     ids = [-2**63, -2**40, -1, 0, 1, 2**16, 2**40, 2**63 - 1]
     log = spark.createDataFrame([(i, 1, k, 1, 3, dt.datetime(2024, 1, 1)) for k, i in enumerate(ids)], LOG)
-    got = {r.row_id: r.behavior_order for r in S.event_order(log).collect()}
+    got = {r.row_id: r.behavior_order for r in S.event_order(S.in_parts(log)).collect()}
     assert got == {i: k + 1 for k, i in enumerate(ids)}
 
 

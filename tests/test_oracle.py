@@ -52,16 +52,15 @@ def test_results_do_not_depend_on_partition_count(spark):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
-def test_tiny_buckets_give_the_same_sequences(spark):
-    """Splitting every (user, hour) into many row-id buckets (3 rows each)
-    changes nothing: sequence features equal the oracle's."""
+def test_tiny_parts_give_the_same_sequences(spark):
+    """Dealing every (user, hour) of more than 3 events to ranges changes nothing: sequence features equal the oracle's."""
     from tests.oracle_check import compare, duck
     from footfall.operators import sequences as S
     from footfall.plans.registry import events_log
     from footfall.plans.user_features import UserFeatures, finish
 
     sf = "/root/testdata/sf0.01"
-    uf = UserFeatures(events_log(spark, sf), bucket_rows=3)
+    uf = UserFeatures(events_log(spark, sf), part_rows=3)
     cols = ["user_id", "avg_steps_to_buy", "category_shift_cnt", "view_before_first_buy_cnt"]
     got = finish(uf.base, cols).toPandas()
     from footfall.plans.oracle_sql import user_sql
@@ -69,6 +68,6 @@ def test_tiny_buckets_give_the_same_sequences(spark):
     want = duck(user_sql(cols), sf)
     res = compare(got, want)
     assert res["values_match"], res
-    order = S.event_order(uf.events, 3).toPandas()
+    order = S.event_order(uf.parted_events).toPandas()
     res = compare(order, duck(entry.oracle_sql()["event_order"], sf))
     assert res["values_match"], res

@@ -37,11 +37,11 @@ def test_no_cartesian_product(uf):
 
 
 def test_raw_event_windows_are_bounded(uf):
-    """The only window over raw events is partitioned by (user, hour,
-    row-id bucket): at most BUCKET_ROWS rows per window partition."""
+    """The only window over raw events is partitioned by (user, hour, part):
+    hours of more than PART_ROWS events are dealt to many parts."""
     plan = _plan(uf.user_hour)
     windows = [l for l in plan.splitlines() if "Window [" in l and "row_number" in l]
-    assert windows and all("user_id" in w and "timestamp" in w and "bucket" in w for w in windows)
+    assert windows and all("user_id" in w and "timestamp" in w and "part" in w for w in windows)
 
 
 def test_rollups_preaggregate_before_shuffle(uf):
