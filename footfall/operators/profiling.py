@@ -1,17 +1,21 @@
 """Profiling operators: preview, column info, nulls, duplicates, value
 distribution, cardinalities, numeric summary and the log overview.
 
-Each one is a single aggregate pass (or one per counted column for distinct
-counts) and returns rows instead of printing.
+Each one is a single aggregate pass (duplicates: two) and returns rows instead of
+printing.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from footfall.functions import round_half_even
+from footfall.functions import bit_flag, round_half_even
+from footfall.session import reliable_checkpoint
+
+# Digests of 16 bytes that a broadcast may hold (some 64 MB in memory).
+BROADCAST_DIGESTS = 1 << 20
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
             T.DoubleType, T.DecimalType)
@@ -62,23 +66,35 @@ def null_counts(df: DataFrame, top: int | None = None, positive_only: bool = Fal
     return out
 
 
-def duplicate_rows(df: DataFrame, exclude: tuple[str, ...] = ("row_id",)) -> DataFrame:
+def row_digest(columns: list[str]) -> F.Column:
+    """Sixteen bytes for a row: two 64-bit hashes, the second one of the columns in
+    reverse behind a constant.  Equal rows have equal digests, not the other way round."""
+    own = [F.col(f"`{c}`") for c in columns]
+    return F.struct(F.xxhash64(*own).alias("a"), F.xxhash64(F.lit("second"), *reversed(own)).alias("b"))
+
+
+def duplicate_rows(df: DataFrame, exclude: tuple[str, ...] = ("row_id",), digest=row_digest) -> DataFrame:
     """Full-row duplicates (every copy after the first counts), their ratio
     to all rows (NULL on empty input), and the row count.
 
-    Grouping on all columns pre-aggregates map-side, so a row repeated
-    millions of times shuffles as one partial row per task.
-    """
+    Two stages.  Digests are counted first (after partial aggregation in each task), so the
+    shuffle has 16 bytes and a count for a row, however wide the rows are.  Only rows
+    whose digest occurs more than once, copies or collisions, go on: they are grouped
+    by all their columns, which makes the count exact.  The suspected digests are written
+    once; they are broadcast where they are few, and joined by a shuffle otherwise."""
     cols = [c for c in df.columns if c not in exclude]
-    groups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
-    return groups.agg(
-        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("duplicate_cnt"),
-        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("row_cnt"),
-    ).select(
-        "duplicate_cnt",
-        F.when(F.col("row_cnt") > 0, F.col("duplicate_cnt") / F.col("row_cnt")).alias("duplicate_ratio"),
-        "row_cnt",
-    )
+    counted = df.select(digest(cols).alias("_digest")).groupBy("_digest").agg(F.count(F.lit(1)).alias("_n"))
+    rows = Observation("rows")
+    counted = counted.observe(rows, F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("n"))
+    suspects = reliable_checkpoint(counted.where(F.col("_n") > 1).select("_digest"))
+    few = suspects.count() <= BROADCAST_DIGESTS
+    rest = (df.select(*cols, digest(cols).alias("_digest"))
+            .join(F.broadcast(suspects) if few else suspects, "_digest", "left_semi"))
+    groups = rest.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
+    total = F.lit(rows.get["n"]).cast("bigint")
+    return groups.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("duplicate_cnt")).select(
+        "duplicate_cnt", F.when(total > 0, F.col("duplicate_cnt") / total).alias("duplicate_ratio"),
+        total.alias("row_cnt"))
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -87,19 +103,39 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
             .orderBy(F.desc("cnt"), F.asc_nulls_first(column)))
 
 
+def _id_words(df: DataFrame, columns: list[str], more: list[F.Column]) -> DataFrame:
+    """(``_c``, ``_w``, ``_bits``) and the aggregates ``more``: the distinct values of several columns
+    in one pass.  A row gives one pair for each column.  Integers are collected 64 to
+    a word (``value >> 6``, one bit each), so dense ids shuffle a 64th of their count and sparse
+    ones no more than themselves; other types have one word a value.  A null value has
+    a null word without bits."""
+    whole = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+    numeric = all(isinstance(df.schema[c].dataType, whole) for c in columns)
+    pairs = []
+    for i, c in enumerate(columns):
+        if numeric:
+            x = F.col(f"`{c}`").cast("bigint")
+            word, bits = F.shiftright(x, 6), bit_flag(x.bitwiseAND(F.lit(63)))
+        else:
+            word = F.col(f"`{c}`").cast("string")
+            bits = F.when(word.isNotNull(), F.lit(1).cast("bigint"))
+        pairs.append(F.struct(F.lit(i).alias("_c"), word.alias("_w"), bits.alias("_bits")))
+    kept = [c for c in df.columns if c not in columns]
+    return (df.select(*kept, F.inline(F.array(*pairs))).groupBy("_c", "_w")
+            .agg(F.bit_or("_bits").alias("_bits"), *more))
+
+
+def _distinct(i: int) -> F.Column:
+    return F.coalesce(F.sum(F.when(F.col("_c") == i, F.bit_count("_bits"))), F.lit(0)).cast("bigint")
+
+
 def cardinalities(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Distinct non-null values per column, as one row.
+    """Distinct non-null values per column, as one row, in one pass over the table.
 
-    Each column is deduplicated by its own group-by (partial aggregation per
-    task) instead of several distinct aggregates in one pass, which Spark
-    would plan as an Expand multiplying every input row.
-    """
-    out = None
-    for c in columns:
-        one = (df.select(c).where(F.col(c).isNotNull()).distinct()
-               .agg(F.count(F.lit(1)).cast("bigint").alias(f"{c}_nunique")))
-        out = one if out is None else out.crossJoin(one)
-    return out
+    The values are aggregated as bitmap words of (column, value), with a partial step
+    in each task, instead of one distinct aggregate for each column."""
+    words = _id_words(df.select(*[F.col(f"`{c}`") for c in columns]), columns, [])
+    return words.agg(*[_distinct(i).alias(f"{c}_nunique") for i, c in enumerate(columns)])
 
 
 def describe_numeric(df: DataFrame, columns: list[str] | None = None, digits: int = 6) -> DataFrame:
@@ -138,20 +174,15 @@ def describe_numeric(df: DataFrame, columns: list[str] | None = None, digits: in
 
 def overview(log: DataFrame) -> DataFrame:
     """Rows, distinct users/items/categories, first and last event time and
-    mean events per user, as one row."""
-    totals = log.agg(
-        F.count(F.lit(1)).cast("bigint").alias("total_rows"),
-        F.min("timestamp").alias("first_time"),
-        F.max("timestamp").alias("last_time"),
-    )
-    distinct = cardinalities(log, ["user_id", "item_id", "item_category"])
-    out = totals.crossJoin(distinct)
-    return out.select(
-        "total_rows",
-        F.col("user_id_nunique").alias("user_cnt"),
-        F.col("item_id_nunique").alias("item_cnt"),
-        F.col("item_category_nunique").alias("category_cnt"),
-        "first_time", "last_time",
-        F.when(F.col("user_id_nunique") > 0,
-               F.col("total_rows") / F.col("user_id_nunique")).alias("avg_behavior_per_user"),
-    )
+    mean events per user, as one row, in one pass: the pairs of the first id column
+    carry the counts and times of their events."""
+    ids = ["user_id", "item_id", "item_category"]
+    first = F.col("_c") == 0
+    words = _id_words(log.select(*ids, "timestamp"), ids, [
+        F.count_if(first).alias("_n"), F.min(F.when(first, F.col("timestamp"))).alias("_first"),
+        F.max(F.when(first, F.col("timestamp"))).alias("_last")])
+    return words.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("total_rows"),
+        *[_distinct(i).alias(c) for i, c in enumerate(("user_cnt", "item_cnt", "category_cnt"))],
+        F.min("_first").alias("first_time"), F.max("_last").alias("last_time"),
+    ).select("*", F.when(F.col("user_cnt") > 0, F.col("total_rows") / F.col("user_cnt")).alias("avg_behavior_per_user"))

@@ -1,7 +1,7 @@
 """Reconciliation of feature tables with the log.
 
-A report is one aggregate over the feature table and one over the log, each a
-single row, joined and unpivoted into check rows:
+A report is one aggregate over the feature table and one over a rollup of the log (one
+row per key, from one pass), each a single row, joined and unpivoted into check rows:
 
 ``(table, check_id, metric, source_value, feature_value, diff, passed, severity)``
 
@@ -27,9 +27,9 @@ BEHAVIOR_COLUMNS = {PV: "pv_cnt", FAV: "fav_cnt", CART: "cart_cnt", BUY: "buy_cn
 
 @dataclass(frozen=True)
 class Check:
-    """``feature`` and ``source`` are aggregates over the table and the log; with
-    ``per_key`` they are aggregates over one row per key (columns ``key_rows`` and
-    ``key_present``).  ``quantile`` = p makes ``feature`` a value per row of which
+    """``feature`` is an aggregate over the table, with ``per_key`` over one row per key of it
+    (columns ``key_rows`` and ``key_present``).  ``source`` is an aggregate over
+    :func:`log_rollup`.  ``quantile`` = p makes ``feature`` a value per row of which
     the exact quantile is taken."""
 
     check_id: str
@@ -49,6 +49,16 @@ def _per_key(df: DataFrame, key: str) -> DataFrame:
         "key_rows", F.col(key).isNotNull().cast("int").alias("key_present"))
 
 
+def log_rollup(log: DataFrame, key: str) -> DataFrame:
+    """One row per key with its events by behaviour: every value that a report or the
+    reconciliation takes from the log adds up from it (partial aggregation in the tasks)."""
+    bt = F.col("behavior_type")
+    return log.groupBy(key).agg(
+        F.count(F.lit(1)).cast("bigint").alias("source_total"),
+        *[F.count_if(bt == code).cast("bigint").alias(f"source_{col}") for code, col in BEHAVIOR_COLUMNS.items()],
+    )
+
+
 def quality_report(log: DataFrame, features: DataFrame, table: str, checks: list[Check], key: str) -> DataFrame:
     plain, per_key, ranked = {}, {}, {}
     for i, c in enumerate(checks):
@@ -58,9 +68,9 @@ def quality_report(log: DataFrame, features: DataFrame, table: str, checks: list
         aggs = [e.cast("double").alias(f"{side[0]}{i}") for i, c in own.items() if (e := getattr(c, side)) is not None]
         return df.agg(*aggs) if aggs else None
 
-    rows = [row(features, "feature", plain), row(log, "source", plain)]
+    rows = [row(features, "feature", plain), row(log_rollup(log, key), "source", plain | per_key)]
     if per_key:
-        rows += [row(_per_key(features, key), "feature", per_key), row(_per_key(log, key), "source", per_key)]
+        rows.append(row(_per_key(features, key), "feature", per_key))
     if ranked:
         hist = ranked_histogram(features, [c.feature for c in ranked.values()])
         rows.append(quantiles_from_histogram(
@@ -94,14 +104,14 @@ def quality_report(log: DataFrame, features: DataFrame, table: str, checks: list
 
 
 def _common(key: str, prefix: str, feature_columns: list[str]) -> list[Check]:
-    bt = F.col("behavior_type")
     checks = [
         Check(f"{prefix}1", "duplicate_keys",
               F.coalesce(F.sum("key_rows"), F.lit(0)) - F.coalesce(F.sum("key_present"), F.lit(0)), rule="zero", per_key=True),
-        Check(f"{prefix}2", "key_count", *[F.coalesce(F.sum("key_present"), F.lit(0))] * 2, per_key=True),
-        Check(f"{prefix}3", "total_behavior_cnt", F.sum("total_behavior_cnt"), F.count(F.lit(1))),
+        Check(f"{prefix}2", "key_count", F.coalesce(F.sum("key_present"), F.lit(0)), F.count(key), per_key=True),
+        Check(f"{prefix}3", "total_behavior_cnt", F.sum("total_behavior_cnt"), F.coalesce(F.sum("source_total"), F.lit(0))),
     ]
-    checks += [Check(f"{prefix}4", col, F.sum(col), F.count_if(bt == code)) for code, col in BEHAVIOR_COLUMNS.items()]
+    checks += [Check(f"{prefix}4", col, F.sum(col), F.coalesce(F.sum(f"source_{col}"), F.lit(0)))
+               for col in BEHAVIOR_COLUMNS.values()]
     checks += [Check(f"{prefix}5", f"null_count:{c}", F.count_if(F.col(c).isNull()), rule="info", severity="info")
                for c in feature_columns]
     return checks
@@ -185,11 +195,7 @@ def reconcile_all(log: DataFrame, features: DataFrame, key: str) -> DataFrame:
     """Every entity, log counts next to table counts, via one full outer
     join on the key (both sides are one row per key).  ``matched`` is False
     for an entity missing on either side or with any differing count."""
-    bt = F.col("behavior_type")
-    src = log.groupBy(key).agg(
-        F.count(F.lit(1)).cast("bigint").alias("source_total"),
-        *[F.count_if(bt == code).cast("bigint").alias(f"source_{col}") for code, col in BEHAVIOR_COLUMNS.items()],
-    )
+    src = log_rollup(log, key)
     tab = features.select(key, F.col("total_behavior_cnt").alias("feature_total"),
                           *[F.col(col).alias(f"feature_{col}") for col in BEHAVIOR_COLUMNS.values()])
     joined = src.join(tab, key, "full_outer")
