@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from footfall.functions import bit_flag, round_half_even
+from footfall.operators.selection import as_columns, exact_quantiles
 from footfall.session import reliable_checkpoint
 
 # Digests of 16 bytes that a broadcast may hold (some 64 MB in memory).
@@ -141,11 +142,8 @@ def cardinalities(df: DataFrame, columns: list[str]) -> DataFrame:
 def describe_numeric(df: DataFrame, columns: list[str] | None = None, digits: int = 6) -> DataFrame:
     """count, mean, std, min, 25/50/75 % (exact, linear interpolation), max
     per numeric column; mean, std and quartiles are rounded to ``digits``
-    decimals (they are display statistics).  The quartiles come from one ranked histogram
-    of distinct values (no value map merged in a single task)."""
-    from footfall.operators.ranking import ranked_histogram
-    from footfall.operators.thresholds import quantiles_from_histogram
-
+    decimals (they are display statistics).  The quartiles are selected by interval
+    refinement (no value map merged in a single task)."""
     cols = columns or numeric_columns(df)
     aggs = []
     for i, c in enumerate(cols):
@@ -154,10 +152,9 @@ def describe_numeric(df: DataFrame, columns: list[str] | None = None, digits: in
             F.count(x).cast("bigint").alias(f"n{i}"), F.avg(x).alias(f"mean{i}"),
             F.stddev_samp(x).alias(f"std{i}"), F.min(x).alias(f"min{i}"), F.max(x).alias(f"max{i}"),
         ]
-    hist = ranked_histogram(df, [F.col(c) for c in cols])
-    quartiles = quantiles_from_histogram(
-        hist, {f"q{i}_{int(p * 100)}": (i, p) for i in range(len(cols)) for p in (0.25, 0.5, 0.75)})
-    one = df.agg(*aggs).crossJoin(quartiles)
+    quartiles = exact_quantiles(df, [F.col(c) for c in cols], {
+        f"q{i}_{int(p * 100)}": (i, p) for i in range(len(cols)) for p in (0.25, 0.5, 0.75)})
+    one = df.agg(*aggs).select("*", *as_columns(quartiles))
     rows = F.array(*[
         F.struct(
             F.lit(i).alias("position"), F.lit(c).alias("column"), F.col(f"n{i}").alias("count"),

@@ -18,8 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from footfall.operators.ranking import ranked_histogram
-from footfall.operators.thresholds import quantiles_from_histogram
+from footfall.operators.selection import as_columns, exact_quantiles
 from footfall.schemas import BUY, CART, FAV, PV
 
 BEHAVIOR_COLUMNS = {PV: "pv_cnt", FAV: "fav_cnt", CART: "cart_cnt", BUY: "buy_cnt"}
@@ -71,12 +70,12 @@ def quality_report(log: DataFrame, features: DataFrame, table: str, checks: list
     rows = [row(features, "feature", plain), row(log_rollup(log, key), "source", plain | per_key)]
     if per_key:
         rows.append(row(_per_key(features, key), "feature", per_key))
-    if ranked:
-        hist = ranked_histogram(features, [c.feature for c in ranked.values()])
-        rows.append(quantiles_from_histogram(
-            hist, {f"f{i}": (m, c.quantile) for m, (i, c) in enumerate(ranked.items())}))
     # Each side is one row.
     one = reduce(lambda a, b: a.crossJoin(b), [r for r in rows if r is not None])
+    if ranked:
+        found = exact_quantiles(features, [c.feature for c in ranked.values()],
+                                {f"f{i}": (m, c.quantile) for m, (i, c) in enumerate(ranked.items())})
+        one = one.select("*", *as_columns(found))
     src = {i for i, c in enumerate(checks) if c.source is not None}
     # One ``stack`` expression unpivots the single row into one row per check.
     parts = []

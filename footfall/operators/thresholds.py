@@ -5,55 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from footfall.operators.ranking import ranked_histogram
-
-
-def quantiles_from_histogram(hist: DataFrame, spec: dict[str, tuple[int, float]]) -> DataFrame:
-    """Exact quantiles (linear interpolation between the order statistics at
-    ``floor``/``ceil`` of ``(n - 1) * p``, the definition of Spark's
-    ``percentile`` and of the reference) read off a
-    :func:`footfall.operators.ranking.ranked_histogram`.
-
-    ``spec`` maps an output name to (metric index, p).  One aggregate over the
-    histogram finds both order statistics of every quantile; the result is a
-    single row.
-    """
-    # Written as SQL text: one expression object per aggregate instead of
-    # dozens of small column calls (plan construction cost).
-    aggs = []
-    for name, (m, p) in spec.items():
-        pos = f"(CAST(_total - 1 AS DOUBLE) * {float(p)!r}D)"
-        for side, idx in (("lo", f"FLOOR({pos})"), ("hi", f"CEIL({pos})")):
-            aggs.append(F.expr(f"max(CASE WHEN _m = {int(m)} AND _less <= {idx} AND {idx} < _less + _ties "
-                               f"THEN _v END) AS `{name}__{side}`"))
-        aggs.append(F.expr(f"max(CASE WHEN _m = {int(m)} THEN {pos} END) AS `{name}__pos`"))
-    one = hist.agg(*aggs)
-    out = []
-    for name in spec:
-        lo, hi, pos = f"`{name}__lo`", f"`{name}__hi`", f"`{name}__pos`"
-        out.append(f"CASE WHEN FLOOR({pos}) = CEIL({pos}) THEN {lo} "
-                   f"ELSE (CEIL({pos}) - {pos}) * {lo} + ({pos} - FLOOR({pos})) * {hi} END AS `{name}`")
-    return one.selectExpr(*out)
+from footfall.operators.selection import as_columns, exact_quantiles
 
 
 def thresholds(df: DataFrame, spec: dict[str, tuple[Column, float]], exact: bool = True,
-               accuracy: int = 1_000_000, hist: DataFrame | None = None,
-               index: dict[str, int] | None = None) -> DataFrame:
+               accuracy: int = 1_000_000) -> DataFrame:
     """One row with one column per ``name -> (expression, p)``.
 
-    ``exact=True``: exact quantiles from a ranked histogram of distinct values
-    (no value map merged in one task; the per-metric window spills).  Pass
-    ``hist``/``index`` to reuse a histogram built for other statistics, with
-    ``index`` mapping each spec name to its metric index.  ``exact=False``:
-    ``percentile_approx`` (rank error at most n / accuracy), one aggregate.
+    ``exact=True``: exact quantiles by interval refinement; expressions with the same text
+    are one metric.  ``exact=False``: ``percentile_approx`` (rank error at most
+    n / accuracy), one aggregate.
     """
     if not exact:
         return df.agg(*[F.percentile_approx(e.cast("double"), F.lit(p), F.lit(accuracy)).cast("double").alias(n)
                         for n, (e, p) in spec.items()])
-    if hist is None:
-        hist = ranked_histogram(df, [e for e, _ in spec.values()])
-        index = {name: i for i, name in enumerate(spec)}
-    return quantiles_from_histogram(hist, {name: (index[name], p) for name, (_, p) in spec.items()})
+    metrics: dict[str, Column] = {str(e): e for e, _ in spec.values()}
+    place = {text: i for i, text in enumerate(metrics)}
+    found = exact_quantiles(df, list(metrics.values()), {n: (place[str(e)], p) for n, (e, p) in spec.items()})
+    return df.sparkSession.range(1).select(*as_columns(found))
 
 
 def attach(df: DataFrame, one_row: DataFrame) -> DataFrame:

@@ -14,8 +14,8 @@ Physical shape (see README "Plans"):
 4. Blocks are joined on ``user_id``; every block is the output of a
    ``groupBy("user_id")``, so the joins are co-partitioned.
 5. The assembled base is checkpointed to the shared checkpoint directory;
-   17 thresholds are one aggregate (one row, broadcast) and the four
-   percentile ranks are histogram joins.
+   17 thresholds are selected by interval refinement (one row, broadcast) and the
+   four percentile ranks are histogram joins.
 """
 
 from __future__ import annotations
@@ -386,36 +386,17 @@ class UserFeatures:
     RANKED = {"active_days": "_r_active", "max_consecutive_active_days": "_r_streak",
               "recent_7d_behavior_cnt": "_r_recent", "inactive_gap_days": "_r_gap"}
 
-    def _metrics(self) -> tuple[list, dict[str, int]]:
-        """Distinct metric expressions behind the thresholds and the ranks,
-        and the metric index of every threshold name and ranked column."""
-        exprs: list[str] = []
-        for expr, _ in THRESHOLD_SPEC.values():
-            if expr not in exprs:
-                exprs.append(expr)
-        for col in self.RANKED:
-            if col not in exprs:
-                exprs.append(col)
-        index = {name: exprs.index(expr) for name, (expr, _) in THRESHOLD_SPEC.items()}
-        index.update({col: exprs.index(col) for col in self.RANKED})
-        return [F.expr(e) for e in exprs], index
-
     @cached_property
     def flagged(self) -> DataFrame:
         """Base + thresholds, flags, lifecycle stage and retention score.
 
-        One ranked histogram of distinct values serves the 17 exact
-        thresholds and the four percentile ranks."""
+        The ranked histogram of the four percentile ranks has one row per column
+        and distinct count; the thresholds need no histogram."""
         base = self.materialized_base()
-        metrics, index = self._metrics()
-        hist = None
-        if self.exact:
-            # One row per metric and distinct value; materialized because the
-            # thresholds, the size check and the four rank joins all read it.
-            hist = self._materialize(ranked_histogram(base, metrics))
+        # Materialized because four rank joins read it.
+        hist = self._materialize(ranked_histogram(base, [F.col(c) for c in self.RANKED]))
         spec = {name: (F.expr(expr), p) for name, (expr, p) in THRESHOLD_SPEC.items()}
-        t = thresholds(base, spec, exact=self.exact, hist=hist, index=index)
-        df = attach(base, t)
+        df = attach(base, thresholds(base, spec, exact=self.exact))
         # The flag rules (column >= / <= threshold), as SQL;
         # a comparison with an undefined value is False.
         potential = "cart_cnt + fav_cnt >= q75_cart_fav_cnt AND buy_cnt <= median_buy_cnt"
@@ -445,10 +426,10 @@ class UserFeatures:
             "CASE WHEN new_user_flag THEN 'new_user' WHEN mature_user_flag THEN 'mature_user' "
             "WHEN silent_user_flag THEN 'silent_user' WHEN churn_risk_flag THEN 'churn_risk_user' "
             "ELSE 'normal_user' END"))
-        return self._with_retention(df, hist, index)
+        return self._with_retention(df, hist)
 
-    def _with_retention(self, df: DataFrame, hist: DataFrame | None, index: dict[str, int]) -> DataFrame:
-        df = pct_ranks(df, self.RANKED) if hist is None else pct_ranks(df, self.RANKED, hist=hist, index=index)
+    def _with_retention(self, df: DataFrame, hist: DataFrame) -> DataFrame:
+        df = pct_ranks(df, self.RANKED, hist=hist, index={c: i for i, c in enumerate(self.RANKED)})
         c = F.col
         score = (F.lit(0.35) * c("_r_active") + F.lit(0.25) * c("_r_streak")
                  + F.lit(0.25) * c("_r_recent") + F.lit(0.15) * (F.lit(1.0) - c("_r_gap"))) * F.lit(100.0)
@@ -466,7 +447,7 @@ class UserFeatures:
 
     def thresholds(self) -> DataFrame:
         spec = {name: (F.expr(expr), p) for name, (expr, p) in THRESHOLD_SPEC.items()}
-        return thresholds(self.base, spec, exact=self.exact)
+        return thresholds(self.materialized_base(), spec, exact=self.exact)
 
 
 def user_feature_table(log: DataFrame, **kwargs) -> DataFrame:
