@@ -2,11 +2,14 @@
 
 A page is cut into blocks at block-level tags.  The first pass decides blocks:
 those in a menu, header, footer, sidebar, notice, advert, form or comment
-section, and those made mostly of links, are boilerplate; long blocks with many
-stop words are content.  Others stay ambiguous: short blocks, and those with few
-stop words (their language may have none that are listed).  The second pass gives
-each ambiguous block the label of the nearest decided block of its container, the
-better label when two are equally near; without any decided block it is content.
+section are boilerplate.  If the page marks its article (by an element or by a name),
+the other blocks in it are content, whatever they look like, and those outside are not.
+Otherwise blocks made mostly of links are boilerplate, and long blocks with
+many stop words content; the rest stays ambiguous: short blocks, headings of one
+link, and blocks with few stop words (their language may have none that are
+listed).  The second pass gives each ambiguous block the label of the nearest decided
+block, the better label when two are equally near; on a page without any block
+decided as content it is content.
 """
 
 from __future__ import annotations
@@ -32,19 +35,26 @@ h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol p pre section s
 tr ul
 """.split())
 RAW_TAGS = frozenset("script style textarea title iframe noembed noframes xmp template noscript svg math select".split())
-BOILER_TAGS = frozenset("nav footer aside form menu dialog button head".split())
+BOILER_TAGS = frozenset("nav footer aside menu dialog button head".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 MAIN_TAGS = frozenset("article main".split())
 # Names never make these boilerplate: they hold a page or its text.
 WHOLE_TAGS = frozenset("html body main article".split())
-# Parts of class, id and role names that tell what a container is for,
-# and parts by which such a name tells of a state or a relation to something else.
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# Words of class, id and role names that tell what a container is for, when
+# they are the name or its last word (``left-sidebar``), or its first word before a word for
+# a piece of page (``menu-item``); and words by which a name tells of a state or a relation
+# to something else.  ``share-prices`` or ``header-wrap`` are names of none of these.
 BOILER_NAMES = frozenset("""
 ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner menu nav navbar navigation
 breadcrumb breadcrumbs sidebar aside complementary rail widget footer contentinfo masthead topbar cookie cookies consent
 gdpr notice notices notification alert popup modal overlay newsletter subscribe signup login search share sharing social
 related recommended teaser toolbar pagination pager comment comments commentlist respond disqus reply replies copyright
 """.split())
+PIECE_NAMES = frozenset("""
+area bar block box button buttons bottom col column form group icon icons inner item items left line link links list lists
+outer panel right section slot text title top unit widget
+""".split())
 STATE_NAMES = frozenset("""
 has no not with without open opened closed enabled disabled
 """.split())
@@ -69,29 +79,32 @@ class _Open:
     """An open element: whether it is boilerplate or main content, itself or by
     an ancestor, and the number of the main container around it."""
 
-    __slots__ = ("name", "boiler", "main", "link")
+    __slots__ = ("name", "boiler", "main", "link", "forms")
 
-    def __init__(self, name: str, boiler: bool, main: int, link: bool):
-        self.name, self.boiler, self.main, self.link = name, boiler, main, link
+    def __init__(self, name: str, boiler: bool, main: int, link: bool, forms: tuple[int, ...] = ()):
+        self.name, self.boiler, self.main, self.link, self.forms = name, boiler, main, link, forms
 
 
 class Block:
-    __slots__ = ("text", "linked", "boiler", "main", "label")
+    __slots__ = ("text", "linked", "boiler", "main", "forms", "heading", "label")
 
-    def __init__(self, text: str, linked: int, boiler: bool, main: int):
+    def __init__(self, text: str, linked: int, boiler: bool, main: int, forms: tuple[int, ...] = (), heading: bool = False):
         self.text, self.linked, self.boiler, self.main = text, linked, boiler, main
+        self.forms, self.heading = forms, heading
         self.label: int | None = None
 
 
 def _names(attributes: str) -> set[str]:
-    """Parts of the names of an element; a name with a part of STATE_NAMES
+    """What the names of an element say it is.  A name with a word of STATE_NAMES
     (``has-sidebar``, ``comments-open``) says nothing about the element itself."""
     found = set()
     for _, value in _NAMES.findall(attributes):
         for name in value.strip("\"'").split():
-            parts = set(re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", name).lower()))
-            if parts.isdisjoint(STATE_NAMES):
-                found |= parts
+            words = [w for w in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", name).lower()) if w]
+            if words and STATE_NAMES.isdisjoint(words):
+                found.add(words[-1])
+                if len(words) > 1 and words[-1] in PIECE_NAMES:
+                    found.add(words[0])
     return found
 
 
@@ -102,7 +115,7 @@ def blocks(page: str) -> list[Block]:
     stack = [_Open("", False, 0, False)]
     parts: list[str] = []
     linked = 0
-    mains = 0
+    mains = forms = 0
     tag = _TAG
     at = 0
 
@@ -117,7 +130,8 @@ def blocks(page: str) -> list[Block]:
         nonlocal linked
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            out.append(Block(text, linked, stack[-1].boiler, stack[-1].main))
+            top = stack[-1]
+            out.append(Block(text, linked, top.boiler, top.main, top.forms, any(o.name in HEADINGS for o in stack[-3:])))
         parts.clear()
         linked = 0
 
@@ -199,49 +213,70 @@ def blocks(page: str) -> list[Block]:
         elif main < 0 and not boiler and name in MAIN_TAGS:
             mains += 1
             main = mains
-        stack.append(_Open(name, boiler, main, top.link or name == "a"))
+        around = top.forms
+        if name == "form":
+            forms += 1
+            around = (*around, forms)
+        stack.append(_Open(name, boiler, main, top.link or name == "a", around))
     close_block()
     return out
 
 
+def _close_forms(found: list[Block]) -> None:
+    """Blocks of forms become boilerplate.  A form is none if it only wraps the page: it
+    holds the article, or a long block and most of the text that is no boilerplate."""
+    free = [b for b in found if not b.boiler]
+    size, long, article = {}, set(), set()
+    for b in free:
+        for form in b.forms:
+            size[form] = size.get(form, 0) + len(b.text)
+            if len(b.text) >= LONG_CHARS and b.linked <= LINK_DENSITY * len(b.text):
+                long.add(form)
+            if b.main > 0 and b.forms[-1] == form:
+                article.add(form)
+    total = sum(len(b.text) for b in free)
+    outside = any(b.main > 0 and not b.forms for b in free)
+    for b in free:
+        b.boiler = not all((form in article and not outside) or (form in long and 2 * size[form] > total) for form in b.forms)
+
+
 def _first_pass(block: Block, in_main: bool) -> int | None:
     if block.boiler or not in_main:
         return BAD
+    if block.main:
+        return GOOD
     length = len(block.text)
     if block.linked > LINK_DENSITY * length:
-        return BAD
+        return AMBIGUOUS if block.heading else BAD
     words = _WORD.findall(block.text.lower())
     stops = sum(w in STOP_WORDS for w in words)
     if length >= LONG_CHARS and stops >= STOP_DENSITY * len(words):
         return GOOD
-    if length >= SHORT_CHARS and stops >= STOP_DENSITY * len(words) and not block.linked and not block.main:
+    if length >= SHORT_CHARS and stops >= STOP_DENSITY * len(words) and not block.linked:
         return GOOD
     return AMBIGUOUS
 
 
 def _second_pass(found: list[Block]) -> None:
-    """Ambiguous blocks inherit from the nearest decided block of their container
-    that is no boilerplate by its place."""
-    groups: dict[int, list[Block]] = {}
-    for b in found:
-        if not b.boiler:
-            groups.setdefault(b.main, []).append(b)
-    for main, members in groups.items():
-        far = len(members) + 1
-        before, last, label = [], far, None
+    """Ambiguous blocks inherit from the nearest decided block that is no boilerplate by
+    its place; if none of those is content, they are."""
+    members = [b for b in found if not b.boiler]
+    if not any(b.label == GOOD for b in members):
         for b in members:
-            last, label = (0, b.label) if b.label is not AMBIGUOUS else (last + 1, label)
-            before.append((last, label))
-        last, label = far, None
-        for k in range(len(members) - 1, -1, -1):
-            b = members[k]
-            if b.label is not AMBIGUOUS:
-                last, label = 0, b.label
-                continue
-            last += 1
-            nearest = min((d, -(lab or 0)) for d, lab in ((last, label), before[k]) if lab is not None) \
-                if label is not None or before[k][1] is not None else (0, -GOOD)
-            b.label = -nearest[1]
+            b.label = GOOD if b.label is AMBIGUOUS else b.label
+        return
+    far = len(members) + 1
+    before, last, label = [], far, BAD
+    for b in members:
+        last, label = (0, b.label) if b.label is not AMBIGUOUS else (last + 1, label)
+        before.append((last, label))
+    last, label = far, BAD
+    for b, (earlier, other) in zip(reversed(members), reversed(before)):
+        if b.label is not AMBIGUOUS:
+            last, label = 0, b.label
+            continue
+        last += 1
+        b.label = label if last < earlier else other if earlier < last else max(label, other)
 
 
 def main_text(page: str | None) -> str:
@@ -250,6 +285,7 @@ def main_text(page: str | None) -> str:
     If the page marks an article (or main) element, only its blocks count;
     otherwise those of a container named like one, otherwise all blocks."""
     found = blocks(page or "")
+    _close_forms(found)
     free = [b for b in found if not b.boiler]
     if any(b.main > 0 for b in free):
         inside = {b.main for b in free if b.main > 0}

@@ -1,4 +1,5 @@
 import html
+import random
 import re
 
 from footfall.llm import html_text as H
@@ -35,6 +36,63 @@ def test_pages_without_an_article_element():
     assert H.main_text(f"<ul>{links}</ul><p>{PROSE}</p>") == PROSE
 
 
+LINE = "The council said that the plan for the bridge is not what the people of the town had in mind at all"
+
+
+def test_blocks_of_an_article_stay_whatever_they_look_like():
+    link = f"<a href=x>{LINE}</a>"
+    assert H.main_text(f"<article><p>{LINE}</p><p>{link}</p><p>{LINE}</p></article>").split("\n") == [LINE] * 3
+    assert H.main_text(f"<article><h1><a href=y>Headline</a></h1><p>{LINE}</p></article>").split("\n") == ["Headline", LINE]
+    items = "".join(f"<li><a href=/{i}>part {i}</a></li>" for i in range(5))
+    assert H.main_text(f"<article><p>Short.</p><ul>{items}</ul><p>End.</p></article>").split("\n") == [
+        "Short.", *[f"part {i}" for i in range(5)], "End."]
+    assert H.main_text(f"<p>Short.</p><ul>{items}</ul><p>End.</p>").split("\n") == ["Short.", "End."]
+    assert H.main_text(f"<h1><a href=y>Headline</a></h1><p>{LINE}</p>").split("\n") == ["Headline", LINE]
+    for names in ("search-results-analysis", "share-prices", "related-work", "header-wrap", "comment-free"):
+        assert H.main_text(f"<article><section class='{names}'><p>{LINE}</p></section></article>") == LINE, names
+        assert H.main_text(f"<body><div class='{names}'><p>{PROSE}</p></div></body>") == PROSE, names
+    for names in ("menu-item", "footer-links", "adBox", "site_footer", "comment-list"):
+        assert H.main_text(f"<article><div class='{names}'>{PROSE}</div><p>{LINE}</p></article>") == LINE, names
+
+
+def test_forms_go_unless_they_wrap_the_page():
+    assert H.main_text(f"<body><form><div><p>{PROSE}</p><p>Short.</p></div></form></body>").split("\n") == [PROSE, "Short."]
+    assert H.main_text(f"<form><nav>Menu</nav><article><p>{LINE}</p></article></form>") == LINE
+    assert H.main_text(f"<article><p>{PROSE}</p><p>{PROSE}</p><form><p>Sign up</p><p>{PROSE}</p></form></article>").split("\n") == [PROSE] * 2
+    assert H.main_text(f"<p>{PROSE}</p><form>Your name <input> and your town</form>") == PROSE
+    assert H.main_text("<form><p>Your name</p></form>") == ""
+
+
+def test_second_pass_equals_a_plain_search():
+    rng = random.Random(6)
+    for _ in range(300):
+        labels = [rng.choice([H.GOOD, H.BAD, None, None, None]) for _ in range(rng.randint(0, 12))]
+        blocks = [H.Block("x", 0, False, 0) for _ in labels]
+        for b, label in zip(blocks, labels):
+            b.label = label
+        H._second_pass(blocks)
+        for k, b in enumerate(blocks):
+            decided = [(abs(k - j), -lab) for j, lab in enumerate(labels) if lab is not None]
+            want = labels[k] if labels[k] is not None else H.GOOD if H.GOOD not in labels else -min(decided)[1]
+            assert b.label == want
+
+
+def test_every_rule_changes_a_result(monkeypatch):
+    links = "".join(f"<li><a href=/{i}>the link number {i} of the list and of all the rest of it</a></li>" for i in range(4))
+    code = "<p>" + "lorem dolor amet sed eiusmod " * 8 + "</p>"
+    page = f"<ul>{links}</ul><p>More.</p>{code}<ul>{links}</ul><p>Intro.</p><p>{PROSE}</p><p>{LINE}</p><p>Coda.</p><ul>{links}</ul>"
+    normal = H.main_text(page)
+    assert normal.split("\n") == ["Intro.", PROSE, LINE, "Coda."]
+    for name, value in (("LINK_DENSITY", 1.1), ("STOP_DENSITY", 0.0), ("LONG_CHARS", 10_000)):
+        with monkeypatch.context() as changed:
+            changed.setattr(H, name, value)
+            changed.setattr(H, "SHORT_CHARS", 10_000 if name == "LONG_CHARS" else H.SHORT_CHARS)
+            assert H.main_text(page) != normal, name
+    with monkeypatch.context() as changed:
+        changed.setattr(H, "_second_pass", lambda found: None)
+        assert H.main_text(page) != normal
+
+
 def test_odd_markup():
     assert H.main_text(None) == H.main_text("") == H.main_text(" \n ") == H.main_text("<p></p>") == ""
     assert H.main_text("just text") == "just text"
