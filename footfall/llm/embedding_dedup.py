@@ -13,6 +13,9 @@ Equal vectors are one node with a weight, whatever the number of copies.  A pair
 of cells is compared from one side only.  The members and the visitors of a cell
 are dealt to tiles of bounded size, so a crowded cell is many small products, and
 a tile returns link counts and one edge per linked node, never its pairs.
+
+Vectors of different lengths have no cosine: each length has an index of its own,
+and cells of its own in the same tiles.
 """
 
 from __future__ import annotations
@@ -44,6 +47,9 @@ def _k_means(points: np.ndarray, k: int, rounds: int, random: np.random.Generato
     return centres
 
 
+MOST_CODEWORDS = 1024  # 2 ** 20 cells, whose counts are broadcast
+
+
 class MultiIndex:
     """Codebooks of the halves and the gap up to which cells are visited."""
 
@@ -88,10 +94,19 @@ class MultiIndex:
 
 
 def _unit(packed: list[bytes], kind: str) -> np.ndarray:
+    """Unit vectors; scaled by the largest component first, so that no square overflows
+    or vanishes."""
     table = np.frombuffer(b"".join(packed), kind).reshape(len(packed), -1).astype(float)
+    table /= np.abs(table).max(axis=1)[:, None]
     return table / np.linalg.norm(table, axis=1)[:, None]
 
 
+def codewords_for(n: int) -> int:
+    """K for n vectors: cells grow with n, by a power at which visited cells and compared
+    vectors grow evenly."""
+    return int(min(MOST_CODEWORDS, max(8, round(1.5 * n ** (1 / 3)))))
+
+
 def _packed_rows(embeddings: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame, str]:
     """(vec_id, size, key, packed) of every row; key is null for a vector that
     links with nothing: null, zero, or with null or non-finite components."""
@@ -106,8 +121,7 @@ def _packed_rows(embeddings: DataFrame, id_col: str, vector_col: str) -> tuple[D
             for values in batch.column(1).to_pylist():
                 usable = values and None not in values
                 vector = np.array(values, kind) + np.array(0, kind) if usable else None  # -0.0 becomes 0.0
-                if usable and np.isfinite(vector).all() and (norm := np.linalg.norm(vector.astype(float))) > 0 \
-                        and np.isfinite(norm):
+                if usable and np.isfinite(vector).all() and vector.any():
                     packed.append(vector.tobytes())
                     keys.append(hashlib.blake2b(packed[-1], digest_size=16).digest())
                     sizes.append(len(values))
@@ -181,20 +195,20 @@ def _links_batch(rows):
         ["node", "links", "root"])
 
 
-def embedding_components(embeddings: DataFrame, similarity: float = 0.95, codewords: int = 32,
+def embedding_components(embeddings: DataFrame, similarity: float = 0.95, codewords: int | None = None,
                          sample_rows: int = 20_000, target_recall: float = 0.999, tile_rows: int = 256,
                          id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """One row per row of ``embeddings``: ``vec_id, n_links`` (other rows with a
     cosine of at least ``similarity`` that were found), ``component_id`` (smallest
     vec_id reachable over links), ``kept`` (it is that one itself).
 
-    Only vectors with as many components as the most frequent size are compared;
-    those of other sizes, null, zero and those with null or non-finite components
-    link with nothing.  Equal vectors always link.  Rows with the same vec_id are
+    Vectors of equal length are compared; null and zero vectors and those with null
+    or non-finite components link with nothing.  Equal vectors always link.  Rows with the same vec_id are
     rows of their own; a null vec_id takes part and is never a component_id if its
-    component has another.  ``codewords`` (K) should grow with the square root of
-    the number of vectors.  The codebooks are fitted on ``sample_rows`` vectors
-    chosen by their hash; every vector is indexed.
+    component has another.  ``codewords`` (K) follows the number of different
+    vectors of a length unless given.  The codebooks are fitted on ``sample_rows`` vectors
+    chosen by their hash (dealt equally to the lengths, 256 of each at least); every
+    vector is indexed.
     """
     packed, kind = _packed_rows(embeddings, id_col, vector_col)
     rows = stage(packed, "vectors")
@@ -202,32 +216,39 @@ def embedding_components(embeddings: DataFrame, similarity: float = 0.95, codewo
         F.min("vec_id").alias("rep"), F.count("*").alias("weight"), F.max("size").alias("size"),
         F.max("packed").alias("packed"))
     nodes = stage(nodes, "nodes")
-    common = nodes.groupBy("size").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "size").first()
+    sizes = nodes.groupBy("size").agg(F.count("*").alias("n")).orderBy("size").collect()
     alone = rows.where("key is null").select(
         "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    if common is None:
+    if not sizes:
         return alone
-    same_size = nodes.where(F.col("size") == common["size"])
-    sample = same_size.orderBy("key").limit(sample_rows).select("packed").collect()
-    index = Shared(embeddings.sparkSession,
-                   MultiIndex(_unit([bytes(r["packed"]) for r in sample], kind), codewords, similarity, target_recall))
+    share, indexes, base = max(256, sample_rows // len(sizes)), {}, 0
+    for size, n in sizes:
+        sample = nodes.where(F.col("size") == size).orderBy("key").limit(share).select("packed").collect()
+        own = MultiIndex(_unit([bytes(r["packed"]) for r in sample], kind), codewords or codewords_for(n), similarity,
+                         target_recall)
+        indexes[size] = own, base  # the cells of a length are numbered from its base
+        base += len(own.books[0]) * own.width
+    shared = Shared(embeddings.sparkSession, indexes)
 
     def place(batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            first, second = index.value.halves(_unit(batch.column(1).to_pylist(), kind))
-            cells = [index.value.visited(a, b) for a, b in zip(first, second)]
-            # Each pair of cells is compared from the lower one.
-            visits = [[c for c in v if c >= v[0]] for v in cells]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), batch.column(2), pa.array([v[0] for v in cells], pa.int32()),
-                 pa.array(visits, pa.list_(pa.int32()))], ["key", "packed", "weight", "own", "visits"])
-
-    placed = stage(same_size.select("key", "packed", "weight").mapInArrow(
-        place, "key binary, packed binary, weight long, own int, visits array<int>"), "placed")
+            lengths = np.array(batch.column(3))
+            for size in np.unique(lengths):
+                rows_of = pa.RecordBatch.from_arrays(batch.columns, batch.schema.names).take(
+                    pa.array(np.flatnonzero(lengths == size)))
+                index, start = shared.value[int(size)]
+                first, second = index.halves(_unit(rows_of.column(1).to_pylist(), kind))
+                cells = [index.visited(a, b) for a, b in zip(first, second)]
+                # Each pair of cells is compared from the lower one.
+                visits = [[start + c for c in v if c >= v[0]] for v in cells]
+                yield pa.RecordBatch.from_arrays(
+                    [*rows_of.columns[:3], pa.array([start + v[0] for v in cells], pa.int64()),
+                     pa.array(visits, pa.list_(pa.int64()))], ["key", "packed", "weight", "own", "visits"])
+
+    placed = stage(nodes.select("key", "packed", "weight", "size").mapInArrow(
+        place, "key binary, packed binary, weight long, own long, visits array<long>"), "placed")
     visitors = placed.select("key", F.explode("visits").alias("cell"), "own")
-    # Both tables of counts have a row for each cell, codewords squared at most.
+    # Both tables of counts have a row for each cell, codewords squared at most for a length.
     tiles = placed.groupBy(F.col("own").alias("cell")).agg(
         F.ceil(F.count("*") / tile_rows).cast("int").alias("tiles"))
     chunks = visitors.groupBy("cell").agg(F.ceil(F.count("*") / tile_rows).cast("int").alias("chunks"))

@@ -34,6 +34,9 @@ def letters(text: str | None) -> str:
     """Lower-cased words of letters with one space between and around them;
     empty if there is no letter."""
     kept = _NOT_LETTERS.sub(" ", (text or "").lower()).strip()
+    others = {c for c in set(kept) if not c.isalpha()} - {" "}  # numerals such as \u00bd and \u2167
+    if others:
+        kept = " ".join(kept.translate(dict.fromkeys(map(ord, others), " ")).split())
     return f" {kept} " if kept else ""
 
 

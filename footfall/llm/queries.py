@@ -162,24 +162,34 @@ WITH captures AS (
     FROM captures
 ), keyed AS (
     SELECT *, place || CASE WHEN len(kept) > 0 THEN '?' || array_to_string(kept, '&') ELSE '' END AS canonical_url,
-           substr(digest, 1, 16) AS tag
+           CASE WHEN page_id % 10 <> 5 THEN substr(digest, 1, 16) END AS tag,
+           CASE WHEN page_id % 20 = 5 THEN 'day 5' WHEN page_id % 10 = 5 THEN 'day 6' END AS modified
     FROM named
+), revisits AS (
+    SELECT page_id, page_id % 10 AS kind, keyed.at + 86400 AS captured_at,
+           CASE WHEN page_id % 10 = 9 THEN 'never.captured/' || page_id ELSE canonical_url END AS canonical_url,
+           CASE page_id % 10 WHEN 3 THEN 'changed' WHEN 5 THEN NULL WHEN 7 THEN NULL ELSE tag END AS tag,
+           CASE WHEN page_id % 10 = 5 THEN 'day 5' END AS modified
+    FROM keyed
 ), found AS (
-    SELECT r.page_id, r.canonical_url, r.at + 86400 AS captured_at, r.tag, r.page_id % 10 AS kind,
-           max(f.page_id) AS response
-    FROM keyed r LEFT JOIN keyed f ON f.canonical_url = r.canonical_url AND f.at < r.at + 86400
+    SELECT r.*, max(f.page_id) AS response
+    FROM revisits r LEFT JOIN keyed f ON f.canonical_url = r.canonical_url AND f.at < r.captured_at
     GROUP BY ALL
 ), judged AS (
-    SELECT r.*, f.bytes, f.digest, f.tag AS response_tag,
-           CASE WHEN r.kind = 7 THEN 'unverified' WHEN r.kind <> 3 AND r.tag = f.tag THEN 'resolved'
-                ELSE 'mismatch' END AS outcome
-    FROM found r JOIN keyed f ON f.page_id = r.response
+    SELECT r.*, f.bytes, f.digest,
+           CASE WHEN f.page_id IS NULL THEN 'missing'
+                WHEN r.tag IS NOT NULL AND f.tag IS NOT NULL THEN CASE WHEN r.tag = f.tag THEN 'resolved' ELSE 'mismatch' END
+                WHEN r.modified IS NOT NULL AND f.modified IS NOT NULL
+                THEN CASE WHEN r.modified = f.modified THEN 'resolved' ELSE 'mismatch' END
+                ELSE 'unverified' END AS outcome, f.tag AS response_tag
+    FROM found r LEFT JOIN keyed f ON f.page_id = r.response
 )
 SELECT 2 * page_id + 1 AS record_id, canonical_url, captured_at, outcome,
        CASE WHEN outcome = 'resolved' THEN 2 * response END AS response_id,
        CASE WHEN outcome = 'resolved' THEN bytes END AS payload_bytes,
        CASE WHEN outcome = 'resolved' THEN digest END AS payload_sha256,
-       CASE kind WHEN 3 THEN '"changed"' WHEN 7 THEN NULL ELSE 'W/"' || tag || '"' END AS etag,
+       CASE WHEN kind = 3 THEN '"changed"' WHEN tag IS NOT NULL THEN 'W/"' || tag || '"'
+            WHEN outcome = 'resolved' THEN '"' || response_tag || '"' END AS etag,
        'max-age=7200' AS cache_control,
        CASE WHEN outcome = 'resolved' THEN 'text/html' END AS content_type,
        CASE WHEN outcome <> 'resolved' THEN 'again' END AS server

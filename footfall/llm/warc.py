@@ -14,6 +14,7 @@ from those before it is one row, found from one summary row for each partition.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 from datetime import datetime, timezone
 
@@ -27,6 +28,8 @@ from footfall.llm.stages import stage
 TRACKING = re.compile(r"^(?:utm_[a-z]+|ref|fbclid|gclid|sessionid|phpsessid|jsessionid)$", re.I)
 #: Headers of a 304 that may replace a stored response's (all others stay).
 PERMITTED = ("age", "cache-control", "content-location", "date", "etag", "expires", "last-modified", "vary")
+#: Profile of a revisit that stands for a 304 answer, also without the answer's own head.
+NOT_MODIFIED_PROFILE = "/revisit/server-not-modified"
 RECORD_SCHEMA = ("record_id string, warc_type string, url string, canonical_url string, captured_at long, "
                  "status int, headers map<string,string>, payload_bytes long, payload_sha256 string, payload binary")
 _URL = re.compile(r"^\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#]*)([^?#]*)(?:\?([^#]*))?", re.I | re.S)
@@ -93,7 +96,8 @@ def parse_record(raw: bytes | None, with_payload: bool = True):
         status, headers = int(code.group(1)) if code else None, _headers(rest)
     url = warc.get("warc-target-uri")
     return (warc.get("warc-record-id"), warc["warc-type"].lower(), url, canonical_url(url), _seconds(warc.get("warc-date")),
-            status, list(headers.items()), len(payload), hashlib.sha256(payload).hexdigest(),
+            304 if status is None and warc.get("warc-profile", "").lower().endswith(NOT_MODIFIED_PROFILE) else status,
+            list(headers.items()), len(payload), hashlib.sha256(payload).hexdigest(),
             payload if with_payload else None)
 
 
@@ -110,12 +114,61 @@ def parse_records(raw: DataFrame, raw_col: str = "raw", with_payload: bool = Tru
     return raw.select(F.col(raw_col).cast("binary")).mapInArrow(run, RECORD_SCHEMA)
 
 
-def read_warc(spark: SparkSession, path: str, version: str = "WARC/1.0", with_payload: bool = True) -> DataFrame:
-    """Records of WARC files, plain (split between tasks) or gzip (streamed).
+VERSION = "WARC/1."
+_START = re.compile(rb"[01][^\S\n]*\n")
+
+
+def _missing_bytes(record: bytes) -> int:
+    """Bytes that a record lacks by its Content-Length."""
+    head, block = _head_and_rest(record)
+    length = _headers(head).get("content-length", "")
+    return int(length) - len(block) if length.isascii() and length.isdigit() else 0
+
+
+def _whole_records(pieces):
+    """Records from the pieces of one range of a file between version marks: a piece goes on
+    with the next one as long as its Content-Length says so, because a payload may hold the
+    mark itself.  What is no record or stays short fails."""
+    record, lacking = b"", 0
+    for piece in pieces:
+        if lacking > 0:
+            record += VERSION.encode() + piece
+            lacking -= len(VERSION) + len(piece)
+            continue
+        if record:
+            yield record
+        if not _START.match(piece):
+            raise ValueError(f"no WARC record: {piece[:60]!r}")
+        record, lacking = piece, _missing_bytes(piece)
+    if lacking > 0:
+        raise ValueError(f"a WARC record ends {lacking} bytes before its Content-Length: {record[:200]!r}")
+    if record:
+        yield record
+
+
+def read_warc(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
+    """Records of WARC files of versions 1.0 and 1.1, plain (split between tasks) or gzip
+    (streamed).
+
+    Records are told apart by their version mark and checked against their
+    Content-Length, so no file is held whole.  A mark inside a payload doesn't cut it.  A
+    record that ends too early, in a cut file or (plain files only) because a mark in its
+    payload lies in the next split, fails the read."""
+    text = spark.read.option("lineSep", VERSION).text(path)
+    lines = text.select(F.col("value").cast("binary").alias("value"), F.col("_metadata.file_path").alias("path"),
+                        F.col("_metadata.file_block_start").alias("start"))
 
-    Records are told apart by their version line, so no file is held whole."""
-    lines = spark.read.option("lineSep", f"{version}\r\n").text(path)
-    return parse_records(lines.where("length(value) > 0"), "value", with_payload)
+    def run(batches):
+        def rows():
+            for batch in batches:
+                for piece, path, start in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                    yield piece.as_py(), (path, start)
+
+        for _, own in itertools.groupby(rows(), key=lambda row: row[1]):
+            for record in _whole_records(piece for piece, _ in own if piece):
+                yield pa.RecordBatch.from_arrays([pa.array([record], pa.binary())], ["raw"])
+
+    return parse_records(lines.mapInArrow(run, "raw binary"), "raw", with_payload)
 
 
 def _validators(mine: Column, stored: Column) -> Column:
@@ -153,10 +206,10 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     keyed = F.col("canonical_url").isNotNull() & F.col("captured_at").isNotNull()
     own = ["record_id", "url", "canonical_url", "captured_at", "headers"]
     # At equal times revisits come first, so a candidate is strictly earlier.
-    rows = records.where(is_revisit | (is_full & keyed)).select(
+    rows = stage(records.where(is_revisit | (is_full & keyed)).select(
         *own, is_full.cast("int").alias("full"),
         F.when(is_full, F.struct("canonical_url", "captured_at", "record_id", "payload_bytes", "payload_sha256",
-                                 F.map_entries("headers").alias("stored"))).alias("response"))
+                                 F.map_entries("headers").alias("stored"))).alias("response")), "records")
     placed = stage(
         rows.where(keyed).repartitionByRange("canonical_url", "captured_at", "full", "record_id")
         .withColumn("part", F.spark_partition_id()), "captures")
@@ -190,7 +243,9 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
 
 
 def with_payloads(resolved: DataFrame, records: DataFrame) -> DataFrame:
-    """Resolved revisits with the payload of their response."""
+    """Resolved revisits with the payload of their response; other outcomes have none and
+    don't appear, nor do revisits of a response without a record id.  Repeated responses
+    of one id each appear."""
     payloads = records.where("warc_type = 'response'").select(F.col("record_id").alias("response_id"), "payload")
     return resolved.where("outcome = 'resolved'").join(payloads, "response_id")
 
@@ -211,17 +266,21 @@ def _record(kind: str, number: int, url: str, at: int, http: bytes) -> bytes:
 def page_captures(page_id: int, url: str, html: str | None) -> list[bytes]:
     """Two raw records of a page: its response, numbered ``2 * page_id``, and a
     day later a revisit, ``2 * page_id + 1``.  The revisit has the weak entity tag
-    of the page; of ten pages one has another tag and one has no validator."""
+    of the page; of ten pages one has another tag, one has no validator, one is dated
+    (the response, too, with another date for half of these) and one is revisited at an
+    address that was never captured."""
     body = (html or "").encode("utf-8", "surrogatepass")
     tag = hashlib.sha256(body).hexdigest()[:16]
     at = CRAWL_START + 60 * page_id
-    seen = {3: 'ETag: "changed"\r\n', 7: ""}.get(page_id % 10, f'ETag: W/"{tag}"\r\n')
-    full = (f'HTTP/1.1 200 OK\r\nContent-Type: text/html\r\nETag: "{tag}"\r\nCache-Control: max-age={page_id % 100}\r\n'
+    seen = {3: 'ETag: "changed"\r\n', 5: "Last-Modified: day 5\r\n", 7: ""}.get(page_id % 10, f'ETag: W/"{tag}"\r\n')
+    dated = f"Last-Modified: day {5 if page_id % 20 == 5 else 6}\r\n" if page_id % 10 == 5 else f'ETag: "{tag}"\r\n'
+    full = (f'HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n{dated}Cache-Control: max-age={page_id % 100}\r\n'
             f"Content-Length: {len(body)}\r\n\r\n").encode() + body
     again = (f"HTTP/1.1 304 Not Modified\r\n{seen}Cache-Control: max-age=7200\r\nContent-Length: 0\r\n"
              f"Server: again\r\n\r\n").encode()
     return [_record("response", 2 * page_id, url, at, full),
-            _record("revisit", 2 * page_id + 1, url, at + REVISIT_AFTER, again)]
+            _record("revisit", 2 * page_id + 1, f"http://never.captured/{page_id}" if page_id % 10 == 9 else url,
+                    at + REVISIT_AFTER, again)]
 
 
 def crawl_of_pages(pages: DataFrame) -> DataFrame:

@@ -29,6 +29,34 @@ def test_recall_against_brute_force(spark):
     assert all(r.kept == (r.vec_id == r.component_id) for r in got)
 
 
+def test_every_length_has_its_index(spark):
+    """Two lengths with near pairs, and norms whose squares overflow or vanish."""
+    rng = np.random.default_rng(3)
+    rows, want = [], {}
+    for size, first, scale in ((6, 0, 1.0), (10, 1000, 1e200), (3, 2000, 1e-200)):
+        base = rng.standard_normal((40, size))
+        near = base + rng.standard_normal(base.shape) * 0.01
+        table = np.vstack([base, near]) * scale
+        links, roots = _brute(table / scale)
+        for i, v in enumerate(table):
+            rows.append((first + i, v.tolist()))
+            want[first + i] = (links[i], first + roots[i])
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in E.embedding_components(df, tile_rows=16).collect()}
+    assert set(got) == set(want) and sum(got[k] == want[k] for k in want) >= 0.97 * len(want)
+    assert all(got[k][0] <= want[k][0] for k in want) and sum(n for n, _ in got.values()) >= 0.97 * sum(n for n, _ in want.values())
+
+
+def test_codewords_follow_the_rows():
+    assert [E.codewords_for(n) for n in (1, 10_000, 50_000, 10**9, 10**12)] == [8, 32, 55, 1024, 1024]
+
+
+def test_clashing_columns(spark):
+    df = spark.createDataFrame([(1, [1.0, 0.0], 5, "x"), (2, [1.0, 0.001], 5, "y")],
+                               "vec_id long, embedding array<double>, weight int, own string")
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in E.embedding_components(df).collect()) == [(1, 1, 1), (2, 1, 1)]
+
+
 def test_edge_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, [1.0, 0.0, 0.0]), (2, [2.0, 0.0, 0.0]), (2, [2.0, 0.0, 0.0]), (3, [0.0, 1.0, 0.0]), (4, None), (5, []),

@@ -5,6 +5,11 @@ from footfall.llm.stages import held_out
 from tests.conftest import SF_ORACLE
 
 
+def test_letters_are_letters():
+    assert L.letters("\u00bd \u00b2 \u2167 12 _ !") == ""
+    assert L.letters("Ab\u00bdC\u2167 \u00e9\u65e5") == " ab c \u00e9\u65e5 "
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet(f"{SF_ORACLE}/documents.parquet")
     found = L.identify(docs, L.learn(docs)).join(docs.select("doc_id", "lang"), "doc_id").where(held_out()).collect()

@@ -1,5 +1,6 @@
 import gzip
 
+import pytest
 from pyspark.sql import functions as F
 
 from footfall.llm import warc as W
@@ -93,3 +94,32 @@ def test_files_plain_and_gzip(spark, tmp_path):
     got = {r.record_id: bytes(r.payload) for r in read.collect()}
     assert got == {str(k): bytes(range(256)) * (k + 1) for k in range(9)}
     assert read.where(F.col("status") == 200).count() == 9
+
+
+def test_both_versions_and_marks_in_payloads(spark, tmp_path):
+    body = b"a line\r\nWARC/1.0\r\nWARC-Type: response\r\n\r\nWARC/1.1 and WARC/1.\r\n" * 3
+    records = [bytes(_raw("response", k, f"http://a.org/{k}", 100 + k, _full(body if k % 2 else b"x", ETag='"e"'))) for k in range(6)]
+    mixed = [r.replace(b"WARC/1.0", b"WARC/1.1", 1) if k > 2 else r for k, r in enumerate(records)]
+    (tmp_path / "a.warc").write_bytes(b"".join(mixed[:4]))
+    (tmp_path / "b.warc.gz").write_bytes(b"".join(gzip.compress(r) for r in mixed[4:]))
+    got = {r.record_id: bytes(r.payload) for r in W.read_warc(spark, str(tmp_path)).collect()}
+    assert got == {str(k): body if k % 2 else b"x" for k in range(6)}
+    for name, data in (("cut", records[1][:-40]), ("junk", b"not a record WARC/1.0\r\n")):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "c.warc").write_bytes(records[0] + data if name == "cut" else data)
+        with pytest.raises(Exception, match="WARC record"):
+            W.read_warc(spark, str(tmp_path / name)).collect()
+    long = bytes(_raw("response", 9, "http://long.org/", 100, _full(b"z" * 20_000_000)))
+    (tmp_path / "long").mkdir()
+    (tmp_path / "long" / "d.warc").write_bytes(long + records[0])
+    assert {r.record_id: r.payload_bytes for r in W.read_warc(spark, str(tmp_path / "long"), False).collect()} == {"9": 20_000_000, "0": 1}
+
+
+def test_profile_stands_for_the_answer(spark):
+    bare = (b"WARC/1.0\r\nWARC-Type: revisit\r\nWARC-Record-ID: 5\r\nWARC-Target-URI: http://a.org/x\r\n"
+            b"WARC-Date: 1970-01-01T00:10:00Z\r\nContent-Length: 0\r\n"
+            b"WARC-Profile: http://netpreserve.org/warc/1.1/revisit/%s\r\n\r\n\r\n\r\n")
+    raws = [_raw("response", 1, "http://a.org/x", 100, _full(b"one", ETag='"1"')), bytearray(bare % b"server-not-modified"),
+            bytearray(bare.replace(b"ID: 5", b"ID: 6") % b"identical-payload-digest")]
+    got, _ = _resolve(spark, raws)
+    assert {k: r.outcome for k, r in got.items()} == {"5": "unverified"}
