@@ -130,13 +130,13 @@ class UserFeatures:
         self.part_rows = part_rows
 
     # ----- shared rollups -------------------------------------------------
-    def _materialize(self, df: DataFrame) -> DataFrame:
+    def _materialize(self, df: DataFrame, by: str | None = None) -> DataFrame:
         """Checkpoint a rollup that several blocks read (shared checkpoint
         directory): every block then reads it instead of recomputing it from
         the log (column pruning would otherwise give each block its own scan
         and shuffle), and a lost executor does not send the job back to the
         log."""
-        return reliable_checkpoint(df) if self.use_checkpoint else df
+        return reliable_checkpoint(df, by) if self.use_checkpoint else df
 
     @cached_property
     def events(self) -> DataFrame:
@@ -153,11 +153,13 @@ class UserFeatures:
     def user_hour(self) -> DataFrame:
         """(user, hour) rollup with within-hour and across-hour sequence
         columns: one exchange of the raw events on (user, hour, part),
-        then exchanges of rollup rows only."""
+        then exchanges of rollup rows only.  It is bucketed by user (a user has at most
+        a row for each hour), so no block of it needs an exchange."""
         if not self.sequences:
             mask = F.bit_or(bit_flag("behavior_type")).alias("bt_mask")
-            return self._materialize(self.events.groupBy(KEY, "timestamp").agg(*R.behavior_counts(), mask))
-        return self._materialize(S.across_hours(S.user_hour_rollup(self.parted_events)))
+            return self._materialize(self.events.groupBy(KEY, "timestamp").agg(*R.behavior_counts(), mask)
+                                     .repartition(KEY), by=KEY)
+        return self._materialize(S.across_hours(S.user_hour_rollup(self.parted_events)), by=KEY)
 
     @cached_property
     def uict(self) -> DataFrame:

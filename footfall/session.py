@@ -79,16 +79,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 _stages: list[str] = []
+_tables: list[str] = []
 
 
 @contextmanager
 def temporary_stages(spark: SparkSession):
     """Delete the stages that were materialized inside the block at its end,
     when the job's own outputs have been committed."""
-    before = len(_stages)
+    before, tables = len(_stages), len(_tables)
     try:
         yield
     finally:
+        for name in _tables[tables:]:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        del _tables[tables:]
         hadoop = spark._jvm.org.apache.hadoop.fs
         for path in _stages[before:]:
             target = hadoop.Path(path)
@@ -96,17 +100,28 @@ def temporary_stages(spark: SparkSession):
         del _stages[before:]
 
 
-def reliable_checkpoint(df):
+def reliable_checkpoint(df, by: str | None = None):
     """``df`` written once as a Parquet table below the session's shared
     ``spark.checkpoint.dir`` and read back: the lineage is cut (a lost
     executor does not send the job back to the log), the data is computed by
     a single job (an RDD checkpoint would compute the last stage twice), and
     later readers get column pruning and real size statistics for the
-    adaptive planner."""
+    adaptive planner.
+
+    ``by``: the stage is bucketed by that column into as many buckets as a shuffle has
+    partitions, so that readers grouping, joining or ranking by it need no exchange.  Only
+    for columns of which no value holds many rows: a bucket is one task.  Buckets need an
+    entry in the catalog, which goes with the stage."""
     import uuid
 
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/footfall-stage-{uuid.uuid4().hex}"
     _stages.append(path)
+    if by:
+        name = f"footfall_stage_{uuid.uuid4().hex}"
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        _tables.append(name)
+        df.write.option("path", path).format("parquet").bucketBy(buckets, by).sortBy(by).saveAsTable(name)
+        return spark.table(name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

@@ -74,3 +74,29 @@ def test_rollup_exchange_counts_are_bounded(uf):
     base = exchanges(raw_scan_free)
     assert exchanges(uf.user_hour) - base <= 3
     assert exchanges(uf.uict) - base <= 1
+
+
+def test_blocks_of_the_bucketed_rollup_need_no_exchange(spark):
+    """The (user, hour) rollup is written bucketed by user: its own blocks group and
+    window without an exchange, and the base table has fewer than without buckets."""
+    def exchanges(df):
+        return len(re.findall(r"Exchange hashpartitioning", _plan(df)))
+
+    log = events_log(spark, SF_SMALL)
+    bucketed, plain = UserFeatures(log), UserFeatures(log)
+    plain.__dict__["user_hour"] = spark.read.parquet(bucketed.user_hour.inputFiles()[0].rsplit("/", 1)[0])
+    plain.__dict__["uict"] = bucketed.uict
+    assert exchanges(bucketed.hour_block) == 0 and exchanges(bucketed.user_day) == 0
+    assert exchanges(bucketed.base) <= exchanges(plain.base) - 4
+    same = ["user_id", "active_days", "max_consecutive_active_days", "category_shift_cnt"]
+    assert sorted(map(tuple, bucketed.base.select(same).collect())) == sorted(map(tuple, plain.base.select(same).collect()))
+
+
+def test_bucketed_stages_leave_the_catalog(spark):
+    from footfall.session import reliable_checkpoint, temporary_stages
+
+    before = {t.name for t in spark.catalog.listTables()}
+    with temporary_stages(spark):
+        staged = reliable_checkpoint(spark.range(20), by="id")
+        assert staged.count() == 20 and {t.name for t in spark.catalog.listTables()} != before
+    assert {t.name for t in spark.catalog.listTables()} == before
