@@ -9,6 +9,10 @@ A distance of at most r leaves at least k - r groups without any difference
 one of the C(k, k - r) choices of k - r groups.  Joining on these cells loses
 no pair; the Manhattan bound and then the exact Hamming distance decide.
 
+The number of groups follows the number of fingerprints (finer grids have more
+choices, but fewer fingerprints a cell), and a cell that is crowded all the same is
+dealt to tiles, so no task compares more than two parts of a cell.
+
 Links are collected in two passes, so that a large group of near copies emits
 no list of all its pairs: first every fingerprint is compared with the smallest
 one of its (coarse) cells, which contracts groups; then the full grid join
@@ -17,6 +21,7 @@ returns only links between different contracted groups.
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 
 import numpy as np
@@ -31,6 +36,13 @@ from footfall.llm.stages import free_name, stage
 SEED = 42
 SEGMENTS = 32
 _CHUNK = 1 << 16
+#: Share of random pairs with equal counts in a segment: (1 + 4 + 1) / 16.
+_EQUAL_SEGMENT = 0.375
+#: Comparisons that cost as much as one row of the grid join.
+_ROW_COST = 20
+LEAST_GROUPS = 7
+#: Fingerprints of a cell in one tile.
+TILE = 4096
 
 
 def fingerprint(text: str | None, shingle_words: int = 4) -> int:
@@ -85,6 +97,19 @@ def group_masks(groups: int) -> list[int]:
     return [_mask(part) for part in np.array_split(np.arange(SEGMENTS).astype(object), groups)]
 
 
+def groups_for(count: int, radius: int) -> int:
+    """Number of groups with the least expected work for so many fingerprints:
+    each has a row for every choice of groups and meets its cell's others."""
+
+    def work(groups: int) -> float:
+        equal = groups - radius
+        mates = count * _EQUAL_SEGMENT ** (SEGMENTS * equal / groups)
+        return math.comb(groups, equal) * (1 + mates / _ROW_COST)
+
+    least = min(max(LEAST_GROUPS, radius + 1), SEGMENTS)
+    return min(range(least, max(least, min(radius + 12, SEGMENTS)) + 1), key=work)
+
+
 def embedding(fp: Column) -> Column:
     """The 32 two-bit popcounts of a fingerprint, packed two bits each: the sum
     of two bits has their AND as its high and their XOR as its low bit."""
@@ -140,10 +165,31 @@ def _hub_links(nodes: DataFrame, radius: int, groups: int) -> DataFrame:
             .select(F.col("x.fp").alias("a"), F.col("h.fp").alias("b")))
 
 
-def _cross_links(nodes: DataFrame, radius: int, groups: int) -> DataFrame:
+def _tiled(cells: DataFrame, tile: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides of the grid join, with the columns ``tile_x`` and ``tile_y``.
+
+    The fingerprints of a cell of more than ``tile`` are dealt to parts; a row of
+    the left side goes to the tiles of its part with all parts, one of the right
+    side to those of all parts with its own, so a pair meets in one tile."""
+    crowded = stage(cells.groupBy("grid", "cell").agg(F.count("*").alias("n")).where(F.col("n") > tile)
+                    .select("grid", "cell", F.ceil(F.col("n") / tile).cast("int").alias("parts")), "crowded")
+    if crowded.isEmpty():
+        zero = F.lit(0)
+        cells = cells.withColumn("tile_x", zero).withColumn("tile_y", zero)
+        return cells, cells
+    dealt = (cells.join(crowded, ["grid", "cell"], "left")
+             .withColumn("own", F.coalesce(F.pmod(F.xxhash64("fp"), F.col("parts")), F.lit(0)).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))))
+    left = dealt.withColumn("tile_x", F.col("own")).withColumn("tile_y", F.col("other"))
+    right = dealt.withColumn("tile_x", F.col("other")).withColumn("tile_y", F.col("own"))
+    return left.drop("parts", "own", "other"), right.drop("parts", "own", "other")
+
+
+def _cross_links(nodes: DataFrame, radius: int, groups: int, tile: int = TILE) -> DataFrame:
     """All links within the radius between nodes of different ``comp``, each once."""
     masks = group_masks(groups)
     cells = _cells(nodes, list(combinations(range(groups), groups - radius)), masks)
+    left, right = _tiled(cells, tile)
     x, y = F.col("x.e"), F.col("y.e")
     # The pair meets in every grid made of its equal groups: keep the one made
     # of the lowest such groups.
@@ -152,31 +198,32 @@ def _cross_links(nodes: DataFrame, radius: int, groups: int) -> DataFrame:
     rest = equal
     for _ in range(groups - radius):
         rest = rest.bitwiseAND(rest - 1)
-    return (cells.alias("x").join(cells.alias("y"), ["grid", "cell"])
+    return (left.alias("x").join(right.alias("y"), ["grid", "cell", "tile_x", "tile_y"])
             .where((F.col("x.fp") < F.col("y.fp")) & (F.col("x.comp") != F.col("y.comp"))
                    & _within("x", "y", radius) & (equal - rest == F.col("grid")))
             .select(F.col("x.comp").alias("a"), F.col("y.comp").alias("b")))
 
 
-def simhash_components(docs: DataFrame, shingle_words: int = 4, radius: int = 4, groups: int = 7,
+def simhash_components(docs: DataFrame, shingle_words: int = 4, radius: int = 4, groups: int | None = None,
                        id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fp, component_id) for every row of ``docs``.
 
     Documents link when their fingerprints differ in at most ``radius`` bits;
     ``component_id`` is the smallest doc_id reachable over links.  Equal
     fingerprints are one node, whatever the number of copies.  More ``groups``
-    make finer grids (fewer comparisons) and more rows per fingerprint; raise
-    it with the size of the corpus.
+    make finer grids (fewer comparisons) and more rows per fingerprint; unless
+    given, they follow the number of fingerprints (:func:`groups_for`).
 
     Null or empty texts have fingerprint 0 and link like others; rows with a
     repeated doc_id are rows of their own; a null doc_id takes part but is never
     a component_id unless no row of the component has an id (then it is null).
     Other columns of ``docs`` are ignored; an empty table gives an empty table.
     """
-    if not 0 <= radius < groups:
+    if not 0 <= radius < (SEGMENTS if groups is None else groups):
         raise ValueError("radius must be smaller than groups")
     rows = stage(fingerprints(docs, shingle_words, id_col, text_col), "fp")
     nodes = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("rep")), "nodes")
+    groups = groups or groups_for(nodes.count(), radius)
 
     def contracted(links: DataFrame, key: str) -> DataFrame:
         roots = stage(connected_components(links), "roots").withColumnRenamed("node", key)

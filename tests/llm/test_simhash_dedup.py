@@ -1,3 +1,4 @@
+import math
 import random
 
 from pyspark.sql import functions as F
@@ -43,6 +44,31 @@ def test_grid_join_finds_every_pair_within_the_radius(spark):
         assert r.m == sum(abs(a - b) for a, b in zip(*counts))
 
 
+def test_crowded_cells_are_dealt_to_tiles_without_losing_a_pair(spark):
+    # Fingerprints whose popcounts are all one, so every grid has a single cell.
+    rng = random.Random(8)
+    prints = {sum((1 + rng.getrandbits(1)) << 2 * k for k in range(32)) for _ in range(40)}
+    prints |= {p ^ sum(3 << 2 * k for k in rng.sample(range(32), n)) for p in list(prints) for n in (1, 2, 3)}
+    prints = sorted(map(_signed, prints))
+    nodes = spark.createDataFrame([(p, p) for p in prints], "fp long, comp long")
+    want = [(a, b) for i, a in enumerate(prints) for b in prints[i + 1:] if ((a ^ b) & (1 << 64) - 1).bit_count() <= 4]
+    assert len(want) > 50
+    for tile in (10, 4096):
+        got = [tuple(sorted((r.a, r.b))) for r in S._cross_links(nodes, 4, 7, tile).collect()]
+        assert sorted(got) == sorted(want)  # each once
+    cells = S._cells(nodes, [(0, 1, 2)], S.group_masks(7))
+    left, right = S._tiled(cells, 10)
+    for side in (left, right):
+        counts = side.groupBy("tile_x", "tile_y").count().collect()
+        assert len(counts) == math.ceil(len(prints) / 10) ** 2 and max(r["count"] for r in counts) <= 30
+
+
+def test_groups_follow_the_number_of_fingerprints():
+    chosen = [S.groups_for(10 ** k, 4) for k in range(12)]
+    assert chosen == sorted(chosen) and chosen[0] == S.LEAST_GROUPS and chosen[10] >= 10
+    assert S.groups_for(100, 0) == 7 and S.groups_for(10 ** 6, 31) == 32
+
+
 def test_edge_rows(spark, edge_docs, no_docs):
     rows = S.simhash_components(edge_docs).collect()
     assert len(rows) == edge_docs.count()
