@@ -10,14 +10,16 @@
    document that keeps the line.
 4. Confirmed lines are taken out of the texts.
 
-The filters have a fixed number of bits, ``1 << filter_bits``: the one broadcast
-is that many bits (16 MB at the default).  A filter that is small for its corpus
-gets fuller and sends more suspects to the exact step; results don't change.
+The filters are sized from the documents: four bits for each line that can be
+long enough, so few lines are suspects without cause.  Beyond ``1 << MOST_BITS`` bits
+(64 MB, what a task and a broadcast can hold) the line hashes are cut into ranges with
+filters of their own, one after the other; only suspects and filters are ever moved.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import zlib
 
 import numpy as np
@@ -29,6 +31,8 @@ from pyspark.sql import functions as F
 from footfall.llm.stages import free_name, stage
 
 _SEGMENT_BYTES = 1 << 13
+LEAST_BITS, MOST_BITS = 20, 29
+_BITS_PER_LINE = 4
 _BLANK = b" \t\n\x0b\x0c\r"
 
 
@@ -87,15 +91,40 @@ def _hashes(keys) -> np.ndarray:
     return np.array([xxhash.xxh3_64_intdigest(k) for k in keys], np.uint64)
 
 
-def twice_seen(docs: DataFrame, filter_bits: int, least: int) -> bytes:
-    """Bits of the merged twice-seen filter: ``2 ** filter_bits`` bits at most,
-    whatever the input."""
+def _in_range(hashes: np.ndarray, ranges: int, own: int) -> np.ndarray:
+    """Which hashes lie in a range; of bits that give no filter positions."""
+    if ranges == 1:
+        return np.ones(len(hashes), bool)
+    return (hashes * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)) % np.uint64(ranges) == own
+
+
+def filter_size(lines: int, most_bits: int = MOST_BITS) -> tuple[int, int]:
+    """(log2 of the bits of a filter, number of hash ranges) for so many lines."""
+    wanted = max(1, lines * _BITS_PER_LINE)
+    if wanted <= 1 << most_bits:
+        return max(LEAST_BITS, math.ceil(math.log2(wanted))), 1
+    return most_bits, math.ceil(wanted / (1 << most_bits))
+
+
+def possible_lines(docs: DataFrame, least: int) -> int:
+    """At least the number of lines of ``least`` code points: in a text no more
+    than it has lines, nor than its length has room for."""
+    text = F.col("text").cast("string")
+    size, lines = F.length(text), F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
+    room = F.floor((size + 1) / (least + 1))
+    return int(docs.select(F.least(lines, room).alias("n")).agg(F.sum("n")).first()[0] or 0)
+
+
+def twice_seen(docs: DataFrame, filter_bits: int, least: int, ranges: int = 1, own_range: int = 0) -> bytes:
+    """Bits of the merged twice-seen filter of one range of hashes:
+    ``2 ** filter_bits`` bits at most, whatever the input."""
 
     def fill(batches):
         own = RepeatFilter(filter_bits)
         for batch in batches:
             keys = [k for text in batch.column(0) for k in long_keys(_utf8(text), least)]
-            own.add(_hashes(keys))
+            hashes = _hashes(keys)
+            own.add(hashes[_in_range(hashes, ranges, own_range)])
         rows = list(own.segments())
         for at in range(0, len(rows), 256):
             part = rows[at:at + 256]
@@ -138,40 +167,56 @@ def _utf8(scalar) -> bytes | None:
     return None if value is None else value.to_pybytes()
 
 
-def repeated_lines(docs: DataFrame, min_docs: int = 3, least: int = 20, filter_bits: int = 27) -> DataFrame:
+def repeated_lines(docs: DataFrame, min_docs: int = 3, least: int = 20, filter_bits: int | None = None,
+                   ranges: int | None = None) -> DataFrame:
     """(doc_id, text_key, drops): per row the digests of the keys that it loses.
 
     ``text_key`` is the text's xxhash64; rows equal in both are one row here.
 
     A key found in at least ``min_docs`` documents (distinct doc_ids) stays only
     in the largest doc_id.  ``drops`` is a list of 16-byte digests, as many as the
-    row's text has such lines at most, however many rows share its id."""
-    bitmap = docs.sparkSession.sparkContext.broadcast(twice_seen(docs, filter_bits, least))
+    row's text has such lines at most, however many rows share its id.
+    ``filter_bits`` (log2) and ``ranges`` are sized from the lines unless given."""
+    if filter_bits is None:
+        filter_bits, ranges = filter_size(possible_lines(docs, least))
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), _text_key())
+    pairs = None
+    for own in range(ranges or 1):
+        found = _suspects(rows, least, filter_bits, ranges or 1, own)
+        pairs = found if pairs is None else pairs.union(found)
+    # A null doc_id counts as one document, smaller than all others.
+    confirmed = stage(
+        pairs.select("doc_id", "line").distinct().groupBy("line").agg(F.count("*").alias("n"), F.max("doc_id").alias("keeper"))
+        .where(F.col("n") >= min_docs).select("line", "keeper"), "confirmed")
+    return (pairs.join(confirmed, "line").where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
+            .groupBy("doc_id", "text_key").agg(F.collect_list("line").alias("drops")))
+
+
+def _suspects(rows: DataFrame, least: int, filter_bits: int, ranges: int, own_range: int) -> DataFrame:
+    """(doc_id, text_key, line) of the lines of one range of hashes that the
+    twice-seen filter holds, written."""
+    bitmap = rows.sparkSession.sparkContext.broadcast(twice_seen(rows, filter_bits, least, ranges, own_range))
 
     def suspects(batches):
         seen = np.frombuffer(bitmap.value, np.uint8)
         for batch in batches:
-            ids, rows, keys = [], [], []
+            ids, texts, keys = [], [], []
             for doc, row, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(1)):
                 own = list(long_keys(_utf8(text), least))
                 ids += [doc] * len(own)
-                rows += [row] * len(own)
+                texts += [row] * len(own)
                 keys += own
-            hit = np.flatnonzero(_get(seen, _positions(_hashes(keys), filter_bits)).all(axis=1)).tolist()
+            hashes = _hashes(keys)
+            held = _get(seen, _positions(hashes, filter_bits)).all(axis=1)
+            hit = np.flatnonzero(held & _in_range(hashes, ranges, own_range)).tolist()
             yield pa.RecordBatch.from_arrays(
-                [pa.array([ids[i] for i in hit], pa.int64()), pa.array([rows[i] for i in hit], pa.int64()),
+                [pa.array([ids[i] for i in hit], pa.int64()), pa.array([texts[i] for i in hit], pa.int64()),
                  pa.array([_digest(keys[i]) for i in hit], pa.binary())],
                 ["doc_id", "text_key", "line"])
 
-    pairs = stage(
-        docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), _text_key())
-        .mapInArrow(suspects, "doc_id long, text_key long, line binary").distinct(), "suspects")
-    # A null doc_id counts as one document, smaller than all others.
-    confirmed = stage(
-        pairs.select("doc_id", "line").distinct().groupBy("line").agg(F.count("*").alias("n"), F.max("doc_id").alias("keeper"))
-        .where(F.col("n") >= min_docs).select("line", "keeper"), "confirmed")
-    return (pairs.join(confirmed, "line").where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
-            .groupBy("doc_id", "text_key").agg(F.collect_list("line").alias("drops")))
+    found = stage(rows.mapInArrow(suspects, "doc_id long, text_key long, line binary").distinct(), "suspects")
+    bitmap.unpersist()
+    return found
 
 
 def _text_key():
@@ -192,7 +237,7 @@ def _without(text: bytes | None, drops, least: int) -> tuple[bytes, int, int]:
     return b"\n".join(kept), len(lines), len(lines) - len(kept)
 
 
-def _with_drops(docs: DataFrame, min_docs: int, least: int, filter_bits: int) -> tuple[DataFrame, str]:
+def _with_drops(docs: DataFrame, min_docs: int, least: int, filter_bits: int | None) -> tuple[DataFrame, str]:
     """``docs`` with one more column, the digests to drop, and its name."""
     drop_id, drop_key, drops = (free_name(docs, n) for n in ("_drop_id", "_drop_key", "_drops"))
     found = (stage(repeated_lines(docs, min_docs, least, filter_bits), "drops")
@@ -203,7 +248,7 @@ def _with_drops(docs: DataFrame, min_docs: int, least: int, filter_bits: int) ->
     return joined, drops
 
 
-def dedup_lines(docs: DataFrame, min_docs: int = 3, least: int = 20, filter_bits: int = 27) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_docs: int = 3, least: int = 20, filter_bits: int | None = None) -> DataFrame:
     """``docs`` with every repeated line removed from ``text``.
 
     A text is split at newlines; a line's key is the line without ASCII white
@@ -229,7 +274,7 @@ def dedup_lines(docs: DataFrame, min_docs: int = 3, least: int = 20, filter_bits
     return joined.mapInArrow(run, rest.schema)
 
 
-def line_report(docs: DataFrame, min_docs: int = 3, least: int = 20, filter_bits: int = 27) -> DataFrame:
+def line_report(docs: DataFrame, min_docs: int = 3, least: int = 20, filter_bits: int | None = None) -> DataFrame:
     """Per document ``doc_id, n_lines`` (before), ``n_dropped, kept_sha256`` of
     the text that :func:`dedup_lines` leaves; a null text is one empty line."""
     joined, _ = _with_drops(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")),
