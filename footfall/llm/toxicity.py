@@ -8,9 +8,11 @@ states and transitions are built when first met, so a token costs one lookup a
 character and most tokens end after two or three.  A token matches
 
 * exactly, when it begins with a stem, or
-* misspelled, when the whole token is one edit away from a stem that mostly
-  occurs as a whole word of five or more characters and has at least half of
-  the largest weight.
+* misspelled, when the whole token is one edit (a character more, less or
+  changed, or two neighbours swapped) away from a stem that mostly occurs as a
+  whole word of five or more characters and has at least half of the largest
+  weight.  Of such words of four characters only a doubled character and a swap
+  count, as other edits of short words often are words of their own.
 
 Every match is then seen in its context window: inside quotation marks or not,
 and together with how many other matches.  A logistic regression over these
@@ -32,9 +34,12 @@ from footfall.llm.stages import held_out, stage, with_field
 
 WORD = re.compile(r"\w+")
 STEM_LENGTHS = range(3, 13)
-FUZZY_LENGTH = 5
+FUZZY_LENGTH, SWAP_LENGTH = 5, 4
 WINDOW = 10
 _HEAD = 3
+#: What a token's characters can have used: nothing, any edit, or a doubling or a
+#: swap.  A swap half read is the character that must follow.
+_NONE, _EDITED, _KEPT = 0, 1, 2
 _OPEN, _CLOSE = "“«„", "”»“"
 FEATURES = 6
 #: Documents of at least this score count as toxic.
@@ -49,24 +54,33 @@ class Lexicon:
         self._children: list[dict[str, int]] = [{}]
         self._weight = [0.0]
         self._fuzzy = [False]  # a word that allows an edit lies below
-        self._word = [0.0]
+        self._loose = [False]  # one that allows doubled and swapped characters
+        self._last = [""]
+        self._word = {_NONE: [0.0], _EDITED: [0.0], _KEPT: [0.0]}
         strong = max((w for _, w, _ in entries), default=0.0) / 2
         for stem, weight, is_word in entries:
-            fuzzy = is_word and len(stem) >= FUZZY_LENGTH and weight >= strong
+            loose = is_word and len(stem) >= SWAP_LENGTH and weight >= strong
+            fuzzy = loose and len(stem) >= FUZZY_LENGTH
             node = 0
             self._fuzzy[0] |= fuzzy
+            self._loose[0] |= loose
             for c in stem:
                 if c not in self._children[node]:
                     self._children[node][c] = len(self._weight)
                     self._children.append({})
                     self._weight.append(0.0)
                     self._fuzzy.append(False)
-                    self._word.append(0.0)
+                    self._loose.append(False)
+                    self._last.append(c)
+                    for ends in self._word.values():
+                        ends.append(0.0)
                 node = self._children[node][c]
                 self._fuzzy[node] |= fuzzy
+                self._loose[node] |= loose
             self._weight[node] = max(self._weight[node], weight)
-            if fuzzy:
-                self._word[node] = max(self._word[node], weight)
+            for edits, allowed in ((_NONE, fuzzy), (_EDITED, fuzzy), (_KEPT, loose)):
+                if allowed:
+                    self._word[edits][node] = max(self._word[edits][node], weight)
         self._reset()
 
     def __getstate__(self):
@@ -82,14 +96,14 @@ class Lexicon:
         self._stem_weight: list[float] = []
         self._end_weight: list[float] = []
         self._heads: dict[str, tuple[int, float]] = {}
-        self._start = self._state(self._closed({(0, 0)}))
+        self._start = self._state(self._closed({(0, _NONE)}))
 
-    def _closed(self, pairs: set[tuple[int, int]]) -> frozenset:
+    def _closed(self, pairs: set[tuple]) -> frozenset:
         """Also the nodes reached by leaving out a character of a stem."""
         out = set(pairs)
         for node, edits in pairs:
-            if edits == 0:
-                out.update((child, 1) for child in self._children[node].values() if self._fuzzy[child])
+            if edits == _NONE:
+                out.update((child, _EDITED) for child in self._children[node].values() if self._fuzzy[child])
         return frozenset(out)
 
     def _state(self, members: frozenset) -> int:
@@ -97,8 +111,8 @@ class Lexicon:
             self._states[members] = len(self._members)
             self._members.append(members)
             self._next.append({})
-            self._stem_weight.append(max((self._weight[n] for n, e in members if e == 0), default=0.0))
-            self._end_weight.append(max((self._word[n] for n, _ in members), default=0.0))
+            self._stem_weight.append(max((self._weight[n] for n, e in members if e == _NONE), default=0.0))
+            self._end_weight.append(max((self._word[e][n] for n, e in members if e in self._word), default=0.0))
         return self._states[members]
 
     def _step(self, state: int, c: str) -> int:
@@ -107,16 +121,38 @@ class Lexicon:
             return known
         reached = set()
         for node, edits in self._members[state]:
-            if c in self._children[node] and (edits == 0 or self._fuzzy[self._children[node][c]]):
-                reached.add((self._children[node][c], edits))
-            if edits == 0:
-                reached.update((child, 1) for child in self._children[node].values() if self._fuzzy[child])
-                if self._fuzzy[node]:
-                    reached.add((node, 1))
+            if edits == _NONE:
+                self._edit(node, c, reached)
+            elif edits == _EDITED:
+                child = self._children[node].get(c)
+                if child is not None and self._fuzzy[child]:
+                    reached.add((child, _EDITED))
+            elif edits == _KEPT:
+                child = self._children[node].get(c)
+                if child is not None and self._loose[child]:
+                    reached.add((child, _KEPT))
+            elif edits == c:  # the second half of a swap
+                reached.add((node, _KEPT))
         new = self._state(self._closed(reached)) if reached else -1
         self._next[state][c] = new
         return new
 
+    def _edit(self, node: int, c: str, reached: set) -> None:
+        """What a node without edits reaches by a character of the token."""
+        children = self._children[node]
+        if c in children:
+            reached.add((children[c], _NONE))
+        if self._fuzzy[node]:
+            reached.add((node, _EDITED))
+        if self._loose[node] and c == self._last[node]:
+            reached.add((node, _KEPT))
+        for d, child in children.items():
+            if self._fuzzy[child]:
+                reached.add((child, _EDITED))
+            after = self._children[child].get(c)
+            if d != c and after is not None and self._loose[after]:
+                reached.add((after, d))
+
     def _run(self, state: int, best: float, token: str) -> tuple[int, float]:
         for c in token:
             state = self._step(state, c)

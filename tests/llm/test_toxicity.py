@@ -6,6 +6,19 @@ from footfall.llm.stages import held_out
 from tests.conftest import SF_ORACLE
 
 
+def _swapped(token, stem):
+    return any(stem[:k] + stem[k + 1] + stem[k] + stem[k + 2:] == token for k in range(len(stem) - 1))
+
+
+def _doubled(token, stem):
+    return any(stem[:k] + stem[k] + stem[k:] == token for k in range(len(stem)))
+
+
+def _misspelled(token, stem):
+    """One edit or swap; of stems of four letters a doubled letter or a swap."""
+    return _swapped(token, stem) or (_doubled(token, stem) if len(stem) == 4 else _edits(token, stem) <= 1)
+
+
 def _edits(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
@@ -17,17 +30,24 @@ def _edits(a, b):
 
 def test_automaton_equals_edit_distance():
     rng = random.Random(6)
-    entries = [("abcab", 5.0, True), ("bcabca", 4.0, True), ("aab", 3.0, False), ("ccbaa", 4.5, False), ("bbbbb", 1.0, True)]
+    entries = [("abcab", 5.0, True), ("bcabca", 4.0, True), ("aab", 3.0, False), ("ccbaa", 4.5, False), ("bbbbb", 1.0, True),
+               ("abcc", 3.5, True), ("cbad", 2.6, True), ("dab", 4.0, True)]
     lexicon = T.Lexicon(entries)
     for _ in range(4000):
         token = "".join(rng.choice("abcd") for _ in range(rng.randrange(1, 9)))
         stems = [w for s, w, _ in entries if token.startswith(s)]
-        # Misspelled: whole words of five letters and at least half of the largest weight.
-        near = [w for s, w, word in entries if word and len(s) >= 5 and w >= 2.5 and _edits(token, s) <= 1]
+        # Misspelled: whole words of four letters and at least half of the largest weight.
+        near = [w for s, w, word in entries if word and len(s) >= 4 and w >= 2.5 and _misspelled(token, s)]
         want = (max(stems), False) if stems else (max(near), True) if near else (0.0, False)
         assert lexicon.match(token) == want, token
 
 
+def test_swaps_and_short_words():
+    lexicon = T.Lexicon([("scum", 5.0, True), ("idiot", 5.0, True)])
+    assert all(lexicon.match(t) == (5.0, True) for t in ("scuum", "sucm", "csum", "idoit", "idio", "idot", "idiiot", "adiot"))
+    assert not any(lexicon.match(t)[0] for t in ("scam", "sum", "scrum", "slum", "cum", "idea", "doit", "idoti1"))
+
+
 def test_context_separates_quotation():
     lexicon = T.Lexicon([("badword", 5.0, True)])
     plain, quoted = T.features(lexicon, "you badword go"), T.features(lexicon, 'he said "you badword" and left')
