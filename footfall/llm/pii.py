@@ -62,32 +62,38 @@ def _valid(kind: str, value: str) -> str:
     return "true"
 
 
+def _running(values: str, combine: str) -> str:
+    """SQL of the running totals of an array of integers, by doubling: each step combines every
+    element with the one 1, 2, 4, ... places before it, so no array is copied for each element."""
+    return (f"aggregate(sequence(0, cast(floor(log2(greatest(size({values}), 1))) as int)), {values}, (acc, step) -> "
+            f"transform(acc, (x, i) -> if(i < shiftleft(1, step), x, {combine.format('x', 'get(acc, i - shiftleft(1, step))')})))")
+
+
 def _spans_of(kind: str) -> Column:
     """Valid spans from the arrays of matches and of the texts between them.
 
     Offsets are running sums of lengths (code points); ``before`` and ``after`` are
     the neighbouring characters without words that the cut splits."""
     k = KINDS.index(kind)
-    value, gap, following = (f"element_at({a}, {i})" for a, i in
-                             ((f"m_{kind}", "i"), (f"g_{kind}", "i"), (f"g_{kind}", "i + 1")))
-    start = f"a.at + length({gap})"
+    value, gap, following = "x.value", "x.gap", f"element_at(g_{kind}, i + 2)"
     before = (f"if(length({gap}) > {CONTEXT}, regexp_replace(right({gap}, {CONTEXT}), r'^\\p{{L}}+', ''), {gap})")
     after = (f"if(length({following}) > {CONTEXT}, regexp_replace(left({following}, {CONTEXT}), r'\\p{{L}}+$', ''), "
              f"{following})")
-    span = (f"named_struct('start', {start}, 'kind', {k}, 'end', {start} + length({value}), 'value', {value}, "
+    lengths = f"transform(m_{kind}, (m, i) -> length(m) + length(element_at(g_{kind}, i + 1)))"
+    ends = _running(lengths, "{} + {}")
+    parts = (f"zip_with(m_{kind}, slice(g_{kind}, 1, size(m_{kind})), "
+             f"(m, g) -> named_struct('value', m, 'gap', g))")
+    span = (f"named_struct('start', x.to - length({value}), 'kind', {k}, 'end', x.to, 'value', {value}, "
             f"'before', {before}, 'after', {after})")
-    return F.expr(
-        f"aggregate(sequence(1, size(m_{kind})), "
-        f"named_struct('at', 0, 'out', cast(array() as array<{_SPAN}>)), "
-        f"(a, i) -> named_struct('at', {start} + length({value}), "
-        f"'out', if({_valid(kind, value)}, array_append(a.out, {span}), a.out)), a -> a.out)")
+    placed = f"zip_with({parts}, {ends}, (p, e) -> named_struct('value', p.value, 'gap', p.gap, 'to', e))"
+    return F.expr(f"filter(transform({placed}, (x, i) -> if({_valid(kind, value)}, {span}, null)), s -> s is not null)")
 
 
 def base_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, doc_key, text_key, spans`` of every row: leftmost non-overlapping
+    """``doc_id, doc_key, text_key, spans, text`` of every row: leftmost non-overlapping
     matches of each kind, without those that fail their check, by start and kind.
 
-    A null text is an empty one.  ``doc_key`` tells documents apart (a hash of id
+    A null text is an empty one; ``text`` is null in rows without spans.  ``doc_key`` tells documents apart (a hash of id
     and text: repeated rows have the same), ``text_key`` texts."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
@@ -96,22 +102,24 @@ def base_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     found = rows.select("doc_id", "doc_key", "text_key", "text", *[
         F.when(F.col("text").rlike(p), F.regexp_extract_all("text", F.lit(p), F.lit(0))).otherwise(none).alias(f"m_{k}")
         for k, p in PATTERNS.items()])
-    cut = found.select("doc_id", "doc_key", "text_key", *[f"m_{k}" for k in KINDS], *[
+    cut = found.select("doc_id", "doc_key", "text_key", "text", *[f"m_{k}" for k in KINDS], *[
         F.when(F.col(f"m_{k}").isNotNull(), F.split("text", p, -1)).otherwise(none).alias(f"g_{k}")
         for k, p in PATTERNS.items()])
     empty = F.array().cast(f"array<{_SPAN}>")
     spans = F.concat(*[F.when(F.col(f"m_{k}").isNotNull(), _spans_of(k)).otherwise(empty) for k in KINDS])
-    return cut.select("doc_id", "doc_key", "text_key", F.array_sort(spans).alias("spans"))
+    return cut.select("doc_id", "doc_key", "text_key", F.array_sort(spans).alias("spans"), "text").withColumn(
+        "text", F.when(F.size("spans") > 0, F.col("text")))
 
 
-def disclosing_terms(docs: DataFrame, occurrences: DataFrame, texts: DataFrame, generalise_at: float = 0.7,
-                     text_col: str = "text") -> DataFrame:
+def disclosing_terms(docs: DataFrame, occurrences: DataFrame, holding: DataFrame, texts: DataFrame,
+                     generalise_at: float = 0.7, text_col: str = "text") -> DataFrame:
     """(entity, t, disclosure) of the pairs whose disclosure reaches the threshold,
     ``t`` the hash of the term.
 
     ``occurrences``: (entity, text_key, context, n_entity, contexts, n), a row for each
-    entity of a text; ``texts``: (text_key, text) of these texts.  Distinct texts with
-    each candidate term are counted over the whole corpus."""
+    entity of a text; ``texts``: (text_key, text) of these texts; ``holding``: (text) of all
+    rows with a span.  Distinct texts with each candidate term are counted over the whole
+    corpus."""
     # PMI / IC is 1 at most and n_pair is n_entity at most, which bounds n(t).
     bound = F.col("n_entity") * F.pow(F.col("n") / F.col("n_entity"),
                                       1 - F.lit(float(generalise_at)) / _evidence("contexts"))
@@ -120,11 +128,11 @@ def disclosing_terms(docs: DataFrame, occurrences: DataFrame, texts: DataFrame,
                   .select("text_key", "bound", F.xxhash64("w").alias("t")), "words")
     near = words.groupBy("t").agg(F.count("*").alias("n_term"), F.max("bound").alias("bound"))
     counts = stage(near.where(F.col("n_term") <= F.col("bound")), "terms")
-    # The texts that have a term and an entity, then those that have it and match a
-    # pattern, are some of all that have it: terms above the bound with these smaller
+    # The texts that have a term and one of these entities, then those that have it and any
+    # span, are some of all that have it: terms above the bound with these smaller
     # counts are above it with the true one.
-    for part in (docs.where(F.col(text_col).cast("string").rlike("|".join(PATTERNS.values()))), docs):
-        counted = _texts_with(part, counts.select("t"), text_col)
+    for part, column in ((holding, "text"), (docs, text_col)):
+        counted = _texts_with(part, counts.select("t"), column)
         counts = stage(counts.drop("n_term").join(counted, "t").where(F.col("n_term") <= F.col("bound")), "terms")
     kept = words.join(counts.select("t", "n_term"), "t").where(F.col("n_term") <= F.col("bound"))
     pairs = (kept.select("text_key", "t", "n_term").join(occurrences, "text_key").groupBy("entity", "t")
@@ -151,13 +159,11 @@ def _terms(text: Column) -> Column:
 def _places() -> Column:
     """Places of the ``wanted`` terms (a map to ``removed``) in ``text``, in order."""
     words, gaps = f"regexp_extract_all(text, r'{TERM_PATTERN}', 0)", f"split(text, r'{TERM_PATTERN}', -1)"
-    start = "a.at + length(x.g)"
+    ends = _running(f"zip_with({words}, slice({gaps}, 1, size({words})), (w, g) -> length(w) + length(g))", "{} + {}")
     return F.expr(
-        f"aggregate(zip_with({words}, {gaps}, (w, g) -> named_struct('w', w, 'g', g)), named_struct('at', 0, "
-        f"'out', cast(array() as array<struct<start:int,end:int,removed:boolean>>)), "
-        f"(a, x) -> if(x.w is null, a, named_struct('at', {start} + length(x.w), 'out', "
-        f"if(map_contains_key(wanted, lower(x.w)), array_append(a.out, named_struct('start', {start}, "
-        f"'end', {start} + length(x.w), 'removed', element_at(wanted, lower(x.w)))), a.out))), a -> a.out)")
+        f"transform(filter(zip_with({words}, {ends}, (w, e) -> named_struct('w', w, 'to', e)), "
+        f"x -> map_contains_key(wanted, lower(x.w))), x -> named_struct('start', x.to - length(x.w), 'end', x.to, "
+        f"'removed', element_at(wanted, lower(x.w))))")
 
 
 def _texts_with(docs: DataFrame, terms: DataFrame, text_col: str) -> DataFrame:
@@ -191,11 +197,10 @@ def find_personal_data(docs: DataFrame, generalise_at: float = 0.7, remove_at: f
     entities = (each.groupBy("entity").agg(F.count("*").alias("n_entity"), F.count_distinct("context").alias("contexts"))
                 .join(total).where((_evidence("contexts") >= generalise_at) & (F.col("n_entity") < F.col("n"))))
     occurrences = stage(each.join(entities, "entity"), "occurrences")
-    texts = docs.select(_text_key(text_col), F.col(text_col).cast("string").alias("text"))
-    texts = stage(texts.where(F.col("text").rlike("|".join(PATTERNS.values())))
+    texts = stage(some.select("text_key", "text")
                   .join(occurrences.select("text_key").distinct(), "text_key", "left_semi")
                   .groupBy("text_key").agg(F.min("text").alias("text")), "texts")
-    strong = stage(disclosing_terms(docs, occurrences, texts, generalise_at, text_col), "strong")
+    strong = stage(disclosing_terms(docs, occurrences, some.select("text"), texts, generalise_at, text_col), "strong")
     wanted = (texts.select("text_key", F.explode(_terms(F.col("text"))).alias("term"))
               .withColumn("t", F.xxhash64("term")).join(strong.select("t").distinct(), "t")
               .join(occurrences.select("text_key", "entity"), "text_key").join(strong, ["entity", "t"])
@@ -222,6 +227,12 @@ def listed(spans: str, terms: str | None = None) -> Column:
                   f"x.start, x.end)), ',')")
 
 
+def actions(terms: str) -> Column:
+    """``generalise`` or ``remove`` with start and end of each term, as in :func:`listed`."""
+    return F.expr(f"array_join(transform({terms}, t -> concat_ws(':', if(t.removed, 'remove', 'generalise'), "
+                  f"t.start, t.end)), ',')")
+
+
 def count_of(kind: str) -> Column:
     return F.size(F.expr(f"filter(spans, s -> s.kind = {KINDS.index(kind)})")).cast("long")
 
@@ -229,8 +240,9 @@ def count_of(kind: str) -> Column:
 def sanitise(docs: DataFrame, generalise_at: float = 0.7, remove_at: float = 0.95,
              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with entities replaced by their kind in brackets (``[email]``),
-    generalised terms by ``[term]`` and removed terms by nothing; of overlapping
-    spans the first (then longest) counts.  Null texts stay null."""
+    generalised terms by ``[term]`` and removed terms by nothing; overlapping
+    spans are replaced together by the mark of the first (then longest), so no part of
+    one stays.  Null texts stay null."""
     found = find_personal_data(docs, generalise_at, remove_at, id_col, text_col)
     marks = [F.lit(f"[{k}]") for k in KINDS]
     every = F.array_sort(F.concat(
@@ -244,10 +256,13 @@ def sanitise(docs: DataFrame, generalise_at: float = 0.7, remove_at: float = 0.9
     keyed = docs.withColumn(key, F.xxhash64(F.col(id_col).cast("long"),
                                             F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
     joined = keyed.join(cuts, F.col(key) == F.col(cut_key), "left")
+    reached = _running(f"transform({cut_list}, c -> -c.minus_end)", "greatest({}, {})")
+    # Each cut with the place that it and the cuts before it reach.
+    chain = f"zip_with({cut_list}, {reached}, (c, e) -> named_struct('c', c, 'e', e))"
     replaced = F.expr(
-        f"aggregate({cut_list}, named_struct('at', 0, 'out', cast('' as string)), "
-        f"(a, c) -> if(c.start < a.at, a, named_struct('at', -c.minus_end, "
-        f"'out', concat(a.out, substring(`{text_col}`, a.at + 1, c.start - a.at), c.mark))), "
-        f"a -> concat(a.out, substring(`{text_col}`, a.at + 1, length(`{text_col}`))))")
+        f"aggregate(array({chain}), cast('' as string), (none, cuts) -> concat(array_join(transform(filter("
+        f"transform(cuts, (x, i) -> named_struct('c', x.c, 'from', if(i = 0, 0, get(cuts, i - 1).e))), "
+        f"y -> y.c.start >= y.from), y -> concat(substring(`{text_col}`, y.from + 1, y.c.start - y.from), y.c.mark)), ''), "
+        f"substring(`{text_col}`, element_at(cuts, -1).e + 1, length(`{text_col}`))))")
     text = F.when(F.col(cut_list).isNull(), F.col(text_col)).otherwise(replaced)
     return joined.withColumn(text_col, text).select(*docs.columns)

@@ -48,7 +48,7 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_personal_data(_read(spark, sf_dir, "documents"))
     return found.select("doc_id", *[pii.count_of(k).alias(f"n_{k}") for k in pii.KINDS],
                         F.sha2(pii.listed("spans"), 256).alias("base_sha256"),
-                        pii.listed("spans", "terms").alias("spans"))
+                        pii.listed("spans", "terms").alias("spans"), pii.actions("terms").alias("term_actions"))
 
 
 def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,9 @@
+import math
 import random
 import re
+from collections import defaultdict
 
+import regex
 from pyspark.sql import functions as F
 
 from footfall.llm import pii as P
@@ -77,6 +80,84 @@ def test_terms_anywhere_in_the_text_of_an_entity(spark):
     assert found == [["Vandermeer"], ["vandermeer", "Vandermeer"]] + [[]] * 60
 
 
+def _plain_terms(texts, generalise_at=0.7, remove_at=0.95):
+    """{text: [(start, end, removed)]} by counting every pair of term and mail address."""
+    mail = re.compile(PLAIN[0][1])
+    distinct = sorted({t or "" for t in texts})
+    words = {t: {w.lower() for w in regex.findall(r"\p{L}{3,40}+", t)} for t in distinct}
+    holders, n_term = defaultdict(dict), defaultdict(int)
+    for t in distinct:
+        for w in words[t]:
+            n_term[w] += 1
+        found, at = list(mail.finditer(t)), 0
+        for m, after in zip(found, [f.start() for f in found[1:]] + [len(t)]):
+            before, behind = t[at:m.start()], t[m.end():after]
+            before = regex.sub(r"^\p{L}+", "", before[-48:]) if len(before) > 48 else before
+            behind = regex.sub(r"\p{L}+$", "", behind[:48]) if len(behind) > 48 else behind
+            holders[m.group().lower()][t], at = (before, behind), m.end()
+    n, told = len(distinct), defaultdict(dict)
+    for entity, having in holders.items():
+        if 1 - 3.0 ** -len(set(having.values())) < generalise_at or len(having) == n:
+            continue
+        for w in set().union(*(words[t] for t in having)):
+            both = [t for t in having if w in words[t]]
+            share = ((1 - 3.0 ** -len({having[t] for t in both}))
+                     * math.log(n * len(both) / (n_term[w] * len(having))) / math.log(n / len(having)))
+            if share >= generalise_at:
+                for t in both:
+                    told[t][w] = max(told[t].get(w, 0), share)
+    out = {}
+    for t in distinct:
+        spans = [m.span() for m in mail.finditer(t)]
+        out[t] = [(m.start(), m.end(), told[t][m.group().lower()] >= remove_at) for m in regex.finditer(r"\p{L}{3,40}+", t)
+                  if m.group().lower() in told[t] and not any(s < m.end() and m.start() < e for s, e in spans)]
+    return out
+
+
+def test_terms_equal_to_counting_every_pair(spark):
+    rng = random.Random(12)
+    common, texts = [f"w{chr(97 + k)}{chr(97 + k // 5)}rd" for k in range(25)], []
+    for k in range(400):
+        words = rng.choices(common, k=rng.randrange(3, 25))
+        if k % 2:
+            who = rng.randrange(14)
+            words.insert(rng.randrange(len(words)), f"u.x{who}@Mail{who}.org" if k % 4 == 1 else f"U.x{who}@mail{who}.org")
+            for j in range(who % 4):
+                if rng.random() < 0.8:
+                    words.insert(rng.randrange(len(words)), rng.choice(["Telling", "telling"]) + "abcdefghijklmn"[who] * (j + 1))
+        texts.append(" ".join(words))
+    for k in range(6):  # entities of two texts
+        texts += [" ".join([*rng.choices(common, k=9), f"rare{'pqrstu'[k]}", f"r{k}@two.org", *rng.choices(common, k=j)]) for j in (3, 5)]
+    texts += texts[1:40:3] + [None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = _plain_terms(texts)
+    got = {r.doc_id: [(t.start, t.end, t.removed) for t in r.terms] for r in P.find_personal_data(docs).collect()}
+    assert got == {i: want[t or ""] for i, t in enumerate(texts)}
+    assert {x for found in want.values() for _, _, x in found} == {True, False}
+
+
+def test_very_many_spans_in_one_text(spark):
+    text = " ".join(f"a{k}@b.org x" for k in range(20_000))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert P.base_spans(docs).select(P.listed("spans").alias("s")).first().s == _plain_spans(text)
+    assert P.sanitise(docs).first().text == " ".join(["[email] x"] * 20_000)
+
+
+def test_overlapping_spans_leave_nothing(spark):
+    # a phone number, an address inside it that goes on, and a mail address
+    text = "\u00e9 +1 202 555 01 10.1.2.3 end me@x.org"
+    docs = spark.createDataFrame([(1, text), (2, "10.1.2.3 or 1.2.3.4@x.org."), (3, "none")], "doc_id long, text string")
+    out = {r.doc_id: r.text for r in P.sanitise(docs).collect()}
+    assert out == {1: "\u00e9 [phone] end [email]", 2: "[ip] or [email].", 3: "none"}
+
+
+def test_actions_are_listed(spark):
+    texts = ["mail vandermeer at a@b.org now", "vandermeer, a@b.org today"] + ["mail now at " + "x" * i for i in range(3, 33)] * 2
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r.doc_id: r.a for r in P.find_personal_data(docs).select("doc_id", P.actions("terms").alias("a")).collect()}
+    assert (rows[0], rows[1], rows[5]) == ("generalise:5:15", "generalise:0:10", "")
+
+
 def test_edge_rows(spark, edge_docs, no_docs):
     found = P.find_personal_data(edge_docs)
     assert found.count() == edge_docs.count() and found.where(F.size("spans") + F.size("terms") > 0).count() == 0
