@@ -80,16 +80,16 @@ class SizeIndex:
         self.prints = simhashes(np.stack([s for _, s in members]))
         blocks = self.prints.astype(">u8").view(np.uint8).reshape(-1, BLOCKS)
         distance = np.bitwise_count(np.arange(256, dtype=np.uint8)[:, None, None] ^ blocks[None])
-        #: near[b][v]: the items whose block b is close enough to the value v
-        self.near = np.ascontiguousarray(np.moveaxis(distance <= radius // BLOCKS, 2, 0))
+        #: near[b][v]: a bit for each item, set if its block b is close enough to the value v
+        self.near = np.packbits(np.moveaxis(distance <= radius // BLOCKS, 2, 0), axis=2)
 
     def within_radius(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(window, item position, distance) of all pairs within the radius."""
         blocks = prints.astype(">u8").view(np.uint8).reshape(-1, BLOCKS)
-        candidates = np.zeros((len(prints), len(self.items)), bool)
-        for b in range(BLOCKS):
+        candidates = self.near[0][blocks[:, 0]]
+        for b in range(1, BLOCKS):
             candidates |= self.near[b][blocks[:, b]]
-        window, item = np.nonzero(candidates)
+        window, item = np.nonzero(np.unpackbits(candidates, axis=1, count=len(self.items)))
         distance = np.bitwise_count(prints[window] ^ self.prints[item])
         ok = distance <= self.radius
         return window[ok], item[ok], distance[ok]
@@ -214,7 +214,9 @@ def _finder(index):
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, shingle_words: int = 5, similarity: float = 0.8,
                       radius: int = 23, part_chars: int = 8_000_000) -> DataFrame:
-    """``docs`` without the documents that contain a benchmark item."""
+    """``docs`` without the rows whose text contains a benchmark item, as in :func:`contaminated`;
+    all columns stay as they are.  Null and empty texts contain nothing and stay; an empty
+    table or benchmark leaves ``docs`` as it is."""
     at = docs.columns.index("text")
 
     def keeper(index):

@@ -100,13 +100,9 @@ def _presence(grams: list[list[np.ndarray]], n: int, known: np.ndarray) -> np.nd
     return out
 
 
-def fit(texts: list[str], langs: list[str], longest: int, landmarks: int, ridge: float) -> LanguageModel:
-    """Nyström landmarks and one-versus-rest kernel ridge regression."""
-    grams, marks = [], []
-    for text, lang in zip(texts, langs):
-        if kept := letters(text):
-            grams.append(ngrams(kept, longest))
-            marks.append(lang)
+def fit(grams: list[list[np.ndarray]], marks: list[str], longest: int, landmarks: int, ridge: float) -> LanguageModel:
+    """Nyström landmarks and one-versus-rest kernel ridge regression on the distinct
+    n-grams of the training texts and their languages."""
     languages = sorted(set(marks))
     if not languages:
         return LanguageModel([], [], [], np.zeros(0))
@@ -138,7 +134,8 @@ def learn(docs: DataFrame, max_rows: int = 4000, longest: int = 3, landmarks: in
     """A model from text and non-null ``lang`` of documents that are not held out.
 
     At most ``max_rows`` distinct rows are used, chosen by a hash of id, language and
-    text: the documented bound of the sample that the driver fits (its whole texts).
+    text: the documented bound of the sample that the driver fits.  It gets the texts'
+    distinct n-grams (at most what the languages' alphabets allow), never the texts.
     Half of it is dealt equally to the languages, so that rare ones are learned."""
     rows = (docs.where(~held_out()).where("lang is not null and text is not null and doc_id is not null")
             .select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
@@ -159,9 +156,24 @@ def learn(docs: DataFrame, max_rows: int = 4000, longest: int = 3, landmarks: in
     chosen = (ranked.orderBy(F.col("rank") > share, F.pmod(order, F.lit(1 << 40)), "key").limit(max_rows)
               .select(F.col("key").alias("_key"), F.col("lang").alias("_lang")))
     sample = (rows.join(F.broadcast(stage(chosen, "chosen")), (F.col("key") == F.col("_key")) & (F.col("lang") == F.col("_lang")))
-              .groupBy("key", "lang").agg(F.min("doc_id").alias("doc_id"), F.min("text").alias("text")).collect())
-    sample.sort(key=lambda r: (r["doc_id"], r["lang"], r["text"]))
-    return fit([r["text"] for r in sample], [r["lang"] for r in sample], longest, landmarks, ridge)
+              .groupBy("key", "lang").agg(F.min("doc_id").alias("doc_id"), F.min("text").alias("text"))
+              .select("doc_id", "lang", "key", "text").mapInArrow(
+                  _gram_rows(longest), "doc_id long, lang string, key long, grams array<binary>").collect())
+    sample.sort(key=lambda r: (r["doc_id"], r["lang"], r["key"]))
+    return fit([[np.frombuffer(g, np.int64) for g in r["grams"]] for r in sample], [r["lang"] for r in sample],
+               longest, landmarks, ridge)
+
+
+def _gram_rows(longest: int):
+    """Rows of texts with letters, with the bytes of their distinct n-grams in place of the text."""
+    def run(batches):
+        for batch in batches:
+            grams = [[g.tobytes() for g in ngrams(kept, longest)] if (kept := letters(text.as_py())) else None
+                     for text in batch.column(3)]
+            out = pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], pa.array(grams, pa.list_(pa.binary()))], ["doc_id", "lang", "key", "grams"])
+            yield out.filter(out.column(3).is_valid())
+    return run
 
 
 def identify(docs: DataFrame, model: LanguageModel, longest: int = 3, lang_col: str = "lang_pred",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 
 from pyspark import cloudpickle
@@ -29,15 +30,43 @@ def shared_dir(spark: SparkSession) -> str:
     return configured
 
 
+class _Written(threading.local):
+    """Paths of the tables that this thread has staged and not deleted."""
+
+    def __init__(self):
+        self.paths: list[str] = []
+
+
+_written = _Written()
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet below the shared folder and read back: its
     lineage is cut, so a lost executor repeats one step and not the job."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
+    _written.paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_count() -> int:
+    """Number of tables staged so far, for :func:`restage`."""
+    return len(_written.paths)
+
+
+def restage(df: DataFrame, name: str, since: int) -> DataFrame:
+    """``df`` staged, and when it has been committed, the tables that this thread staged
+    after the first ``since`` ones deleted: nothing but ``df`` may still need them."""
+    out, spark = stage(df, name), df.sparkSession
+    old = _written.paths[since:-1]
+    del _written.paths[since:-1]
+    for path in old:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    return out
+
+
 def with_field(df: DataFrame, name: str, kind: str) -> StructType:
     """Schema of ``df`` with one more column."""
     return StructType([*df.schema.fields, StructField(name, _parse_datatype_string(kind))])

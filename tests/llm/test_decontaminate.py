@@ -63,3 +63,28 @@ def test_edge_rows(spark, edge_docs, no_docs):
     assert out.columns == edge_docs.columns and out.count() == edge_docs.count() - 5
     assert D.contaminated(edge_docs, benchmark.limit(0)).count() == 0
     assert D.contaminated(no_docs, benchmark).count() == 0 and D.drop_contaminated(no_docs, benchmark).count() == 0
+
+
+def test_similar_windows_are_within_the_radius():
+    """Edited items of similarity 0.8 and more, of 30 to 120 words: their fingerprints
+    differ in at most 23 bits, and the index holds a part of all other pairs only."""
+    rng, near = random.Random(3), []
+    for _ in range(600):
+        words = rng.choices(range(5000), k=rng.randrange(30, 121))
+        edited = list(words)
+        edited[rng.randrange(len(words))] = -1
+        cache = {}
+        a, b = (D.shingle_hashes(D._word_hashes([str(w) for w in x], cache), 5) for x in (words, edited))
+        if D._similarity(D.Counter(a.tolist()), D.Counter(b.tolist())) >= 0.8:
+            near.append(int(D.simhashes(a[None])[0] ^ D.simhashes(b[None])[0]).bit_count())
+    assert len(near) > 400 and max(near) <= 23
+    values = np.random.default_rng(5)
+    index = D.SizeIndex(40, [(k, values.integers(0, 2**63, 36, dtype=np.uint64)) for k in range(201)], 23)
+    prints = values.integers(0, 2**63, 500, dtype=np.uint64)
+    blocks = prints.view(np.uint8).reshape(-1, 8)[:, ::-1]
+    held = index.near[0][blocks[:, 0]]
+    for b in range(1, D.BLOCKS):
+        held = held | index.near[b][blocks[:, b]]
+    share = np.unpackbits(held, axis=1, count=201).mean()
+    assert 0.6 < share < 0.8  # eight blocks of 37 / 256 each: the price of 23 bits
+    assert index.near.nbytes == 8 * 256 * 26  # a bit, not a byte, for an item

@@ -20,7 +20,7 @@ def test_folded_product_equals_kernel_regression():
     texts = ["the cat and the dog", "a dog of the house", "der hund und das haus", "die katze ist da", "das ist der hund"]
     langs = ["en", "en", "de", "de", "de"]
     longest, ridge = 3, 0.1
-    model = L.fit(texts, langs, longest, 4, ridge)
+    model = L.fit([L.ngrams(L.letters(t), longest) for t in texts], langs, longest, 4, ridge)
 
     def kernel(a, b):
         ga, gb = ([{k[i:i + n] for i in range(len(k) - n + 1)} for n in range(1, longest + 1)] for k in map(L.letters, (a, b)))
@@ -51,9 +51,12 @@ def test_edge_rows(spark, edge_docs, no_docs):
 
 
 def test_sample_is_bounded_by_rows_and_holds_rare_languages(spark, monkeypatch):
-    rows = [(1, f"the house number {i}", "en") for i in range(900)] + [(1, "the same house again", "en")] * 300
-    rows += [(3, f"das haus nummer {i}", "de") for i in range(3)]
+    def spelt(i):
+        return "".join(chr(97 + int(c)) for c in f"{i:04}")
+
+    rows = [(1, f"the house number {spelt(i)}", "en") for i in range(900)] + [(1, "the same house again", "en")] * 300
+    rows += [(3, f"das haus nummer {spelt(i)}", "de") for i in range(3)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
-    monkeypatch.setattr(L, "fit", lambda texts, langs, *rest: list(zip(texts, langs)))
+    monkeypatch.setattr(L, "fit", lambda grams, langs, *rest: [(tuple(g[2].tolist()), lang) for g, lang in zip(grams, langs)])
     sample = L.learn(docs.where(~held_out()), max_rows=40)
     assert len(sample) == len(set(sample)) == 40 and sum(lang == "de" for _, lang in sample) == 3

@@ -6,7 +6,7 @@ tiktoken = pytest.importorskip("tiktoken")
 
 import corpus_pipeline as C  # noqa: E402
 from footfall.llm import byte_bpe, toxicity  # noqa: E402
-from footfall.llm.stages import stage  # noqa: E402
+from footfall.llm.stages import shared_dir, stage  # noqa: E402
 from tests.conftest import SF_SMALL  # noqa: E402
 from tests.llm import brute  # noqa: E402
 
@@ -43,3 +43,17 @@ def test_edge_rows_through_all_stages(spark, edge_docs, no_docs):
                 assert docs.columns == columns
         assert docs.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
     assert docs.count() == 0
+
+
+def test_stage_tables_go_when_the_next_is_written(spark):
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def names():
+        return {f.getPath().getName() for f in system.listStatus(path)}
+
+    kept = stage(spark.range(3), "mine")
+    before = names()
+    out = C.run(spark, SF_SMALL)
+    assert len(names() - before) == 1 and before <= names()
+    assert out.count() > 0 and kept.count() == 3
